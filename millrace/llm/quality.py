@@ -1,8 +1,9 @@
 """Quality rules: exact heuristics and a hashed n-gram log-likelihood ratio, in DataFrame functions only.
 
 The ratio compares two multinomials over hashed word unigrams and bigrams: one of the trusted target (documents that
-``labels`` marks with quality 1), one of the whole raw corpus. A document's score is the mean over its n-grams of
-log p_target - log p_raw, and a fixed threshold decides each document alike.
+``labels`` marks with quality 1), one of the whole raw corpus, both smoothed on the target's scale: a bucket that the
+target has t times, and would have e times if it were like the corpus, weighs log((t + PRIOR) / (e + PRIOR)). A
+document's score is the mean over its n-grams, and a fixed threshold decides each document alike.
 
 Defined results: a null or empty text has no words and fails the base rules; documents without labels are scored as
 any other; without any trusted document all weights are zero and only the base rules decide; repeated rows get the
@@ -11,15 +12,19 @@ same result; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import BROADCAST_IDS
 
 #: Buckets of the hashed n-grams. The two models are two arrays of this length.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 #: A document stays if its mean log-likelihood ratio reaches this, in nats per n-gram.
-THRESHOLD = -0.05
+THRESHOLD = -0.13
+#: Occurrences added to what the target has and to what it should have in each bucket, so that rare n-grams say little.
+PRIOR = 5
 #: Weights are whole millionths of a nat, so that sums don't depend on their order.
 UNIT = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
@@ -43,7 +48,7 @@ def ngram_buckets(w: Column, buckets: int = BUCKETS) -> Column:
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> list[int]:
-    """Weights log p_target - log p_raw by bucket, in units; counts run over all documents.
+    """Weights by bucket, in units; counts run over all documents.
 
     ``trusted`` has the doc_id of the target's documents. Up to ``limit`` ids are broadcast; of more, a share chosen
     by a hash of the id is (the bound of the labelled sample). The counts come to the driver: ``buckets`` rows at most.
@@ -55,14 +60,11 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
     rows = docs.select("doc_id", words(F.col("text")).alias("w")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
     grams = rows.select("good", F.explode(_let(F.col("w"), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
-    total = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
-    ratio = F.log((F.col("target") + 1) / (F.col("all_target") + buckets)) - F.log((F.col("raw") + 1) / (F.col("all_raw") + buckets))
-    # an empty bucket gets its smoothed ratio, too
-    grid = counts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    out = grid.join(counts, "bucket", "left").fillna(0).join(F.broadcast(total), how="left").select("bucket", F.round(ratio * UNIT).cast("int").alias("weight"), "all_target")
     weights = [0] * buckets
-    for r in out.where(F.coalesce("all_target", F.lit(0)) > 0).collect():
-        weights[r["bucket"]] = r["weight"]
+    found = counts.collect()
+    raw, target = sum(r["raw"] for r in found), sum(r["target"] for r in found)
+    for r in found if target else ():
+        weights[r["bucket"]] = round(UNIT * math.log((r["target"] + PRIOR) / (r["raw"] * target / raw + PRIOR)))
     return weights
 
 

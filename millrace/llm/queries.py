@@ -6,18 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secret_scan
+from . import packing, quality, secret_scan, token_store
+from .shared import shared_dir
+
+#: Tokenizer file of the public tokenizers' package.
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = WORD_BPE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in windows of 4096 ids."""
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, from a fresh ledger."""
     return secret_scan.digest(secret_scan.scan_documents(_table(spark, sf_dir, "documents")))
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the store by its key."""
+    docs, path = _table(spark, sf_dir, "documents"), shared_dir(spark, "token-store")
+    token_store.write(docs, path, tokenizer_path())
+    return token_store.lookup(spark, path, docs)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the verdict on every document."""
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -25,7 +47,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op7_secret_scan": op7_secret_scan,
+        "op9_token_store": op9_token_store,
         "op10_quality_rules": op10_quality_rules,
     }
 
