@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, secret_scan, token_store
+from . import language_id, minhash_dedup, packing, quality, secret_scan, token_store
 from .shared import shared_dir
 
 #: Tokenizer file of the public tokenizers' package.
@@ -28,11 +28,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, from a fresh ledger."""
     return secret_scan.digest(secret_scan.scan_documents(_table(spark, sf_dir, "documents")))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the store by its key."""
     docs, path = _table(spark, sf_dir, "documents"), shared_dir(spark, "token-store")
@@ -48,7 +58,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op4_language_id": op4_language_id,
         "op7_secret_scan": op7_secret_scan,
+        "op8_minhash_dedup": op8_minhash_dedup,
         "op9_token_store": op9_token_store,
         "op10_quality_rules": op10_quality_rules,
     }
