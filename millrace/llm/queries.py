@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, minhash_dedup, packing, quality, secret_scan, token_store
+from . import html_extract, language_id, minhash_dedup, packing, quality, secret_scan, token_store
 from .shared import shared_dir
 
 #: Tokenizer file of the public tokenizers' package.
@@ -33,6 +33,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, from a fresh ledger."""
     return secret_scan.digest(secret_scan.scan_documents(_table(spark, sf_dir, "documents")))
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op4_language_id": op4_language_id,
+        "op6_html_extraction": op6_html_extraction,
         "op7_secret_scan": op7_secret_scan,
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_token_store": op9_token_store,
