@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, language_id, minhash_dedup, packing, quality, secret_scan, token_store
+from . import embedding_dedup, html_extract, language_id, minhash_dedup, packing, quality, secret_scan, token_store
 from .shared import shared_dir
 
 #: Tokenizer file of the public tokenizers' package.
@@ -28,6 +28,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of every embedding."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     return language_id.identify(_table(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op4_language_id": op4_language_id,
         "op6_html_extraction": op6_html_extraction,
         "op7_secret_scan": op7_secret_scan,
