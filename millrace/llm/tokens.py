@@ -8,7 +8,7 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Chunks a Python worker remembers; it encodes others anew, so the bound changes no result.
-MEMORY = 400_000
+MEMORY = 700_000
 #: Longer chunks aren't remembered.
 CHUNK_CHARS = 48
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -30,29 +30,66 @@ class Encoder(dict):
         self.kind = "<u2" if narrow else "<u4"
         probe = "It's  the\tend,of 3 things\n\nÉtat́ naïve 日本 x_1 <|endoftext|>a  b ###!!"
         self.by_chunk = True
+        same = lambda a, b: self._raw(a) == b"".join(map(self._raw, b))
+        self.lowers = same("ÀB Éß <|x", ["àb éß <|x"])
+        self.splits_ends = same("abc. dé, x.", ["abc", ".", "dé", ",", "x", "."])
+        self.marks = {m: self._raw(m) for m in ".,"}
         self.by_chunk = self._raw(probe) == self.encode([probe])[0]
+        self.by_chunk &= self._raw("  ") == b""
 
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _plain(self, text: str) -> str:
+        """The text in lower case where the tokenizer would do that anyhow, letter by letter."""
+        if self.lowers and "<" not in text:
+            try:
+                text.isascii() or text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+            return text.lower()
+        return text
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't remembered; as many as fit are from now on."""
+        new: dict[str, bytes] = {}
+        bases, ends = {}, {}
+        for w in words:
+            if w[-1:] in (".", ",") and self.splits_ends and w[:-1].lower().isalpha():
+                ends[w] = w[:-1]
+                if w[:-1] not in self:
+                    bases[w[:-1]] = None
+            else:
+                bases[w] = None
+        todo = list(bases)
+        for at in range(0, len(todo), 1024):
+            part = todo[at : at + 1024]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                new[w] = np.asarray(e.ids, self.kind).tobytes()
+        for w, base in ends.items():
+            new[w] = (new[base] if base in new else self[base]) + self.marks[w[-1]]
+        for w, ids in new.items():
+            if len(self) >= MEMORY:
+                break
+            if len(w) <= CHUNK_CHARS:
+                self[w] = ids
+        return new
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         if not self.by_chunk:
             return [self._raw(t) for t in texts]
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self})
-        known = self.get
-        extra: dict[str, bytes] = {}
-        for at in range(0, len(new), 1024):
-            part = new[at : at + 1024]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = np.asarray(e.ids, self.kind).tobytes()
-                if len(self) < MEMORY and len(w) <= CHUNK_CHARS:
-                    self[w] = ids
-                else:
-                    extra[w] = ids
-        if extra:
-            return [b"".join([known(w) if w in self else extra[w] for w in words]) for words in split]
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        words: list[str] = []
+        ends = []
+        for t in texts:
+            words += self._plain(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            ends.append(len(words))
+        ids = list(map(self.get, words))
+        if None in ids:
+            unknown = [k for k, x in enumerate(ids) if x is None]
+            new = self._learn(list(dict.fromkeys([words[k] for k in unknown])))
+            for k in unknown:
+                ids[k] = new[words[k]]
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def encoder(path: str, narrow: bool) -> Encoder:
