@@ -18,6 +18,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,6 +35,8 @@ SHARE = 0.6
 HASHES = 2
 BITS = 1 << 20
 UNKNOWN = "und"
+#: A corpus keeps texts whose score reaches this.
+LEAST_SCORE = 0.4
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -176,15 +179,13 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))
 
 
-def tagged(docs: DataFrame, filters: Filters) -> DataFrame:
-    """The rows of ``docs``, all columns, with the prediction in lang_pred and lang_score; for filters on whole rows."""
+def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, in a learned language with at least this score."""
     handle = docs.sparkSession.sparkContext.broadcast(filters)
 
-    @F.pandas_udf("lang_pred string, lang_score double")
-    def guess(text):
-        import pandas as pd
+    @F.pandas_udf("boolean")
+    def known(text: pd.Series) -> pd.Series:
+        found = [handle.value.predict(t) for t in text]
+        return pd.Series([name != UNKNOWN and score >= least for name, score in found], dtype=bool)
 
-        found = [handle.value.predict(None if t is None or t != t else t) for t in text]
-        return pd.DataFrame({"lang_pred": [x[0] for x in found], "lang_score": [x[1] for x in found]})
-
-    return docs.withColumn("_guess", guess("text")).select(*docs.columns, "_guess.lang_pred", "_guess.lang_score")
+    return docs.where(known("text"))

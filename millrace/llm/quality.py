@@ -98,8 +98,8 @@ def _repeated(w: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(_let(hashes, lambda h: _let(low(h), lambda m: cover(h, m))))
 
 
-def measures(docs: DataFrame, weights: list[int]) -> DataFrame:
-    """doc_id, the base counts and score (units per document) and n_grams of every row of ``docs`` (doc_id, text)."""
+def measures(docs: DataFrame, weights: list[int], *carried: Column) -> DataFrame:
+    """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text)."""
     buckets = len(weights)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
     text = F.coalesce("text", F.lit(""))
@@ -116,10 +116,11 @@ def measures(docs: DataFrame, weights: list[int]) -> DataFrame:
     )
     return docs.select(
         "doc_id",
+        *carried,
         of_words.alias("w"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "w.score")
+    ).select("doc_id", *[c for c in ["_row"] if carried], "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "w.score")
 
 
 def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -134,3 +135,10 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bu
     """Measures and verdict for every row of ``docs``; the target is the documents that ``labels`` gives quality 1."""
     weights = fit(docs, labels.where("quality = 1"), buckets)
     return verdict(measures(docs, weights), threshold)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    weights = fit(docs, labels.where("quality = 1"), buckets)
+    judged = verdict(measures(docs, weights, F.struct(*docs.columns).alias("_row")), threshold)
+    return judged.where("kept").select("_row.*")

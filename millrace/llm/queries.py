@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_extract, language_id, minhash_dedup, packing, quality, secret_scan, token_store
+from . import embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, quality, secret_scan, sentencepiece_codec, token_store
 from .shared import shared_dir
 
 #: Tokenizer file of the public tokenizers' package.
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +34,21 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's losses under the target and the background model, and their difference."""
+    return lm_scoring.cross_entropy_difference(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_extract.extract(_table(spark, sf_dir, "pages"))
@@ -69,7 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_embedding_dedup": op2_embedding_dedup,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_html_extraction": op6_html_extraction,
         "op7_secret_scan": op7_secret_scan,
         "op8_minhash_dedup": op8_minhash_dedup,
