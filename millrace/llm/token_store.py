@@ -219,7 +219,8 @@ def manifest_of(path: str) -> list[dict]:
 def lookup(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document in the store with a doc_id of the table ``keys``.
 
-    Keys go to their shard by the manifest's ranges, and each shard is opened once in the task that has its keys. The
+    Keys go to their shard by the manifest's ranges, and each shard is opened once in the task that has its keys; there
+    are as many tasks as shards, as what a task reads are its shards' ids, not the few bytes of its keys. The
     manifest (about 100 bytes a shard of 32 MB) travels with the tasks.
     """
     shards = manifest_of(path)
@@ -255,4 +256,4 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = Fal
     if not shards:
         return spark.createDataFrame([], schema)
     wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().mapInArrow(route, "doc_id long, shard int")
-    return wanted.repartition("shard").sortWithinPartitions("shard", "doc_id").mapInArrow(read, schema)
+    return wanted.repartition(len(shards), "shard").sortWithinPartitions("shard", "doc_id").mapInArrow(read, schema)
