@@ -4,9 +4,10 @@
    and an odd sketch: a bitmap of 1024 parity bits, one toggled by each (place, value). The population count of two
    sketches' XOR estimates how many of the 128 values differ.
 2. Documents with equal sets become one class, stood for by its smallest doc_id.
-3. Classes that share a band key are compared by sketch; a bucket of any size is cut into pairs of blocks, and a task
-   hands on a forest of the pairs that may reach the similarity (five standard errors of the estimate are allowed).
-   The forests' components are the clusters: no pair outside a cluster can be a link.
+3. Classes that share a band key are compared by sketch: first each with the smallest of its bucket, then all of a
+   bucket that this leaves in different clusters. A bucket of any size is cut into pairs of blocks, and a task hands on
+   a forest of the pairs that may reach the similarity (five standard errors of the estimate are allowed). Together
+   they give the clusters: no pair outside a cluster can be a link.
 4. Within a cluster, again in pairs of blocks, pairs are taken in the order of their sketches and checked on the full
    sets, but for those that earlier links in the task already connect. The links' components are the result.
 
@@ -195,46 +196,61 @@ def signatures(docs: DataFrame) -> DataFrame:
     return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"), "minhash")
 
 
-def _sketch_rows(column: pa.ChunkedArray) -> np.ndarray:
+def _sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
-def candidate_forest(reps: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b between class representatives (doc_id, bands, sketch) that span what bands and sketches connect."""
-    most = most_bits(least[0] / least[1])
+def buckets(reps: DataFrame) -> DataFrame:
+    """band, doc_id, n, hub: class representatives in buckets of two and more, with the bucket's size and smallest id."""
+    w = Window.partitionBy("band")
     rows = reps.select("doc_id", F.explode("bands").alias("band"))
-    shared = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("n > 1")
-    sketched = shared.join(reps.select("doc_id", "sketch"), "doc_id")
-    dealt = block_pairs(sketched, "doc_id", "n").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return cut(rows.select("band", "doc_id", F.count(F.lit(1)).over(w).alias("n"), F.min("doc_id").over(w).alias("hub")).where("n > 1"), "buckets")
+
+
+def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """Links a, b of each bucket's members with its smallest, as far as the sketches may reach the similarity.
+
+    They connect most of a large group at once, so that comparing all members later has little left to say.
+    """
+    most = most_bits(least[0] / least[1])
+    pairs = shared.where("doc_id != hub").select("doc_id", "hub").distinct()
+    both = pairs.join(sketches, "doc_id").join(sketches.toDF("hub", "of_hub"), "hub").select("doc_id", "hub", "sketch", "of_hub")
 
     def run(batches):
-        told: set[tuple[int, int]] = set()
+        for batch in batches:
+            near = np.bitwise_count(_sketch_rows(batch.column("sketch")) ^ _sketch_rows(batch.column("of_hub"))).sum(axis=1) <= most
+            yield pa.RecordBatch.from_arrays([batch.column("hub").filter(pa.array(near)), batch.column("doc_id").filter(pa.array(near))], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
 
-        def links(pairs):
-            new = [p for p in dict.fromkeys((min(p), max(p)) for p in pairs if p[0] != p[1]) if p not in told]
-            if len(told) < 500_000:  # only spares repeats
-                told.update(new)
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["a", "b"])
 
+def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """Links a, b between the clusters of ``known`` (id, component), or single documents, that bands and sketches connect."""
+    most = most_bits(least[0] / least[1])
+    labelled = sketches.join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    # a bucket of two has told its pair as a star
+    dealt = block_pairs(shared.where("n > 2").drop("hub").join(labelled, "doc_id"), "doc_id", "n").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def run(batches):
+        told = Forest()
         for table, edges in whole_runs(batches, ["band", "i", "j"]):
-            ids, own, i, j = (table.column(c).to_numpy() for c in ("doc_id", "own", "i", "j"))
+            root, own, i, j = (table.column(c).to_numpy() for c in ("root", "own", "i", "j"))
             sketch = _sketch_rows(table.column("sketch"))
-            size, first = np.diff(edges), edges[:-1]
-            two = first[(size == 2) & (i[first] == j[first])]
-            near = two[np.bitwise_count(sketch[two] ^ sketch[two + 1]).sum(axis=1) <= most]
-            found = list(zip(ids[near].tolist(), ids[near + 1].tolist(), strict=True))
+            found = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a > 2 or (b - a == 2 and i[a] != j[a]):
-                    rows = np.arange(a, b)
-                    left = rows[own[a:b] == i[a]]
-                    right = None if i[a] == j[a] else rows[own[a:b] == j[a]]
-                    if not len(left) or (right is not None and not len(right)):
-                        continue
-                    forest = Forest()
-                    x, y = close_pairs(sketch[left], None if right is None else sketch[right], most)
-                    right = left if right is None else right
-                    found += [p for p in zip(ids[left[x]].tolist(), ids[right[y]].tolist(), strict=True) if forest.join(*p)]
-            yield links(found)
+                if b - a < 2 or (root[a:b] == root[a]).all():
+                    continue
+                rows = np.arange(a, b)
+                left = rows[own[a:b] == i[a]]
+                right = left if i[a] == j[a] else rows[own[a:b] == j[a]]
+                if not len(left) or not len(right):
+                    continue
+                x, y = close_pairs(sketch[left], None if i[a] == j[a] else sketch[right], most)
+                p, q = root[left[x]], root[right[y]]
+                apart = p != q
+                found += [e for e in zip(p[apart].tolist(), q[apart].tolist(), strict=True) if told.join(*e)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -284,7 +300,9 @@ def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFram
     some = signed.where("n_shingles > 0 and doc_id is not null")
     classes = cut(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi").select("doc_id", "bands", "sketch")
-    clusters = components(candidate_forest(reps, least))
+    shared, sketches = buckets(reps), reps.select("doc_id", "sketch")
+    stars = components(star_links(shared, sketches, least))
+    clusters = components(stars.toDF("a", "b").union(candidate_forest(shared, sketches, stars, least)))
     members = clusters.union(clusters.select(F.col("component").alias("id"), "component")).distinct().toDF("doc_id", "cluster")
     members = cut(members, "members")
     sizes = cut(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "sizes")
