@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, quality, secret_scan, sentencepiece_codec, token_store
+from .oracle import oracle_sql as oracle_sql
 from .shared import shared_dir
 
 #: Tokenizer file of the public tokenizers' package.
@@ -89,7 +90,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_store": op9_token_store,
         "op10_quality_rules": op10_quality_rules,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
