@@ -32,6 +32,8 @@ from .tokens import slices
 WORDS = 5
 VALUES, PER_BAND, BITS = 128, 4, 1024
 BANDS = VALUES // PER_BAND
+#: Members of a bucket in a block.
+BLOCK = 256
 #: Least similarity as a fraction.
 LEAST = (75, 100)
 _ODD = np.random.RandomState(20240131)
@@ -225,27 +227,33 @@ def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] =
 
 
 def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b between the clusters of ``known`` (id, component), or single documents, that bands and sketches connect."""
+    """Links a, b between the clusters of ``known`` (id, component), or single documents, that bands and sketches connect.
+
+    In a bucket, only members outside its first member's cluster (the others) still have something to say: each is
+    compared with every member. Members and others are cut into blocks; a task compares a block of either.
+    """
     most = most_bits(least[0] / least[1])
-    labelled = sketches.join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    # a bucket of two has told its pair as a star
-    dealt = block_pairs(shared.where("n > 2").drop("hub").join(labelled, "doc_id"), "doc_id", "n").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    w = Window.partitionBy("band")
+    rooted = shared.where("n > 2").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    rooted = rooted.withColumn("first", F.max(F.when(F.col("doc_id") == F.col("hub"), F.col("root"))).over(w))
+    rooted = rooted.withColumn("other", F.col("root") != F.col("first")).withColumn("n_other", F.count_if("other").over(w)).where("n_other > 0")
+    rooted = cut(rooted.select("band", "doc_id", "root", "other", F.ceil(F.col("n") / BLOCK).cast("int").alias("m"), F.ceil(F.col("n_other") / BLOCK).cast("int").alias("q")), "rooted")
+    spot = lambda of: F.pmod(F.xxhash64("doc_id", F.lit(of)), F.col(of).cast("long")).cast("int")
+    members = rooted.select("band", "doc_id", "root", spot("m").alias("i"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("j"), F.lit(False).alias("asks"))
+    others = rooted.where("other").select("band", "doc_id", "root", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("i"), spot("q").alias("j"), F.lit(True).alias("asks"))
+    dealt = members.union(others).join(sketches, "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def run(batches):
         told = Forest()
         for table, edges in whole_runs(batches, ["band", "i", "j"]):
-            root, own, i, j = (table.column(c).to_numpy() for c in ("root", "own", "i", "j"))
+            root, asks = (table.column(c).to_numpy() for c in ("root", "asks"))
             sketch = _sketch_rows(table.column("sketch"))
             found = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a < 2 or (root[a:b] == root[a]).all():
-                    continue
-                rows = np.arange(a, b)
-                left = rows[own[a:b] == i[a]]
-                right = left if i[a] == j[a] else rows[own[a:b] == j[a]]
+                left, right = a + np.flatnonzero(~asks[a:b]), a + np.flatnonzero(asks[a:b])
                 if not len(left) or not len(right):
                     continue
-                x, y = close_pairs(sketch[left], None if i[a] == j[a] else sketch[right], most)
+                x, y = close_pairs(sketch[left], sketch[right], most)
                 p, q = root[left[x]], root[right[y]]
                 apart = p != q
                 found += [e for e in zip(p[apart].tolist(), q[apart].tolist(), strict=True) if told.join(*e)]
