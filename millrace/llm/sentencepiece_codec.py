@@ -9,7 +9,8 @@ is asked of the model once for each pair and remembered. The result is the libra
 White space and other characters are handled as the model's normaliser says; models with an identity normaliser and no
 removal of extra white space are supported, others are refused. Characters that no piece covers become their UTF-8
 bytes (if the model has byte pieces) or the unknown id. As no piece of such models reaches over the start of a word,
-words are encoded one by one, and a worker remembers the ids of words it has seen.
+words are encoded one by one, cut further between characters that stand side by side in no piece; a worker remembers
+the ids of words and parts it has seen.
 
 Defined results: a null text is encoded like an empty one, to no ids, and decodes to an empty text; repeated rows get
 the same result; an empty table gives an empty result; other columns are ignored; texts of any length are taken whole.
@@ -17,6 +18,7 @@ the same result; an empty table gives an empty result; other columns are ignored
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import ahocorasick
@@ -32,6 +34,7 @@ SPACE = "▁"
 MEMORY = 500_000
 WORD_CHARS = 48
 _codecs: dict[str, Codec] = {}
+_RUNS = re.compile(r" *[^ ]+| +")
 
 
 class Codec:
@@ -67,6 +70,12 @@ class Codec:
         self.apart: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.segments: dict[str, bytes] = {}
+        self.beside = {p.piece[k : k + 2] for p in proto.pieces if p.type in (normal.NORMAL, normal.USER_DEFINED) for k in range(len(p.piece) - 1)}
+        self.plain = [" \u2047 " if p.type == normal.UNKNOWN else "" if p.type == normal.CONTROL else p.piece.replace(SPACE, " ") for p in proto.pieces]
+        for b, i in self.bytes.items():
+            self.plain[i] = chr(b) if b < 128 else "\ufffd"
+        self.high = np.array([i in self.byte_of and self.byte_of[i] >= 128 for i in range(len(self.pieces))])
 
     def _merged(self, text: str) -> list[int]:
         """Ids by the model of a text that starts in the middle of a word."""
@@ -126,45 +135,58 @@ class Codec:
             at = since
         return out[::-1]
 
+    def _segments(self, word: str) -> bytes:
+        """Ids of a word, cut where no piece has the two characters side by side: no merge reaches over such a place."""
+        at, out, beside, known = 0, [], self.beside, self.segments
+        for k in range(1, len(word) + 1):
+            if k == len(word) or word[k - 1 : k + 1] not in beside:
+                part = word[at:k]
+                ids = known.get(part)
+                if ids is None:
+                    ids = np.array(self._viterbi(part), "<u4").tobytes()
+                    if len(known) < MEMORY and len(part) <= WORD_CHARS:
+                        known[part] = ids
+                out.append(ids)
+                at = k
+        return b"".join(out)
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        text = (" " * self.prefix + text).replace(" ", SPACE)
         if not self.whole_words:
-            return np.array(self._viterbi(text), "<u4").tobytes()
-        # a word is a run of spaces and what follows; cut before each run
-        parts, known, out = text.split(SPACE), self.words, []
-        lead = 0
-        for k, part in enumerate(parts):
-            lead += k > 0
-            if not part and k < len(parts) - 1:
-                continue
-            word = SPACE * lead + part
-            lead = 0
-            if not word:
-                continue
-            ids = known.get(word)
-            if ids is None:
-                ids = np.array(self._viterbi(word), "<u4").tobytes()
-                if len(known) < MEMORY and len(word) <= WORD_CHARS:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+            return np.array(self._viterbi((" " * self.prefix + text).replace(" ", SPACE)), "<u4").tobytes()
+        if self.prefix and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            words = text.split(" ")  # each has one space before it
+        else:
+            # a word is a run of spaces and what follows; keys of this sort start with a space
+            words = [" " + w for w in _RUNS.findall((" " * self.prefix + text).replace(SPACE, " "))]
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            for k, x in enumerate(ids):
+                if x is None:
+                    w = words[k]
+                    ids[k] = x = self._segments(w[1:].replace(" ", SPACE) if w[:1] == " " else SPACE + w)
+                    if len(self.words) < MEMORY and len(w) <= WORD_CHARS:
+                        self.words[w] = x
+        return b"".join(ids)
 
     def decode(self, ids: np.ndarray) -> str:
-        out, raw, pieces, byte_of = [], bytearray(), self.pieces, self.byte_of
+        if not self.high[ids].any():
+            text = "".join(map(self.plain.__getitem__, ids.tolist()))
+            return text[1:] if self.prefix and text.startswith(" ") else text
+        out, raw = [], bytearray()
         for i in ids.tolist():
-            if i in byte_of:
-                raw.append(byte_of[i])
+            if i in self.byte_of:
+                raw.append(self.byte_of[i])
                 continue
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            out.append(pieces[i] if self.kinds[i] != 2 else " ⁇ ")
+            out.append(self.plain[i])
         if raw:
             out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        text = "".join(out)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
