@@ -151,8 +151,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) ->
     grams = {}
     for i, k in enumerate(languages):
         typical = counts.where((F.col(f"`{k}`") >= LEAST_SEEN) & (rates[i] >= SHARE * whole))
-        top = typical.orderBy(F.col(f"`{k}`").desc(), "gram").limit(COMMONEST).select("gram").collect()
-        grams[k] = np.array([r["gram"] for r in top], np.int64).view(np.uint64)
+        top = typical.orderBy(F.col(f"`{k}`").desc(), "gram").limit(COMMONEST).select("gram").toArrow()
+        grams[k] = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
     return Filters(languages, grams, bits)
 
 

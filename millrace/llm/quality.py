@@ -12,12 +12,10 @@ same result; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_IDS
+from .shared import BROADCAST_IDS, cut
 
 #: Buckets of the hashed n-grams. The two models are two arrays of this length.
 BUCKETS = 1 << 18
@@ -47,11 +45,11 @@ def ngram_buckets(w: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(one, F.slice(two, 1, F.greatest(F.size(w) - 1, F.lit(0))))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> list[int]:
-    """Weights by bucket, in units; counts run over all documents.
+def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
+    """One row, one column: the weights of all buckets in units, in order. Counts run over all documents.
 
-    ``trusted`` has the doc_id of the target's documents. Up to ``limit`` ids are broadcast; of more, a share chosen
-    by a hash of the id is (the bound of the labelled sample). The counts come to the driver: ``buckets`` rows at most.
+    ``trusted`` has the doc_id of the target's documents. Up to ``limit`` ids are broadcast; of more, a share chosen by
+    a hash of the id is (the bound of the labelled sample). The row has ``buckets`` whole numbers whatever the corpus.
     """
     ids = trusted.select("doc_id").where("doc_id is not null").distinct()
     n = ids.count()
@@ -60,12 +58,11 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
     rows = docs.select("doc_id", words(F.col("text")).alias("w")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
     grams = rows.select("good", F.explode(_let(F.col("w"), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
-    weights = [0] * buckets
-    found = counts.collect()
-    raw, target = sum(r["raw"] for r in found), sum(r["target"] for r in found)
-    for r in found if target else ():
-        weights[r["bucket"]] = round(UNIT * math.log((r["target"] + PRIOR) / (r["raw"] * target / raw + PRIOR)))
-    return weights
+    grid = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
+    whole = grid.agg(F.sum("raw").alias("n"), F.sum("target").alias("m"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"))
+    ratio = lambda x: F.log((x["target"] + PRIOR) / (x["raw"] * F.col("m") / F.col("n") + PRIOR))
+    weight = F.transform("c", lambda x: F.when(F.col("m") > 0, F.round(UNIT * ratio(x))).otherwise(0).cast("int"))
+    return cut(whole.select(weight.alias("weights")), "quality-weights")
 
 
 def _repeated(w: Column) -> Column:
@@ -98,10 +95,13 @@ def _repeated(w: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(_let(hashes, lambda h: _let(low(h), lambda m: cover(h, m))))
 
 
-def measures(docs: DataFrame, weights: list[int], *carried: Column) -> DataFrame:
-    """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text)."""
-    buckets = len(weights)
-    table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
+def measures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, carry: bool = False) -> DataFrame:
+    """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text).
+
+    ``weights`` is the one row that ``fit`` made; it is broadcast, and every document meets that row.
+    """
+    table = F.col("_weights")
+    docs = docs.select("doc_id", "text", *[F.struct(*docs.columns).alias("_row")] * carry).crossJoin(F.broadcast(weights.toDF("_weights")))
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(r"[^\x20\x09-\x0D]")))
     sums = lambda w: F.aggregate(ngram_buckets(w, buckets), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
@@ -116,11 +116,11 @@ def measures(docs: DataFrame, weights: list[int], *carried: Column) -> DataFrame
     )
     return docs.select(
         "doc_id",
-        *carried,
+        *["_row"] * carry,
         of_words.alias("w"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", *[c for c in ["_row"] if carried], "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "w.score")
+    ).select("doc_id", *["_row"] * carry, "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "w.score")
 
 
 def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -134,11 +134,11 @@ def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """Measures and verdict for every row of ``docs``; the target is the documents that ``labels`` gives quality 1."""
     weights = fit(docs, labels.where("quality = 1"), buckets)
-    return verdict(measures(docs, weights), threshold)
+    return verdict(measures(docs, weights, buckets), threshold)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
     weights = fit(docs, labels.where("quality = 1"), buckets)
-    judged = verdict(measures(docs, weights, F.struct(*docs.columns).alias("_row")), threshold)
+    judged = verdict(measures(docs, weights, buckets, carry=True), threshold)
     return judged.where("kept").select("_row.*")
