@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Chunks a Python worker remembers; it encodes others anew, so the bound changes no result.
-MEMORY = 700_000
+MEMORY = 500_000
 #: Longer chunks aren't remembered.
 CHUNK_CHARS = 48
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -99,6 +100,7 @@ def encoder(path: str, narrow: bool) -> Encoder:
     return _encoders[path, narrow]
 
 
+@functools.cache
 def is_narrow(path: str, *ids: int) -> bool:
     """Whether all ids of the tokenizer file, and those given, fit 16 bits. Called where the plan is made."""
     from tokenizers import Tokenizer
