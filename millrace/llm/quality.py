@@ -37,12 +37,29 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def ngram_buckets(w: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the unigrams and bigrams of an array of words."""
-    m = F.lit(buckets).cast("long")
-    one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), m).cast("int"))
-    two = F.transform(w, lambda x, i: F.pmod(F.xxhash64(F.lit(2), x, F.get(w, i + 1)), m).cast("int"))
-    return F.concat(one, F.slice(two, 1, F.greatest(F.size(w) - 1, F.lit(0))))
+def word_hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _pair(h: Column, x: Column, i: Column) -> Column:
+    """A hash of the bigram that starts at place i, whose word hash is x; null at the last place."""
+    return F.shiftrightunsigned(x, 23).bitwiseXOR(F.get(h, i + 1))
+
+
+def ngram_buckets(h: Column, buckets: int = BUCKETS) -> Column:
+    """Buckets (a power of two) of the unigrams and bigrams of an array of word hashes."""
+    mask = F.lit(buckets - 1).cast("long")
+    one = F.transform(h, lambda x: x.bitwiseAND(mask).cast("int"))
+    two = F.transform(h, lambda x, i: _pair(h, x, i).bitwiseAND(mask).cast("int"))
+    return F.concat(one, F.slice(two, 1, F.greatest(F.size(h) - 1, F.lit(0))))
+
+
+def _ngram_sum(h: Column, table: Column, buckets: int) -> Column:
+    """Sum of the table's entries for all n-grams."""
+    mask = F.lit(buckets - 1).cast("long")
+    entry = lambda x: F.get(table, x.bitwiseAND(mask).cast("int")).cast("long")
+    each = F.transform(h, lambda x, i: entry(x) + F.coalesce(entry(_pair(h, x, i)), F.lit(0).cast("long")))
+    return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
@@ -55,8 +72,8 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
     n = ids.count()
     if n > limit:
         ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
-    rows = docs.select("doc_id", words(F.col("text")).alias("w")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
-    grams = rows.select("good", F.explode(_let(F.col("w"), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
+    rows = docs.select("doc_id", word_hashes(words(F.col("text"))).alias("h")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
+    grams = rows.select("good", F.explode(_let(F.col("h"), lambda h: ngram_buckets(h, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
     grid = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
     whole = grid.agg(F.sum("raw").alias("n"), F.sum("target").alias("m"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"))
@@ -66,21 +83,23 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
 
 
 def _repeated(w: Column) -> Column:
-    """Words in 3-word windows that occur twice or more.
+    """Words in 3-word windows that occur twice or more, from an array of word hashes.
 
     Each window becomes a 64-bit hash. Sorting longs that hold the hash's high bits and the window's place puts equal
     windows side by side; neighbours are compared by whole hashes; then the places' union is measured.
     """
     n = F.size(w)
-    hashes = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+    hashes = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), 1, F.greatest(n - 2, F.lit(0)))
 
     def cover(h: Column, low: Column) -> Column:
         packed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))
 
         def marked(s: Column) -> Column:
             at = lambda x: x.bitwiseAND(low).cast("int")
-            same = lambda x, y: (F.get(h, at(x)) == F.get(h, at(y)))
-            twin = F.filter(s, lambda x, i: F.coalesce(same(x, F.get(s, i - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, i + 1)), F.lit(False)))
+            alike = lambda x, y: x.bitwiseXOR(y) <= low  # noqa: E731  equal high bits; null at the ends
+            some = F.filter(s, lambda x, i: alike(x, F.get(s, i - 1)) | alike(x, F.get(s, i + 1)))
+            same = lambda x, y: F.get(h, at(x)) == F.get(h, at(y))
+            twin = _let(some, lambda c: F.filter(c, lambda x, i: same(x, F.get(c, i - 1)) | same(x, F.get(c, i + 1))))
             places = F.sort_array(F.transform(twin, lambda x: at(x)))
             return F.aggregate(
                 places,
@@ -98,29 +117,27 @@ def _repeated(w: Column) -> Column:
 def measures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, carry: bool = False) -> DataFrame:
     """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text).
 
-    ``weights`` is the one row that ``fit`` made; it is broadcast, and every document meets that row.
+    ``weights`` is the one row that ``fit`` made. It comes in as a scalar subquery, which tasks hold once; a joined
+    column would be copied to each row. Being used once, it is put into the expression by the optimizer.
     """
-    table = F.col("_weights")
-    docs = docs.select("doc_id", "text", *[F.struct(*docs.columns).alias("_row")] * carry).crossJoin(F.broadcast(weights.toDF("_weights")))
+    docs = docs.select("doc_id", "text", *[F.struct(*docs.columns).alias("_row")] * carry, weights.scalar().alias("_weights"))
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(r"[^\x20\x09-\x0D]")))
-    sums = lambda w: F.aggregate(ngram_buckets(w, buckets), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
-    of_words = _let(
-        words(F.col("text")),
-        lambda w: F.struct(
+    counted = lambda table, w: (
+        F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            _repeated(w).alias("n_repeat_words"),
-            sums(w).alias("score"),
-        ),
+            _let(word_hashes(w), lambda h: F.struct(_repeated(h).alias("n_repeat_words"), _ngram_sum(h, table, buckets).alias("score"))).alias("h"),
+        )
     )
+    of_words = _let(F.col("_weights"), lambda table: _let(words(F.col("text")), lambda w: counted(table, w)))
     return docs.select(
         "doc_id",
         *["_row"] * carry,
         of_words.alias("w"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", *["_row"] * carry, "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "w.score")
+    ).select("doc_id", *["_row"] * carry, "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.h.n_repeat_words", "w.h.score")
 
 
 def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

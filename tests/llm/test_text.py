@@ -83,8 +83,9 @@ def test_quality_ratio(spark):
     docs = edge.documents(spark)
     trusted = spark.createDataFrame([(6,), (9,)], "doc_id long")
     buckets = 1 << 10
-    weights = quality.fit(docs, trusted, buckets)
-    grams = docs.select("doc_id", quality.ngram_buckets(quality.words(F.col("text")), buckets).alias("g")).collect()
+    fitted = quality.fit(docs, trusted, buckets)
+    weights = fitted.first().weights
+    grams = docs.select("doc_id", quality.ngram_buckets(quality.word_hashes(quality.words(F.col("text"))), buckets).alias("g")).collect()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in grams:
         for b in r.g:
@@ -92,7 +93,7 @@ def test_quality_ratio(spark):
             target[b] += r.doc_id in (6, 9)
     want = [round(quality.UNIT * math.log((t + quality.PRIOR) / (n * target.sum() / raw.sum() + quality.PRIOR))) if n else 0 for n, t in zip(raw, target, strict=True)]
     assert weights == want
-    scores = {r.doc_id: r.score for r in quality.measures(docs, weights).collect()}
+    scores = {r.doc_id: r.score for r in quality.measures(docs, fitted, buckets).collect()}
     assert all(scores[r.doc_id] == sum(want[b] for b in r.g) for r in grams)
 
 
@@ -101,7 +102,8 @@ def test_long_windows(spark):
     words = [f"w{k}" for k in range(70_000)]
     words[60_000:60_005] = words[100:105]
     docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
-    assert quality.measures(docs, [0] * 8).first().n_repeat_words == 10
+    zero = spark.createDataFrame([([0] * 8,)], "weights array<int>")
+    assert quality.measures(docs, zero, 8).first().n_repeat_words == 10
 
 
 def test_language(spark):
