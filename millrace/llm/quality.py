@@ -20,7 +20,7 @@ from .shared import BROADCAST_IDS, cut
 #: Buckets of the hashed n-grams. The two models are two arrays of this length.
 BUCKETS = 1 << 18
 #: A document stays if its mean log-likelihood ratio reaches this, in nats per n-gram.
-THRESHOLD = -0.13
+THRESHOLD = -0.18
 #: Occurrences added to what the target has and to what it should have in each bucket, so that rare n-grams say little.
 PRIOR = 5
 #: Weights are whole millionths of a nat, so that sums don't depend on their order.
