@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, ship
 
 
 class Forest:
@@ -56,6 +56,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Links of a vertex with itself or with null are none. Vertices that aren't in the result are their own component.
     """
+    ship(links.sparkSession)
     a, b = links.columns
     edges = links.select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     edges = cut(edges.mapInArrow(_forest, "child long, parent long"), "hook")

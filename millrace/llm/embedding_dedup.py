@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, block_pairs, components, whole_runs
-from .shared import cut
+from .shared import cut, ship
 
 LEAST = 0.93
 TABLES, ROUTE, CELL = 16, 6, 1.6
@@ -106,6 +106,7 @@ def keyed(vectors: DataFrame) -> DataFrame:
 
 def _routed(reps: DataFrame) -> DataFrame:
     """vec_id, cell, place (number of the table): a row for each vector and table."""
+    ship(reps.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -156,6 +157,7 @@ def linked(reps: DataFrame, least: float = LEAST) -> DataFrame:
 
     (a, null, n): n further vectors, copies counted, are linked with a. (a, b, 0): an edge of a forest of links.
     """
+    ship(reps.sparkSession)
     routed = cut(_routed(reps), "cells")
     sizes = cut(routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cell-sizes")
     dealt = block_pairs(routed.join(sizes, "cell"), "vec_id", "n").join(reps, "vec_id")

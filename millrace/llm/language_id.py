@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, ship
 from .tokens import slices
 
 NGRAMS = (1, 2, 3, 4)
@@ -36,7 +36,7 @@ HASHES = 2
 BITS = 1 << 20
 UNKNOWN = "und"
 #: A corpus keeps texts whose score reaches this.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -77,28 +77,35 @@ def mask_type(languages: int):
 
 
 class Filters:
-    """The learned languages, at most 64, and their bit-sliced Bloom filters."""
+    """The learned languages and their bit-sliced Bloom filters: arrays of masks, each for 64 languages at most."""
 
     def __init__(self, languages: list[str], grams: dict[str, np.ndarray], bits: int = BITS):
         self.languages, self.bits = languages, bits
-        self.masks = np.zeros(bits, mask_type(len(languages)))
-        for k, name in enumerate(languages):
-            for p in places(grams.get(name, np.empty(0, np.uint64)), bits):
-                self.masks[np.unique(p)] |= self.masks.dtype.type(1 << k)
-        fill = np.array([np.count_nonzero(self.masks & self.masks.dtype.type(1 << k)) / bits for k in range(len(languages))])
-        self.chance = fill**HASHES
+        self.planes: list[tuple[int, np.ndarray]] = []
+        fill = []
+        for at in range(0, len(languages), 64):
+            own = languages[at : at + 64]
+            masks = np.zeros(bits, mask_type(len(own)))
+            for k, name in enumerate(own):
+                for p in places(grams.get(name, np.empty(0, np.uint64)), bits):
+                    masks[np.unique(p)] |= masks.dtype.type(1 << k)
+            fill += [np.count_nonzero(masks & masks.dtype.type(1 << k)) / bits for k in range(len(own))]
+            self.planes.append((len(own), masks))
+        self.chance = np.array(fill) ** HASHES
 
     def votes(self, h: np.ndarray) -> np.ndarray:
         """Corrected share of the n-grams that each language's filter holds."""
-        both = None
-        for p in places(h, self.bits):
-            both = self.masks[p] if both is None else both & self.masks[p]
-        if len(self.languages) <= 16:
-            seen = np.bincount(both, minlength=1 << len(self.languages))
-            hits = np.array([seen[(np.arange(len(seen)) >> k) & 1 == 1].sum() for k in range(len(self.languages))], float)
-        else:
-            hits = np.array([np.count_nonzero(both & self.masks.dtype.type(1 << k)) for k in range(len(self.languages))], float)
-        return np.maximum(0.0, (hits / len(h) - self.chance) / (1 - self.chance))
+        spots, hits = places(h, self.bits), []
+        for n, masks in self.planes:
+            both = masks[spots[0]]
+            for p in spots[1:]:
+                both &= masks[p]
+            if n <= 16:
+                seen = np.bincount(both, minlength=1 << n)
+                hits += [int(seen[(np.arange(len(seen)) >> k) & 1 == 1].sum()) for k in range(n)]
+            else:
+                hits += [int(np.count_nonzero(both & masks.dtype.type(1 << k))) for k in range(n)]
+        return np.maximum(0.0, (np.array(hits) / len(h) - self.chance) / (1 - self.chance))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not _LETTER.search(text):
@@ -122,11 +129,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) ->
 
     Counts by n-gram and language are summed in Spark; those typical of a language come to the driver, COMMONEST each.
     """
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
-    if len(languages) > 64:
-        raise ValueError("more than 64 languages")
     if not languages:
         return Filters([], {}, bits)
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
@@ -145,19 +151,21 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) ->
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(u), pa.string()), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
     counts = cut(sample.mapInArrow(count, "lang string, gram long, n long").groupBy("gram").pivot("lang", languages).agg(F.sum("n")).fillna(0), "language-grams")
-    totals = counts.agg(*[F.sum(F.col(f"`{k}`")).alias(str(i)) for i, k in enumerate(languages)]).first()
-    rates = [F.col(f"`{k}`") / F.lit(float(totals[i] or 1)) for i, k in enumerate(languages)]
+    of = [F.col("`" + k.replace("`", "``") + "`") for k in languages]
+    totals = counts.agg(*[F.sum(c).alias(str(i)) for i, c in enumerate(of)]).first()
+    rates = [c / F.lit(float(totals[i] or 1)) for i, c in enumerate(of)]
     whole = sum(rates[1:], rates[0])
     grams = {}
     for i, k in enumerate(languages):
-        typical = counts.where((F.col(f"`{k}`") >= LEAST_SEEN) & (rates[i] >= SHARE * whole))
-        top = typical.orderBy(F.col(f"`{k}`").desc(), "gram").limit(COMMONEST).select("gram").toArrow()
+        typical = counts.where((of[i] >= LEAST_SEEN) & (rates[i] >= SHARE * whole))
+        top = typical.orderBy(of[i].desc(), "gram").limit(COMMONEST).select("gram").toArrow()
         grams[k] = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
     return Filters(languages, grams, bits)
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs`` (doc_id, text). The filters travel with the tasks."""
+    ship(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
@@ -181,6 +189,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, in a learned language with at least this score."""
+    ship(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.pandas_udf("boolean")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import Forest, block_pairs, components, whole_runs
-from .shared import BROADCAST_IDS, cut
+from .shared import cut, light, ship
 from .tokens import slices
 
 WORDS = 5
@@ -172,6 +172,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = LEAST) -> boo
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, d1 and d2 (digest of the set), bands, sketch of every row, in shared storage."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -214,6 +215,7 @@ def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] =
 
     They connect most of a large group at once, so that comparing all members later has little left to say.
     """
+    ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
     pairs = shared.where("doc_id != hub").select("doc_id", "hub").distinct()
     both = pairs.join(sketches, "doc_id").join(sketches.toDF("hub", "of_hub"), "hub").select("doc_id", "hub", "sketch", "of_hub")
@@ -232,6 +234,7 @@ def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, l
     In a bucket, only members outside its first member's cluster (the others) still have something to say: each is
     compared with every member. Members and others are cut into blocks; a task compares a block of either.
     """
+    ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
     w = Window.partitionBy("band")
     rooted = shared.where("n > 2").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
@@ -268,9 +271,9 @@ def verified_forest(docs: DataFrame, members: DataFrame, least: tuple[int, int]
 
     ``members`` has doc_id, cluster, n (the cluster's size). Texts are fetched for these documents only.
     """
+    ship(docs.sparkSession)
     most = most_bits(least[0] / least[1])
-    small = members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(members) if small else members, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(light(members), "doc_id")
     dealt = block_pairs(texts, "doc_id", "n").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
 
     def run(batches):
@@ -314,7 +317,7 @@ def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFram
     members = clusters.union(clusters.select(F.col("component").alias("id"), "component")).distinct().toDF("doc_id", "cluster")
     members = cut(members, "members")
     sizes = cut(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    linked = components(verified_forest(docs, members.join(sizes, "cluster"), least))
+    linked = components(verified_forest(docs, cut(members.join(sizes, "cluster"), "sized"), least))
     placed = cut(classes.join(linked.toDF("rep", "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component")), "placed")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")))
@@ -324,5 +327,4 @@ def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFram
 def deduplicated(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     """The rows of ``docs`` of which the document of its group with the smallest doc_id stays; all columns."""
     gone = cut(near_duplicates(docs, least).where("not kept").select("doc_id"), "gone")
-    small = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(light(gone), "doc_id", "left_anti").select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import cut
+from .shared import cut, ship
 from .tokens import encoder, is_narrow, slices
 
 WINDOW = 4096
@@ -29,6 +29,7 @@ END_ID = 2
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, part, before (ids before the document in its part), n, width (bytes of an id), ids; in shared storage."""
+    ship(docs.sparkSession)
     narrow = is_narrow(tokenizer, end_id)
     width = 2 if narrow else 4
     key = docs.schema["doc_id"].dataType
@@ -62,6 +63,7 @@ def offsets(ids: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
+    ship(docs.sparkSession)
     ids = tokenized(docs, tokenizer, end_id)
     placed = ids.join(F.broadcast(offsets(ids)), "part").select("doc_id", "n", "width", "ids", (F.col("base") + F.col("before")).alias("at"))
     longs = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

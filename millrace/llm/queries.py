@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, quality, secret_scan, sentencepiece_codec, token_store
 from .oracle import oracle_sql as oracle_sql
-from .shared import shared_dir
+from .shared import shared_dir, ship
 
 #: Tokenizer file of the public tokenizers' package.
 WORD_BPE = "word_bpe_49k.json"
@@ -16,6 +16,7 @@ PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

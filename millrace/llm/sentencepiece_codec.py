@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import ship
 from .tokens import slices
 
 SPACE = "▁"
@@ -198,6 +199,7 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
+    ship(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType())])
 
     def run(batches):
@@ -212,6 +214,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and text of every row of ``encoded`` (doc_id, ids)."""
+    ship(encoded.sparkSession)
     schema = T.StructType([T.StructField("doc_id", encoded.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
 
     def run(batches):
@@ -225,6 +228,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, decoded_crc32 (of the decoded text's UTF-8) and lossless of every row of ``docs``."""
+    ship(docs.sparkSession)
     names = ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "lossless"]
 
     def run(batches):

@@ -1,9 +1,12 @@
-"""The folder that driver and executors share, tables cut there, and semi-joins with a checked broadcast."""
+"""The folder that driver and executors share, tables cut there, and broadcasts of checked size."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,22 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 1_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once a session, unless their Python finds it as the driver's does."""
+    root = Path(__file__).resolve().parents[2]
+    paths = [Path(p or ".").resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
+    if root in paths or getattr(spark.sparkContext, "_millrace_sent", False):
+        return
+    file = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted((root / "millrace").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+        if (root / "corpus_pipeline.py").exists():
+            z.write(root / "corpus_pipeline.py", "corpus_pipeline.py")
+    spark.sparkContext.addPyFile(str(file))
+    spark.sparkContext._millrace_sent = True
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below spark.checkpoint.dir, which every executor can reach.
 
@@ -22,22 +41,36 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = getattr(spark, "_millrace_dir", None)
         if base is None:
             base = spark._millrace_dir = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    spark._millrace_made = [*getattr(spark, "_millrace_made", []), path]
+    return path
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends there and nothing is computed twice."""
     spark = df.sparkSession
+    ship(spark)
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_ids(df: DataFrame, key: str, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in the one-column table ``ids``.
+def light(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``df`` marked for a broadcast if it has at most ``limit`` rows (they are counted), else as it is, for a shuffle.
+
+    For tables of a few short columns that are in shared storage already, so that counting is cheap.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def forget(spark: SparkSession) -> int:
+    """Deletes the folders that this session's operators made below spark.checkpoint.dir; returns how many.
 
-    The ids are counted first: up to ``limit`` of them are broadcast, more are joined by a shuffle.
+    Tables that were returned read from them: call it when their results have been written.
     """
-    ids = ids.toDF(key)
-    small = ids.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    made, conf = getattr(spark, "_millrace_made", []), spark._jsc.hadoopConfiguration()
+    for folder in made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    spark._millrace_made = []
+    return len(made)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import ship
 from .tokens import encoder, is_narrow, slices
 
 MAGIC = b"IDSHARD1"
@@ -167,6 +168,7 @@ class Shard:
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per_shard: int = SHARD_BYTES) -> list[dict]:
     """Writes the store to the folder ``path``; returns the manifest, a row for each shard."""
+    ship(docs.sparkSession)
     narrow = is_narrow(tokenizer, end_id)
     width = 2 if narrow else 4
     end = int(end_id).to_bytes(width, "little")
@@ -223,6 +225,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = Fal
     are as many tasks as shards, as what a task reads are its shards' ids, not the few bytes of its keys. The
     manifest (about 100 bytes a shard of 32 MB) travels with the tasks.
     """
+    ship(spark)
     shards = manifest_of(path)
     lows = [-(1 << 63) if s["low"] is None else s["low"] for s in shards]
     names = [s["name"] for s in shards]
