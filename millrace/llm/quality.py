@@ -114,15 +114,17 @@ def _repeated(w: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(_let(hashes, lambda h: _let(low(h), lambda m: cover(h, m))))
 
 
-def measures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, carry: bool = False) -> DataFrame:
-    """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text).
+def _weighed(docs: DataFrame, weights: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, text, what is carried and _weights, the one row that ``fit`` made.
 
-    ``weights`` is the one row that ``fit`` made. It comes in as a scalar subquery, which tasks hold once; a joined
-    column would be copied to each row. Being used once, it is put into the expression by the optimizer.
+    It comes in as a scalar subquery, which tasks hold once; a joined column would be copied to each row. Being used
+    once, it is put into the expression by the optimizer.
     """
-    docs = docs.select("doc_id", "text", *[F.struct(*docs.columns).alias("_row")] * carry, weights.scalar().alias("_weights"))
-    text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(r"[^\x20\x09-\x0D]")))
+    return docs.select("doc_id", "text", *carried, weights.scalar().alias("_weights"))
+
+
+def _of_words(body, buckets: int) -> Column:
+    """``body`` of a struct of n_words, word_chars and h (n_repeat_words and score) of the column text, evaluated once."""
     counted = lambda table, w: (
         F.struct(
             F.size(w).cast("long").alias("n_words"),
@@ -130,22 +132,38 @@ def measures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, carry:
             _let(word_hashes(w), lambda h: F.struct(_repeated(h).alias("n_repeat_words"), _ngram_sum(h, table, buckets).alias("score"))).alias("h"),
         )
     )
-    of_words = _let(F.col("_weights"), lambda table: _let(words(F.col("text")), lambda w: counted(table, w)))
-    return docs.select(
+    return _let(F.col("_weights"), lambda table: _let(words(F.col("text")), lambda w: _let(counted(table, w), body)))
+
+
+def measures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, the base counts and score (units of the whole text) of every row of ``docs`` (doc_id, text)."""
+    text = F.coalesce("text", F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(r"[^\x20\x09-\x0D]")))
+    return _weighed(docs, weights).select(
         "doc_id",
-        *["_row"] * carry,
-        of_words.alias("w"),
+        _of_words(lambda w: w, buckets).alias("w"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", *["_row"] * carry, "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.h.n_repeat_words", "w.h.score")
+    ).select("doc_id", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.h.n_repeat_words", "w.h.score")
+
+
+def _failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
+
+
+def _grams(n_words: Column) -> Column:
+    return F.greatest(2 * n_words - 1, F.lit(1))
+
+
+def _good(score: Column, n_words: Column, threshold: float) -> Column:
+    return score >= F.lit(round(threshold * UNIT)).cast("long") * _grams(n_words)
 
 
 def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Adds base_failed, llr (nats per n-gram, rounded to the unit) and kept."""
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    good = F.col("score") >= F.lit(round(threshold * UNIT)).cast("long") * grams
-    return measured.withColumn("base_failed", failed).withColumn("llr", F.round(F.col("score") / grams / UNIT, 6)).withColumn("kept", ~failed & good).drop("score")
+    n, score = F.col("n_words"), F.col("score")
+    failed = _failed(n, F.col("n_repeat_words"))
+    return measured.withColumn("base_failed", failed).withColumn("llr", F.round(score / _grams(n) / UNIT, 6)).withColumn("kept", ~failed & _good(score, n, threshold)).drop("score")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
@@ -157,5 +175,6 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bu
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
     weights = fit(docs, labels.where("quality = 1"), buckets)
-    judged = verdict(measures(docs, weights, buckets, carry=True), threshold)
-    return judged.where("kept").select("_row.*")
+    # one expression for the whole condition: a filter over the measures' columns would be pushed below them and measure once for each use
+    stays = _of_words(lambda w: ~_failed(w["n_words"], w["h"]["n_repeat_words"]) & _good(w["h"]["score"], w["n_words"], threshold), buckets)
+    return _weighed(docs, weights, F.struct(*docs.columns).alias("_row")).where(stays).select("_row.*")
