@@ -2,8 +2,13 @@
 
 The ratio compares two multinomials over hashed word unigrams and bigrams: one of the trusted target (documents that
 ``labels`` marks with quality 1), one of the whole raw corpus, both smoothed on the target's scale: a bucket that the
-target has t times, and would have e times if it were like the corpus, weighs log((t + PRIOR) / (e + PRIOR)). A
-document's score is the mean over its n-grams, and a fixed threshold decides each document alike.
+target has t times, and would have e times if it were like the corpus, weighs log((t + prior) / (e + prior)). A
+document's score is the mean over its n-grams.
+
+Each distinct text counts once in both, however often it is copied; it is the target's if any of its copies is. Texts
+are dealt in two folds by their hash, and those of one fold are scored by the counts of the other: no text is scored by
+counts that it is part of, so trusted and other clean texts score alike. The threshold is the score that all but LOST
+of the trusted documents that pass the base rules reach.
 
 Defined results: a null or empty text has no words and fails the base rules; documents without labels are scored as
 any other; without any trusted document all weights are zero and only the base rules decide; repeated rows get the
@@ -15,14 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_IDS, cut
+from .shared import BROADCAST_IDS, cut, light
 
 #: Buckets of the hashed n-grams. The two models are two arrays of this length.
 BUCKETS = 1 << 18
-#: A document stays if its mean log-likelihood ratio reaches this, in nats per n-gram.
-THRESHOLD = -0.18
+#: Share of the trusted documents passing the base rules that may score below the threshold.
+LOST = 0.01
 #: Occurrences added to what the target has and to what it should have in each bucket, so that rare n-grams say little.
 PRIOR = 5
+#: Where the target has many n-grams the prior is this share of its mean count in a bucket, so that it grows with them.
+PRIOR_SHARE = 1 / 16
+#: The threshold is found among scores of whole 1 / BINS nats.
+BINS = 10_000
 #: Weights are whole millionths of a nat, so that sums don't depend on their order.
 UNIT = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
@@ -62,24 +71,47 @@ def _ngram_sum(h: Column, table: Column, buckets: int) -> Column:
     return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
-    """One row, one column: the weights of all buckets in units, in order. Counts run over all documents.
+def fold(text: Column) -> Column:
+    """0 or 1, alike for equal texts."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)).cast("int")
 
-    ``trusted`` has the doc_id of the target's documents. Up to ``limit`` ids are broadcast; of more, a share chosen by
-    a hash of the id is (the bound of the labelled sample). The row has ``buckets`` whole numbers whatever the corpus.
-    """
+
+def _marked(docs: DataFrame, trusted: DataFrame, limit: int) -> DataFrame:
+    """doc_id, text and good (1 or null) of every row. Up to ``limit`` trusted ids are broadcast; of more, a share chosen by a hash of the id is."""
     ids = trusted.select("doc_id").where("doc_id is not null").distinct()
     n = ids.count()
     if n > limit:
         ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
-    rows = docs.select("doc_id", word_hashes(words(F.col("text"))).alias("h")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
-    grams = rows.select("good", F.explode(_let(F.col("h"), lambda h: ngram_buckets(h, buckets))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
-    grid = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
-    whole = grid.agg(F.sum("raw").alias("n"), F.sum("target").alias("m"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"))
-    ratio = lambda x: F.log((x["target"] + PRIOR) / (x["raw"] * F.col("m") / F.col("n") + PRIOR))
+    return docs.select("doc_id", "text").join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
+
+
+def _weights(rows: DataFrame, buckets: int, folds: int, share: float) -> DataFrame:
+    """Columns weights0, ...: the weights for the texts of each fold, from ``rows`` (text, good) of the other one."""
+    hashed = rows.select("good", (fold(F.col("text")) if folds == 2 else F.lit(1)).alias("f"), word_hashes(words(F.col("text"))).alias("h"))
+    grams = hashed.select("good", "f", F.explode(_let(F.col("h"), lambda h: ngram_buckets(h, buckets))).alias("bucket"))
+    counts = grams.groupBy("f", "bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
+    grid = rows.sparkSession.range(folds * buckets).select(((F.lit(1) if folds == 1 else F.col("id") % 2).cast("int")).alias("f"), F.floor(F.col("id") / folds).cast("int").alias("bucket"))
+    whole = grid.join(counts, ["f", "bucket"], "left").fillna(0).groupBy("f").agg(F.sum("raw").alias("n"), F.sum("target").alias("m"), F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"))
+    prior = F.greatest(F.lit(float(PRIOR)), F.lit(share / buckets) * F.col("m"))
+    ratio = lambda x: F.log((x["target"] + prior) / (x["raw"] * F.col("m") / F.col("n") + prior))
     weight = F.transform("c", lambda x: F.when(F.col("m") > 0, F.round(UNIT * ratio(x))).otherwise(0).cast("int"))
-    return cut(whole.select(weight.alias("weights")), "quality-weights")
+    of = whole.select((1 - F.col("f")).alias("f"), weight.alias("w"))
+    return of.agg(*[F.any_value(F.when(F.col("f") == k, F.col("w")), ignoreNulls=True).alias(f"weights{k}") for k in range(folds)])
+
+
+def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
+    """One row, one column: the weights of all buckets in units, in order. Counts run over all rows of ``docs``.
+
+    ``trusted`` has the doc_id of the target's documents. The row has ``buckets`` whole numbers whatever the corpus.
+    """
+    weights = _weights(_marked(docs, trusted, limit), buckets, 1, 0.0)
+    return cut(weights.select(F.col("weights0").alias("weights")), "quality-weights")
+
+
+def cross_fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
+    """One row, two columns: the weights for the texts of either fold. Counts run over the distinct texts of ``docs``."""
+    texts = _marked(docs, trusted, limit).groupBy("text").agg(F.max("good").alias("good"))
+    return cut(_weights(texts, buckets, 2, PRIOR_SHARE), "quality-weights")
 
 
 def _repeated(w: Column) -> Column:
@@ -115,12 +147,13 @@ def _repeated(w: Column) -> Column:
 
 
 def _weighed(docs: DataFrame, weights: DataFrame, *carried: Column) -> DataFrame:
-    """doc_id, text, what is carried and _weights, the one row that ``fit`` made.
+    """doc_id, text, what is carried and _weights, the one row that ``fit`` made or the text's fold of ``cross_fit``'s.
 
-    It comes in as a scalar subquery, which tasks hold once; a joined column would be copied to each row. Being used
-    once, it is put into the expression by the optimizer.
+    They come in as scalar subqueries, which tasks hold once; a joined column would be copied to each row. Being used
+    once, they are put into the expression by the optimizer.
     """
-    return docs.select("doc_id", "text", *carried, weights.scalar().alias("_weights"))
+    own = [weights.select(c).scalar() for c in weights.columns]
+    return docs.select("doc_id", "text", *carried, (own[0] if len(own) == 1 else F.when(fold(F.col("text")) == 0, own[0]).otherwise(own[1])).alias("_weights"))
 
 
 def _of_words(body, buckets: int) -> Column:
@@ -159,22 +192,46 @@ def _good(score: Column, n_words: Column, threshold: float) -> Column:
     return score >= F.lit(round(threshold * UNIT)).cast("long") * _grams(n_words)
 
 
-def verdict(measured: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def threshold_of(measured: DataFrame, trusted: DataFrame, limit: int = BROADCAST_IDS) -> float:
+    """The highest of the binned scores that all but LOST of the trusted documents passing the base rules reach.
+
+    ``measured`` (doc_id, n_words, n_repeat_words, score) is in shared storage. Only counts of bins come to the driver.
+    """
+    ids = light(cut(trusted.select("doc_id").where("doc_id is not null").distinct(), "quality-trusted"), limit)
+    fine = measured.where(~_failed(F.col("n_words"), F.col("n_repeat_words"))).join(ids, "doc_id", "left_semi")
+    bins = fine.groupBy(F.floor(F.col("score") * BINS / UNIT / _grams(F.col("n_words"))).alias("at")).count().collect()
+    spare = int(LOST * sum(r["count"] for r in bins))
+    for r in sorted(bins):
+        if r["count"] > spare:
+            return r["at"] / BINS
+        spare -= r["count"]
+    return 0.0
+
+
+def verdict(measured: DataFrame, threshold: float) -> DataFrame:
     """Adds base_failed, llr (nats per n-gram, rounded to the unit) and kept."""
     n, score = F.col("n_words"), F.col("score")
     failed = _failed(n, F.col("n_repeat_words"))
     return measured.withColumn("base_failed", failed).withColumn("llr", F.round(score / _grams(n) / UNIT, 6)).withColumn("kept", ~failed & _good(score, n, threshold)).drop("score")
 
 
-def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
-    """Measures and verdict for every row of ``docs``; the target is the documents that ``labels`` gives quality 1."""
-    weights = fit(docs, labels.where("quality = 1"), buckets)
-    return verdict(measures(docs, weights, buckets), threshold)
+def quality(docs: DataFrame, labels: DataFrame, threshold: float | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Measures and verdict for every row of ``docs``; the target is the documents that ``labels`` gives quality 1.
+
+    Without a ``threshold`` it is found from the target's scores.
+    """
+    trusted = labels.where("quality = 1")
+    measured = cut(measures(docs, cross_fit(docs, trusted, buckets), buckets), "quality-measures")
+    return verdict(measured, threshold_of(measured, trusted) if threshold is None else threshold)
 
 
-def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float | None = None, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
-    weights = fit(docs, labels.where("quality = 1"), buckets)
-    # one expression for the whole condition: a filter over the measures' columns would be pushed below them and measure once for each use
-    stays = _of_words(lambda w: ~_failed(w["n_words"], w["h"]["n_repeat_words"]) & _good(w["h"]["score"], w["n_words"], threshold), buckets)
-    return _weighed(docs, weights, F.struct(*docs.columns).alias("_row")).where(stays).select("_row.*")
+    trusted = labels.where("quality = 1")
+    weighed = _weighed(docs, cross_fit(docs, trusted, buckets), F.struct(*docs.columns).alias("_row"))
+    # written, as a filter over the measures' columns would be pushed below them and measure once for each use
+    rows = cut(weighed.select("doc_id", "_row", _of_words(lambda w: w, buckets).alias("_w")), "quality-rows")
+    measured = rows.select("doc_id", "_row", "_w.n_words", "_w.h.n_repeat_words", "_w.h.score")
+    least = threshold_of(measured, trusted) if threshold is None else threshold
+    n = F.col("n_words")
+    return measured.where(~_failed(n, F.col("n_repeat_words")) & _good(F.col("score"), n, least)).select("_row.*")

@@ -97,6 +97,18 @@ def test_quality_ratio(spark):
     assert all(scores[r.doc_id] == sum(want[b] for b in r.g) for r in grams)
 
 
+def test_quality_of_copies(spark):
+    """Copies of clean texts without labels change no verdict, and labelled junk stays out."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fine = [r.doc_id for r in quality.quality(docs, labels).join(labels, "doc_id", "left_anti").where("kept").orderBy("doc_id").limit(20).collect()]
+    copies = docs.where(F.col("doc_id").isin(fine)).crossJoin(spark.range(1, 11)).withColumn("doc_id", F.col("doc_id") + 1_000_000 * F.col("id")).drop("id")
+    kept = {r.doc_id: r.kept for r in quality.quality(docs.unionByName(copies), labels).collect()}
+    assert len(fine) == 20 and all(kept[i + 1_000_000 * k] for i in fine for k in range(11))
+    right = [not kept[r.doc_id] if r.quality == 0 else kept[r.doc_id] for r in labels.join(docs.where("size(split(text, ' ')) > 60"), "doc_id").collect()]
+    assert sum(right) >= 0.9 * len(right)
+
+
 def test_long_windows(spark):
     """Repeats far apart in a text of 70,000 words."""
     words = [f"w{k}" for k in range(70_000)]
