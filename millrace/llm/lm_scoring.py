@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import words
+from .quality import marked, words
 from .shared import BROADCAST_IDS, ship
 from .tokens import slices
 
@@ -82,16 +82,12 @@ def vocabulary_of(docs: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
 def fit(docs: DataFrame, target: DataFrame, known: dict[str, int], limit: int = BROADCAST_IDS) -> tuple[Model, Model]:
     """Target and background models. ``target`` has the doc_id of the target's documents.
 
-    Up to ``limit`` target ids are broadcast; of more, a share chosen by a hash of the id is. Counts are summed in Spark
-    from what each partition has; the driver gets VOCABULARY + SLOTS rows at most.
+    Up to ``limit`` target ids are broadcast; with more, the join shuffles. Counts are summed in Spark from what each
+    partition has; the driver gets VOCABULARY + SLOTS rows at most.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
-    ids = target.select("doc_id").where("doc_id is not null").distinct()
-    n = ids.count()
-    if n > limit:
-        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids.withColumn("good", F.lit(True))), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    rows = marked(docs, target, limit).select("text", F.col("good").isNotNull().alias("good"))
     handle = spark.sparkContext.broadcast(known)
 
     def count(batches):

@@ -76,13 +76,10 @@ def fold(text: Column) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)).cast("int")
 
 
-def _marked(docs: DataFrame, trusted: DataFrame, limit: int) -> DataFrame:
-    """doc_id, text and good (1 or null) of every row. Up to ``limit`` trusted ids are broadcast; of more, a share chosen by a hash of the id is."""
-    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
-    n = ids.count()
-    if n > limit:
-        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
-    return docs.select("doc_id", "text").join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")
+def marked(docs: DataFrame, trusted: DataFrame, limit: int) -> DataFrame:
+    """doc_id, text and good (1 or null) of every row. Up to ``limit`` trusted ids are broadcast; with more, the join shuffles."""
+    ids = cut(trusted.select("doc_id", F.lit(1).alias("good")).where("doc_id is not null").distinct(), "trusted-ids")
+    return docs.select("doc_id", "text").join(light(ids, limit), "doc_id", "left")
 
 
 def _weights(rows: DataFrame, buckets: int, folds: int, share: float) -> DataFrame:
@@ -104,13 +101,13 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
 
     ``trusted`` has the doc_id of the target's documents. The row has ``buckets`` whole numbers whatever the corpus.
     """
-    weights = _weights(_marked(docs, trusted, limit), buckets, 1, 0.0)
+    weights = _weights(marked(docs, trusted, limit), buckets, 1, 0.0)
     return cut(weights.select(F.col("weights0").alias("weights")), "quality-weights")
 
 
 def cross_fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
     """One row, two columns: the weights for the texts of either fold. Counts run over the distinct texts of ``docs``."""
-    texts = _marked(docs, trusted, limit).groupBy("text").agg(F.max("good").alias("good"))
+    texts = marked(docs, trusted, limit).groupBy("text").agg(F.max("good").alias("good"))
     return cut(_weights(texts, buckets, 2, PRIOR_SHARE), "quality-weights")
 
 

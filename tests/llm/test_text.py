@@ -109,6 +109,17 @@ def test_quality_of_copies(spark):
     assert sum(right) >= 0.9 * len(right)
 
 
+def test_all_trusted_documents_count(spark):
+    """Beyond the limit of a broadcast, too."""
+    docs = spark.createDataFrame([(k, f"some words of {k} here") for k in range(40)] + [(None, "none")], "doc_id long, text string")
+    trusted = docs.where("doc_id % 2 = 0").select("doc_id")
+    for fit in (quality.fit, quality.cross_fit):
+        assert fit(docs, trusted, 1 << 10, 1).collect() == fit(docs, trusted, 1 << 10).collect()
+    known = lm_scoring.vocabulary_of(docs)
+    few, all_ = lm_scoring.fit(docs, trusted, known, 1), lm_scoring.fit(docs, trusted, known)
+    assert few[0].words.sum() == 100 and all((a.slots == b.slots).all() and (a.words == b.words).all() for a, b in zip(few, all_, strict=True))
+
+
 def test_long_windows(spark):
     """Repeats far apart in a text of 70,000 words."""
     words = [f"w{k}" for k in range(70_000)]
