@@ -7,7 +7,8 @@ order in them; valid classes nest into the template by the places where they occ
 tokens alone is furniture of the site; what is left in the slots below the main element is the article.
 
 The elements' own meaning (nav, footer, forms, scripts, ...) and names of classes and ids (ad, sidebar, comments, ...)
-mark furniture, too, so that a host with a single page is served.
+mark furniture, too, so that a host with a single page is served. A name marks no article or main that it would cover
+if the page has none outside such elements; names that begin with a word like no, has or with say nothing.
 
 A block is the text between two block-level tags; <br> is white space in it. Character references are decoded, white
 space becomes one space, blocks are trimmed, empty ones go, the rest is joined by two line feeds in page order.
@@ -53,17 +54,27 @@ FURNITURE_NAMES = {
     "comment", "comments", "disqus", "reply", "replies", "respond", "sidebar", "aside", "rail", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "share", "sharing",
     "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "search", "contentinfo", "complementary", "dialog",
 }
+# First parts of names that tell a page's layout.
+LAYOUT = {"no", "not", "non", "has", "with", "without"}
 _CLOSED_BY_BLOCK = {"p", *HEADINGS}
 
 
+def _named(value: str) -> bool:
+    """Whether a class, id or role marks furniture."""
+    parts = (_PARTS.findall(x) for x in value.split())
+    return any(p and p[0] not in LAYOUT and not FURNITURE_NAMES.isdisjoint(p) for p in parts)
+
+
 class Page:
     """Text blocks of a page: (path, text, inside a main element), furniture left out, and its tags with their paths."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, lifted: frozenset[str] = frozenset()):
+        """``lifted``: kinds of main element (article, main) that names of elements above don't cover."""
         self.blocks: list[tuple[str, str, bool]] = []
         self.tags: Counter[str] = Counter()
         self.has_main = False
-        stack: list[tuple[str, str, bool, bool]] = []  # name, path, furniture, main
+        stack: list[tuple[str, str, int, bool]] = []  # name, path, furniture (1 by a name, 2 by itself), main
+        seen: tuple[set[str], set[str]] = set(), set()  # kinds of main element outside furniture, and below names alone
         parts: list[str] = []
         end = len(source)
 
@@ -128,20 +139,29 @@ class Page:
                         break
                 if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     pop(name, {"ul", "ol", "dl", "table", "select"})
-            above = stack[-1] if stack else ("", "", False, False)
-            furniture = above[2] or (name in FURNITURE) or (name == "header" and not above[3])
-            if attributes and not furniture and name not in MAIN and name not in ("html", "body"):
+            above = stack[-1] if stack else ("", "", 0, False)
+            furniture = 2 if (name in FURNITURE) or (name == "header" and not above[3]) else above[2]
+            if attributes and furniture < 2 and name not in MAIN and name not in ("html", "body"):
                 for kind, value in _NAMES.findall(attributes):
                     kind, value = kind.lower(), value.strip("\"'").lower()
-                    furniture |= (kind == "hidden") or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", ""))
-                    furniture |= kind in ("class", "id", "role") and not FURNITURE_NAMES.isdisjoint(_PARTS.findall(value))
-            main = above[3] or (name in MAIN and not furniture) or (not furniture and "main" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) is not None)
+                    if (kind == "hidden") or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
+                        furniture = 2
+                    elif kind in ("class", "id", "role") and _named(value):
+                        furniture = max(furniture, 1)
+            own = name if name in MAIN else "main" if "main" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else ""
+            if own and furniture < 2:
+                if own in lifted:
+                    furniture = 0
+                seen[furniture].add(own)
+            main = above[3] or (own != "" and not furniture)
             self.has_main |= main
             path = above[1] if inline else f"{above[1]}/{name}"
             if not inline:
                 self.tags[path] += 1
             stack.append((name, path, furniture, main))
         close()
+        if not lifted and (covered := frozenset(seen[1] - seen[0])):
+            self.__init__(source, covered)
 
     def tokens(self) -> Counter[tuple[str, str]]:
         found: Counter[tuple[str, str]] = Counter({("", t): n for t, n in self.tags.items()})

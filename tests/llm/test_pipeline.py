@@ -4,7 +4,7 @@ import hashlib
 
 import corpus_pipeline
 import pytest
-from millrace.llm import queries
+from millrace.llm import html_extract, queries
 
 from . import edge
 
@@ -48,6 +48,19 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in pieces} == set(after)
 
 
+@pytest.mark.parametrize("mark", ["layout has-sidebar", "no-sidebar", "with-comments", "search-results", "widget-area content"])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_articles_below_names(mark, name):
+    page = f'<html><body><div class="{mark}"><{name}><p>The article.</p></{name}></div><div class="sidebar">Other</div><nav>Menu</nav></body></html>'
+    assert html_extract.main_texts([page]) == ["The article."]
+
+
+def test_names_mark_furniture():
+    page = '<body><article><p>Post.</p><div class="comments"><article>First!</article></div></article><div class="related"><article>More</article></div></body>'
+    assert html_extract.main_texts([page]) == ["Post."]
+    assert html_extract.main_texts(['<body><p>Text</p><div class="ad">Buy</div></body>']) == ["Text"]
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert len(rows) > 50 and len({r.doc_id for r in rows}) > 50
