@@ -3,7 +3,8 @@
 Links (a, b) become (child, parent) with child > parent and are dealt by child. A task joins what it has with a
 union-find and hands on a forest: one parent for each vertex but the roots. A vertex that got two parents in different
 tasks has them joined in the next round. When every child has one parent, the links are a forest with one root for
-each component, and pointer jumping flattens it. Links never grow in number; each round is written to the shared folder.
+each component, and pointer jumping flattens it, a parent's own parent being looked up once for all its children. Links
+never grow in number; each round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, ship
+from .shared import attach, cut, ship
 
 
 class Forest:
@@ -67,11 +68,11 @@ def components(links: DataFrame) -> DataFrame:
         edges = cut(edges.repartition("child").mapInArrow(_forest, "child long, parent long"), "hook")
     while True:
         up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("top"))
-        jumped = edges.join(up, "parent", "left").select("child", F.coalesce("top", "parent").alias("parent"), F.col("top").isNotNull().alias("moved"))
-        jumped = cut(jumped, "jump")
-        edges = jumped.select("child", "parent")
-        if jumped.where("moved").limit(1).count() == 0:
+        tops = cut(edges.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).join(up, "parent", "left"), "tops")
+        if tops.where("top is not null").isEmpty():
             break
+        jumped = attach(edges, tops, ["parent"], "child").select("child", F.coalesce("top", "parent").alias("parent"))
+        edges = cut(jumped, "jump")
     return edges.select(F.col("child").alias("id"), F.col("parent").alias("component"))
 
 

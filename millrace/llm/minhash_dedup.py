@@ -4,17 +4,19 @@
    and an odd sketch: a bitmap of 1024 parity bits, one toggled by each (place, value). The population count of two
    sketches' XOR estimates how many of the 128 values differ.
 2. Documents with equal sets become one class, stood for by its smallest doc_id.
-3. Classes that share a band key are compared by sketch: first each with the smallest of its bucket, then all of a
-   bucket that this leaves in different clusters. A bucket of any size is cut into pairs of blocks, and a task hands on
+3. Classes that share a band key are compared by sketch: first each with the smallest of its bucket, then those
+   outside the bucket's largest cluster with all of it. A bucket of any size is cut into blocks, and a task hands on
    a forest of the pairs that may reach the similarity (five standard errors of the estimate are allowed). Together
    they give the clusters: no pair outside a cluster can be a link.
-4. Within a cluster, again in pairs of blocks, pairs are taken in the order of their sketches and checked on the full
-   sets, but for those that earlier links in the task already connect. The links' components are the result.
+4. A cluster's documents are dealt in blocks, each with the cluster's smallest; pairs are taken in the order of their
+   sketches and checked on the full sets, but for those that earlier links in the task already connect. What that
+   leaves apart in a cluster of several blocks is compared as in 3, on full sets. The links' components are the result.
 
 A pair at the least similarity shares no band with probability (1 - 0.75 ** 4) ** 32, about 5e-6.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; fewer than five words are one
-shingle; rows that share a doc_id are one vertex; a null doc_id links with nothing, has a null component and is kept;
+shingle; rows that share a doc_id are one vertex, also with different texts (n_shingles is the row's own; a row
+without shingles has its own id as component); a null doc_id links with nothing, has a null component and is kept;
 an empty table gives an empty result; other columns are ignored; very long texts are taken whole.
 """
 
@@ -22,18 +24,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import Forest, block_pairs, components, whole_runs
-from .shared import cut, light, ship
+from .components import Forest, components, whole_runs
+from .shared import attach, cut, light, ship
 from .tokens import slices
 
 WORDS = 5
 VALUES, PER_BAND, BITS = 128, 4, 1024
 BANDS = VALUES // PER_BAND
-#: Members of a bucket in a block.
-BLOCK = 256
+#: Members of a bucket or cluster in a block.
+BLOCK = 128
 #: Least similarity as a fraction.
 LEAST = (75, 100)
 _ODD = np.random.RandomState(20240131)
@@ -204,10 +206,13 @@ def _sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """band, doc_id, n, hub: class representatives in buckets of two and more, with the bucket's size and smallest id."""
-    w = Window.partitionBy("band")
+    """band, doc_id, n, hub: class representatives in buckets of two and more, with the bucket's size and smallest id.
+
+    Sizes are counted before the shuffle, and a hot band's rows get theirs where they are.
+    """
     rows = reps.select("doc_id", F.explode("bands").alias("band"))
-    return cut(rows.select("band", "doc_id", F.count(F.lit(1)).over(w).alias("n"), F.min("doc_id").over(w).alias("hub")).where("n > 1"), "buckets")
+    sizes = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "bands")
+    return cut(attach(rows, sizes, ["band"], "doc_id").where("n is not null"), "buckets")
 
 
 def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
@@ -217,8 +222,9 @@ def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] =
     """
     ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
-    pairs = shared.where("doc_id != hub").select("doc_id", "hub").distinct()
-    both = pairs.join(sketches, "doc_id").join(sketches.toDF("hub", "of_hub"), "hub").select("doc_id", "hub", "sketch", "of_hub")
+    pairs = cut(shared.where("doc_id != hub").select("doc_id", "hub").distinct(), "star-pairs")
+    hubs = cut(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).join(sketches.toDF("hub", "of_hub"), "hub"), "hubs")
+    both = attach(pairs.join(sketches, "doc_id"), hubs, ["hub"], "doc_id").select("doc_id", "hub", "sketch", "of_hub")
 
     def run(batches):
         for batch in batches:
@@ -228,23 +234,39 @@ def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] =
     return both.mapInArrow(run, "a long, b long")
 
 
+def _meetings(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` (with group, doc_id, root, first, n, n_other) dealt so that every member of a group meets every other one.
+
+    The others are those whose root isn't the group's first. Members and others are cut into blocks of about BLOCK; a
+    task gets a block of either: columns i, j and asks (whether a row comes as one of the others) come in.
+    """
+    m, q = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "n_other"))
+    spot = lambda of: F.pmod(F.xxhash64("doc_id", F.lit("spot")), of.cast("long")).cast("int")
+    all_ = lambda of: F.explode(F.sequence(F.lit(0), of - 1))
+    columns = [group, "doc_id", "root"]
+    members = rows.select(*columns, spot(m).alias("i"), all_(q).alias("j"), F.lit(False).alias("asks"))
+    return members.union(rows.where("root != first").select(*columns, all_(m).alias("i"), spot(q).alias("j"), F.lit(True).alias("asks")))
+
+
+def _firsts(rows: DataFrame, group: str) -> DataFrame:
+    """group, first (its commonest root), n and n_other (members, and those of other roots) of groups with several roots."""
+    counts = rows.groupBy(group, "root").agg(F.count(F.lit(1)).alias("c"))
+    tops = counts.groupBy(group).agg(F.max_by("root", F.struct("c", -F.col("root"))).alias("first"), F.sum("c").alias("n"), F.max("c").alias("c"))
+    return cut(tops.where("n > c").select(group, "first", "n", (F.col("n") - F.col("c")).alias("n_other")), "firsts")
+
+
 def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     """Links a, b between the clusters of ``known`` (id, component), or single documents, that bands and sketches connect.
 
-    In a bucket, only members outside its first member's cluster (the others) still have something to say: each is
-    compared with every member. Members and others are cut into blocks; a task compares a block of either.
+    In a bucket, only members outside its largest cluster (the others) still have something to say: each is compared
+    with every member.
     """
     ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
-    w = Window.partitionBy("band")
-    rooted = shared.where("n > 2").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    rooted = rooted.withColumn("first", F.max(F.when(F.col("doc_id") == F.col("hub"), F.col("root"))).over(w))
-    rooted = rooted.withColumn("other", F.col("root") != F.col("first")).withColumn("n_other", F.count_if("other").over(w)).where("n_other > 0")
-    rooted = cut(rooted.select("band", "doc_id", "root", "other", F.ceil(F.col("n") / BLOCK).cast("int").alias("m"), F.ceil(F.col("n_other") / BLOCK).cast("int").alias("q")), "rooted")
-    spot = lambda of: F.pmod(F.xxhash64("doc_id", F.lit(of)), F.col(of).cast("long")).cast("int")
-    members = rooted.select("band", "doc_id", "root", spot("m").alias("i"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("j"), F.lit(False).alias("asks"))
-    others = rooted.where("other").select("band", "doc_id", "root", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("i"), spot("q").alias("j"), F.lit(True).alias("asks"))
-    dealt = members.union(others).join(sketches, "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    rooted = shared.where("n > 2").select("band", "doc_id").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    rooted = cut(rooted, "rooted")
+    met = attach(rooted, _firsts(rooted, "band"), ["band"], "doc_id").where("n is not null")
+    dealt = _meetings(met, "band").join(sketches, "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def run(batches):
         told = Forest()
@@ -261,67 +283,127 @@ def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, l
                 apart = p != q
                 found += [e for e in zip(p[apart].tolist(), q[apart].tolist(), strict=True) if told.join(*e)]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+                yield _links(found)
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def verified_forest(docs: DataFrame, members: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b, checked on full sets, that span what the clusters' documents really connect.
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
 
-    ``members`` has doc_id, cluster, n (the cluster's size). Texts are fetched for these documents only.
+def verified_blocks(texts: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """Links a, b, checked on full sets, that span what the documents of a block, and its cluster's smallest, connect.
+
+    ``texts`` has doc_id, text, cluster, n. A cluster is cut into blocks of about BLOCK documents, each with the
+    cluster's smallest document besides: a text is sent once, and a cluster of one block is done.
     """
-    ship(docs.sparkSession)
+    ship(texts.sparkSession)
     most = most_bits(least[0] / least[1])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(light(members), "doc_id")
-    dealt = block_pairs(texts, "doc_id", "n").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    m = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc_id", F.lit("block")), m.cast("long")).cast("int")
+    block = F.when(F.col("doc_id") == F.col("cluster"), F.sequence(F.lit(0), m - 1)).otherwise(F.array(own))
+    dealt = texts.select("doc_id", "text", "cluster", F.explode(block).alias("block")).repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc_id")
 
     def run(batches):
-        for table, edges in whole_runs(batches, ["cluster", "i", "j"], rows=512):
-            ids, own, i, j = (table.column(c).to_numpy() for c in ("doc_id", "own", "i", "j"))
-            texts = table.column("text")
-            out = []
+        for table, edges in whole_runs(batches, ["cluster", "block"], rows=512):
+            ids, texts, out = table.column("doc_id").to_numpy(), table.column("text"), []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a < 2:
                     continue
                 sets = shingle_sets([t or b"" for t in texts.slice(a, b - a).cast(pa.binary()).to_pylist()])
-                sketch = odd_sketches(minhashes(sets))
-                rows = np.arange(b - a)
-                left = rows[own[a:b] == i[a]]
-                right = None if i[a] == j[a] else rows[own[a:b] == j[a]]
-                if not len(left) or (right is not None and not len(right)):
-                    continue
-                x, y = close_pairs(sketch[left], None if right is None else sketch[right], most)
-                right = left if right is None else right
+                x, y = close_pairs(odd_sketches(minhashes(sets)), None, most)
                 forest = Forest()
-                for p, q in zip(left[x].tolist(), right[y].tolist(), strict=True):
+                for p, q in zip(x.tolist(), y.tolist(), strict=True):
                     u, v = int(ids[a + p]), int(ids[a + q])
                     if forest.root(u) != forest.root(v) and similar(sets[p], sets[q], least):
                         forest.join(u, v)
                         out.append((u, v))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+                yield _links(out)
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def verified_rest(texts: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+    """Links a, b, checked on full sets, between what ``known`` (id, component) leaves apart in clusters of several blocks.
+
+    Only documents outside the largest component of their cluster ask, each every member. The sets of hashes travel,
+    made once a document.
+    """
+    ship(texts.sparkSession)
+    most = most_bits(least[0] / least[1])
+    large = texts.where(F.col("n") > BLOCK).select("doc_id", "cluster").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    large = cut(large, "large-clusters")
+    met = cut(attach(large, _firsts(large, "cluster"), ["cluster"], "doc_id").where("n is not null"), "left-apart")
+
+    def hashed(batches):
+        for batch in batches:
+            for a, b in slices(batch):
+                rows = batch.slice(a, b - a)
+                sets = shingle_sets([t or b"" for t in rows.column("text").cast(pa.binary()).to_pylist()])
+                sketch = odd_sketches(minhashes(sets))
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary())], names=["doc_id", "hashes", "sketch"])
+
+    sets = texts.select("doc_id", "text").join(light(met.select("doc_id")), "doc_id", "left_semi").mapInArrow(hashed, "doc_id long, hashes binary, sketch binary")
+    dealt = _meetings(met, "cluster").join(cut(sets, "sets"), "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+
+    def run(batches):
+        for table, edges in whole_runs(batches, ["cluster", "i", "j"], rows=512):
+            ids, root, asks = (table.column(c).to_numpy() for c in ("doc_id", "root", "asks"))
+            sketch, hashes, out = _sketch_rows(table.column("sketch")), table.column("hashes"), []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                left, right = a + np.flatnonzero(~asks[a:b]), a + np.flatnonzero(asks[a:b])
+                if not len(left) or not len(right):
+                    continue
+                sets = [np.frombuffer(h, np.uint64) for h in hashes.slice(a, b - a).to_pylist()]
+                x, y = close_pairs(sketch[left], sketch[right], most)
+                forest = Forest()
+                for p, q in zip(left[x].tolist(), right[y].tolist(), strict=True):
+                    u, v = int(root[p]), int(root[q])
+                    if forest.root(u) != forest.root(v) and similar(sets[p - a], sets[q - a], least):
+                        forest.join(u, v)
+                        out.append((int(ids[p]), int(ids[q])))
+            if out:
+                yield _links(out)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _same_document(some: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links a, b between the classes of documents that come with several texts: rows of one doc_id are one vertex."""
+    sets = F.struct("d1", "d2")
+    several = cut(some.groupBy("doc_id").agg(F.min(sets).alias("lo"), F.max(sets).alias("hi")).where("lo != hi").select("doc_id"), "several-texts")
+    of = some.select("doc_id", "d1", "d2").join(light(several), "doc_id", "left_semi").distinct().join(classes, ["d1", "d2"])
+    return of.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     signed = signatures(docs)
     some = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = some.join(classes.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi").select("doc_id", "bands", "sketch")
+    classes = cut(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
+    # classes of one row need no look-up
+    firsts = attach(some.select("doc_id", "d1", "d2", "bands", "sketch"), cut(classes.where("n > 1"), "copied"), ["d1", "d2"], "doc_id")
+    columns = ["doc_id", "bands", "sketch"]
+    copied = firsts.where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"])
+    reps = cut(firsts.where("rep is null").select(*columns).union(copied.select(*columns)), "representatives")
     shared, sketches = buckets(reps), reps.select("doc_id", "sketch")
     stars = components(star_links(shared, sketches, least))
     clusters = components(stars.toDF("a", "b").union(candidate_forest(shared, sketches, stars, least)))
     members = clusters.union(clusters.select(F.col("component").alias("id"), "component")).distinct().toDF("doc_id", "cluster")
     members = cut(members, "members")
     sizes = cut(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    linked = components(verified_forest(docs, cut(members.join(sizes, "cluster"), "sized"), least))
-    placed = cut(classes.join(linked.toDF("rep", "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component")), "placed")
-    out = signed.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    sized = cut(attach(members, sizes, ["cluster"], "doc_id"), "sized")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(light(sized), "doc_id")
+    blocks = components(verified_blocks(texts, least))
+    linked = components(blocks.toDF("a", "b").union(verified_rest(texts, blocks, least)).union(_same_document(some, classes)))
+    placed = classes.join(linked.toDF("rep", "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"), "n", "rep")
+    placed = cut(placed.where("n > 1 or component != rep").drop("rep"), "placed")
+    out = attach(some.select("doc_id", "n_shingles", "d1", "d2"), placed, ["d1", "d2"], "doc_id")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    bare = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.union(bare).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Ids that a broadcast side may hold at most (about 16 bytes each in the executors); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: A key with more rows than this is hot: its rows are joined where they are, or dealt by SALTS salts.
+HOT, SALTS = 256, 64
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,10 +36,12 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below spark.checkpoint.dir, which every executor can reach.
 
-    Where that is unset, as in tests on one machine, a temporary folder becomes the setting.
+    Where that is unset and the master is local, as in tests, a temporary folder becomes the setting; a cluster must set it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = getattr(spark, "_millrace_dir", None)
         if base is None:
             base = spark._millrace_dir = "file://" + tempfile.mkdtemp(prefix="millrace-")
@@ -63,6 +67,27 @@ def light(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: str, n: str = "n", limit: int = BROADCAST_IDS) -> DataFrame:
+    """``rows`` left-joined with ``facts`` (in shared storage, one row a key) without a hot key's rows meeting in a task.
+
+    ``n``, a column of the facts, tells about how many rows a key has. The facts of hot keys are broadcast where they
+    are at most ``limit`` (there can be one for each HOT rows at most); beyond that they are repeated for each of SALTS
+    salts, of which a row's is told by a hash of its column ``spread``. All others meet by a shuffle. Null keys match
+    nothing: give rows with null keys a branch of their own if there may be many.
+    """
+    told = [c for c in facts.columns if c not in keys]
+    hot, cold = facts.where(F.col(n) > HOT), facts.where(F.col(n) <= HOT)
+    few = light(hot, limit)
+    if few is hot:
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+        marked = salted.join(hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "_salt"], "left").drop("_salt")
+    else:
+        marked = rows.join(few, keys, "left")
+    columns = [*rows.columns, *told]
+    rest = marked.where(F.col(n).isNull()).select(*rows.columns).join(cold, keys, "left")
+    return marked.where(F.col(n).isNotNull()).select(*columns).union(rest.select(*columns))
+
+
 def forget(spark: SparkSession) -> int:
     """Deletes the folders that this session's operators made below spark.checkpoint.dir; returns how many.
 
