@@ -1,18 +1,19 @@
 """Language identification by bit-sliced Bloom filters over character n-grams.
 
 One array of bit masks holds a Bloom filter for each language: bit l of a mask belongs to language l. An n-gram has
-HASHES places in the array; the AND of the masks there is the set of languages that may contain it. A text's n-grams
-vote by the population count of each language's bit, less the hits that a filter of its fill would give by chance, and
-the language with the highest corrected share wins.
+HASHES places in the array; the AND of the masks there is the set of all languages that contain it, one, several or none.
+A text's n-grams are looked up; the population count of each language's bit, less the hits that a filter of its fill
+would give by chance, is the share of the text's n-grams that the language has. The largest share wins and is the score.
 
-A language's filter holds the n-grams that are typical of it: those whose share among its n-grams, over all learned
-languages, is at least SHARE, seen at least LEAST_SEEN times; the COMMONEST of them at most. The n-grams are counted
-in a bounded sample of labelled texts, PER_LANGUAGE for each language in expectation, chosen by a hash of the id; whole
-texts are counted and whole texts predicted. A and Z count as a and z; digits and punctuation count as spaces.
+A language has the n-grams that occur at least LEAST_SEEN times in its texts, at a rate of at least FLOOR of the rate in
+the language that uses them most; n-grams that languages share are in the filter of each. They are counted in a bounded
+sample of labelled texts, PER_LANGUAGE for each language in expectation, chosen by a hash of the id; whole texts are
+counted and whole texts predicted. A tag on fewer than LEAST_SHARE of the labelled documents isn't learned, so that odd
+tags by the million don't reach the driver. A and Z count as a and z; digits and punctuation count as spaces.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; so is any text if nothing was learned;
-ties go to the language that comes first by name; repeated rows get the same result; an empty table gives an empty
-result; other columns are ignored.
+ties, no known n-gram at all among them, go to the language that comes first by name; repeated rows get the same
+result; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,14 +30,15 @@ from .tokens import slices
 
 NGRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 1500
-COMMONEST = 30_000
 LEAST_SEEN = 3
-SHARE = 0.6
+FLOOR = 0.1
+LEAST_SHARE = 0.001
 HASHES = 2
-BITS = 1 << 20
+#: Masks for each n-gram of the largest language (at the next power of two), and masks at least and at most.
+PER_GRAM, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 24
 UNKNOWN = "und"
 #: A corpus keeps texts whose score reaches this.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.5
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -62,7 +64,7 @@ def ngram_hashes(text: str) -> np.ndarray:
                 break
             h = h[:m] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1 : n - 1 + m] + np.uint64(1)
             if n in NGRAMS:
-                out.append(_mix(h))
+                out.append(_mix(h[c != 32] if n == 1 else h))  # a space alone is no n-gram
     return np.concatenate(out)
 
 
@@ -79,33 +81,46 @@ def mask_type(languages: int):
 class Filters:
     """The learned languages and their bit-sliced Bloom filters: arrays of masks, each for 64 languages at most."""
 
-    def __init__(self, languages: list[str], grams: dict[str, np.ndarray], bits: int = BITS):
-        self.languages, self.bits = languages, bits
-        self.planes: list[tuple[int, np.ndarray]] = []
-        fill = []
-        for at in range(0, len(languages), 64):
-            own = languages[at : at + 64]
-            masks = np.zeros(bits, mask_type(len(own)))
-            for k, name in enumerate(own):
-                for p in places(grams.get(name, np.empty(0, np.uint64)), bits):
-                    masks[np.unique(p)] |= masks.dtype.type(1 << k)
-            fill += [np.count_nonzero(masks & masks.dtype.type(1 << k)) / bits for k in range(len(own))]
-            self.planes.append((len(own), masks))
+    def __init__(self, languages: list[str], planes: list[np.ndarray]):
+        self.languages, self.planes, fill = languages, [], []
+        self.bits = len(planes[0]) if planes else 1
+        for at, masks in zip(range(0, len(languages), 64), planes, strict=True):
+            n = min(64, len(languages) - at)
+            masks = masks.astype(mask_type(n))
+            self.planes.append((n, masks))
+            fill += [np.count_nonzero(masks & masks.dtype.type(1 << k)) / self.bits for k in range(n)]
         self.chance = np.array(fill) ** HASHES
 
-    def votes(self, h: np.ndarray) -> np.ndarray:
-        """Corrected share of the n-grams that each language's filter holds."""
-        spots, hits = places(h, self.bits), []
-        for n, masks in self.planes:
+    @classmethod
+    def of(cls, grams: dict[str, np.ndarray], bits: int) -> Filters:
+        """Filters of the given n-gram hashes by language."""
+        names = sorted(grams)
+        planes = [np.zeros(bits, np.uint64) for _ in range(0, len(names), 64)]
+        for k, name in enumerate(names):
+            for p in places(grams[name], bits):
+                planes[k // 64][p] |= np.uint64(1 << (k % 64))
+        return cls(names, planes)
+
+    def masks(self, h: np.ndarray) -> list[np.ndarray]:
+        """For each plane of 64 languages, the mask of those that contain each hash."""
+        spots, found = places(h, self.bits), []
+        for _, masks in self.planes:
             both = masks[spots[0]]
             for p in spots[1:]:
                 both &= masks[p]
+            found.append(both)
+        return found
+
+    def votes(self, h: np.ndarray) -> np.ndarray:
+        """Corrected share of the n-grams that each language's filter holds."""
+        hits = []
+        for (n, masks), both in zip(self.planes, self.masks(h), strict=True):
             if n <= 16:
                 seen = np.bincount(both, minlength=1 << n)
                 hits += [int(seen[(np.arange(len(seen)) >> k) & 1 == 1].sum()) for k in range(n)]
             else:
                 hits += [int(np.count_nonzero(both & masks.dtype.type(1 << k))) for k in range(n)]
-        return np.maximum(0.0, (np.array(hits) / len(h) - self.chance) / (1 - self.chance))
+        return np.maximum(0.0, (np.array(hits) / len(h) - self.chance) / np.maximum(1 - self.chance, 1e-9))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not _LETTER.search(text):
@@ -115,8 +130,7 @@ class Filters:
             return UNKNOWN, 0.0
         v = self.votes(h)
         best = int(np.argmax(v))
-        total = float(v.sum())
-        return (self.languages[best], float(v[best]) / total) if total > 0 else (self.languages[int(np.argmin(self.chance))], 0.0)
+        return self.languages[best], float(v[best])
 
 
 def held_out(doc_id):
@@ -124,43 +138,62 @@ def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4).cast("long")) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) -> Filters:
-    """Learns from rows of ``docs`` (doc_id, text, lang) whose text and lang aren't null and that aren't held out.
-
-    Counts by n-gram and language are summed in Spark; those typical of a language come to the driver, COMMONEST each.
-    """
+def grams_of(docs: DataFrame, per_language: int = PER_LANGUAGE, least_share: float = LEAST_SHARE) -> tuple[list[str], DataFrame]:
+    """The languages learned, by name, and a table k (place of the language), gram (hash) of all that they contain."""
     ship(docs.sparkSession)
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
-    if not languages:
-        return Filters([], {}, bits)
-    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
-    chosen = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(int((1 << 30) * min(1.0, per_language / sizes[k])) + 1))])
-    sample = rows.where(place < chosen[F.col("lang")]).select("lang", "text")
+    sizes = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    known = sorted((r["lang"], r["n"]) for r in sizes.where(F.col("n") >= least_share * total).collect())
+    limits = [(name, k, int((1 << 30) * min(1.0, per_language / n)) + 1) for k, (name, n) in enumerate(known)]
+    chosen = F.broadcast(spark.createDataFrame(limits, "lang string, k int, below int"))  # 1 / LEAST_SHARE rows at most
+    sample = rows.join(chosen, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.col("below")).select("k", "text")
 
     def count(batches):
         for batch in batches:
             for a, b in slices(batch):
                 part = batch.slice(a, b - a)
-                lang = np.array(part.column("lang").to_pylist(), object)
-                texts = part.column("text").to_pylist()
-                for k in sorted(set(lang)):
-                    h = np.concatenate([ngram_hashes(texts[i]) for i in np.flatnonzero(lang == k)])
+                own, texts = part.column("k").to_numpy(), part.column("text").to_pylist()
+                for k in np.unique(own):
+                    h = np.concatenate([ngram_hashes(texts[i]) for i in np.flatnonzero(own == k)])
                     u, n = np.unique(h, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(u), pa.string()), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
-
-    counts = cut(sample.mapInArrow(count, "lang string, gram long, n long").groupBy("gram").pivot("lang", languages).agg(F.sum("n")).fillna(0), "language-grams")
-    of = [F.col("`" + k.replace("`", "``") + "`") for k in languages]
-    totals = counts.agg(*[F.sum(c).alias(str(i)) for i, c in enumerate(of)]).first()
-    rates = [c / F.lit(float(totals[i] or 1)) for i, c in enumerate(of)]
-    whole = sum(rates[1:], rates[0])
-    grams = {}
-    for i, k in enumerate(languages):
-        typical = counts.where((of[i] >= LEAST_SEEN) & (rates[i] >= SHARE * whole))
-        top = typical.orderBy(of[i].desc(), "gram").limit(COMMONEST).select("gram").toArrow()
-        grams[k] = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    return Filters(languages, grams, bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "gram", "n"])
+
+    counts = cut(sample.mapInArrow(count, "k int, gram long, n long").groupBy("gram", "k").agg(F.sum("n").alias("n")), "language-grams")
+    rate = F.col("n") / F.col("total")
+    rates = counts.join(F.broadcast(counts.groupBy("k").agg(F.sum("n").alias("total"))), "k").where(F.col("n") >= LEAST_SEEN)
+    # a list has an entry for each language at most
+    users = rates.groupBy("gram").agg(F.max(rate).alias("top"), F.collect_list(F.struct("k", rate.alias("rate"))).alias("of"))
+    kept = users.select("gram", F.explode(F.filter("of", lambda x: x["rate"] >= FLOOR * F.col("top"))).alias("x"))
+    return [name for name, _ in known], cut(kept.select("x.k", "gram"), "language-filters")
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int | None = None, least_share: float = LEAST_SHARE) -> Filters:
+    """Learns from rows of ``docs`` (doc_id, text, lang) whose text and lang aren't null and that aren't held out.
+
+    Masks are put together in Spark; the driver gets the masks that aren't zero, at most ``bits`` for 64 languages.
+    Without ``bits`` the arrays are sized by the language with the most n-grams; MOST_BITS are the most, beyond which
+    a fuller filter's chance hits are corrected for as ever.
+    """
+    names, grams = grams_of(docs, per_language, least_share)
+    if bits is None:
+        most = grams.groupBy("k").count().agg(F.max("count")).first()[0] or 1
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (PER_GRAM * most - 1).bit_length()))
+
+    def spread(batches):
+        for batch in batches:
+            k, h = batch.column("k").to_numpy(), batch.column("gram").to_numpy().view(np.uint64)
+            mask = (np.uint64(1) << (k % 64).astype(np.uint64)).view(np.int64)
+            for p in places(h, bits):
+                yield pa.RecordBatch.from_arrays([pa.array((k // 64).astype(np.int32)), pa.array(p), pa.array(mask)], names=["plane", "place", "mask"])
+
+    told = grams.mapInArrow(spread, "plane int, place long, mask long").groupBy("plane", "place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    planes = [np.zeros(bits, np.uint64) for _ in range(0, len(names), 64)]
+    plane, place, mask = (told.column(c).to_numpy() for c in ("plane", "place", "mask"))
+    for i, masks in enumerate(planes):
+        masks[place[plane == i]] = mask[plane == i].view(np.uint64)
+    return Filters(names, planes)
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:

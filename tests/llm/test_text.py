@@ -150,12 +150,85 @@ def test_bloom_filters():
     """Every n-gram that was put in is found; the share of others that is found is as the fill says."""
     rng = np.random.RandomState(5)
     grams = {k: rng.randint(0, 1 << 62, 20_000).astype(np.uint64) for k in ("a", "b", "c")}
-    f = language_id.Filters(sorted(grams), grams, 1 << 17)
+    f = language_id.Filters.of(grams, 1 << 17)
     for k, name in enumerate(sorted(grams)):
         assert f.votes(grams[name])[k] == 1
         assert f.votes(grams[name])[(k + 1) % 3] < 0.02
 
 
+def test_filters_return_all_languages():
+    """Shared n-grams are in the mask of each language that has them, in any of several planes."""
+    rng = np.random.RandomState(6)
+    shared, grams = rng.randint(0, 1 << 62, 500).astype(np.uint64), {}
+    for k in range(130):
+        grams[f"l{k:03}"] = np.concatenate([rng.randint(0, 1 << 62, 300).astype(np.uint64), shared[:500] if k in (3, 64, 129) else shared[:100]])
+    f = language_id.Filters.of(grams, 1 << 16)
+    assert len(f.planes) == 3 and [m.dtype for _, m in f.planes] == [np.uint64, np.uint64, np.uint8]
+    low, mid, high = f.masks(shared)
+    assert (low & np.uint64(8) > 0).all() and (mid & np.uint64(1) > 0).all() and (high & 2 > 0).all()
+    assert np.bitwise_count(low[100:]).mean() < 1.2 and (np.bitwise_count(low[:100]) == 64).all()
+    v = f.votes(grams["l129"])
+    assert np.argmax(v) == 129 and v[129] == 1 and abs(v[3] - 500 / 800) < 0.02 and abs(v[5] - 100 / 800) < 0.02
+
+
+def by_hand(text):
+    """The n-grams of a text as strings, by the definition."""
+    import regex
+
+    plain = f" {regex.sub(r'[^\p{L}\p{M}]+', ' ', text.lower()).strip()} "
+    return [plain[i : i + n] for n in (1, 2, 3, 4) for i in range(len(plain) - n + 1) if plain[i : i + n] != " "] if len(plain) > 2 else []
+
+
+def test_language_against_brute_force(spark):
+    """Learned sets and predictions equal those of exact sets of strings; close languages share n-grams."""
+    import zlib
+    from collections import Counter
+
+    north = ("hund", "katze", "haus", "baum", "wasser", "strasse", "und", "der")
+    south = ("hund", "katz", "haus", "bam", "wasser", "strass", "und", "da")
+    words = {"aa": north, "ab": south, "zz": ("perro", "gato", "casa", "arbol", "agua", "calle", "y", "el")}
+    rows = [(k, edge.prose(k, 40 + k % 30, words[lang]), lang) for k, lang in enumerate(["aa", "ab", "zz"] * 60)]
+    rows += [(1000, "日本語", None), (1001, None, "aa"), (1002, "12 !", "ab"), (1003, "x", "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {k: Counter() for k in words}
+    for i, t, lang in rows:
+        if t is not None and lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(by_hand(t))
+    rates = {k: {g: n / c.total() for g, n in c.items()} for k, c in counts.items()}
+    has = {k: {g for g, n in counts[k].items() if n >= 3 and rates[k][g] >= 0.1 * max(r.get(g, 0) if counts[j][g] >= 3 else 0 for j, r in rates.items())} for k in words}
+    assert len(has["aa"] & has["ab"]) > 100
+    names, grams = language_id.grams_of(docs)
+    assert names == ["aa", "ab", "zz"]
+    found = {(r.k, r.gram) for r in grams.collect()}
+    one = lambda g: int(language_id._mix(_fold(g))[0].view(np.int64))
+
+    def _fold(g):
+        h = np.zeros(1, np.uint64)
+        with np.errstate(over="ignore"):
+            for c in g:
+                h = h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(ord(c)) + np.uint64(1)
+        return h
+
+    assert found == {(k, one(g)) for k, name in enumerate(names) for g in has[name]}
+    filters = language_id.fit(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, filters).collect()}
+    for i, t, lang in rows[:180]:
+        g = by_hand(t)
+        share = {k: sum(x in has[k] for x in g) / len(g) for k in words}
+        best = sorted(words, key=lambda k: (-share[k], k))
+        assert abs(got[i][1] - share[best[0]]) < 0.02
+        assert got[i][0] == best[0] or share[best[0]] - share[best[1]] < 0.02
+        assert got[i][0] == lang
+    assert got[1000] == ("aa", 0.0) and got[1001] == got[1002] == ("und", 0.0)
+
+
+def test_rare_tags_are_not_learned(spark):
+    rows = [(k, edge.prose(k, 20), "en" if k % 40 else f"tag{k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit(docs, least_share=0.05).languages == ["en"]
+    assert len(language_id.fit(docs).languages) > 5
+
+
 def test_lm_scores(spark):
     docs = edge.documents(spark)
     target = spark.createDataFrame([(6,), (9,), (None,)], "doc_id long")
