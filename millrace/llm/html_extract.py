@@ -1,17 +1,27 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Pages of a host are dealt in chunks of about CHUNK pages. Within a chunk every token (a word or tag, told apart by the
-path of elements it stands in) has an occurrence vector: how often each distinct page has it. Tokens with the same
-vector form an equivalence class. A class is valid if it is large enough, occurs in nearly all pages and keeps its
-order in them; valid classes nest into the template by the places where they occur. Text that consists of template
-tokens alone is furniture of the site; what is left in the slots below the main element is the article.
+Pages of a host are dealt in chunks of about CHUNK pages. A page is a sequence of tokens: block-level tags and words, told
+apart by the path of elements they stand in. Within a chunk every token has an occurrence vector: how often each
+distinct page has it. Tokens with the same vector form an equivalence class. A class is valid if it has at least
+CLASS_SIZE tokens, words among them, occurs in nearly all pages (SUPPORT) and comes in each as repetitions of one order.
+Valid classes nest: each repetition of one lies in one gap between the tokens of another, the same gap on all pages, or
+apart from it; classes that cross a larger one are none of the template's. The places between the tokens of the nested
+classes are the slots. A block is kept if it holds some of a slot's text; one of template tokens alone is furniture of
+the site. Slots that hold mostly links on all pages are menus.
 
-The elements' own meaning (nav, footer, forms, scripts, ...) and names of classes and ids (ad, sidebar, comments, ...)
-mark furniture, too, so that a host with a single page is served. A name marks no article or main that it would cover
-if the page has none outside such elements; names that begin with a word like no, has or with say nothing.
+How many pages a template needs follows from chance: a passage that a share PASSAGE of all documents has (licences, quotes)
+is on all of n pages with probability PASSAGE ** n, and a template must be less likely than CHANCE; that takes 8 pages.
 
-A block is the text between two block-level tags; <br> is white space in it. Character references are decoded, white
-space becomes one space, blocks are trimmed, empty ones go, the rest is joined by two line feeds in page order.
+The elements' own meaning (nav, footer, forms, scripts, ...) and names of classes and ids mark furniture, too, so that a
+host with a single page is served. A name counts if all parts of one whole word of it say so ("sidebar",
+"comment-list"); one that only begins or ends so ("related-work", "ad-hoc") needs evidence besides: most of the element's
+words are links, or it is short and in no main element. A name covers no article or main if the page has none outside
+such elements; names that begin with a word like no, has or with say nothing. On a page with an article or main
+element only what these hold is kept.
+
+A block is the text between two block-level tags; <br> is white space in it, formulas (math) and elements of unknown
+kind with a hyphen are part of it. Character references are decoded, white space becomes one space, blocks are trimmed,
+empty ones go, the rest is joined by two line feeds in page order.
 
 Defined results: null or empty html gives an empty text; so does a page of furniture; repeated pages count once for the
 vectors and each gets its text; null or odd URLs share a host named by nothing; an empty table gives an empty result;
@@ -21,31 +31,41 @@ unclosed and stray tags are tolerated; other columns are ignored.
 from __future__ import annotations
 
 import html as _html
+import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import whole_runs
-from .shared import cut, light, ship
+from .shared import BROADCAST_IDS, cut, light, ship
 
 #: Pages of one host that are looked at together, in expectation.
 CHUNK = 64
-#: Distinct pages that a template needs, the share of them that has a token, and the tokens that a class needs.
-LEAST_PAGES, SUPPORT, CLASS_SIZE = 8, 0.95, 3
+#: A passage's share of the documents, and the probability below which a template must be chance.
+PASSAGE, CHANCE = 1 / 3, 2e-4
+#: Distinct pages that a template needs.
+LEAST_PAGES = math.ceil(math.log(CHANCE) / math.log(PASSAGE))
+#: The share of the pages that has a token of the template, and the tokens that a class needs.
+SUPPORT, CLASS_SIZE = 0.95, 3
+#: Share of words in links from which an element or slot is a menu; words of an element that is short.
+LINKED, SHORT = 0.5, 25
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _PARTS = re.compile(r"[a-z]+")
-_SPACE = re.compile(r"\s+")
 
 # Names of HTML elements by kind.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
-FURNITURE = {"nav", "footer", "aside", "form", "menu", "button", "select", "option", "dialog", "head", "svg", "canvas", "object", "audio", "video", "map", "fieldset", "datalist", "math"}
+FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
+#: What these hold isn't text of the page, but they don't end a block.
+EMBEDDED = {"svg", "canvas", "object", "audio", "video", "button", "select", "datalist", "annotation", "annotation-xml"}
 MAIN = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Parts of class names, ids and roles that mark furniture.
@@ -54,36 +74,62 @@ FURNITURE_NAMES = {
     "comment", "comments", "disqus", "reply", "replies", "respond", "sidebar", "aside", "rail", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "share", "sharing",
     "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "search", "contentinfo", "complementary", "dialog",
 }
+# Parts of such names that say where or how, not what.
+QUALIFIERS = {
+    "site", "page", "main", "global", "primary", "secondary", "left", "right", "top", "bottom", "header", "list", "item", "items", "area", "box", "bar", "container", "wrapper", "wrap", "inner", "outer", "block", "section",
+    "post", "posts", "article", "articles", "stories", "user", "reader", "links", "link", "button", "buttons", "icons", "slot", "unit", "form", "google", "media", "mobile", "desktop", "to",
+}
 # First parts of names that tell a page's layout.
 LAYOUT = {"no", "not", "non", "has", "with", "without"}
 _CLOSED_BY_BLOCK = {"p", *HEADINGS}
 
 
-def _named(value: str) -> bool:
-    """Whether a class, id or role marks furniture."""
-    parts = (_PARTS.findall(x) for x in value.split())
-    return any(p and p[0] not in LAYOUT and not FURNITURE_NAMES.isdisjoint(p) for p in parts)
+def _named(value: str) -> int:
+    """Whether a class, id or role marks furniture: 2 if a whole word of it does, 1 if a part does."""
+    found = 0
+    for word in value.split():
+        p = _PARTS.findall(word)
+        if p and p[0] not in LAYOUT and not FURNITURE_NAMES.isdisjoint(p):
+            found = max(found, 2 if all(x in FURNITURE_NAMES or x in QUALIFIERS for x in p) else 1)
+    return found
+
+
+@dataclass
+class Block:
+    path: str
+    words: list[str]
+    main: bool
+    linked: int  #: words in links, about
+    marks: tuple[int, ...]  #: elements around it whose names may mark furniture
+    at: int  #: place of its first word in the page's tokens
 
 
 class Page:
-    """Text blocks of a page: (path, text, inside a main element), furniture left out, and its tags with their paths."""
+    """Text blocks of a page, furniture left out, and its tokens: (path, word), and ("", path) for a block-level tag."""
 
     def __init__(self, source: str, lifted: frozenset[str] = frozenset()):
         """``lifted``: kinds of main element (article, main) that names of elements above don't cover."""
-        self.blocks: list[tuple[str, str, bool]] = []
-        self.tags: Counter[str] = Counter()
+        self.blocks: list[Block] = []
+        self.tokens: list[tuple[str, str]] = []
         self.has_main = False
-        stack: list[tuple[str, str, int, bool]] = []  # name, path, furniture (1 by a name, 2 by itself), main
+        stack: list[tuple[str, str, int, bool, int]] = []  # name, path, furniture (1 by a name, 2 by itself), main, mark
         seen: tuple[set[str], set[str]] = set(), set()  # kinds of main element outside furniture, and below names alone
         parts: list[str] = []
+        linked = marks = 0  # words in links, elements marked so far
+        special = links = False  # whether a formula or embedded element, or a link, has been seen
         end = len(source)
 
         def close() -> None:
+            nonlocal linked
             if parts:
-                text = _SPACE.sub(" ", _html.unescape("".join(parts))).strip()
+                words = _html.unescape("".join(parts)).split()
                 parts.clear()
-                if text:
-                    self.blocks.append((stack[-1][1] if stack else "", text, bool(stack) and stack[-1][3]))
+                if words:
+                    path = stack[-1][1] if stack else ""
+                    own = tuple(s[4] for s in stack if s[4])
+                    self.blocks.append(Block(path, words, bool(stack) and stack[-1][3], min(linked, len(words)), own, len(self.tokens)))
+                    self.tokens += [(path, w) for w in words]
+            linked = 0
 
         def pop(name: str, stop: set[str] = frozenset()) -> None:
             for k in range(len(stack) - 1, -1, -1):
@@ -99,6 +145,8 @@ class Page:
             to = m.start() if m else end
             if to > at and not (stack and stack[-1][2]):
                 parts.append(source[at:to])
+                if links and any(s[0] == "a" for s in stack):
+                    linked += len(source[at:to].split())
             if not m:
                 break
             at = m.end()
@@ -106,7 +154,7 @@ class Page:
             if not name:
                 continue
             closing, attributes = m[1] or m[4], m[3] or m[6] or ""
-            inline = name in INLINE
+            inline = name in INLINE or name in EMBEDDED or name == "math" or "-" in name or (special and any(s[0] == "math" or s[0] in EMBEDDED for s in stack))
             if not inline:
                 close()
             if closing:
@@ -123,7 +171,7 @@ class Page:
                 if parts:
                     parts.append(" ")
                 continue
-            if name in VOID:
+            if name in VOID or (inline and attributes.rstrip().endswith("/")):
                 continue
             if name == "body":
                 pop("head")
@@ -139,15 +187,20 @@ class Page:
                         break
                 if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     pop(name, {"ul", "ol", "dl", "table", "select"})
-            above = stack[-1] if stack else ("", "", 0, False)
-            furniture = 2 if (name in FURNITURE) or (name == "header" and not above[3]) else above[2]
+            above = stack[-1] if stack else ("", "", 0, False, 0)
+            furniture = 2 if name in FURNITURE or name in EMBEDDED or (name == "header" and not above[3]) else above[2]
+            mark = 0
             if attributes and furniture < 2 and name not in MAIN and name not in ("html", "body"):
                 for kind, value in _NAMES.findall(attributes):
                     kind, value = kind.lower(), value.strip("\"'").lower()
                     if (kind == "hidden") or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
                         furniture = 2
-                    elif kind in ("class", "id", "role") and _named(value):
-                        furniture = max(furniture, 1)
+                    elif kind in ("class", "id", "role"):
+                        found = _named(value)
+                        if found == 2:
+                            furniture = max(furniture, 1)
+                        elif found:
+                            mark = marks = marks + 1
             own = name if name in MAIN else "main" if "main" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else ""
             if own and furniture < 2:
                 if own in lifted:
@@ -157,46 +210,108 @@ class Page:
             self.has_main |= main
             path = above[1] if inline else f"{above[1]}/{name}"
             if not inline:
-                self.tags[path] += 1
-            stack.append((name, path, furniture, main))
+                self.tokens.append(("", path))
+            links |= name == "a"
+            special |= name == "math" or name in EMBEDDED
+            stack.append((name, path, furniture, main, mark))
         close()
         if not lifted and (covered := frozenset(seen[1] - seen[0])):
             self.__init__(source, covered)
 
-    def tokens(self) -> Counter[tuple[str, str]]:
-        found: Counter[tuple[str, str]] = Counter({("", t): n for t, n in self.tags.items()})
-        for path, text, _ in self.blocks:
-            found.update([(path, w) for w in text.split(" ")])
-        return found
+    def marked(self) -> set[int]:
+        """The elements that a part of a name marks and that are mostly links or, outside main elements, short."""
+        words: Counter[int] = Counter()
+        links: Counter[int] = Counter()
+        inside = set()
+        for b in self.blocks:
+            for mark in b.marks:
+                words[mark] += len(b.words)
+                links[mark] += b.linked
+                if b.main:
+                    inside.add(mark)
+        return {k for k, n in words.items() if links[k] >= LINKED * n or (n <= SHORT and k not in inside)}
 
 
-def template(pages: list[Page]) -> set[tuple[str, str]]:
-    """Tokens of the valid equivalence classes of distinct pages of one site."""
-    n = len(pages)
-    if n < LEAST_PAGES:
-        return set()
+@dataclass
+class Class:
+    """A valid equivalence class: its tokens in order, and the class and gap that hold each of its repetitions."""
+
+    tokens: tuple[tuple[str, str], ...]
+    parent: int = -1
+    gap: int = -1
+    places: list[list[int]] = field(default_factory=list, repr=False)  #: by page, in page order
+
+
+def classes(pages: list[Page]) -> list[set[tuple[str, str]]]:
+    """The equivalence classes, words among them, of tokens that nearly all pages have."""
     vectors: dict[tuple[str, str], list[tuple[int, int]]] = defaultdict(list)
     for k, p in enumerate(pages):
-        for token, count in p.tokens().items():
+        for token, count in Counter(p.tokens).items():
             vectors[token].append((k, count))
-    classes: dict[tuple[tuple[int, int], ...], list[tuple[str, str]]] = defaultdict(list)
+    alike: dict[tuple[tuple[int, int], ...], list[tuple[str, str]]] = defaultdict(list)
     for token, vector in vectors.items():
-        if len(vector) >= SUPPORT * n:
-            classes[tuple(vector)].append(token)
-    valid = [set(tokens) for tokens in classes.values() if len(tokens) >= CLASS_SIZE and any(t[0] for t in tokens)]
-    return set().union(*[c for c in valid if _ordered(c, pages)])
+        if len(vector) >= SUPPORT * len(pages):
+            alike[tuple(vector)].append(token)
+    return [set(tokens) for tokens in alike.values() if len(tokens) >= CLASS_SIZE and any(t[0] for t in tokens)]
+
+
+def ordered(found: list[set[tuple[str, str]]], pages: list[Page]) -> list[Class]:
+    """Those of the classes that come on each page as repetitions of one order."""
+    of = {token: c for c, tokens in enumerate(found) for token in tokens}
+    places = [[[] for _ in pages] for _ in found]
+    for k, p in enumerate(pages):
+        for i, token in enumerate(p.tokens):
+            if (c := of.get(token)) is not None:
+                places[c][k].append(i)
+    out = []
+    for tokens, own in zip(found, places, strict=True):
+        k = next(k for k, at in enumerate(own) if at)
+        order = tuple(pages[k].tokens[i] for i in own[k][: len(tokens)])
+        if set(order) == tokens and all(tuple(p.tokens[i] for i in at) == order * (len(at) // len(order)) for p, at in zip(pages, own, strict=True)):
+            out.append(Class(order, places=own))
+    return out
+
+
+def _gap(inner: Class, outer: Class) -> int | None:
+    """The gap of the outer class that holds every repetition of the inner one on all pages; 0 is outside; None if there is none."""
+    gap = None
+    m, size = len(outer.tokens), len(inner.tokens)
+    for at, around in zip(inner.places, outer.places, strict=True):
+        for s in range(0, len(at), size):
+            low, high = bisect_left(around, at[s]), bisect_left(around, at[s + size - 1])
+            if low != high or gap not in (None, low % m):
+                return None
+            gap = low % m
+    return gap
+
+
+def nested(valid: list[Class]) -> list[Class]:
+    """The classes, larger ones first, that cross no larger one, each with the innermost class that holds it."""
+    kept: list[Class] = []
+    for c in sorted(valid, key=lambda c: (-len(c.tokens), c.tokens)):
+        if all(_gap(c, k) is not None or _gap(k, c) is not None for k in kept):
+            kept.append(c)
+    for c in kept:
+        around = [(len(k.tokens), i, gap) for i, k in enumerate(kept) if k is not c and (gap := _gap(c, k))]
+        if around:
+            _, c.parent, c.gap = min(around)
+    return kept
+
+
+def template(pages: list[Page]) -> list[Class]:
+    """The nested classes of distinct pages of one site; none of too few pages."""
+    return nested(ordered(classes(pages), pages)) if len(pages) >= LEAST_PAGES else []
 
 
-def _ordered(tokens: set[tuple[str, str]], pages: list[Page]) -> bool:
-    """Whether the words of a class come in the same order in each page that has them."""
-    seen = None
-    for p in pages:
-        order = [(path, w) for path, text, _ in p.blocks for w in text.split(" ") if (path, w) in tokens]
-        if order:
-            if seen is not None and order != seen:
-                return False
-            seen = order
-    return True
+def slots(page: Page, fixed: set[tuple[str, str]]) -> list[tuple[str, str] | None]:
+    """The slot, named by the template's token before it, of each block of the page; None for a block of template tokens alone."""
+    known = [i for i, token in enumerate(page.tokens) if token in fixed]
+    out = []
+    for b in page.blocks:
+        free = next((i for i in range(b.at, b.at + len(b.words)) if page.tokens[i] not in fixed), None)
+        before = bisect_left(known, free) - 1 if free is not None else None
+        out.append(None if before is None else ("", "") if before < 0 else page.tokens[known[before]])
+    return out
 
 
 def main_texts(sources: list[str | None]) -> list[str]:
@@ -206,25 +321,34 @@ def main_texts(sources: list[str | None]) -> list[str]:
         if s and s not in parsed:
             parsed[s] = Page(s)
     # pages with the same text are one page to the vectors
-    distinct = list({tuple(b[1] for b in p.blocks): p for p in parsed.values()}.values())
-    fixed = template(distinct)
+    distinct = list({tuple(tuple(b.words) for b in p.blocks): p for p in parsed.values()}.values())
+    fixed = {token for c in template(distinct) for token in c.tokens}
+    slot_of = {id(p): slots(p, fixed) for p in parsed.values()} if fixed else {}
+    words, links = Counter(), Counter()
+    for p in distinct if fixed else ():
+        for b, slot in zip(p.blocks, slot_of[id(p)], strict=True):
+            words[slot] += len(b.words)
+            links[slot] += b.linked
     done = {}
     for s, p in parsed.items():
-        kept = [text for path, text, main in p.blocks if (main or not p.has_main) and not (fixed and all((path, w) in fixed for w in text.split(" ")))]
+        gone = p.marked()
+        own = slot_of.get(id(p)) or [("", "")] * len(p.blocks)
+        menu = lambda slot: slot is None or (not p.has_main and links[slot] > LINKED * words[slot])  # noqa: B023, E731
+        kept = [" ".join(b.words) for b, slot in zip(p.blocks, own, strict=True) if (b.main or not p.has_main) and gone.isdisjoint(b.marks) and not menu(slot)]
         done[s] = "\n\n".join(kept)
     return [done[s] if s else "" for s in sources]
 
 
-def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def extract(pages: DataFrame, chunk: int = CHUNK, limit: int = BROADCAST_IDS) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 
     A host's pages are dealt by a hash of the page into as many chunks as its count asks for. Only hosts of more than
-    one chunk are looked up, by a broadcast where they are few enough, else by a join.
+    one chunk are looked up, by a broadcast where they are ``limit`` at most, else by a join.
     """
     ship(pages.sparkSession)
     rows = pages.select("page_id", "url", "html").withColumn("host", F.lower(F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit(""))))
     large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
-    rows = rows.join(light(cut(large, "hosts")), "host", "left")
+    rows = rows.join(light(cut(large, "hosts"), limit), "host", "left")
     part = F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.coalesce("n", F.lit(1)) / chunk))
     dealt = rows.select("page_id", "url", "html", F.xxhash64("host", part).alias("site")).repartition("site").sortWithinPartitions("site")
     key = pages.schema["page_id"].dataType.simpleString()
