@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import attach, cut, ship
+from .shared import SALTS, attach, cut, ship
 
 
 class Forest:
@@ -65,7 +65,9 @@ def components(links: DataFrame) -> DataFrame:
         n = edges.groupBy("child").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if n is None or n == 1:
             break
-        edges = cut(edges.repartition("child").mapInArrow(_forest, "child long, parent long"), "hook")
+        # a vertex that many tasks gave a parent has them joined in two steps
+        salt = F.pmod(F.xxhash64("parent"), F.lit(SALTS)) if n > SALTS else F.lit(0)
+        edges = cut(edges.repartition("child", salt).mapInArrow(_forest, "child long, parent long"), "hook")
     while True:
         up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("top"))
         tops = cut(edges.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).join(up, "parent", "left"), "tops")

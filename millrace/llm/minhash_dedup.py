@@ -385,8 +385,9 @@ def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFram
     classes = cut(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
     # classes of one row need no look-up
     firsts = attach(some.select("doc_id", "d1", "d2", "bands", "sketch"), cut(classes.where("n > 1"), "copied"), ["d1", "d2"], "doc_id")
+    firsts = cut(firsts.where("rep is null or doc_id = rep"), "firsts")
     columns = ["doc_id", "bands", "sketch"]
-    copied = firsts.where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"])
+    copied = firsts.where("rep is not null").dropDuplicates(["doc_id", "d1", "d2"])
     reps = cut(firsts.where("rep is null").select(*columns).union(copied.select(*columns)), "representatives")
     shared, sketches = buckets(reps), reps.select("doc_id", "sketch")
     stars = components(star_links(shared, sketches, least))

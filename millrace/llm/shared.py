@@ -75,17 +75,14 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: str, n: s
     salts, of which a row's is told by a hash of its column ``spread``. All others meet by a shuffle. Null keys match
     nothing: give rows with null keys a branch of their own if there may be many.
     """
-    told = [c for c in facts.columns if c not in keys]
+    columns = [*rows.columns, *[c for c in facts.columns if c not in keys]]
     hot, cold = facts.where(F.col(n) > HOT), facts.where(F.col(n) <= HOT)
-    few = light(hot, limit)
+    few, by, dealt = light(hot, limit), keys, rows
     if few is hot:
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-        marked = salted.join(hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "_salt"], "left").drop("_salt")
-    else:
-        marked = rows.join(few, keys, "left")
-    columns = [*rows.columns, *told]
-    rest = marked.where(F.col(n).isNull()).select(*rows.columns).join(cold, keys, "left")
-    return marked.where(F.col(n).isNotNull()).select(*columns).union(rest.select(*columns))
+        by, dealt = [*keys, "_salt"], rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+        few = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rest = dealt.join(few.select(*by), by, "left_anti").join(cold, keys, "left")
+    return dealt.join(few, by).select(*columns).union(rest.select(*columns))
 
 
 def forget(spark: SparkSession) -> int:

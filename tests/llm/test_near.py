@@ -1,6 +1,7 @@
 """Near-duplicates of documents and embeddings, components, and pages, against brute force."""
 
 import numpy as np
+import pytest
 
 from millrace.llm import embedding_dedup, html_extract, minhash_dedup
 from millrace.llm.components import components
@@ -176,7 +177,79 @@ def test_pages(spark):
 
 
 def test_template_needs_varied_pages():
-    """A single page, or copies of one, deduce nothing."""
+    """A single page, or copies of one, deduce nothing; a passage that a third of all documents share is no template."""
     one = "<body><p>The only text</p></body>"
     assert html_extract.main_texts([one] * 20) == ["The only text"] * 20
-    assert html_extract.CHUNK >= html_extract.LEAST_PAGES
+    assert html_extract.CHUNK >= html_extract.LEAST_PAGES == 8
+    assert html_extract.PASSAGE**8 < html_extract.CHANCE < html_extract.PASSAGE**7
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p>", "Let x=1 hold."),
+        ('<section id="related-work"><p>Others did this before.</p></section>', "Others did this before."),
+        ('<section id="search-algorithms"><h2>Search</h2><p>Binary search halves.</p></section>', "Search\n\nBinary search halves."),
+        ('<div class="ad-hoc">A network without a base.</div>', "A network without a base."),
+        ('<p class="alert-level">The level is low.</p>', "The level is low."),
+        ('<p>One <video src="x">no video</video><x-note>two</x-note> <button>Buy</button>three</p>', "One two three"),
+        ('<p>Text</p><div class="comments"><p>First!</p></div><div class="site-footer">Foot</div><ul id="comment-list"><li>Reader</li></ul>', "Text"),
+        ('<p>Text</p><div class="related-links-more"><a href="/a">More of this</a> <a href="/b">and that</a></div>', "Text"),
+        ('<p>Text <a href="/x">all</a> <a href="/y">links</a></p>', "Text all links"),
+    ],
+)
+def test_article_text_is_whole(inner, text):
+    """Names inside an article need evidence unless all of a word says so; formulas and links stay in their sentence."""
+    assert html_extract.main_texts([f"<body><nav>Menu</nav><article>{inner}</article><p>Outside</p></body>"]) == [text]
+
+
+SHOP = "<body><div><span>Welcome to our shop</span></div><div>{menu}</div><table>{rows}</table><div><p>All rights are reserved</p></div></body>"
+
+
+def shop(k):
+    rows = "".join(f"<tr><td>Price of item</td><td>thing{k}-{i} has no {k * i}</td></tr>" if i else f"<tr><td>Price of item</td><td>thing{k}</td></tr>" for i in range(1 + k % 3))
+    return SHOP.format(menu=" ".join(f'<a href="/{i}">go{k}-{i}</a>' for i in range(3 + k % 2)), rows=rows)
+
+
+def test_classes_against_brute_force():
+    """Occurrence vectors, order, nesting and slots, told anew from the pages' tokens."""
+    pages = [html_extract.Page(shop(k)) for k in range(12)]
+    tokens = {t for p in pages for t in p.tokens}
+    vector = {t: tuple(p.tokens.count(t) for p in pages) for t in tokens}
+    want = {}
+    for t, v in vector.items():
+        if sum(n > 0 for n in v) >= 0.95 * len(pages):
+            want.setdefault(v, set()).add(t)
+    want = {frozenset(c) for c in want.values() if len(c) >= 3 and any(path for path, _ in c)}
+    assert {frozenset(c) for c in html_extract.classes(pages)} == want and len(want) == 2
+    outer, inner = html_extract.template(pages)
+    assert len(outer.tokens) > len(inner.tokens) and outer.parent == -1 and inner.parent == 0
+    assert [w for _, w in inner.tokens] == ["/body/table/tr", "Price", "of", "item"] and {"Welcome", "reserved"} < {w for _, w in outer.tokens}
+    for k, p in enumerate(pages):
+        at = [i for i, t in enumerate(p.tokens) if t in set(outer.tokens)]
+        rows = [i for i, t in enumerate(p.tokens) if t in set(inner.tokens)]
+        assert len(rows) == (1 + k % 3) * len(inner.tokens) and all(at[inner.gap - 1] < i < at[inner.gap] for i in rows)
+    texts = html_extract.main_texts([shop(k) for k in range(12)])
+    for k, text in enumerate(texts):
+        assert text.split("\n\n") == [f"thing{k}-{i} has no {k * i}" if i else f"thing{k}" for i in range(1 + k % 3)]
+
+
+def test_crossing_classes_are_not_nested():
+    order = lambda *names: tuple(("p", x) for x in names)
+    a = html_extract.Class(order("a", "b", "c", "d"), places=[[0, 2, 5, 9], [0, 2, 5, 9]])
+    crossing = html_extract.Class(order("x", "y", "z"), places=[[1, 3, 4], [1, 3, 4]])
+    inside = html_extract.Class(order("u", "v", "w"), places=[[6, 7, 8], [6, 7, 8]])
+    apart = html_extract.Class(order("m", "n", "o"), places=[[10, 11, 12], [10, 11, 12]])
+    kept = html_extract.nested([apart, inside, crossing, a])
+    assert [c.tokens for c in kept] == [a.tokens, apart.tokens, inside.tokens]
+    assert [(c.parent, c.gap) for c in kept] == [(-1, -1), (-1, -1), (0, 3)]
+
+
+def test_large_hosts_are_chunked(spark):
+    """A host of 200 pages is dealt in chunks that each find the template; sizes come by a broadcast or a join alike."""
+    rows = [(k, f"http://shop.example/{k}", shop(k)) for k in range(200)] + [(500 + k, f"http://h{k}.example/", "<p>alone</p>") for k in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [{r.page_id: r.text for r in html_extract.extract(df, limit=limit).collect()} for limit in (1000, 0)]
+    assert found[0] == found[1] and len(found[0]) == 220
+    assert all(found[0][k].split("\n\n") == [f"thing{k}-{i} has no {k * i}" if i else f"thing{k}" for i in range(1 + k % 3)] for k in range(200))
+    assert all(found[0][500 + k] == "alone" for k in range(20))
