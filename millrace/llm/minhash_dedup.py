@@ -60,7 +60,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, n at least."""
     if len(_powers[0]) < n:
-        n = max(n, 1 << 21)
+        n = max(n + n // 8, 1 << 18)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             p = np.full(n, np.uint64(base))
             p[0] = 1
@@ -69,8 +69,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The sorted distinct 64-bit hashes of each text's shingles (UTF-8 bytes in)."""
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (UTF-8 bytes in), and how many words the texts have up to each one's end."""
     joined = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)] if texts else np.empty(0, np.uint8)
     inside = _WORD[joined]
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0)))
@@ -79,13 +79,17 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * up[: len(joined)], dtype=np.uint64)])
         words = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-        n = len(words)
-        five = np.zeros(max(n - WORDS + 1, 0), np.uint64)
+    return words, np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of each text's shingles (UTF-8 bytes in)."""
+    words, last = hashed_words(texts)
+    with np.errstate(over="ignore"):
+        five = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
         for k in range(WORDS):
             five = five * np.uint64(_BASE) + words[k : k + len(five)]
         five = mix(five)
-        limits = np.cumsum([len(t) + 1 for t in texts])
-        last = np.searchsorted(start, limits)
         out, at = [], 0
         for to in last.tolist():
             if to - at >= WORDS:

@@ -77,8 +77,11 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: str, n: s
     """
     columns = [*rows.columns, *[c for c in facts.columns if c not in keys]]
     hot, cold = facts.where(F.col(n) > HOT), facts.where(F.col(n) <= HOT)
-    few, by, dealt = light(hot, limit), keys, rows
-    if few is hot:
+    many = hot.limit(limit + 1).count()
+    if not many:
+        return rows.join(cold, keys, "left").select(*columns)
+    few, by, dealt = F.broadcast(hot), keys, rows
+    if many > limit:
         by, dealt = [*keys, "_salt"], rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
         few = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rest = dealt.join(few.select(*by), by, "left_anti").join(cold, keys, "left")
