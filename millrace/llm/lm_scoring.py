@@ -1,148 +1,279 @@
 """Cross-entropy difference: two matched bigram models score each document by its loss under either.
 
-Both models share one vocabulary (the VOCABULARY commonest words that the whole corpus has LEAST_SEEN times; ids by
-falling count, then by word; every other word is the unknown id 0) and one smoothing. The target model counts the documents of the target, the
-background model counts all documents. Bigrams are counted in SLOTS hashed slots, so that a model is of a fixed size:
+Both models share one vocabulary and one smoothing. The target model counts the documents of the target, the background
+model counts all documents; what is scored leaves its own bigrams and contexts out of both:
 
     P1(w)   = (c(w) + 1) / (N + V)
-    P(w|v)  = (min(c(slot(v, w)), c(v)) + K * P1(w)) / (c(v) + K)
+    P(w|v)  = (c(v, w) + K * P1(w)) / (c(v) + K)
 
 where c(v) counts v as a context; a document starts with a context of its own. A document's score is the mean over its
-tokens of -ln P_target + ln P_background: the lower, the more it is like the target.
+tokens of -ln P_target + ln P_background: the lower, the more it is like the target. A document that the corpus holds a
+second time is foreseen by the background model, and stands apart.
 
-Words are lower-cased runs of characters other than white space (\\x20, \\x09-\\x0D). Defined results: a null, empty or
-blank text has no tokens and losses and score 0; without any target document the target model is its smoothing;
-repeated rows get the same result; an empty table gives an empty result; other columns are ignored; texts of any length
-are counted and scored whole.
+Every bigram of the corpus is counted by itself, by a 64-bit hash, so that the models grow with the corpus. The
+smoothing's c(w) and c(v) are counted in SLOTS hashed slots (V is the number of those in use, and one), an array of a
+fixed size that tasks hold. Bigrams that make up a share of HOT_SHARE of all tokens are found first, as they must have
+half that share in some piece of the corpus; there are 2 / HOT_SHARE of them at most, their counts go to the tasks,
+and documents look them up where they are. All other bigrams are dealt by their hash into buckets of about
+BUCKET_TOKENS: a task counts its bigrams and tells each document's part of the loss, and the parts are summed.
+
+Words are runs of characters other than white space (\\x20, \\x09-\\x0D), A-Z in lower case. Losses are summed in whole
+units, so that their order changes nothing. Defined results: a null, empty or blank text has no tokens and losses and
+score 0; without any target document the target model is its smoothing; repeated rows get the same result, and each
+leaves only its own counts out; an empty table gives an empty result; other columns are ignored; texts of any length are
+counted and scored whole.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .quality import marked, words
-from .shared import BROADCAST_IDS, ship
+from .components import whole_runs
+from .minhash_dedup import hashed_words, mix
+from .quality import marked
+from .shared import BROADCAST_IDS, cut, ship
 from .tokens import slices
 
-VOCABULARY = 1 << 15
-LEAST_SEEN = 5
 SLOTS = 1 << 20
+HOT_SHARE = 2**-16
+BUCKET_TOKENS = 2_000_000
 K = 20.0
+#: Units of a nat in which losses are summed.
+UNIT = 1 << 24
+#: Characters of texts that are counted or scored together.
+PIECE = 4 << 20
+_START = np.uint64(0xA0761D6478BD642F)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Tokens:
+    """The tokens of some texts: row, w (slot of the word), v (slot of the one before, SLOTS at a start), pair (hash)."""
+
+    def __init__(self, texts: pa.Array):
+        h, ends = hashed_words([t or b"" for t in texts.cast(pa.binary()).to_pylist()])
+        self.n = np.diff(ends, prepend=0)
+        self.row = np.repeat(np.arange(len(self.n)), self.n)
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        first = (ends - self.n)[self.n > 0]
+        before[first] = _START
+        self.w = (h >> np.uint64(44)).astype(np.int64)
+        self.v = (before >> np.uint64(44)).astype(np.int64)
+        self.v[first] = SLOTS
+        with np.errstate(over="ignore"):
+            self.pair = mix(before * _BASE + h) & ~np.uint64(SLOTS - 1) | self.w.astype(np.uint64)
 
 
+def _by_row(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (row, key) with how often each occurs."""
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    at = np.flatnonzero(new)
+    return row[at], key[at], np.diff(at, append=len(row))
+
+
+@dataclass
 class Model:
-    """Counts of one corpus: context counts and unigram counts by id, bigram counts by slot."""
-
-    def __init__(self, vocabulary: int):
-        self.words = np.zeros(vocabulary + 1, np.int64)
-        self.contexts = np.zeros(vocabulary + 2, np.int64)
-        self.slots = np.zeros(SLOTS, np.int64)
-
-    def losses(self, ids: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        one = (self.words[ids] + 1) / (self.words.sum() + len(self.words))
-        seen = self.contexts[before]
-        return -np.log((np.minimum(self.slots[slot], seen) + K * one) / (seen + K))
-
-
-def slots_of(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (before.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (x >> np.uint64(40)).astype(np.int64) % SLOTS
-
-
-def _ids(texts: list[str | None], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids of some texts, the id before each (len(known) + 1 at a start) and the ends of the texts."""
-    parts, ends, n = [], [], 0
-    get = known.get
-    for t in texts:
-        # split() alone would also cut at white space outside ASCII
-        own = [w for w in t.lower().replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w] if t else []
-        parts.extend(get(w, 0) for w in own)
-        n += len(own)
-        ends.append(n)
-    ids, ends = np.array(parts, np.int64), np.array(ends, np.int64)
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    starts = np.concatenate([[0], ends[:-1]])[np.diff(np.concatenate([[0], ends])) > 0]
-    before[starts] = len(known) + 1
-    return ids, before, ends
-
-
-def vocabulary_of(docs: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
-    """The commonest words of all documents and their ids from 1."""
-    counts = docs.select(F.explode(words(F.lower("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where(F.col("n") >= LEAST_SEEN).orderBy(F.col("n").desc(), "w").limit(size).select("w").toArrow()
-    return {w: k for k, w in enumerate(top.column("w").to_pylist(), 1)}
-
-
-def fit(docs: DataFrame, target: DataFrame, known: dict[str, int], limit: int = BROADCAST_IDS) -> tuple[Model, Model]:
-    """Target and background models. ``target`` has the doc_id of the target's documents.
-
-    Up to ``limit`` target ids are broadcast; with more, the join shuffles. Counts are summed in Spark from what each
-    partition has; the driver gets VOCABULARY + SLOTS rows at most.
+    """Counts of the target and of the background (rows): words and contexts by slot, and the hot bigrams, sorted."""
+
+    words: np.ndarray
+    contexts: np.ndarray
+    hot: np.ndarray
+    of_hot: np.ndarray
+
+    def __post_init__(self):
+        self.base = K * (self.words + 1) / (self.words.sum(axis=1, keepdims=True) + np.count_nonzero(self.words[1]) + 1)
+
+    @property
+    def tokens(self) -> int:
+        return int(self.words[1].sum())
+
+    def seen(self, counts: np.ndarray, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The loss, in units, of bigrams (n of each) that are counted so often besides, but for their contexts."""
+        base = self.base[:, (pair & np.uint64(SLOTS - 1)).astype(np.int64)]
+        return np.rint(-UNIT * n * np.log(counts + base))
+
+
+def _pieces(batches):
+    for batch in batches:
+        for a, b in slices(batch, PIECE):
+            yield batch.slice(a, b - a)
+
+
+def _good(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("good").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _rows(n: int, **columns):
+    """Record batches of equal columns, in steps."""
+    for s in range(0, n, 65536):
+        yield pa.RecordBatch.from_arrays([pa.array(c[s : s + 65536]) for c in columns.values()], names=list(columns))
+
+
+def fit(docs: DataFrame, target: DataFrame, limit: int = BROADCAST_IDS) -> tuple[DataFrame, Model]:
+    """The rows (doc_id, text, good) and the model. ``target`` has the doc_id of the target's documents.
+
+    Up to ``limit`` target ids are broadcast; with more, the join shuffles. The driver gets the slots in use and the
+    hot bigrams: 2 * SLOTS + 4 / HOT_SHARE rows at most.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
-    rows = marked(docs, target, limit).select("text", F.col("good").isNotNull().alias("good"))
-    handle = spark.sparkContext.broadcast(known)
+    rows = marked(docs, target, limit).select("doc_id", "text", F.col("good").isNotNull().alias("good"))
 
     def count(batches):
-        known = handle.value
-        size = len(known) + 2
-        sums = [[np.zeros(size - 1, np.int64), np.zeros(size, np.int64), np.zeros(SLOTS, np.int64)] for _ in range(2)]
-        for batch in batches:
-            for a, b in slices(batch):
-                part = batch.slice(a, b - a)
-                ids, before, ends = _ids(part.column("text").to_pylist(), known)
-                good = np.repeat(part.column("good").to_numpy(zero_copy_only=False), np.diff(np.concatenate([[0], ends])))
-                slot = slots_of(before, ids)
-                for own, mask in zip(sums, (good, slice(None)), strict=True):
-                    for total, x in zip(own, (ids[mask], before[mask], slot[mask]), strict=True):
-                        total += np.bincount(x, minlength=len(total))
-        for kind in range(3):
-            t, g = sums[0][kind], sums[1][kind]
-            at = np.flatnonzero(g)
-            for s in range(0, len(at), 65536):
-                k = at[s : s + 65536]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(t[k]), pa.array(g[k])], names=["kind", "at", "target", "background"])
-
-    totals = rows.mapInArrow(count, "kind int, at long, target long, background long").groupBy("kind", "at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
-    models = Model(len(known)), Model(len(known))
-    kind, at = totals.column("kind").to_numpy(), totals.column("at").to_numpy()
-    for m, name in zip(models, ("target", "background"), strict=True):
-        n = totals.column(name).to_numpy()
-        for k, table in enumerate((m.words, m.contexts, m.slots)):
-            table[at[kind == k]] = n[kind == k]
-    return models
-
-
-def score(docs: DataFrame, known: dict[str, int], target: Model, background: Model) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score (nats per token) of every row of ``docs``."""
-    ship(docs.sparkSession)
-    handle = docs.sparkSession.sparkContext.broadcast((known, target, background))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+        sums = np.zeros((2, 2, SLOTS + 1), np.int64)
+        for part in _pieces(batches):
+            t = Tokens(part.column("text"))
+            good = np.repeat(_good(part), t.n).astype(bool)
+            for kind, at in enumerate((t.w, t.v)):
+                sums[kind, 0] += np.bincount(at[good], minlength=SLOTS + 1)
+                sums[kind, 1] += np.bincount(at, minlength=SLOTS + 1)
+            pair, n = np.unique(t.pair, return_counts=True)
+            some = n >= len(t.pair) * HOT_SHARE / 2
+            yield from _rows(int(some.sum()), kind=np.full(some.sum(), 2, np.int32), at=pair[some].view(np.int64), target=np.zeros(some.sum(), np.int64), background=n[some])
+        for kind in range(2):
+            at = np.flatnonzero(sums[kind, 1])
+            yield from _rows(len(at), kind=np.full(len(at), kind, np.int32), at=at, target=sums[kind, 0, at], background=sums[kind, 1, at])
+
+    told = rows.mapInArrow(count, "kind int, at long, target long, background long").groupBy("kind", "at").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    told = cut(told, "lm-counts")
+    slots = np.zeros((2, 2, SLOTS + 1), np.int64)
+    found = told.where("kind < 2").toArrow()
+    kind, at = found.column("kind").to_numpy(), found.column("at").to_numpy()
+    for m, name in enumerate(("target", "background")):
+        slots[kind, m, at] = found.column(name).to_numpy()
+    least = int(slots[0, 1].sum()) * HOT_SHARE / 2
+    hot = np.sort(told.where((F.col("kind") == 2) & (F.col("background") >= least)).select("at").toArrow().column("at").to_numpy().view(np.uint64))
+    handle = spark.sparkContext.broadcast(hot)
+
+    def count_hot(batches):
+        hot = handle.value
+        sums = np.zeros((2, len(hot)), np.int64)
+        for part in _pieces(batches):
+            t = Tokens(part.column("text"))
+            at, known = _find(hot, t.pair)
+            sums[0] += np.bincount(at[known & np.repeat(_good(part), t.n).astype(bool)], minlength=len(hot))
+            sums[1] += np.bincount(at[known], minlength=len(hot))
+        at = np.flatnonzero(sums[1])
+        yield from _rows(len(at), at=at, target=sums[0, at], background=sums[1, at])
+
+    of_hot = np.zeros((2, len(hot)), np.int64)
+    if len(hot):
+        exact = rows.mapInArrow(count_hot, "at long, target long, background long").groupBy("at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
+        for m, name in enumerate(("target", "background")):
+            of_hot[m, exact.column("at").to_numpy()] = exact.column(name).to_numpy()
+    return rows, Model(slots[0, :, :SLOTS], slots[1], hot, of_hot)
+
+
+def _find(hot: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs among the hot ones, and whether they are there."""
+    if not len(hot):
+        return np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
+    at = np.minimum(np.searchsorted(hot, pair), len(hot) - 1)
+    return at, hot[at] == pair
+
+
+def _dealt(rows: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """For each piece of texts and bucket, its documents' bigrams that aren't hot; and once a piece, what is known of each
+    document already: its number of tokens and the loss by contexts and hot bigrams.
+
+    Columns: bucket; row, good (by document: its key, whether the target has it); pair, at, n (by bigram: hash, place of the document
+    above, how often) as little-endian numbers; ids, size, lost (target and background), of the second sort of rows.
+    """
+    handle = rows.sparkSession.sparkContext.broadcast(model)
+    key = rows.schema["doc_id"].dataType
+    binary = ("row", "good", "pair", "at", "n")
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in binary], T.StructField("ids", T.ArrayType(key)), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("size", "target", "background")]])
+
+    def run(batches):
+        m = handle.value
+        for part in _pieces(batches):
+            t, good, names = Tokens(part.column("text")), _good(part), part.column("key").to_numpy()
+            rows, v, n = _by_row(t.row, t.v)
+            lost = np.zeros((2, len(names)))
+            own = np.stack([n * good[rows], n])
+            for k, x in enumerate(np.rint(UNIT * n * np.log(m.contexts[:, v] - own + K))):
+                lost[k] += np.bincount(rows, weights=x, minlength=len(names))
+            rows, pair, n = _by_row(t.row, t.pair)
+            at, known = _find(m.hot, pair)
+            own = np.stack([n * good[rows], n])[:, known]
+            for k, x in enumerate(m.seen(m.of_hot[:, at[known]] - own, pair[known], n[known])):
+                lost[k] += np.bincount(rows[known], weights=x, minlength=len(names))
+            rows, pair, n = rows[~known], pair[~known], n[~known]
+            bucket = ((pair >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            rows, pair, n, bucket = rows[order], pair[order], n[order], bucket[order]
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
+            out = []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                docs, place = np.unique(rows[a:b], return_inverse=True)
+                out.append((int(bucket[a]), names[docs].tobytes(), good[docs].astype("u1").tobytes(), pair[a:b].tobytes(), place.astype("<u4").tobytes(), n[a:b].astype("<u4").tobytes()))
+            for s in range(0, len(out), 256):
+                columns = list(zip(*out[s : s + 256], strict=True))
+                none = [pa.nulls(len(columns[0]), f) for f in types[6:]]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]], *none], names=schema.names)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), c) for c in (part.column("ids"), *(pa.array(x.astype(np.int64)) for x in (t.n, *lost)))]
+            first = int(np.uint64(names.view(np.uint64)[0]) % np.uint64(buckets)) if len(names) else 0
+            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([names.tobytes()], pa.binary()), *[pa.nulls(1, pa.binary())] * 4, *lists], names=schema.names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
+    keyed = rows.select(F.col("doc_id").alias("ids"), "text", "good", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    return keyed.mapInArrow(run, schema)
+
+
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score (nats per token) of every row (doc_id, text, good)."""
+    spark = rows.sparkSession
+    ship(spark)
+    handle = spark.sparkContext.broadcast(model)
+    buckets = max(8, -(-model.tokens // BUCKET_TOKENS))
+    dealt = _dealt(rows, model, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    key = rows.schema["doc_id"].dataType.simpleString()
+    names = ["key", "doc_id", "copies", "n", "target", "background"]
 
     def run(batches):
-        known, target, background = handle.value
-        for batch in batches:
-            for a, b in slices(batch):
-                part = batch.slice(a, b - a)
-                ids, before, ends = _ids(part.column("text").to_pylist(), known)
-                slot = slots_of(before, ids)
-                n = np.diff(np.concatenate([[0], ends]))
-                row = np.repeat(np.arange(len(n)), n)
-                lost = [np.bincount(row, weights=m.losses(ids, before, slot), minlength=len(n)) / np.maximum(n, 1) for m in (target, background)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), *[pa.array(np.round(x, 6)) for x in (*lost, lost[0] - lost[1])]], names=names)
+        m = handle.value
+        for table, edges in whole_runs(batches, ["bucket"], rows=1):
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                part = table.slice(a, b - a)
+                whole = part.filter(part.column("ids").is_valid())
+                for r in range(whole.num_rows):
+                    get = lambda c, r=r: whole.column(c)[r].values  # noqa: B023, E731
+                    name = np.frombuffer(whole.column("row")[r].as_py(), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(name), get("ids"), pa.array(np.ones(len(name), np.int64)), get("size"), get("target"), get("background")], names=names)
+                part = part.filter(part.column("pair").is_valid())
+                if not part.num_rows:
+                    continue
+                read = lambda c, kind: [np.frombuffer(x, kind) for x in part.column(c).to_pylist()]  # noqa: B023, E731
+                docs, places = read("row", np.int64), read("at", "<u4")
+                first = np.cumsum([0, *map(len, docs)])[:-1]
+                doc, place = np.concatenate(docs), np.concatenate([p + f for p, f in zip(places, first, strict=True)])
+                good = np.concatenate(read("good", "u1")).astype(np.int64)[place]
+                pair, n = np.concatenate(read("pair", np.uint64)), np.concatenate(read("n", "<u4")).astype(np.int64)
+                _, of = np.unique(pair, return_inverse=True)
+                own = np.stack([n * good, n])
+                counts = np.stack([np.bincount(of, weights=x)[of] for x in own]) - own
+                lost = [np.bincount(place, weights=x, minlength=len(doc)).astype(np.int64) for x in m.seen(counts, pair, n)]
+                zero = np.zeros(len(doc), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.nulls(len(doc), table.schema.field("ids").type.value_type), pa.array(zero), pa.array(zero), *map(pa.array, lost)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    told = dealt.mapInArrow(run, f"key long, doc_id {key}, copies long, n long, target long, background long")
+    sums = told.groupBy("key").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in names[2:]])
+    loss = lambda c: F.when(F.col("n") > 0, F.round(F.col(c) / UNIT / F.col("n"), 6)).otherwise(0.0)
+    out = sums.select("doc_id", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), loss("target").alias("target_loss"), loss("background").alias("background_loss"), F.when(F.col("n") > 0, F.round((F.col("target") - F.col("background")) / UNIT / F.col("n"), 6)).otherwise(0.0).alias("score"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_"))
+    return out.drop("_")
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of every document; the target is the documents that ``labels`` gives quality 1."""
-    known = vocabulary_of(docs)
-    return score(docs, known, *fit(docs, labels.where("quality = 1"), known))
+    return score(*fit(docs, labels.where("quality = 1")))

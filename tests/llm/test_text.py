@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import re
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from millrace.llm import language_id, lm_scoring, quality, secret_scan
 from millrace.llm.shared import shared_dir
@@ -115,9 +118,8 @@ def test_all_trusted_documents_count(spark):
     trusted = docs.where("doc_id % 2 = 0").select("doc_id")
     for fit in (quality.fit, quality.cross_fit):
         assert fit(docs, trusted, 1 << 10, 1).collect() == fit(docs, trusted, 1 << 10).collect()
-    known = lm_scoring.vocabulary_of(docs)
-    few, all_ = lm_scoring.fit(docs, trusted, known, 1), lm_scoring.fit(docs, trusted, known)
-    assert few[0].words.sum() == 100 and all((a.slots == b.slots).all() and (a.words == b.words).all() for a, b in zip(few, all_, strict=True))
+    few, all_ = lm_scoring.fit(docs, trusted, 1)[1], lm_scoring.fit(docs, trusted)[1]
+    assert few.words[0].sum() == 100 and (few.words == all_.words).all() and (few.of_hot == all_.of_hot).all()
 
 
 def test_long_windows(spark):
@@ -229,40 +231,54 @@ def test_rare_tags_are_not_learned(spark):
     assert len(language_id.fit(docs).languages) > 5
 
 
-def test_lm_scores(spark):
-    docs = edge.documents(spark)
+def by_definition(rows, target):
+    """Losses of each row by the module's definition, over words as strings."""
+    split = lambda t: [w for w in re.sub("[A-Z]", lambda m: m[0].lower(), t or "").replace("\t", " ").replace("\n", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]
+    texts = [(i, split(t)) for i, t in rows]
+    pairs = lambda w: list(zip([None, *w], w, strict=False))
+    models = []
+    for chosen in (target, None):
+        of = [w for i, w in texts if chosen is None or i in chosen]
+        models.append((Counter(x for w in of for x in w), Counter(v for w in of for v, _ in pairs(w)), Counter(p for w in of for p in pairs(w)), chosen))
+    size = len(models[1][0]) + 1
+    out = []
+    for i, w in texts:
+        own, lost = Counter(pairs(w)), []
+        context = Counter(v for v, _ in pairs(w))
+        for one, contexts, bigrams, chosen in models:
+            mine = 1 if chosen is None or i in chosen else 0
+            total = 0.0
+            for v, x in pairs(w):
+                base = 20 * (one[x] + 1) / (one.total() + size)
+                total -= math.log((bigrams[v, x] - mine * own[v, x] + base) / (contexts[v] - mine * context[v] + 20))
+            lost.append(total / max(1, len(w)))
+        out.append((i, len(w), *lost))
+    return out
+
+
+@pytest.mark.parametrize("share", [lm_scoring.HOT_SHARE, 0.002, 2.0])
+def test_lm_scores(spark, monkeypatch, share):
+    """All bigrams hot, some, or none: the same scores, those of the definition."""
+    monkeypatch.setattr(lm_scoring, "HOT_SHARE", share)
+    docs = edge.documents(spark).repartition(3)
     target = spark.createDataFrame([(6,), (9,), (None,)], "doc_id long")
-    known = lm_scoring.vocabulary_of(docs, 50)
-    models = lm_scoring.fit(docs, target, known)
-    got = {(r.doc_id, r.n_tokens): r for r in lm_scoring.score(docs, known, *models).collect()}
-    rows = [(r.doc_id, [w for w in (r.text or "").lower().replace("\t", " ").replace("\n", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]) for r in docs.collect()]
-    losses = []
-    for chosen in ((6, 9), None):
-        one, context, slot = {}, {}, {}
-        for i, w in rows:
-            if chosen is None or i in chosen:
-                before = len(known) + 1
-                for x in w:
-                    k = known.get(x, 0)
-                    s = int(lm_scoring.slots_of(np.array([before]), np.array([k]))[0])
-                    one[k], context[before], slot[s] = one.get(k, 0) + 1, context.get(before, 0) + 1, slot.get(s, 0) + 1
-                    before = k
-        n = sum(one.values())
-
-        def loss(w, one=one, context=context, slot=slot, n=n):
-            before, total = len(known) + 1, 0.0
-            for x in w:
-                k = known.get(x, 0)
-                s = int(lm_scoring.slots_of(np.array([before]), np.array([k]))[0])
-                p1 = (one.get(k, 0) + 1) / (n + len(known) + 1)
-                c = context.get(before, 0)
-                total -= math.log((min(slot.get(s, 0), c) + lm_scoring.K * p1) / (c + lm_scoring.K))
-                before = k
-            return total / max(1, len(w))
-
-        losses.append(loss)
-    for i, w in rows[:10] + rows[11:]:
-        r = got[i, len(w)]
-        assert abs(r.target_loss - losses[0](w)) < 2e-6 and abs(r.background_loss - losses[1](w)) < 2e-6
-        assert abs(r.score - (r.target_loss - r.background_loss)) < 3e-6
+    rows, model = lm_scoring.fit(docs, target)
+    assert (share == lm_scoring.HOT_SHARE and len(model.hot) > 0) if share < 1 else len(model.hot) == 0
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens), r.target_loss, r.background_loss, r.score) for r in lm_scoring.score(rows, model).collect())
+    want = sorted(((i is None, i or 0, n), t, b) for i, n, t, b in by_definition([(r.doc_id, r.text) for r in docs.collect()], {6, 9}))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    for g, w in zip(got, want, strict=True):
+        # a word or two may share a slot of the smoothing
+        assert abs(g[1] - w[1]) < 2e-3 and abs(g[2] - w[2]) < 2e-3 and abs(g[3] - (g[1] - g[2])) < 3e-6
     assert lm_scoring.cross_entropy_difference(edge.empty(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_lm_scores_tell_documents_that_occur_twice(spark):
+    """Each text is like every other, but some are there twice, far apart."""
+    rows = [(k, " ".join(f"{edge.prose(k, 3)} q{(k * 7919 + i * 104729) % 5003}" for i in range(60))) for k in range(200)]
+    rows += [(1000 + k, rows[k][1]) for k in range(0, 200, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(1, 200, 3) if k % 20], "doc_id long, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in lm_scoring.cross_entropy_difference(docs, labels).collect()}
+    twice = [s for k, s in scores.items() if k % 20 == 0]
+    assert min(twice) > max(s for k, s in scores.items() if k % 20)
