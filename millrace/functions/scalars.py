@@ -72,6 +72,12 @@ def result_json(ok: Column, value: Column) -> Column:
     return F.when(ok, good).otherwise(F.to_json(F.struct(cap_text_column(F.coalesce(value, F.lit(""))).alias("Err"))))
 
 
+def timestamp_of(seconds: Column) -> Column:
+    """The timestamp, without zone, that lies so many seconds (a double) after 1970, to the microsecond."""
+    whole = F.round(seconds * F.lit(1e6)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=whole.cast("decimal(18,6)"))
+
+
 def epoch_seconds(at: Column) -> Column:
     """Seconds since 1970 as a whole number; null and earlier times are 0."""
     s = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at)

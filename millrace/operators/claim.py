@@ -1,7 +1,7 @@
 """Claims and locks: which tasks a worker takes, and the table afterwards.
 
 A claim's order is priority (high first), run_at, then id. With a limit the plan is a top-k, so that no global sort
-happens; the next state meets the few claimed ids by a broadcast that the limit bounds.
+happens; the next state meets the claimed ids by a broadcast as long as the limit says that they are few.
 """
 
 from __future__ import annotations
@@ -21,23 +21,30 @@ def _order():
     return (F.col("priority").desc(), F.col("run_at").asc(), F.col("id").asc())
 
 
-def _taken(rows: DataFrame, worker: str, now, status: str, clear_done: bool) -> DataFrame:
+#: Claimed ids that a broadcast may hold.
+BROADCAST_IDS = 100_000
+
+
+def _changes(worker: str, now, status: str, clear_done: bool) -> dict[str, Column]:
     new = {"status": F.lit(status), "lock_by": F.lit(worker), "lock_at": to_second(instant(now))}
-    if clear_done:
-        new["done_at"] = null_of("timestamp_ntz")
-    return rows.withColumns(new).select(*[f.name for f in JOBS])
+    return new | {"done_at": null_of("timestamp_ntz")} if clear_done else new
+
+
+def _taken(rows: DataFrame, worker: str, now, status: str, clear_done: bool) -> DataFrame:
+    return rows.withColumns(_changes(worker, now, status, clear_done)).select(*[f.name for f in JOBS])
 
 
-def _after(jobs: DataFrame, affected: DataFrame, bounded: bool) -> DataFrame:
-    ids = affected.select("id")
-    return jobs.join(F.broadcast(ids) if bounded else ids, "id", "left_anti").unionByName(affected)
+def _after(jobs: DataFrame, affected: DataFrame) -> DataFrame:
+    return jobs.join(affected.select("id"), "id", "left_anti").unionByName(affected)
 
 
 def claim(jobs: DataFrame, queue: str, worker: str, limit: int, now: datetime | str, status: str = "Running", clear_done: bool = True) -> Transition:
     """Takes up to ``limit`` (at least one) due, claimable tasks of a queue for a worker."""
     rows = jobs.where(in_queue(queue) & claimable() & due(now)).orderBy(*_order()).limit(max(limit, 1))
-    affected = _taken(rows, worker, now, status, clear_done)
-    return Transition(affected, _after(jobs, affected, bounded=True))
+    ids = rows.select("id", F.lit(True).alias("_taken"))
+    marked = jobs.join(F.broadcast(ids) if limit <= BROADCAST_IDS else ids, "id", "left")
+    new = {c: F.when(F.col("_taken"), x).otherwise(F.col(c)) for c, x in _changes(worker, now, status, clear_done).items()}
+    return Transition(_taken(rows, worker, now, status, clear_done), marked.withColumns(new).select(*[f.name for f in JOBS]))
 
 
 def fetch_next(jobs: DataFrame, config: Config, worker: str, now: datetime | str) -> Transition:
@@ -54,7 +61,7 @@ def claim_by_ids(jobs: DataFrame, queue: str, ids: DataFrame, worker: str, now:
     wanted = ids.toDF("id").distinct()
     rows = jobs.where(in_queue(queue) & claimable() & due(now)).join(wanted, "id", "left_semi")
     affected = _taken(rows, worker, now, "Running", clear_done=True)
-    return Transition(affected, _after(jobs, affected, bounded=False))
+    return Transition(affected, _after(jobs, affected))
 
 
 def locked_rows(jobs: DataFrame, ids: DataFrame, worker: str, now: datetime | str, queue: str | None = None) -> DataFrame:
@@ -67,7 +74,7 @@ def locked_rows(jobs: DataFrame, ids: DataFrame, worker: str, now: datetime | st
 
 def lock_tasks(jobs: DataFrame, ids: DataFrame, worker: str, now: datetime | str, queue: str | None = None) -> Transition:
     affected = locked_rows(jobs, ids, worker, now, queue)
-    return Transition(affected, _after(jobs, affected, bounded=False))
+    return Transition(affected, _after(jobs, affected))
 
 
 def lock_task(jobs: DataFrame, task_id: str, worker: str, now: datetime | str, queue: str | None = None) -> Transition:

@@ -39,9 +39,11 @@ def over_caps(rows: DataFrame) -> DataFrame:
 def split_conflicts(jobs: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` with the column fresh: false for a key that the queue has already, stored or earlier (by id) in the batch.
 
-    The stored side is asked only for its keys; both sides meet by (queue, key). An empty key is a key.
+    Of the stored side only the keys that the batch has are looked at, once each; both sides meet by (queue, key). An
+    empty key is a key.
     """
-    keys = jobs.where("idempotency_key is not null").select("job_type", "idempotency_key", F.lit(True).alias("stored"))
+    asked = rows.where("idempotency_key is not null").select("job_type", "idempotency_key")
+    keys = jobs.where("idempotency_key is not null").select("job_type", "idempotency_key").join(asked, ["job_type", "idempotency_key"], "left_semi").distinct().withColumn("stored", F.lit(True))
     first = F.row_number().over(Window.partitionBy("job_type", "idempotency_key").orderBy("id"))
     keyed = rows.where("idempotency_key is not null").withColumn("nth", first).join(keys, ["job_type", "idempotency_key"], "left")
     keyed = keyed.select(*rows.columns, (F.col("stored").isNull() & (F.col("nth") == 1)).alias("fresh"))

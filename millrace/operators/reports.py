@@ -88,6 +88,7 @@ def measures(now: datetime | str) -> dict[str, Column]:
         "SUCCESS_RATE_PAST_24H": ratio(n(_is("Done") & day), n(day)),
         "AVG_JOBS_PER_HOUR_PAST_24H": F.round(n(day) / 24.0, 2),
         "AVG_JOBS_PER_DAY_PAST_7D": F.round(n(week) / 7.0, 2),
+        "PEAK_HOUR_JOBS": F.greatest(*[n(F.hour("run_at") == h) for h in range(24)]),
         "MOST_RECENT_JOB": F.max("run_at"),
         "OLDEST_PENDING_JOB": F.min(F.when(pending_due, F.col("run_at"))),
     }
@@ -109,7 +110,7 @@ def metrics(jobs: DataFrame, now: datetime | str, queue: str | None = None, as_r
     Times are seconds since 1970. ``as_real`` rounds values to single precision. An empty queue has all rows, too.
     """
     rows = jobs.where(in_queue(queue))
-    wide = rows.agg(*[m.alias(k) for k, m in measures(now).items()]).crossJoin(F.broadcast(peak_hour(rows)))  # one row each
+    wide = rows.agg(*[m.alias(k) for k, m in measures(now).items()])
     listed = [(t, kind, p) for t, kind, _, p in CATALOGUE if not t.startswith("DB_")]
     value = lambda t, kind: (_epoch(F.col(t)) if kind == "Timestamp" else F.col(t)).cast("double")
     stats = F.array(*[F.struct(F.lit(t).alias("title"), F.lit(kind).alias("stat_type"), F.coalesce(value(t, kind), F.lit(0.0)).alias("value"), F.lit(p).alias("priority")) for t, kind, p in listed])
@@ -120,10 +121,10 @@ def metrics(jobs: DataFrame, now: datetime | str, queue: str | None = None, as_r
 def storage_statistics(jobs: DataFrame) -> DataFrame:
     """DB_PAGE_SIZE, DB_PAGE_COUNT and DB_SIZE of the files that hold ``jobs``, as metrics rows."""
     spark = jobs.sparkSession
-    jvm, conf, size = spark._jvm, spark._jsc.hadoopConfiguration(), 0
-    for name in jobs.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    conf, size, files = spark._jsc.hadoopConfiguration(), 0, set(jobs.inputFiles())
+    for folder in sorted({name.rsplit("/", 1)[0] for name in files}):  # one call a folder
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        size += sum(s.getLen() for s in at.getFileSystem(conf).listStatus(at) if s.getPath().toUri().toString() in files)
     rows = [("DB_PAGE_SIZE", "Number", float(PAGE_SIZE), 9), ("DB_PAGE_COUNT", "Number", float(-(-size // PAGE_SIZE)), 9), ("DB_SIZE", "Number", float(size), 9)]
     return spark.createDataFrame(rows, "title string, stat_type string, value double, priority int")
 
@@ -170,16 +171,24 @@ def daily_activity(jobs: DataFrame, now: datetime | str) -> DataFrame:
     return days.groupBy("job_type").agg(F.transform(F.array_sort(F.collect_list(F.struct("day", "n"))), lambda x: x["n"]).alias("activity"))
 
 
+def queue_details(jobs: DataFrame, now: datetime | str) -> DataFrame:
+    """job_type, workers and activity, as ``locked_workers`` and ``daily_activity`` tell them, from one pass."""
+    week = F.when(since(now, WEEK), F.to_date("run_at")).alias("day")
+    days = jobs.groupBy("job_type", week).agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(is_active(), F.col("lock_by"))).alias("locked"))
+    counts = F.array_sort(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n"))))
+    return days.groupBy("job_type").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("locked")))).alias("workers"), F.transform(counts, lambda x: x["n"]).alias("activity"))
+
+
 def list_queues(jobs: DataFrame, workers: DataFrame, now: datetime | str) -> DataFrame:
     """name, stats, workers, activity of every queue, by name; what a queue lacks is an empty array.
 
-    The three sides have a row for each queue, so that the joins are small whatever the jobs' number.
+    Two passes over the jobs: one for the statistics, one for what is listed by day and worker. The sides have a row
+    for each queue, so that the joins are small whatever the jobs' number.
     """
-    item = F.struct("priority", F.col("_nth").alias("nth"), "title", "stat_type", "value")
-    order = F.create_map(*[x for k, (t, *_) in enumerate(CATALOGUE) for x in (F.lit(t), F.lit(k))])
-    stats = queue_statistics(jobs, now).withColumn("_nth", order[F.col("title")]).groupBy("job_type").agg(F.array_sort(F.collect_list(item)).alias("s"))
-    stats = stats.select("job_type", F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["stat_type"].alias("stat_type"), x["value"].alias("value"), x["priority"].alias("priority"))).alias("stats"))
-    out = queue_names(jobs, workers).join(stats, "job_type", "left").join(locked_workers(jobs), "job_type", "left").join(daily_activity(jobs, now), "job_type", "left")
+    listed = sorted(((t, kind, lq) for t, kind, lq, _ in CATALOGUE if lq is not None), key=lambda x: x[2])
+    stats = F.array(*[F.struct(F.lit(t).alias("title"), F.lit(kind).alias("stat_type"), _as_text(t, kind).alias("value"), F.lit(p).alias("priority")) for t, kind, p in listed])
+    known = queue_rollup(jobs, now).select("job_type", stats.alias("stats")).join(queue_details(jobs, now), "job_type")
+    out = known.join(workers.select(F.col("worker_type").alias("job_type")).distinct(), "job_type", "full_outer")
     empty = lambda kind: F.array().cast(f"array<{kind}>")
     return out.select(
         F.col("job_type").alias("name"),

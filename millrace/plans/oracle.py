@@ -36,7 +36,7 @@ SELECT lpad(concat('n', CAST(event_id AS VARCHAR)), 26, '0') AS id, event_type A
        CAST(ts AS TIMESTAMP) AS run_at, CAST(user_id % 4 AS INT) AS priority,
        CASE WHEN event_id % 4 = 0 THEN concat('k-', CAST(event_id AS VARCHAR))
             WHEN event_id % 4 = 1 THEN concat('b-', CAST(event_id % 90 AS VARCHAR)) END AS idempotency_key
-FROM events WHERE event_id % 5 = 0"""
+FROM events"""
 
 ACKS = """
 SELECT id AS task_id, job_type AS queue, lock_by AS worker_id,
@@ -45,22 +45,30 @@ SELECT id AS task_id, job_type AS queue, lock_by AS worker_id,
        CASE WHEN lock_by = 'w-5' THEN 'wrong' WHEN lock_by = 'w-6' THEN NULL ELSE concat('t-', right(lock_by, 1)) END AS lease_token
 FROM jobs WHERE status = 'Running'"""
 
+ACKS_AGAIN = """
+SELECT task_id, queue, worker_id, lock_at - INTERVAL '1 hour' AS lock_at, started_attempts, ok, lease_token FROM acks
+UNION ALL SELECT task_id, queue, worker_id, lock_at, started_attempts, ok, lease_token FROM acks
+UNION ALL SELECT task_id, queue, worker_id, lock_at, started_attempts, NOT ok, lease_token FROM acks WHERE started_attempts % 2 = 0"""
+
 REQUESTS = """
 SELECT id, worker_type, 'Other' AS storage_name, 'L' AS layers, lease_token
 FROM (VALUES ('w-new', 'click', 't-n'), ('w-1', 'click', 't-1'), ('w-7', 'click', 't-x'), ('w-6', 'view', 't-y'), ('w-0', 'view', 't-z')) v(id, worker_type, lease_token)"""
 
 BROKEN = """
-SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 97 = 0 THEN -1 ELSE priority END AS priority,
+SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 89 = 1 THEN 'Lost' ELSE status END AS status,
+                  CASE WHEN CAST(id AS BIGINT) % 83 = 2 THEN -1 WHEN CAST(id AS BIGINT) % 79 = 3 THEN max_attempts + 1 ELSE attempts END AS attempts,
+                  CASE WHEN CAST(id AS BIGINT) % 73 = 4 THEN 0 ELSE max_attempts END AS max_attempts,
+                  CASE WHEN CAST(id AS BIGINT) % 97 = 0 THEN -1 ELSE priority END AS priority,
                   CASE WHEN lock_by = 'w-4' THEN 'w-x' ELSE lock_by END AS lock_by,
                   CASE WHEN CAST(id AS BIGINT) % 50 = 0 THEN 'same' ELSE idempotency_key END AS idempotency_key) FROM jobs"""
 
-_PARTS = {"jobs": JOBS, "workers": WORKERS, "batch": BATCH, "acks": ACKS, "requests": REQUESTS, "broken": BROKEN}
-_NEEDS = {"acks": ("jobs",), "broken": ("jobs",)}
+_PARTS = {"jobs": JOBS, "workers": WORKERS, "batch": BATCH, "acks": ACKS, "acks_again": ACKS_AGAIN, "requests": REQUESTS, "broken": BROKEN}
+_NEEDS = {"acks": ("jobs",), "acks_again": ("jobs", "acks"), "broken": ("jobs",)}
 _COLUMNS = "id, job_type, status, attempts, max_attempts, run_at, last_result, lock_at, lock_by, done_at, priority, idempotency_key"
 _CLAIMABLE = "(status = 'Pending' OR (status = 'Failed' AND attempts < max_attempts))"
 _TERMINAL = "(status IN ('Done', 'Killed') OR (status = 'Failed' AND attempts >= max_attempts))"
 _DUE = f"run_at <= {_NOW}"
-_IDS = "SELECT id FROM jobs WHERE CAST(id AS BIGINT) % 7 = 0"
+_IDS = "SELECT id FROM jobs UNION ALL SELECT concat('x', substring(id, 2, 25)) FROM jobs"
 _STALE = f"last_seen <= {_NOW} - {ORPHAN_SECONDS} * INTERVAL '1' SECOND"
 
 
@@ -145,6 +153,19 @@ _LOCK = f"SELECT id, job_type, 'Running' AS status, attempts, CASE WHEN {_MINE}
 _FRESH = "SELECT b.*, idempotency_key IS NULL OR (row_number() OVER (PARTITION BY job_type, idempotency_key ORDER BY id) = 1 AND NOT EXISTS (SELECT 1 FROM jobs j WHERE j.job_type = b.job_type AND j.idempotency_key = b.idempotency_key)) AS fresh FROM batch b"
 
 
+_RULES = {
+    "status": "status NOT IN ('Pending', 'Queued', 'Running', 'Done', 'Failed', 'Killed')",
+    "attempts": "attempts < 0",
+    "max_attempts": "max_attempts <= 0",
+    "attempts_of_max": "attempts > max_attempts",
+    "priority": "priority < 0",
+}
+_JUDGED = f"""SELECT a.*, j.max_attempts, j.attempts, j.lock_by AS held,
+       j.id IS NOT NULL AND row_number() OVER (PARTITION BY a.task_id, a.queue, a.worker_id, a.started_attempts, j.id IS NOT NULL ORDER BY a.ok DESC) = 1 AS applied
+FROM acks_again a LEFT JOIN jobs j ON {_MATCH}"""
+_LISTED = sorted(_QUEUE_STATS, key=lambda x: x[2])
+
+
 def _register(update: str, refused: str, seen: str, lease: str) -> str:
     asked, stored = "r.id IS NOT NULL", "w.id IS NOT NULL"
     take = f"({asked} AND (NOT {stored} OR {update}))"
@@ -177,6 +198,12 @@ FROM (SELECT *, id IN (SELECT id FROM jobs WHERE job_type = 'click' AND {_CLAIMA
        CAST(j.attempts + 1 AS INT) AS attempts, j.max_attempts, {_NOW} AS done_at, j.lock_by, j.lock_at FROM jobs j JOIN acks a ON {_MATCH}""",
         ),
         "ack_stale": _with("jobs workers acks", f"SELECT task_id, queue, worker_id, started_attempts FROM acks a WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE {_MATCH})"),
+        "ack_again": _with(
+            "jobs workers acks_again",
+            f"""SELECT task_id AS id, queue AS job_type, CASE WHEN ok THEN 'Done' WHEN max_attempts > attempts + 1 THEN 'Failed' ELSE 'Killed' END AS status, CAST(attempts + 1 AS INT) AS attempts,
+       {_NOW} AS done_at, CASE WHEN ok THEN '{{"Ok":null}}' ELSE '{{"Err":""}}' END AS last_result FROM ({_JUDGED}) WHERE applied""",
+        ),
+        "ack_again_stale": _with("jobs workers acks_again", f"SELECT task_id, queue, worker_id, lock_at, started_attempts, ok FROM ({_JUDGED}) WHERE NOT applied"),
         "orphan_sweep": _with(
             "jobs workers",
             f"""SELECT id, job_type, CASE WHEN {_OVER} THEN 'Killed' ELSE 'Pending' END AS status, CAST(least(attempts + 1, max_attempts) AS INT) AS attempts,
@@ -192,9 +219,15 @@ FROM (SELECT *, {_ORPHAN} AS o FROM jobs) GROUP BY 1, 2""",
         "admin_register_upsert": _register("w.lease_token IS NULL", "kept", "CASE WHEN {stored} THEN w.last_seen ELSE " + _NOW + " END", "w.lease_token"),
         "keep_alive": _with("workers", f"SELECT * REPLACE (CASE WHEN lease_token IS NOT NULL AND id NOT IN ('w-2', 'w-3') THEN {_NOW} ELSE last_seen END AS last_seen) FROM workers"),
         "enqueue_dedup": _with("jobs batch", f"SELECT id, job_type, 'Pending' AS status, CAST(0 AS INT) AS attempts, max_attempts, run_at, priority, idempotency_key FROM ({_FRESH}) WHERE fresh"),
+        "enqueue_all": _with("batch", "SELECT id, job_type, 'Pending' AS status, CAST(0 AS INT) AS attempts, max_attempts, run_at, priority, CAST(NULL AS VARCHAR) AS idempotency_key FROM batch"),
+        "notify_payloads": _with(
+            "jobs",
+            f"""SELECT job_type, concat('{{"job_type":"', job_type, '","ids":["', string_agg(id, '","' ORDER BY id), '"]}}') AS payload
+FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id) - 1) // 100 AS chunk FROM jobs WHERE status = 'Pending' AND {_DUE}) GROUP BY job_type, chunk""",
+        ),
         "enqueue_conflicts": _with("jobs batch", f"SELECT id, job_type, idempotency_key FROM ({_FRESH}) WHERE NOT fresh"),
         "notify_batches": _with("jobs", f"SELECT job_type, chunk, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id) - 1) // 100 AS chunk FROM jobs WHERE status = 'Pending' AND {_DUE}) GROUP BY job_type, chunk"),
-        "notify_decode": "SELECT event_type AS job_type, lpad(CAST(event_id AS VARCHAR), 26, '0') AS ids FROM events WHERE event_id < 400 AND event_id % 4 < 2",
+        "notify_decode": "SELECT event_type AS job_type, lpad(CAST(event_id AS VARCHAR), 26, '0') AS ids FROM events WHERE event_id % 4 < 2",
         "fetch_by_id": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE id = lpad('3', 26, '0') AND job_type IN ('click', 'view', 'purchase')"),
         "list_tasks_page1": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Done' {row((20, 0))}"),
         "list_tasks_page2": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Pending' {row((20, 20))}"),
@@ -202,7 +235,7 @@ FROM (SELECT *, {_ORPHAN} AS o FROM jobs) GROUP BY 1, 2""",
         "list_workers": _with("workers", f"{_LISTED_WORKERS} WHERE worker_type = 'click'"),
         "list_all_workers": _with("workers", _LISTED_WORKERS),
         "check_status": _with("jobs", f"SELECT id, status, last_result AS result FROM jobs WHERE {_TERMINAL} AND id IN ({_IDS})"),
-        "wait_remaining": _with("jobs", f"{_IDS} AND NOT {_TERMINAL}"),
+        "wait_remaining": _with("jobs", f"SELECT id FROM ({_IDS}) WHERE id NOT IN (SELECT id FROM jobs WHERE {_TERMINAL})"),
         "metrics_global": _metrics("TRUE"),
         "metrics_by_queue": _metrics("job_type = 'click'"),
         "metrics_empty_queue": _metrics("job_type = 'no-such-queue'"),
@@ -220,6 +253,13 @@ FROM (SELECT *, {_ORPHAN} AS o FROM jobs) GROUP BY 1, 2""",
             f"""SELECT q.job_type AS name, CASE WHEN j.job_type IS NULL THEN 0 ELSE CAST({len(_QUEUE_STATS)} AS BIGINT) END AS n_stats, CASE WHEN j.job_type IS NULL THEN '' ELSE '{_TITLES}' END AS titles,
        coalesce(l.workers, '') AS workers, coalesce(a.activity, '') AS activity
 FROM ({_QUEUES}) q LEFT JOIN (SELECT DISTINCT job_type FROM jobs) j ON j.job_type = q.job_type LEFT JOIN ({_LOCKED}) l ON l.job_type = q.job_type LEFT JOIN ({_ACTIVITY}) a ON a.job_type = q.job_type""",
+        ),
+        "queue_info": _with(
+            "jobs workers",
+            f"""SELECT q.job_type AS name, coalesce(l.workers, '') AS workers, coalesce(a.activity, '') AS activity, CAST(v.nth AS INT) AS nth, v.title, v.stat_type, v.number, CAST(v.priority AS INT) AS priority
+FROM ({_QUEUES}) q LEFT JOIN ({_LOCKED}) l ON l.job_type = q.job_type LEFT JOIN ({_ACTIVITY}) a ON a.job_type = q.job_type
+LEFT JOIN (SELECT job_type, nth, title, stat_type, number, priority FROM (SELECT job_type, {', '.join(f'{_STATS[t]} AS {t}' for t, _, _ in _QUEUE_STATS)} FROM jobs GROUP BY job_type) w,
+  LATERAL (VALUES {', '.join(f"({k}, '{t}', '{kind}', {'CAST(NULL AS DOUBLE)' if kind == 'Timestamp' else f'CAST({t} AS DOUBLE)'}, {p})" for k, (t, kind, p) in enumerate(_LISTED))}) v(nth, title, stat_type, number, priority)) v ON v.job_type = q.job_type""",
         ),
         "snapshot": _with(
             "jobs",
@@ -233,7 +273,7 @@ FROM ({_QUEUES}) q LEFT JOIN (SELECT DISTINCT job_type FROM jobs) j ON j.job_typ
         "repair_orphan_locks": _with("jobs", f"SELECT id, job_type, 'Pending' AS status, CAST(NULL AS VARCHAR) AS lock_by, {_NO_TIME} AS lock_at FROM jobs WHERE status IN ('Running', 'Queued') AND lock_by IN ('w-2', 'w-5')"),
         "backfill": _with("jobs", "SELECT CAST(coalesce(nullif(priority, 2), 0) AS INT) AS priority, count(*) AS n, max(lock_at) AS last_lock FROM jobs GROUP BY 1"),
         "dedupe_workers": _with("workers", "SELECT id, worker_type, lease_token FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY worker_type) AS nth FROM workers) WHERE nth = 1"),
-        "constraint_violations": _with("broken", "SELECT id, 'priority' AS rule FROM broken WHERE priority < 0"),
+        "constraint_violations": _with("broken", " UNION ALL ".join(f"SELECT id, '{rule}' AS rule FROM broken WHERE {where}" for rule, where in _RULES.items())),
         "fk_violations": _with("workers broken", "SELECT id, lock_by, job_type FROM broken b WHERE lock_by IS NOT NULL AND NOT EXISTS (SELECT 1 FROM workers w WHERE w.id = b.lock_by AND w.worker_type = b.job_type)"),
         "unique_violations": _with("broken", "SELECT job_type, idempotency_key, count(*) AS n FROM broken WHERE idempotency_key IS NOT NULL GROUP BY ALL HAVING count(*) > 1"),
     }

@@ -31,8 +31,8 @@ def _workers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ids(jobs: DataFrame) -> DataFrame:
-    """The ids that by-id queries ask for: every seventh task."""
-    return jobs.where(F.col("id").cast("long") % 7 == 0).select("id")
+    """The ids that by-id queries ask for: every task's, and as many that no task has."""
+    return jobs.select("id").union(jobs.select(F.concat(F.lit("x"), F.substring("id", 2, 25))))
 
 
 def _flat(df: DataFrame, array: str) -> DataFrame:
@@ -88,6 +88,18 @@ def ack_stale(spark, sf_dir):
     return ack.stale_acks(jobs, _workers(spark, sf_dir), D.acks(jobs)).select("task_id", "queue", "worker_id", "started_attempts")
 
 
+@_query
+def ack_again(spark, sf_dir):
+    jobs = _jobs(spark, sf_dir)
+    return ack.ack_batch(jobs, _workers(spark, sf_dir), D.acks_again(jobs), NOW).affected.select("id", "job_type", "status", "attempts", "done_at", "last_result")
+
+
+@_query
+def ack_again_stale(spark, sf_dir):
+    jobs = _jobs(spark, sf_dir)
+    return ack.stale_acks(jobs, _workers(spark, sf_dir), D.acks_again(jobs)).select("task_id", "queue", "worker_id", "lock_at", "started_attempts", "ok")
+
+
 @_query
 def orphan_sweep(spark, sf_dir):
     return orphans.sweep(_jobs(spark, sf_dir), _workers(spark, sf_dir), AFTER, NOW).affected.select("id", "job_type", "status", "attempts", "last_result", "lock_by", "lock_at", "done_at")
@@ -135,6 +147,18 @@ def enqueue_conflicts(spark, sf_dir):
     return marked.where("not fresh").select("id", "job_type", "idempotency_key")
 
 
+@_query
+def enqueue_all(spark, sf_dir):
+    e = D.events(spark, sf_dir)
+    done = enqueue.enqueue(D.jobs(e), D.enqueue_batch(e).drop("idempotency_key"), NOW)
+    return done.affected.select("id", "job_type", "status", "attempts", "max_attempts", "run_at", "priority", "idempotency_key")
+
+
+@_query
+def notify_payloads(spark, sf_dir):
+    return notify.notify_batches(_jobs(spark, sf_dir).where("status = 'Pending'"), NOW)
+
+
 @_query
 def notify_batches(spark, sf_dir):
     return _flat(notify.notify_chunks(_jobs(spark, sf_dir).where("status = 'Pending'"), NOW), "ids")
@@ -246,7 +270,10 @@ def queue_info_flat(spark, sf_dir):
 
 @_query
 def queue_info(spark, sf_dir):
-    return reports.list_queues(_jobs(spark, sf_dir), _workers(spark, sf_dir), NOW).withColumn("stats", F.to_json("stats", {"ignoreNullFields": "false"}))
+    q = reports.list_queues(_jobs(spark, sf_dir), _workers(spark, sf_dir), NOW)
+    rows = q.select("name", F.array_join("workers", ",").alias("workers"), F.array_join(F.col("activity").cast("array<string>"), ",").alias("activity"), F.posexplode_outer("stats").alias("nth", "s"))
+    number = F.when(F.col("s.stat_type") != "Timestamp", F.col("s.value")).cast("double")
+    return rows.select("name", "workers", "activity", "nth", "s.title", "s.stat_type", number.alias("number"), "s.priority")
 
 
 @_query
@@ -287,9 +314,17 @@ def dedupe_workers(spark, sf_dir):
 
 
 def _broken(spark, sf_dir):
-    """The jobs with one rule broken in some rows, so that reports have something to say."""
-    low = F.when(F.col("id").cast("long") % 97 == 0, -1)
-    return _jobs(spark, sf_dir).withColumn("priority", F.coalesce(low, F.col("priority"))).withColumn("lock_by", F.when(F.col("lock_by") == "w-4", "w-x").otherwise(F.col("lock_by"))).withColumn("idempotency_key", F.when(F.col("id").cast("long") % 50 == 0, "same").otherwise(F.col("idempotency_key")))
+    """The jobs with every rule broken in some rows, so that reports have something to say."""
+    i = F.col("id").cast("long")
+    new = {
+        "status": F.when(i % 89 == 1, "Lost").otherwise(F.col("status")),
+        "attempts": F.when(i % 83 == 2, -1).when(i % 79 == 3, F.col("max_attempts") + 1).otherwise(F.col("attempts")),
+        "max_attempts": F.when(i % 73 == 4, 0).otherwise(F.col("max_attempts")),
+        "priority": F.when(i % 97 == 0, -1).otherwise(F.col("priority")),
+        "lock_by": F.when(F.col("lock_by") == "w-4", "w-x").otherwise(F.col("lock_by")),
+        "idempotency_key": F.when(i % 50 == 0, "same").otherwise(F.col("idempotency_key")),
+    }
+    return _jobs(spark, sf_dir).withColumns(new)
 
 
 @_query

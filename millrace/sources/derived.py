@@ -70,7 +70,7 @@ def workers(e: DataFrame) -> DataFrame:
 def enqueue_batch(e: DataFrame) -> DataFrame:
     i = F.col("event_id")
     key = F.when(i % 4 == 0, F.concat(F.lit("k-"), _text(i))).when(i % 4 == 1, F.concat(F.lit("b-"), _text(i % 90)))
-    return e.where(i % 5 == 0).select(
+    return e.select(
         F.lpad(F.concat(F.lit("n"), _text(i)), 26, "0").alias("id"),
         F.col("event_type").alias("job_type"),
         F.col("props").alias("job"),
@@ -95,9 +95,17 @@ def acks(all_jobs: DataFrame) -> DataFrame:
     )
 
 
+def acks_again(all_jobs: DataFrame) -> DataFrame:
+    """``acks`` with a stale one besides each, and for every second task one more that says the opposite."""
+    a = acks(all_jobs).withColumn("value", F.lit(None).cast("string"))
+    early = a.withColumn("lock_at", F.col("lock_at") - F.make_dt_interval(hours=F.lit(1)))
+    more = a.where("started_attempts % 2 = 0").withColumn("ok", ~F.col("ok"))
+    return early.unionByName(a).unionByName(more)
+
+
 def notify_payloads(e: DataFrame) -> DataFrame:
     i = F.col("event_id")
     head, key = F.concat(F.lit('{"job_type":"'), F.col("event_type"), F.lit('",')), F.lpad(_text(i), 26, "0")
     many = F.concat(head, F.lit('"ids":["'), key, F.lit('"]}'))
     one = F.concat(head, F.lit('"id":"'), key, F.lit('"}'))
-    return e.where(i < 400).select(F.when(i % 4 == 0, many).when(i % 4 == 1, one).when(i % 4 == 2, F.lit("")).otherwise(F.lit('{"job_type":')).alias("payload"))
+    return e.select(F.when(i % 4 == 0, many).when(i % 4 == 1, one).when(i % 4 == 2, F.lit("")).otherwise(F.lit('{"job_type":')).alias("payload"))

@@ -25,4 +25,4 @@ def test_same_rows(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) - set(SQL) == {"queue_info", "db_size_stats"}
+    assert set(registry.queries()) - set(SQL) == {"db_size_stats"}
