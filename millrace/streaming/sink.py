@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..errors import SinkBufferFull
@@ -32,12 +33,15 @@ def task(queue: str, args, **options) -> dict:
     return {"id": ulid(), "priority": 0, "max_attempts": DEFAULT_MAX_ATTEMPTS, "run_at": None, "metadata": None, "idempotency_key": None} | options | {"job_type": queue, "job": json.dumps(args)}
 
 
-def push_tasks(store: Store, tasks: list[dict], now: datetime | str) -> list[str]:
-    """Inserts all tasks in one commit, or none (see ``enqueue``); returns their ids."""
+def push_tasks(store: Store, tasks: list[dict], now: datetime | str, also: dict[str, DataFrame] | None = None) -> list[str]:
+    """Inserts all tasks in one commit, or none (see ``enqueue``); returns their ids.
+
+    ``also``: rows of the caller's own tables that are appended in the same commit, or not (an outbox).
+    """
     if not tasks:
         return []
     batch = store.spark.createDataFrame([tuple(t[f.name] for f in BATCH) for t in tasks], BATCH)
-    store.transact(lambda seen: {"jobs": enqueue(seen.jobs, batch, now).affected, "inserted": True}, now)
+    store.transact(lambda seen: {"jobs": enqueue(seen.jobs, batch, now).affected, "inserted": True, "also": also}, now)
     return [t["id"] for t in tasks]
 
 

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from ..errors import StorageError
-from ..operators.listing import check_status, remaining
+from ..operators.listing import check_status
 from ..operators.orphans import sweep
 from ..operators.workers import beat
 from ..schema import Config
@@ -53,26 +53,29 @@ def heartbeat(store: Store, config: Config, worker: str, lease: str, beats: int
 def wait_for(store: Store, ids: DataFrame, pause: Callable[[float], None] = time.sleep) -> Iterator[DataFrame]:
     """Tables (id, status, result) of the given tasks as they end, until all have.
 
-    The pause doubles while nothing ends and starts anew when something does. The third failure in a row is raised.
+    The pause doubles while nothing ends, or looking fails, and starts anew when something ends. The third failure in a
+    row is raised. What is told, and the ids that are left, are kept in the store's folder.
     """
-    left, wait, failures = ids.toDF("id"), FIRST_PAUSE, 0
+    left, wait, failures = store.put("waits", ids.toDF("id")), FIRST_PAUSE, 0
     while True:
         try:
             jobs = store.read().jobs
-            ended = check_status(jobs, left)
+            ended = store.put("waits", check_status(jobs, left))
             found = not ended.isEmpty()
-            rest = remaining(jobs, left)
-            over = rest.isEmpty()
+            if found:
+                left = store.put("waits", left.join(ended.select("id"), "id", "left_anti"))
+            over = left.isEmpty()
         except (PySparkException, StorageError):
             failures += 1
             if failures >= FAILURES:
                 raise
             pause(wait)
+            wait = min(wait * 2, LONGEST_PAUSE)
             continue
         failures = 0
         if found:
             yield ended
-            left, wait = rest, FIRST_PAUSE
+            wait = FIRST_PAUSE
         if over:
             return
         pause(wait)
