@@ -1,7 +1,7 @@
 """Connected components of a table of links, without a hub's links ever meeting in one task.
 
-Links (a, b) become (child, parent) with child > parent and are dealt by child and a salt. A task joins what it has with
-a union-find and hands on a forest: one parent for each vertex but the roots. A vertex that got two parents in different
+Links (a, b) become (child, parent) with child > parent and are dealt by both at first. A task joins what it has with a
+union-find and hands on a forest: one parent for each vertex but the roots. A vertex that got two parents in different
 tasks has them joined in the next round, dealt by child. When every child has one parent, the links are a forest with one root for
 each component, and pointer jumping flattens it, a parent's own parent being looked up once for all its children. Links
 never grow in number; each round is written to the shared folder.
@@ -61,14 +61,13 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     edges = links.select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     # dealt before the first pass, too: links may come from Python themselves, and two Python processes a task are one too many
-    salt = F.pmod(F.xxhash64("parent"), F.lit(SALTS))
-    edges = cut(edges.repartition("child", salt).mapInArrow(_forest, "child long, parent long"), "hook")
+    edges = cut(edges.repartition("child", "parent").mapInArrow(_forest, "child long, parent long"), "hook")
     while True:
         n = edges.groupBy("child").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if n is None or n == 1:
             break
         # a vertex that many tasks gave a parent has them joined in two steps
-        by = ["child", salt] if n > SALTS else ["child"]
+        by = ["child", F.pmod(F.xxhash64("parent"), F.lit(SALTS))] if n > SALTS else ["child"]
         edges = cut(edges.repartition(*by).mapInArrow(_forest, "child long, parent long"), "hook")
     while True:
         up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("top"))
