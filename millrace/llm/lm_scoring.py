@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,23 +83,25 @@ def _by_row(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 @dataclass
 class Model:
-    """Counts of the target and of the background (rows): words and contexts by slot, and the hot bigrams, sorted."""
+    """Of the target and of the background (rows): all tokens, K * P1 by the word's slot, contexts by slot, and the hot
+    bigrams, sorted, with their counts. About 17 MB."""
 
-    words: np.ndarray
+    tokens: tuple[int, int]
+    base: np.ndarray
     contexts: np.ndarray
     hot: np.ndarray
     of_hot: np.ndarray
 
-    def __post_init__(self):
-        self.base = K * (self.words + 1) / (self.words.sum(axis=1, keepdims=True) + np.count_nonzero(self.words[1]) + 1)
-
-    @property
-    def tokens(self) -> int:
-        return int(self.words[1].sum())
+    @classmethod
+    def of(cls, words: np.ndarray, contexts: np.ndarray, hot: np.ndarray, of_hot: np.ndarray) -> Model:
+        """From counts of words and contexts by slot."""
+        n = words.sum(axis=1, keepdims=True)
+        base = (K * (words + 1) / (n + np.count_nonzero(words[1]) + 1)).astype(np.float32)
+        return cls(tuple(n[:, 0].tolist()), base, contexts.astype(np.int32 if contexts.max() < 1 << 31 else np.int64), hot, of_hot)
 
     def seen(self, counts: np.ndarray, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
         """The loss, in units, of bigrams (n of each) that are counted so often besides, but for their contexts."""
-        base = self.base[:, (pair & np.uint64(SLOTS - 1)).astype(np.int64)]
+        base = self.base[:, (pair & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.float64)
         return np.rint(-UNIT * n * np.log(counts + base))
 
 
@@ -170,7 +173,7 @@ def fit(docs: DataFrame, target: DataFrame, limit: int = BROADCAST_IDS) -> tuple
         exact = rows.mapInArrow(count_hot, "at long, target long, background long").groupBy("at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
         for m, name in enumerate(("target", "background")):
             of_hot[m, exact.column("at").to_numpy()] = exact.column(name).to_numpy()
-    return rows, Model(slots[0, :, :SLOTS], slots[1], hot, of_hot)
+    return rows, Model.of(slots[0, :, :SLOTS], slots[1], hot, of_hot)
 
 
 def _find(hot: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,20 +184,19 @@ def _find(hot: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, hot[at] == pair
 
 
-def _dealt(rows: DataFrame, model: Model, buckets: int) -> DataFrame:
+def _dealt(rows: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
     """For each piece of texts and bucket, its documents' bigrams that aren't hot; and once a piece, what is known of each
     document already: its number of tokens and the loss by contexts and hot bigrams.
 
     Columns: bucket; row, good (by document: its key, whether the target has it); pair, at, n (by bigram: hash, place of the document
     above, how often) as little-endian numbers; ids, size, lost (target and background), of the second sort of rows.
     """
-    handle = rows.sparkSession.sparkContext.broadcast(model)
     key = rows.schema["doc_id"].dataType
     binary = ("row", "good", "pair", "at", "n")
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in binary], T.StructField("ids", T.ArrayType(key)), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("size", "target", "background")]])
 
     def run(batches):
-        m = handle.value
+        m = model.value
         for part in _pieces(batches):
             t, good, names = Tokens(part.column("text")), _good(part), part.column("key").to_numpy()
             rows, v, n = _by_row(t.row, t.v)
@@ -236,8 +238,8 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     spark = rows.sparkSession
     ship(spark)
     handle = spark.sparkContext.broadcast(model)
-    buckets = max(8, -(-model.tokens // BUCKET_TOKENS))
-    dealt = _dealt(rows, model, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    buckets = max(8, -(-model.tokens[1] // BUCKET_TOKENS))
+    dealt = _dealt(rows, handle, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     key = rows.schema["doc_id"].dataType.simpleString()
     names = ["key", "doc_id", "copies", "n", "target", "background"]
 
