@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by collision-counting projections.
 
-Vectors are compared within a label. Exact copies become one class first. Directions of a random rotation project each
-class's unit vector on many lines. To bring near vectors to the same task, TABLES groups of ROUTE lines are cut into
+Vectors are compared within a label. Exact copies become one class first. Independent Gaussian lines project each
+class's unit vector. To bring near vectors to the same task, TABLES groups of ROUTE lines are cut into
 cells of a width that near vectors rarely straddle; a vector goes to its cell in each table, and a cell of any size is
 cut into pairs of blocks. There, the values on PROJECTIONS further lines are sorted, each query counts how often each
 other vector falls into the window around its own value, pairs with enough collisions are candidates, and their cosine
@@ -13,8 +13,9 @@ a Gaussian line, is normal with variance 2 - 2c. ``recall`` gives the probabilit
 A task hands on, not pairs, but counts of links by vector and a forest of links.
 
 Defined results: null, zero and non-finite vectors, those with null components and those with a null label link with
-nothing; vectors of different lengths link with nothing, either; repeated rows (equal vec_id and vector) count once; a null
-vec_id links with nothing, has a null component and is kept; an empty table gives an empty result; other columns are
+nothing; vectors of different lengths link with nothing, either; repeated rows (equal vec_id, label and vector) count
+once; rows that share a vec_id with different vectors are one vertex of the components, each with the links of its own
+vector; a row whose vector can't link has its own id as component; a null vec_id links with nothing, has a null component and is kept; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, block_pairs, components, whole_runs
-from .shared import cut, ship
+from .shared import attach, cut, ship
 
 LEAST = 0.93
 TABLES, ROUTE, CELL = 16, 6, 1.6
@@ -160,7 +161,8 @@ def linked(reps: DataFrame, least: float = LEAST) -> DataFrame:
     ship(reps.sparkSession)
     routed = cut(_routed(reps), "cells")
     sizes = cut(routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cell-sizes")
-    dealt = block_pairs(routed.join(sizes, "cell"), "vec_id", "n").join(reps, "vec_id")
+    met = attach(routed, sizes, ["cell"], "vec_id").where("n is not null")
+    dealt = block_pairs(met, "vec_id", "n").join(reps, "vec_id")
     dealt = dealt.select("cell", "i", "j", "own", "place", "vec_id", "copies", "label", "embedding").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def run(batches):
@@ -199,18 +201,29 @@ def linked(reps: DataFrame, least: float = LEAST) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, n long")
 
 
+def _same_vertex(usable: DataFrame) -> DataFrame:
+    """Links a, b between the classes (by d1) of vec_ids that come with several vectors: such rows are one vertex."""
+    several = usable.groupBy("vec_id").agg(F.min("d1").alias("a"), F.max("d1").alias("hi"), F.count(F.lit(1)).alias("n")).where("a != hi").select("vec_id", "a", "n")
+    met = attach(usable.select("vec_id", "d1"), cut(several, "several-vectors"), ["vec_id"], "d1")
+    return met.where("a is not null").select("a", F.col("d1").alias("b")).distinct()
+
+
 def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding, label)."""
     known = cut(keyed(vectors), "vectors")
     usable = known.where("d1 is not null")
     groups = usable.select("vec_id", "d1", "d2").distinct().groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     groups = cut(groups, "copies")
-    firsts = groups.select(F.col("rep").alias("vec_id"), "d1", "d2", "copies")
-    reps = cut(usable.join(firsts, ["vec_id", "d1", "d2"]).dropDuplicates(["vec_id", "d1", "d2"]).select("vec_id", "copies", "label", "embedding"), "vector-classes")
+    firsts = attach(usable.select("vec_id", "d1", "d2", "label", "embedding"), groups, ["d1", "d2"], "vec_id", n="copies").where("vec_id = rep")
+    # a class goes by its digest, as one vec_id may stand for several
+    reps = cut(firsts.dropDuplicates(["d1", "d2"]).select(F.col("d1").alias("vec_id"), "copies", "label", "embedding"), "vector-classes")
     told = cut(linked(reps, least), "vector-links")
-    counted = told.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    placed = groups.join(counted, "rep", "left").join(components(told.where("b is not null").select("a", "b")).toDF("rep", "component"), "rep", "left")
-    placed = placed.select("d1", "d2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    out = known.select("vec_id", "d1", "d2").join(cut(placed, "placed"), ["d1", "d2"], "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    counted = told.where("b is null").groupBy(F.col("a").alias("d1")).agg(F.sum("n").alias("n"))
+    near = components(told.where("b is not null").select("a", "b").union(_same_vertex(usable))).toDF("d1", "root")
+    placed = groups.join(counted, "d1", "left").join(near, "d1", "left")
+    placed = cut(placed.select("d1", "d2", "rep", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "d1").alias("root"), F.col("copies").alias("n")), "rooted")
+    smallest = cut(placed.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("m")), "smallest")
+    placed = cut(attach(placed, smallest, ["root"], "d1", n="m").select("d1", "d2", "n_links", "component_id", "n"), "placed")
+    out = attach(usable.select("vec_id", "d1", "d2"), placed, ["d1", "d2"], "vec_id").select("vec_id", "n_links", "component_id")
+    bare = known.where("d1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return out.union(bare).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
