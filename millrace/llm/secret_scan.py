@@ -2,7 +2,9 @@
 
 Every version of a text is content-addressed by its SHA-256 (a *blob*). A ledger table records, for each blob, the
 (rule, version) pairs that have been run over it and the hits. A scan runs only the pairs the ledger lacks, appends
-them, and joins the findings of each blob back to every row (path) that holds the text.
+them, and joins the findings of each blob back to every row (path) that holds the text. Where there is a ledger, blobs
+are compared with it before any text moves: texts that it knows stay where they are as long as the unseen blobs are few
+enough for a broadcast. A blob that very many rows hold is joined to them in place.
 
 Defined results: a null text counts as empty; an empty text has no findings; repeated rows each get their findings;
 an empty table gives an empty result; other columns of the input are ignored or, by ``redact``, passed through.
@@ -16,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_IDS, cut, shared_dir
+from .shared import BROADCAST_IDS, HOT, attach, cut, light, shared_dir
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataF
     """
     spark = docs.sparkSession
     names = F.array(*[F.lit(r.name) for r in rules])
-    blobs = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    texts = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     try:
         done = spark.read.parquet(ledger)
     except AnalysisException as e:
@@ -84,10 +86,12 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataF
             raise
         done = None
     if done is None:
-        todo = blobs.withColumn("ran", names)
+        todo = texts.groupBy("blob").agg(F.first("text").alias("text")).withColumn("ran", names)
     else:
         ran = done.select("blob", F.explode("ran").alias("r")).groupBy("blob").agg(F.collect_set("r").alias("had"))
-        todo = blobs.join(ran, "blob", "left").withColumn("ran", F.array_except(names, F.coalesce("had", F.array().cast("array<string>")))).where(F.size("ran") > 0)
+        blobs = texts.select("blob").distinct().join(ran, "blob", "left")
+        unseen = cut(blobs.select("blob", F.array_except(names, F.coalesce("had", F.array().cast("array<string>"))).alias("ran")).where(F.size("ran") > 0), "unseen-blobs")
+        todo = texts.join(light(unseen), "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("ran").alias("ran"))
     hits = F.concat(*[F.when(F.array_contains("ran", r.name), _hits(F.col("text"), r)).otherwise(F.array().cast(f"array<{_HIT}>")) for r in rules])
     todo.select("blob", "ran", hits.alias("hits")).write.mode("append").parquet(ledger)
     return findings(spark.read.parquet(ledger), rules)
@@ -118,9 +122,15 @@ def scan_documents(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule
     """doc_id, blob and spans (an empty array if none) of every row of ``docs`` (doc_id, text)."""
     ledger = ledger or shared_dir(docs.sparkSession, "secret-ledger")
     found = by_blob(scan(docs, ledger, rules))
-    rows = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
+    rows = cut(docs.select("doc_id", blob_of(F.col("text")).alias("blob")), "blobs")
     none = F.array().cast("array<struct<start:bigint,nth_kind:int,end:bigint,kind:string>>")
-    return rows.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+    return attach(rows, _held(rows, found), ["blob"], "doc_id").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+
+
+def _held(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """blob, n (rows that hold it) and spans of the blobs with findings, and of those that many rows hold."""
+    held = rows.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).join(found, "blob", "left")
+    return cut(held.where((F.col("n") > HOT) | F.col("spans").isNotNull()), "held-blobs")
 
 
 def digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
@@ -136,15 +146,21 @@ def digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame
     )
 
 
-def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, limit: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` with each secret of its text replaced by ``[kind]``; overlapping spans become one, named by the first.
 
-    All columns and rows stay; a null text stays null; n_chars, if there, becomes the length of the new text.
+    Up to ``limit`` spans are broadcast to the texts; with more, texts move to their spans, but for those of a blob that
+    many rows hold. All columns and rows stay; a null text stays null; n_chars, if there, becomes the length of the new text.
     """
     ledger = ledger or shared_dir(docs.sparkSession, "secret-ledger")
     found = cut(by_blob(scan(docs, ledger, rules)).toDF("_blob", "_spans"), "secret-spans")
-    if (found.agg(F.sum(F.size("_spans"))).first()[0] or 0) <= BROADCAST_IDS:
-        found = F.broadcast(found)
+    marked = docs.withColumn("_blob", blob_of(F.col("text")))
+    if (found.agg(F.sum(F.size("_spans"))).first()[0] or 0) <= limit:
+        marked = marked.join(F.broadcast(found), "_blob", "left")
+    else:
+        held = marked.groupBy("_blob").agg(F.count(F.lit(1)).alias("_n")).join(found, "_blob", "left")
+        held = cut(held.where((F.col("_n") > HOT) | F.col("_spans").isNotNull()), "held-blobs")
+        marked = attach(marked, held, ["_blob"], "text", n="_n")
     text = F.col("text")
     piece = lambda a, to: F.substring(text, a["at"] + 1, F.greatest(F.lit(0), to - a["at"]))
     whole = F.aggregate(
@@ -155,8 +171,7 @@ def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
         ),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.lit(2**31 - 1))),
     )
-    out = docs.withColumn("_blob", blob_of(text)).join(found, "_blob", "left")
     new = F.when(F.col("_spans").isNotNull() & text.isNotNull(), whole).otherwise(text)
     columns = [new.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    out = out.select(*columns)
+    out = marked.select(*columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
