@@ -63,10 +63,13 @@ class Encoder(dict):
             else:
                 bases[w] = None
         todo = list(bases)
-        for at in range(0, len(todo), 1024):
+        width = np.dtype(self.kind).itemsize
+        for at in range(0, len(todo), 1024):  # one call for many chunks, set between spaces
             part = todo[at : at + 1024]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                new[w] = np.asarray(e.ids, self.kind).tobytes()
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, first = np.asarray(e.ids, self.kind).tobytes(), np.array([a for a, _ in e.offsets], np.int64)
+            cuts = (np.searchsorted(first, np.cumsum([0, *(len(w) + 1 for w in part)])) * width).tolist()
+            new.update(zip(part, (ids[p:q] for p, q in zip(cuts, cuts[1:], strict=False)), strict=True))
         for w, base in ends.items():
             new[w] = (new[base] if base in new else self[base]) + self.marks[w[-1]]
         for w, ids in new.items():
