@@ -146,6 +146,25 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_vec_ids(spark):
+    """Rows of one vec_id with different vectors are one vertex; each row has the links of its own vector."""
+    r = np.random.RandomState(9)
+    a, b, c, d = ([float(x) for x in r.standard_normal(16)] for _ in range(4))
+    rows = [(3, a, 1), (4, b, 1), (5, a, 1), (5, b, 1), (6, c, 1), (6, d, 1), (7, c, 1), (7, c, 1), (8, d, 2), (9, None, 1)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((x.vec_id, x.n_links, x.component_id) for x in got) == [(3, 1, 3), (4, 1, 3), (5, 1, 3), (5, 1, 3), (6, 0, 6), (6, 1, 6), (7, 1, 6), (7, 1, 6), (8, 0, 8), (9, 0, 9)]
+
+
+def test_one_vector_in_a_third_of_the_rows(spark):
+    """Copies beyond what a key may have before it is joined in place, and vectors that link with nothing by the hundred."""
+    r = np.random.RandomState(10)
+    base = [float(x) for x in r.standard_normal(16)]
+    rows = [(k, base, 1) for k in range(700)] + [(1000 + k, base, None) for k in range(500)] + [(2000 + k, [float(x) for x in r.standard_normal(16)], 1) for k in range(100)]
+    got = {x.vec_id: x for x in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert len(got) == len(rows) and all(got[k].n_links == 699 and got[k].component_id == 0 and got[k].kept == (k == 0) for k in range(700))
+    assert all(got[1000 + k].n_links == 0 and got[1000 + k].kept for k in range(500)) and sum(got[2000 + k].kept for k in range(100)) > 90
+
+
 def test_collision_counts():
     """Sorted windows count what the definition says."""
     r = np.random.RandomState(0)

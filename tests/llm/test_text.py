@@ -52,9 +52,31 @@ def test_ledger_scans_only_what_is_new(spark):
     assert again.count() == 2 * n and again.where("ran = array('hex@2')").count() == n
 
 
-def test_redaction(spark):
+def test_ledger_is_asked_before_texts_move(spark):
+    """With a ledger, only what it lacks is scanned, and findings of old and new texts come from it."""
+    ledger, docs = shared_dir(spark, "ledger"), edge.documents(spark, SECRETS)
+    before = secret_scan.scan(docs, ledger).count()
+    n = spark.read.parquet(ledger).count()
+    more = docs.unionByName(spark.createDataFrame([(900, "a new text with password=abcdefgh1")], "doc_id long, text string"), allowMissingColumns=True)
+    found = secret_scan.scan(more, ledger)
+    assert spark.read.parquet(ledger).count() == n + 1 and found.count() == before + 1
+
+
+def test_secrets_in_a_text_of_very_many_rows(spark):
+    """A blob that more rows hold than a key may have, with findings and without."""
+    rows = [(k, SECRETS[0] if k % 3 == 0 else "nothing here" if k % 3 == 1 else f"text {k} secret=abcdefgh{k}") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.scan_documents(docs)).collect()}
+    assert got == {k: edge.secret_spans(t) for k, t in texts.items()}
+    few, many = ({r.doc_id: r.text for r in secret_scan.redact(docs, limit=limit).collect()} for limit in (10**6, 10))
+    assert few == many and len(few) == 1200 and few[1] == "nothing here" and few[2] == "text 2 [assign]"
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_redaction(spark, limit):
     docs = edge.documents(spark, SECRETS)
-    out = secret_scan.redact(docs)
+    out = secret_scan.redact(docs, limit=limit)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert secret_scan.scan(out, shared_dir(spark, "ledger")).count() == 0
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -81,23 +103,32 @@ def test_quality(spark):
     assert quality.accepted(docs, labels).columns == docs.columns
 
 
+def buckets_of(text, buckets):
+    """The buckets of a text's unigrams and bigrams, by the hash's definition."""
+    import xxhash
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
+    return [x % buckets for x in h] + [((x >> 23) ^ y) % buckets for x, y in zip(h, h[1:], strict=False)]
+
+
 def test_quality_ratio(spark):
-    """The ratio by brute force, from the same buckets."""
+    """The ratio by brute force."""
     docs = edge.documents(spark)
     trusted = spark.createDataFrame([(6,), (9,)], "doc_id long")
     buckets = 1 << 10
     fitted = quality.fit(docs, trusted, buckets)
     weights = fitted.first().weights
-    grams = docs.select("doc_id", quality.ngram_buckets(quality.word_hashes(quality.words(F.col("text"))), buckets).alias("g")).collect()
+    grams = [(r.doc_id, buckets_of(r.text, buckets)) for r in docs.collect()]
     raw, target = np.zeros(buckets), np.zeros(buckets)
-    for r in grams:
-        for b in r.g:
+    for i, own in grams:
+        for b in own:
             raw[b] += 1
-            target[b] += r.doc_id in (6, 9)
+            target[b] += i in (6, 9)
     want = [round(quality.UNIT * math.log((t + quality.PRIOR) / (n * target.sum() / raw.sum() + quality.PRIOR))) if n else 0 for n, t in zip(raw, target, strict=True)]
     assert weights == want
     scores = {r.doc_id: r.score for r in quality.measures(docs, fitted, buckets).collect()}
-    assert all(scores[r.doc_id] == sum(want[b] for b in r.g) for r in grams)
+    assert all(scores[i] == sum(want[b] for b in own) for i, own in grams)
 
 
 def test_quality_of_copies(spark):
@@ -119,7 +150,7 @@ def test_all_trusted_documents_count(spark):
     for fit in (quality.fit, quality.cross_fit):
         assert fit(docs, trusted, 1 << 10, 1).collect() == fit(docs, trusted, 1 << 10).collect()
     few, all_ = lm_scoring.fit(docs, trusted, 1)[1], lm_scoring.fit(docs, trusted)[1]
-    assert few.words[0].sum() == 100 and (few.words == all_.words).all() and (few.of_hot == all_.of_hot).all()
+    assert few.tokens == all_.tokens and few.tokens[0] == 100 and (few.base == all_.base).all() and (few.of_hot == all_.of_hot).all()
 
 
 def test_long_windows(spark):
