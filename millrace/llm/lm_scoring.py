@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +48,7 @@ K = 20.0
 #: Units of a nat in which losses are summed.
 UNIT = 1 << 24
 #: Characters of texts that are counted or scored together.
-PIECE = 4 << 20
+PIECE = 2 << 20
 _START = np.uint64(0xA0761D6478BD642F)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -184,7 +184,14 @@ def _find(hot: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, hot[at] == pair
 
 
-def _dealt(rows: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
+def _labels(spark: SparkSession, n: int) -> np.ndarray:
+    """A number for each of n buckets such that dealing by it gives every bucket a partition of its own."""
+    at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+    found = spark.range(n * (20 + 2 * n.bit_length())).groupBy(at.alias("at")).agg(F.min("id").cast("int").alias("label"))
+    return np.array([r["label"] for r in found.orderBy("at").collect()], np.int32)  # as many as tasks
+
+
+def _dealt(rows: DataFrame, model: Broadcast, labels: np.ndarray) -> DataFrame:
     """For each piece of texts and bucket, its documents' bigrams that aren't hot; and once a piece, what is known of each
     document already: its number of tokens and the loss by contexts and hot bigrams.
 
@@ -210,7 +217,7 @@ def _dealt(rows: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
             for k, x in enumerate(m.seen(m.of_hot[:, at[known]] - own, pair[known], n[known])):
                 lost[k] += np.bincount(rows[known], weights=x, minlength=len(names))
             rows, pair, n = rows[~known], pair[~known], n[~known]
-            bucket = ((pair >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+            bucket = labels[((pair >> np.uint64(24)) % np.uint64(len(labels))).astype(np.int64)]
             order = np.argsort(bucket, kind="stable")
             rows, pair, n, bucket = rows[order], pair[order], n[order], bucket[order]
             edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
@@ -223,7 +230,7 @@ def _dealt(rows: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
                 none = [pa.nulls(len(columns[0]), f) for f in types[6:]]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]], *none], names=schema.names)
             lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), c) for c in (part.column("ids"), *(pa.array(x.astype(np.int64)) for x in (t.n, *lost)))]
-            first = int(np.uint64(names.view(np.uint64)[0]) % np.uint64(buckets)) if len(names) else 0
+            first = labels[int(names.view(np.uint64)[0] % np.uint64(len(labels)))]
             yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([names.tobytes()], pa.binary()), *[pa.nulls(1, pa.binary())] * 4, *lists], names=schema.names)
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -239,7 +246,8 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     ship(spark)
     handle = spark.sparkContext.broadcast(model)
     buckets = max(8, -(-model.tokens[1] // BUCKET_TOKENS))
-    dealt = _dealt(rows, handle, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    labels = _labels(spark, buckets)
+    dealt = _dealt(rows, handle, labels).repartition(len(labels), "bucket").sortWithinPartitions("bucket")
     key = rows.schema["doc_id"].dataType.simpleString()
     names = ["key", "doc_id", "copies", "n", "target", "background"]
 
