@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import cut, ship
-from .tokens import encoder, is_narrow, slices
+from .tokens import encoder, is_narrow, offer, slices
 
 WINDOW = 4096
 END_ID = 2
@@ -30,6 +30,7 @@ END_ID = 2
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, part, before (ids before the document in its part), n, width (bytes of an id), ids; in shared storage."""
     ship(docs.sparkSession)
+    offer(docs.sparkSession, tokenizer)
     narrow = is_narrow(tokenizer, end_id)
     width = 2 if narrow else 4
     key = docs.schema["doc_id"].dataType

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import ship
-from .tokens import slices
+from .tokens import found, offer, slices
 
 SPACE = "▁"
 MEMORY = 500_000
@@ -193,13 +193,14 @@ class Codec:
 
 def codec(path: str) -> Codec:
     if path not in _codecs:
-        _codecs[path] = Codec(path)
+        _codecs[path] = Codec(found(path))
     return _codecs[path]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
     ship(docs.sparkSession)
+    offer(docs.sparkSession, path)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType())])
 
     def run(batches):
@@ -215,6 +216,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and text of every row of ``encoded`` (doc_id, ids)."""
     ship(encoded.sparkSession)
+    offer(encoded.sparkSession, path)
     schema = T.StructType([T.StructField("doc_id", encoded.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
 
     def run(batches):
@@ -229,6 +231,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, decoded_crc32 (of the decoded text's UTF-8) and lossless of every row of ``docs``."""
     ship(docs.sparkSession)
+    offer(docs.sparkSession, path)
     names = ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "lossless"]
 
     def run(batches):

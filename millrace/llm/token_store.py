@@ -5,13 +5,13 @@ bounded size. A shard is one file: header, raw ids, then the index: the document
 distinct keys a minimal perfect hash (hash and displace) whose slots hold a fingerprint, the key's first document and
 how many it has. The manifest has a row for each shard: its keys' range, documents, ids and the ids before it.
 
-Keyed access: the manifest's ranges give the shard, one displacement and one slot give the place of the ids.
+Keyed access: the manifest's ranges give the shard, or shards, one displacement and one slot give the place of the ids.
 
 Shards have names by partition and number and appear by a rename, so a task that runs again writes the same files.
 
 Defined results: a null or empty text has the end id alone; documents with the same doc_id stand side by side, ordered
-by text, under one key; a null doc_id is a key, too, and comes first; an empty table gives a store without shards;
-other columns are ignored.
+by a hash of the text, under one key, in as many shards as they need; a null doc_id is a key, too, and comes first; an
+empty table gives a store without shards; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import ship
-from .tokens import encoder, is_narrow, slices
+from .tokens import encoder, is_narrow, offer, slices
 
 MAGIC = b"IDSHARD1"
 #: magic, bytes of an id, keys, documents, ids, buckets of the hash
 HEADER = struct.Struct("<8sIIQQQ")
-#: Bytes of ids after which a shard is closed; a key's documents stay together.
+#: Bytes of ids after which a shard is closed.
 SHARD_BYTES = 32 << 20
 KEYS_PER_BUCKET = 4
 _NULL = np.uint64(0x9E3779B97F4A7C15)
@@ -169,6 +169,7 @@ class Shard:
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per_shard: int = SHARD_BYTES) -> list[dict]:
     """Writes the store to the folder ``path``; returns the manifest, a row for each shard."""
     ship(docs.sparkSession)
+    offer(docs.sparkSession, tokenizer)
     narrow = is_narrow(tokenizer, end_id)
     width = 2 if narrow else 4
     end = int(end_id).to_bytes(width, "little")
@@ -190,7 +191,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per
             for a, b in slices(batch):
                 rows = batch.slice(a, b - a)
                 for key, x in zip(rows.column("doc_id").to_pylist(), encode([t or "" for t in rows.column("text").to_pylist()]), strict=True):
-                    if held >= bytes_per_shard and key != keys[-1]:
+                    if held >= bytes_per_shard:
                         close()
                     keys.append(key)
                     ids.append(x + end)
@@ -202,7 +203,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per
 
     names = ["name", "part", "number", "low", "high", "n_docs", "n_ids"]
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]  # the hash deals a key of very many documents, too
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     made = sorted(rows.mapInArrow(run, "name string, part int, number int, low long, high long, n_docs long, n_ids long").collect(), key=lambda r: (r["part"], r["number"]))
     manifest, before = [], 0
     for r in made:
@@ -227,15 +229,16 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = Fal
     """
     ship(spark)
     shards = manifest_of(path)
-    lows = [-(1 << 63) if s["low"] is None else s["low"] for s in shards]
+    lows, highs = ([-(1 << 63) if s[c] is None else s[c] for s in shards] for c in ("low", "high"))
     names = [s["name"] for s in shards]
     before = [s["before"] for s in shards]
 
     def route(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            shard = [0 if k is None else max(0, bisect_right(lows, k) - 1) for k in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(shard, pa.int32())], names=["doc_id", "shard"])
+            pairs = [(k, s) for k in batch.column("doc_id").to_pylist() for at in [-(1 << 63) if k is None else k] for s in range(bisect_left(highs, at), bisect_right(lows, at))]
+            for i in range(0, len(pairs), 65536):
+                columns = zip(*pairs[i : i + 65536], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32()), strict=True)], names=["doc_id", "shard"])
 
     def read(batches):
         opened, at = None, -1

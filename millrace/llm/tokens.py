@@ -7,6 +7,8 @@ import os
 from collections.abc import Iterable
 
 import numpy as np
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 #: Chunks a Python worker remembers; it encodes others anew, so the bound changes no result.
 MEMORY = 500_000
@@ -96,10 +98,23 @@ class Encoder(dict):
         return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
+def offer(spark: SparkSession, path: str) -> None:
+    """Sends a tokenizer's file to the executors of a cluster, once a session; ``found`` finds it there."""
+    sent = spark.sparkContext.__dict__.setdefault("_millrace_files", set())
+    if not spark.sparkContext.master.startswith("local") and path not in sent:
+        spark.sparkContext.addFile(path)
+        sent.add(path)
+
+
+def found(path: str) -> str:
+    """A tokenizer's file on this machine: at the driver's path, or as it was sent."""
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
 def encoder(path: str, narrow: bool) -> Encoder:
     """The encoder of this Python process for the file at ``path``."""
     if (path, narrow) not in _encoders:
-        _encoders[path, narrow] = Encoder(path, narrow)
+        _encoders[path, narrow] = Encoder(found(path), narrow)
     return _encoders[path, narrow]
 
 

@@ -78,6 +78,23 @@ def test_token_store(spark, ids):
     assert token_store.write(edge.empty(spark), shared_dir(spark, "store"), WORD) == []
 
 
+def test_key_of_many_shards(spark, ids):
+    """A third of all rows under one key, and as many without one: keys span shards, and all documents come back."""
+    rows = [(k if k % 3 == 0 else 50 if k % 3 == 1 else None, f"text {k} of the {k % 7} kinds") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = shared_dir(spark, "store")
+    made = token_store.write(docs, path, WORD, bytes_per_shard=500)
+    assert sum(m["low"] == m["high"] == 50 for m in made) > 1 and sum(m["high"] is None for m in made) > 1
+    got = token_store.lookup(spark, path, docs, with_ids=True).collect()
+    assert sorted((r.doc_id or -1, r.ids) for r in got) == sorted((i or -1, np.array(ids(t), "<u4").tobytes()) for i, t in rows)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    few = token_store.lookup(spark, path, spark.createDataFrame([(50,), (50,), (99,), (98,)], "doc_id long")).collect()
+    assert sorted({r.doc_id for r in few}) == [50, 99] and len(few) == 201
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 1000, 20000])
 def test_perfect_hash(n):
     h = token_store.hashed(list(range(-3, n - 3)))
