@@ -15,7 +15,8 @@ smoothing's c(w) and c(v) are counted in SLOTS hashed slots (V is the number of
 fixed size that tasks hold. Bigrams that make up a share of HOT_SHARE of all tokens are found first, as they must have
 half that share in some piece of the corpus; there are 2 / HOT_SHARE of them at most, their counts go to the tasks,
 and documents look them up where they are. All other bigrams are dealt by their hash into buckets of about
-BUCKET_TOKENS: a task counts its bigrams and tells each document's part of the loss, and the parts are summed.
+BUCKET_TOKENS: a task counts its bigrams and tells each document's part of the loss. Pieces of texts travel to the buckets
+and back as arrays, a row for each piece and bucket, and a piece's parts are summed for its documents.
 
 Words are runs of characters other than white space (\\x20, \\x09-\\x0D), A-Z in lower case. Losses are summed in whole
 units, so that their order changes nothing. Defined results: a null, empty or blank text has no tokens and losses and
@@ -30,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import whole_runs
 from .minhash_dedup import hashed_words, mix
@@ -42,7 +44,7 @@ from .shared import BROADCAST_IDS, cut, ship
 from .tokens import slices
 
 SLOTS = 1 << 20
-HOT_SHARE = 2**-16
+HOT_SHARE = 2**-14
 BUCKET_TOKENS = 2_000_000
 K = 20.0
 #: Units of a nat in which losses are summed.
@@ -130,6 +132,8 @@ def fit(docs: DataFrame, target: DataFrame, limit: int = BROADCAST_IDS) -> tuple
     ship(docs.sparkSession)
     spark = docs.sparkSession
     rows = marked(docs, target, limit).select("doc_id", "text", F.col("good").isNotNull().alias("good"))
+    if target.select("doc_id").distinct().limit(limit + 1).count() > limit:
+        rows = cut(rows, "lm-rows")  # a join that shuffles may give a task that runs again its rows in another order
 
     def count(batches):
         sums = np.zeros((2, 2, SLOTS + 1), np.int64)
@@ -192,96 +196,116 @@ def _labels(spark: SparkSession, n: int) -> np.ndarray:
 
 
 def _dealt(rows: DataFrame, model: Broadcast, labels: np.ndarray) -> DataFrame:
-    """For each piece of texts and bucket, its documents' bigrams that aren't hot; and once a piece, what is known of each
-    document already: its number of tokens and the loss by contexts and hot bigrams.
+    """For each piece of texts and bucket its documents' bigrams that aren't hot; and once a piece what is known of its
+    documents already: their ids, numbers of tokens and losses by contexts and hot bigrams, and how many buckets it has.
 
-    Columns: bucket; row, good (by document: its key, whether the target has it); pair, at, n (by bigram: hash, place of the document
-    above, how often) as little-endian numbers; ids, size, lost (target and background), of the second sort of rows.
+    Columns: bucket, piece; pair, at, n (by bigram: hash, step to the next document's place in the piece, twice how often, and one if the
+    target has the document) as little-endian numbers; ids, size, target, background, buckets, of the second sort of rows.
     """
     key = rows.schema["doc_id"].dataType
-    binary = ("row", "good", "pair", "at", "n")
-    schema = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in binary], T.StructField("ids", T.ArrayType(key)), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("size", "target", "background")]])
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("piece", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("pair", "at", "n")], *_known(key)])
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(batches):
-        m = model.value
-        for part in _pieces(batches):
-            t, good, names = Tokens(part.column("text")), _good(part), part.column("key").to_numpy()
+        m, task = model.value, TaskContext.get().partitionId()
+        for number, part in enumerate(_pieces(batches)):
+            t, good, docs = Tokens(part.column("text")), _good(part), part.num_rows
+            piece = task << 31 | number
             rows, v, n = _by_row(t.row, t.v)
-            lost = np.zeros((2, len(names)))
+            lost = np.zeros((2, docs))
             own = np.stack([n * good[rows], n])
             for k, x in enumerate(np.rint(UNIT * n * np.log(m.contexts[:, v] - own + K))):
-                lost[k] += np.bincount(rows, weights=x, minlength=len(names))
+                lost[k] += np.bincount(rows, weights=x, minlength=docs)
             rows, pair, n = _by_row(t.row, t.pair)
             at, known = _find(m.hot, pair)
             own = np.stack([n * good[rows], n])[:, known]
             for k, x in enumerate(m.seen(m.of_hot[:, at[known]] - own, pair[known], n[known])):
-                lost[k] += np.bincount(rows[known], weights=x, minlength=len(names))
+                lost[k] += np.bincount(rows[known], weights=x, minlength=docs)
             rows, pair, n = rows[~known], pair[~known], n[~known]
             bucket = labels[((pair >> np.uint64(24)) % np.uint64(len(labels))).astype(np.int64)]
             order = np.argsort(bucket, kind="stable")
-            rows, pair, n, bucket = rows[order], pair[order], n[order], bucket[order]
+            rows, pair, bucket = rows[order], pair[order], bucket[order]
+            n = (2 * n[order] + good[rows]).astype("<u4")
             edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
-            out = []
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                docs, place = np.unique(rows[a:b], return_inverse=True)
-                out.append((int(bucket[a]), names[docs].tobytes(), good[docs].astype("u1").tobytes(), pair[a:b].tobytes(), place.astype("<u4").tobytes(), n[a:b].astype("<u4").tobytes()))
+            out = [(int(bucket[a]), piece, pair[a:b].tobytes(), np.diff(rows[a:b], prepend=0).astype("<u4").tobytes(), n[a:b].tobytes()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
             for s in range(0, len(out), 256):
                 columns = list(zip(*out[s : s + 256], strict=True))
-                none = [pa.nulls(len(columns[0]), f) for f in types[6:]]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]], *none], names=schema.names)
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), c) for c in (part.column("ids"), *(pa.array(x.astype(np.int64)) for x in (t.n, *lost)))]
-            first = labels[int(names.view(np.uint64)[0] % np.uint64(len(labels)))]
-            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([names.tobytes()], pa.binary()), *[pa.nulls(1, pa.binary())] * 4, *lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, f) for c, f in zip(columns, types, strict=False)], *[pa.nulls(len(columns[0]), f) for f in types[5:]]], names=schema.names)
+            lists = [pa.ListArray.from_arrays(pa.array([0, docs], pa.int32()), c) for c in (part.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in (t.n, *lost)))]
+            yield pa.RecordBatch.from_arrays([pa.array([labels[number % len(labels)]], pa.int32()), pa.array([piece], pa.int64()), *[pa.nulls(1, pa.binary())] * 3, *lists, pa.array([len(out)], pa.int32())], names=schema.names)
 
-    from pyspark.sql.pandas.types import to_arrow_type
+    return rows.mapInArrow(run, schema)
 
-    types = [to_arrow_type(f.dataType) for f in schema.fields]
-    keyed = rows.select(F.col("doc_id").alias("ids"), "text", "good", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
-    return keyed.mapInArrow(run, schema)
+
+def _known(key: T.DataType) -> list[T.StructField]:
+    return [T.StructField("ids", T.ArrayType(key)), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("size", "target", "background")], T.StructField("buckets", T.IntegerType())]
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score (nats per token) of every row (doc_id, text, good)."""
+    """doc_id, n_tokens, target_loss, background_loss, score (nats per token) of every row (doc_id, text, good).
+
+    ``rows`` must come in one order each time they are read, as those of ``fit`` do.
+    """
     spark = rows.sparkSession
     ship(spark)
     handle = spark.sparkContext.broadcast(model)
-    buckets = max(8, -(-model.tokens[1] // BUCKET_TOKENS))
-    labels = _labels(spark, buckets)
+    labels = _labels(spark, max(8, -(-model.tokens[1] // BUCKET_TOKENS)))
     dealt = _dealt(rows, handle, labels).repartition(len(labels), "bucket").sortWithinPartitions("bucket")
-    key = rows.schema["doc_id"].dataType.simpleString()
-    names = ["key", "doc_id", "copies", "n", "target", "background"]
+    key = rows.schema["doc_id"].dataType
+    parts = T.StructType([T.StructField("piece", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("at", "lost_target", "lost_background")], *_known(key)])
+    types = [to_arrow_type(f.dataType) for f in parts.fields]
 
-    def run(batches):
+    def lose(batches):
         m = handle.value
         for table, edges in whole_runs(batches, ["bucket"], rows=1):
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 part = table.slice(a, b - a)
-                whole = part.filter(part.column("ids").is_valid())
-                for r in range(whole.num_rows):
-                    get = lambda c, r=r: whole.column(c)[r].values  # noqa: B023, E731
-                    name = np.frombuffer(whole.column("row")[r].as_py(), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(name), get("ids"), pa.array(np.ones(len(name), np.int64)), get("size"), get("target"), get("background")], names=names)
+                whole = part.filter(part.column("ids").is_valid()).combine_chunks()
+                for batch in whole.to_batches():
+                    yield pa.RecordBatch.from_arrays([batch.column("piece"), *[pa.nulls(batch.num_rows, pa.binary())] * 3, *[batch.column(f.name) for f in _known(key)]], names=parts.names)
                 part = part.filter(part.column("pair").is_valid())
                 if not part.num_rows:
                     continue
                 read = lambda c, kind: [np.frombuffer(x, kind) for x in part.column(c).to_pylist()]  # noqa: B023, E731
-                docs, places = read("row", np.int64), read("at", "<u4")
-                first = np.cumsum([0, *map(len, docs)])[:-1]
-                doc, place = np.concatenate(docs), np.concatenate([p + f for p, f in zip(places, first, strict=True)])
-                good = np.concatenate(read("good", "u1")).astype(np.int64)[place]
-                pair, n = np.concatenate(read("pair", np.uint64)), np.concatenate(read("n", "<u4")).astype(np.int64)
+                pairs, places = read("pair", np.uint64), [np.cumsum(x.astype(np.int64)) for x in read("at", "<u4")]
+                n = np.concatenate(read("n", "<u4")).astype(np.int64)
+                good, n = n & 1, n >> 1
+                pair = np.concatenate(pairs)
                 _, of = np.unique(pair, return_inverse=True)
                 own = np.stack([n * good, n])
                 counts = np.stack([np.bincount(of, weights=x)[of] for x in own]) - own
-                lost = [np.bincount(place, weights=x, minlength=len(doc)).astype(np.int64) for x in m.seen(counts, pair, n)]
-                zero = np.zeros(len(doc), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.nulls(len(doc), table.schema.field("ids").type.value_type), pa.array(zero), pa.array(zero), *map(pa.array, lost)], names=names)
-
-    told = dealt.mapInArrow(run, f"key long, doc_id {key}, copies long, n long, target long, background long")
-    sums = told.groupBy("key").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in names[2:]])
-    loss = lambda c: F.when(F.col("n") > 0, F.round(F.col(c) / UNIT / F.col("n"), 6)).otherwise(0.0)
-    out = sums.select("doc_id", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), loss("target").alias("target_loss"), loss("background").alias("background_loss"), F.when(F.col("n") > 0, F.round((F.col("target") - F.col("background")) / UNIT / F.col("n"), 6)).otherwise(0.0).alias("score"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_"))
-    return out.drop("_")
+                lost, at, out = m.seen(counts, pair, n), 0, []
+                for piece, place in zip(part.column("piece").to_pylist(), places, strict=True):
+                    first = np.flatnonzero(np.diff(place, prepend=-1))  # places come in order
+                    sums = np.add.reduceat(lost[:, at : at + len(place)], first, axis=1).astype(np.int64)
+                    out.append((piece, place[first].astype("<u4").tobytes(), sums[0].tobytes(), sums[1].tobytes()))
+                    at += len(place)
+                for s in range(0, len(out), 256):
+                    columns = list(zip(*out[s : s + 256], strict=True))
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, f) for c, f in zip(columns, types, strict=False)], *[pa.nulls(len(columns[0]), f) for f in types[4:]]], names=parts.names)
+
+    names = ["doc_id", "n", "target", "background"]
+
+    def gather(batches):
+        for table, edges in whole_runs(batches, ["piece"], rows=1):
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                part = table.slice(a, b - a)
+                whole = part.filter(part.column("ids").is_valid()).combine_chunks()
+                told = part.filter(part.column("at").is_valid())
+                if whole.num_rows != 1 or told.num_rows != whole.column("buckets")[0].as_py():
+                    raise RuntimeError("the documents came in another order when a task ran again; run the job again")
+                lost = [whole.column(c)[0].values.to_numpy().copy() for c in ("target", "background")]
+                for places, *sums in zip(*(told.column(c).to_pylist() for c in ("at", "lost_target", "lost_background")), strict=True):
+                    at = np.frombuffer(places, "<u4")
+                    for total, x in zip(lost, sums, strict=True):
+                        total[at] += np.frombuffer(x, np.int64)
+                yield pa.RecordBatch.from_arrays([whole.column("ids")[0].values, whole.column("size")[0].values, *map(pa.array, lost)], names=names)
+
+    told = dealt.mapInArrow(lose, parts).repartition("piece").sortWithinPartitions("piece")
+    sums = told.mapInArrow(gather, f"doc_id {key.simpleString()}, n long, target long, background long")
+    loss = lambda c: F.when(F.col("n") > 0, F.round(c / UNIT / F.col("n"), 6)).otherwise(0.0)
+    target, background = F.col("target"), F.col("background")
+    return sums.select("doc_id", F.col("n").alias("n_tokens"), loss(target).alias("target_loss"), loss(background).alias("background_loss"), loss(target - background).alias("score"))
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
