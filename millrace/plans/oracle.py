@@ -25,11 +25,11 @@ SELECT props AS job, lpad(CAST(event_id AS VARCHAR), 26, '0') AS id, event_type
 FROM events"""
 
 WORKERS = f"""
-SELECT DISTINCT concat('w-', CAST(user_id % 8 AS VARCHAR)) AS id, event_type AS worker_type, 'PostgresStorage' AS storage_name,
+SELECT DISTINCT concat('w-', CAST(user_id % 8 AS VARCHAR)) AS id, event_type AS worker_type, 'ParquetStore' AS storage_name,
        '' AS layers, {_NOW} - (user_id % 8) * INTERVAL '37' SECOND AS last_seen, {_NOW} - INTERVAL '30' DAY AS started_at,
        CASE WHEN user_id % 8 <> 7 THEN concat('t-', CAST(user_id % 8 AS VARCHAR)) END AS lease_token
 FROM events
-UNION ALL SELECT 'w-idle', 'idle-queue', 'PostgresStorage', '', {_NOW}, CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR)"""
+UNION ALL SELECT 'w-idle', 'idle-queue', 'ParquetStore', '', {_NOW}, CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR)"""
 
 BATCH = """
 SELECT lpad(concat('n', CAST(event_id AS VARCHAR)), 26, '0') AS id, event_type AS job_type, CAST(1 + event_id % 7 AS INT) AS max_attempts,

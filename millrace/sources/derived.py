@@ -55,14 +55,14 @@ def workers(e: DataFrame) -> DataFrame:
     rows = rows.select(
         F.concat(F.lit("w-"), _text(slot)).alias("id"),
         F.col("event_type").alias("worker_type"),
-        F.lit("PostgresStorage").alias("storage_name"),
+        F.lit("ParquetStore").alias("storage_name"),
         F.lit("").alias("layers"),
         (now - F.make_dt_interval(secs=(slot * 37).cast("decimal(18,6)"))).alias("last_seen"),
         (now - F.make_dt_interval(days=F.lit(30))).alias("started_at"),
         F.when(slot != 7, F.concat(F.lit("t-"), _text(slot))).alias("lease_token"),
     )
     idle = e.sparkSession.range(1).select(
-        F.lit("w-idle").alias("id"), F.lit("idle-queue").alias("worker_type"), F.lit("PostgresStorage").alias("storage_name"), F.lit("").alias("layers"), now.alias("last_seen"), F.lit(None).cast("timestamp_ntz").alias("started_at"), F.lit(None).cast("string").alias("lease_token")
+        F.lit("w-idle").alias("id"), F.lit("idle-queue").alias("worker_type"), F.lit("ParquetStore").alias("storage_name"), F.lit("").alias("layers"), now.alias("last_seen"), F.lit(None).cast("timestamp_ntz").alias("started_at"), F.lit(None).cast("string").alias("lease_token")
     )
     return rows.unionByName(idle)
 
