@@ -160,7 +160,7 @@ def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
     else:
         held = marked.groupBy("_blob").agg(F.count(F.lit(1)).alias("_n")).join(found, "_blob", "left")
         held = cut(held.where((F.col("_n") > HOT) | F.col("_spans").isNotNull()), "held-blobs")
-        marked = attach(marked, held, ["_blob"], "text", n="_n")
+        marked = attach(marked, held, ["_blob"], "doc_id" if "doc_id" in docs.columns else "text", n="_n")
     text = F.col("text")
     piece = lambda a, to: F.substring(text, a["at"] + 1, F.greatest(F.lit(0), to - a["at"]))
     whole = F.aggregate(
