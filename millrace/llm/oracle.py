@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .collocations import LEAST as LEAST_PHRASE
+from .collocations import LONGEST, TOP, UNIT
 from .embedding_dedup import LEAST
 from .secret_scan import BASE_RULES, RULES
 
@@ -50,5 +52,39 @@ SELECT d.doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in BA
 FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id"""
 
 
+OP12 = f"""
+WITH p AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+  n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+  g AS (SELECT lang, k, gram, count(*) AS f FROM (
+          SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS gram FROM p, range(1, {LONGEST} + 1) t(k) WHERE len(w) >= k) GROUP BY lang, k, gram),
+  c AS (SELECT lang, k, gram, f AS a, string_split(gram, ' ') AS w FROM g WHERE k > 1 AND f >= {LEAST_PHRASE}),
+  kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a AND contains(' ' || b.gram || ' ', ' ' || c.gram || ' '))),
+  cuts AS (SELECT lang, gram, a, j, array_to_string(w[1:j], ' ') AS first, array_to_string(w[j + 1:], ' ') AS rest FROM kept, range(1, {LONGEST}) t(j) WHERE j < k),
+  s AS (SELECT cuts.lang, cuts.gram, a, j, x.f AS l, y.f AS r, n, CAST((CAST({UNIT} AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+        FROM cuts JOIN n ON n.lang = cuts.lang JOIN g x ON x.lang = cuts.lang AND x.gram = first JOIN g y ON y.lang = cuts.lang AND y.gram = rest),
+  best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank, gram AS phrase, a, l, r, n, score FROM best QUALIFY rank <= {TOP}"""
+
+#: The checksum byte by byte, from its polynomial.
+OP13 = """
+WITH bytes AS (SELECT list(v ORDER BY i) AS v FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(256) t(i))),
+  t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+  o AS (SELECT c, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, sha256(concat(strlen(role), ':', role, text))) AS l FROM t GROUP BY c),
+  h AS (SELECT c, l, c - c % 5 AS base, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+          lambda a, b: xor(a >> 8, v[(xor(a, b) & 255) + 1]))) % 9 AS h FROM o, bytes),
+  r AS (SELECT h.c, list_concat(coalesce(b.l[1:h.h], []), h.l[h.h + 1:]) AS l FROM h LEFT JOIN o b ON b.c = h.base),
+  p AS (SELECT c, d, l[1:d] AS key, d = len(l) AS ends FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM r)),
+  node AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256,
+             CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(key[d].text) END AS own FROM p GROUP BY key, d),
+  up AS (SELECT n.*, m.conv_id AS parent_conv_id FROM node n LEFT JOIN node m ON m.d = n.d - 1 AND m.key = n.key[1:n.d - 1]),
+  kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM up WHERE d > 0 GROUP BY 1, 2),
+  full_ AS (SELECT up.*, coalesce(kids.n, 0) AS n_children FROM up LEFT JOIN kids ON kids.conv_id = up.conv_id AND kids.d = up.d),
+  sub AS (SELECT a.key, CAST(sum(f.own) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves FROM full_ f JOIN p a ON a.c = f.conv_id AND a.d <= f.d GROUP BY a.key)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM full_ JOIN sub ON sub.key = full_.key"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_dedup": OP2, "op7_secret_scan": _op7(), "op8_minhash_dedup": OP8}
+    return {"op2_embedding_dedup": OP2, "op7_secret_scan": _op7(), "op8_minhash_dedup": OP8, "op12_collocations": OP12, "op13_prefix_trie": OP13}

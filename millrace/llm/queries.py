@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, quality, secret_scan, sentencepiece_codec, token_store
+from . import collocations, embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, token_store
 from .oracle import oracle_sql as oracle_sql
 from .shared import shared_dir, ship
 
@@ -78,6 +78,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -90,4 +100,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_token_store": op9_token_store,
         "op10_quality_rules": op10_quality_rules,
+        "op12_collocations": op12_collocations,
+        "op13_prefix_trie": op13_prefix_trie,
     }
