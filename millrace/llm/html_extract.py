@@ -13,11 +13,20 @@ How many pages a template needs follows from chance: a passage that a share PASS
 is on all of n pages with probability PASSAGE ** n, and a template must be less likely than CHANCE; that takes 8 pages.
 
 The elements' own meaning (nav, footer, forms, scripts, ...) and names of classes and ids mark furniture, too, so that a
-host with a single page is served. A name counts if all parts of one whole word of it say so ("sidebar",
-"comment-list"); one that only begins or ends so ("related-work", "ad-hoc") needs evidence besides: most of the element's
-words are links, or it is short and in no main element. A name covers no article or main if the page has none outside
-such elements; names that begin with a word like no, has or with say nothing. On a page with an article or main
-element only what these hold is kept.
+host with a single page is served. On a page with an article or main element only what these hold is kept, and the rules
+differ by place:
+
+* Outside main elements a name (but no id of a heading) counts if all parts of one whole word of it say so ("sidebar", "site-header"); one that only
+  begins or ends so ("related-work", "ad-hoc") needs evidence besides: most of the element's words are links, or it is
+  short. A name covers no article or main if the page has none outside such elements; names that begin with a word like
+  no, has or with say nothing. Template tokens and menus by slots count here alone; a heading of template tokens that
+  a kept block of the same element follows at once is kept with it.
+* Inside a main element the template doesn't count, and names hardly decide. Ids, and any names of headings, quotes, code and
+  table rows, say nothing, as software makes them of what the text is about. A class (or role) needs evidence: most of
+  the words are links; or, if it says advert, header of the site, sharing or the like, the element is short or other pages of
+  the chunk have its blocks. Two need none: a class that is a word for adverts by itself ("ad", "advertisement", ...), and
+  one of a list or division that says comments. An id that says comments needs comments, articles or a form below it, or
+  a short division.
 
 A block is the text between two block-level tags; <br> is white space in it, formulas (math) and elements of unknown
 kind with a hyphen are part of it. Character references are decoded, white space becomes one space, blocks are trimmed,
@@ -79,18 +88,58 @@ QUALIFIERS = {
     "site", "page", "main", "global", "primary", "secondary", "left", "right", "top", "bottom", "header", "list", "item", "items", "area", "box", "bar", "container", "wrapper", "wrap", "inner", "outer", "block", "section",
     "post", "posts", "article", "articles", "stories", "user", "reader", "links", "link", "button", "buttons", "icons", "slot", "unit", "form", "google", "media", "mobile", "desktop", "to",
 }
+# Words that are a class of adverts by themselves, and parts that say so, or comments, or a header, inside an article.
+ADVERTS = {"ad", "ads", "advert", "adverts", "advertisement", "adsbygoogle", "sponsored"}
+ADVERT_PARTS = {*ADVERTS, "sponsor", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "newsletter", "subscribe", "subscription", "signup", "share", "sharing", "social", "sidebar", "breadcrumb", "breadcrumbs", "pagination", "pager", "masthead", "topbar"}
+COMMENTS = {"comment", "comments", "disqus", "replies", "respond"}
+#: Elements that may hold comments.
+HOLDERS = {"div", "section", "ol", "ul"}
+SITE = {"site", "page", "global", "main", "top"}
+#: Parts of a header's name that make it the article's own.
+ARTICLE = {"article", "entry", "post", "story", "content", "section", "card"}
+#: Elements of a text whose names say nothing inside an article.
+TEXTUAL = {"h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "q", "pre", "code", "td", "th", "tr", "dt", "dd", "figure", "figcaption", "em", "strong", "b", "i", "mark", "cite", "body", "html"}
 # First parts of names that tell a page's layout.
 LAYOUT = {"no", "not", "non", "has", "with", "without"}
 _CLOSED_BY_BLOCK = {"p", *HEADINGS}
 
 
+def _words(value: str) -> list[list[str]]:
+    """The parts of each word of a class, id or role, without words that tell a layout."""
+    return [p for word in value.split() if (p := _PARTS.findall(word)) and p[0] not in LAYOUT]
+
+
+def _header(p: list[str]) -> bool:
+    """Whether a name says that it is a header of the site."""
+    return "header" in p and ARTICLE.isdisjoint(p) and all(x in QUALIFIERS or x in FURNITURE_NAMES for x in p)
+
+
 def _named(value: str) -> int:
-    """Whether a class, id or role marks furniture: 2 if a whole word of it does, 1 if a part does."""
+    """Whether a class, id or role marks furniture outside main elements: 2 if a whole word of it does, 1 if a part does."""
     found = 0
-    for word in value.split():
-        p = _PARTS.findall(word)
-        if p and p[0] not in LAYOUT and not FURNITURE_NAMES.isdisjoint(p):
+    for p in _words(value):
+        if not FURNITURE_NAMES.isdisjoint(p):
             found = max(found, 2 if all(x in FURNITURE_NAMES or x in QUALIFIERS for x in p) else 1)
+        elif _header(p):
+            found = 2
+    return found
+
+
+def _named_inside(value: str) -> str:
+    """What a class or role inside a main element says: ad (needs no evidence), advert, header, comments, some, or nothing."""
+    found = ""
+    for p in _words(value):
+        if len(p) == 1 and p[0] in ADVERTS:
+            return "ad"
+        whole = all(x in FURNITURE_NAMES or x in QUALIFIERS for x in p)
+        if whole and not COMMENTS.isdisjoint(p):
+            found = "comments"
+        elif whole and not ADVERT_PARTS.isdisjoint(p):
+            found = found or "advert"
+        elif _header(p) and (len(p) == 1 or not SITE.isdisjoint(p)):
+            found = found or "header"
+        elif not FURNITURE_NAMES.isdisjoint(p):
+            found = found or "some"
     return found
 
 
@@ -112,6 +161,8 @@ class Page:
         self.blocks: list[Block] = []
         self.tokens: list[tuple[str, str]] = []
         self.has_main = False
+        self.said: dict[int, str] = {}  # marked elements: what their names say inside a main element, "" outside
+        self.proven: set[int] = set()  # marked elements that hold comments or a form; headers that hold a heading
         stack: list[tuple[str, str, int, bool, int]] = []  # name, path, furniture (1 by a name, 2 by itself), main, mark
         seen: tuple[set[str], set[str]] = set(), set()  # kinds of main element outside furniture, and below names alone
         parts: list[str] = []
@@ -189,18 +240,33 @@ class Page:
                     pop(name, {"ul", "ol", "dl", "table", "select"})
             above = stack[-1] if stack else ("", "", 0, False, 0)
             furniture = 2 if name in FURNITURE or name in EMBEDDED or (name == "header" and not above[3]) else above[2]
-            mark = 0
+            mark, held = 0, [s[4] for s in stack if s[4]] if self.said else []
+            if held and (name in ("form", "article") or name in HEADINGS):
+                self.proven.update(m for m in held if self.said[m].startswith("header" if name in HEADINGS else "comments"))
             if attributes and furniture < 2 and name not in MAIN and name not in ("html", "body"):
                 for kind, value in _NAMES.findall(attributes):
                     kind, value = kind.lower(), value.strip("\"'").lower()
                     if (kind == "hidden") or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
                         furniture = 2
-                    elif kind in ("class", "id", "role"):
+                    elif above[3] and kind in ("class", "id", "role"):
+                        says = _named_inside(value) if name not in TEXTUAL else ""
+                        if says == "comments":
+                            self.proven.update(m for m in held if self.said[m].startswith("comments"))
+                            says = "" if name not in HOLDERS else "ad" if kind == "class" else "comments of a section" if name == "section" else says
+                        elif kind == "id":
+                            says = ""
+                        if says == "ad":
+                            furniture = max(furniture, 1)
+                        elif says and not mark:
+                            mark = marks = marks + 1
+                            self.said[mark] = says
+                    elif not above[3] and (kind in ("class", "role") or (kind == "id" and name not in HEADINGS)):
                         found = _named(value)
                         if found == 2:
                             furniture = max(furniture, 1)
-                        elif found:
+                        elif found and not mark:
                             mark = marks = marks + 1
+                            self.said[mark] = ""
             own = name if name in MAIN else "main" if "main" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) else ""
             if own and furniture < 2:
                 if own in lifted:
@@ -218,18 +284,25 @@ class Page:
         if not lifted and (covered := frozenset(seen[1] - seen[0])):
             self.__init__(source, covered)
 
-    def marked(self) -> set[int]:
-        """The elements that a part of a name marks and that are mostly links or, outside main elements, short."""
-        words: Counter[int] = Counter()
-        links: Counter[int] = Counter()
-        inside = set()
+    def marked(self, common: set[tuple[str, ...]] = frozenset()) -> set[int]:
+        """The marked elements for which there is evidence; ``common`` are blocks that other pages have, too."""
+        words, links, shared = Counter(), Counter(), Counter()
         for b in self.blocks:
             for mark in b.marks:
                 words[mark] += len(b.words)
                 links[mark] += b.linked
-                if b.main:
-                    inside.add(mark)
-        return {k for k, n in words.items() if links[k] >= LINKED * n or (n <= SHORT and k not in inside)}
+                shared[mark] += len(b.words) if tuple(b.words) in common else 0
+        gone = set()
+        for k, n in words.items():
+            says, proven = self.said[k], k in self.proven
+            if links[k] >= LINKED * n:
+                gone.add(k)
+            elif says == "" or (says == "advert" and not proven) or (says == "header" and not proven):
+                if n <= SHORT or (says and shared[k] == n):
+                    gone.add(k)
+            elif says.startswith("comments") and (proven or (n <= SHORT and says == "comments")):
+                gone.add(k)
+        return gone
 
 
 @dataclass
@@ -329,13 +402,17 @@ def main_texts(sources: list[str | None]) -> list[str]:
         for b, slot in zip(p.blocks, slot_of[id(p)], strict=True):
             words[slot] += len(b.words)
             links[slot] += b.linked
+    had = Counter(block for p in distinct if p.said for block in {tuple(b.words) for b in p.blocks if b.marks})
+    common = {block for block, n in had.items() if n > 1}
     done = {}
     for s, p in parsed.items():
-        gone = p.marked()
-        own = slot_of.get(id(p)) or [("", "")] * len(p.blocks)
-        menu = lambda slot: slot is None or (not p.has_main and links[slot] > LINKED * words[slot])  # noqa: B023, E731
-        kept = [" ".join(b.words) for b, slot in zip(p.blocks, own, strict=True) if (b.main or not p.has_main) and gone.isdisjoint(b.marks) and not menu(slot)]
-        done[s] = "\n\n".join(kept)
+        gone, own = p.marked(common), slot_of.get(id(p)) or [("", "")] * len(p.blocks)
+        on = [gone.isdisjoint(b.marks) and (b.main if p.has_main else slot is not None and links[slot] <= LINKED * words[slot]) for b, slot in zip(p.blocks, own, strict=True)]
+        for k in range(len(on) - 2, -1, -1) if fixed and not p.has_main else ():
+            head, _, tag = p.blocks[k].path.rpartition("/")
+            if own[k] is None and tag in HEADINGS and on[k + 1] and gone.isdisjoint(p.blocks[k].marks) and p.blocks[k + 1].path.startswith(f"{head}/"):
+                on[k] = True
+        done[s] = "\n\n".join(" ".join(b.words) for b, keep in zip(p.blocks, on, strict=True) if keep)
     return [done[s] if s else "" for s in sources]
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from .collocations import LEAST as LEAST_PHRASE
 from .collocations import LONGEST, TOP, UNIT
 from .embedding_dedup import LEAST
+from .pii import KINDS, LEAD, NEAR, PRIOR, ROUNDS, RUNS, STRONG, TRAIL
+from .pii import LONGEST as LONGEST_RUN
+from .pii import UNIT as UNIT_SCORE
 from .secret_scan import BASE_RULES, RULES
 
 _ROOTS = """
@@ -86,5 +89,61 @@ WITH bytes AS (SELECT list(v ORDER BY i) AS v FROM (
 SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM full_ JOIN sub ON sub.key = full_.key"""
 
 
+def _op11() -> str:
+    """The same definitions over plain patterns; rounds of scoring written out."""
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    plain = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+    run = r"[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*(\x20[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*)*"
+    ip = r"^(0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(\.|$)){4}$"
+    word = r"[^\x20\x09-\x0D]+"
+    digits = lambda m: f"regexp_replace({m}, '[^0-9]', '', 'g')"
+    twice = lambda m: f"list_sum(list_transform(range(1, length({digits(m)}) + 1), lambda j: CASE WHEN j % 2 = 1 THEN 1 ELSE 2 END * CAST({digits(m)}[-j] AS INT) - CASE WHEN j % 2 = 0 AND CAST({digits(m)}[-j] AS INT) > 4 THEN 9 ELSE 0 END))"
+    real = (
+        lambda m: "TRUE",
+        lambda m: f"regexp_matches({m}, {q(ip)})",
+        lambda m: f"length({digits(m)}) BETWEEN 16 AND 19 AND {twice(m)} % 10 = 0",
+        lambda m: f"length({digits(m)}) BETWEEN 8 AND 15",
+    )
+    names, hit = [k.name for k in KINDS], "blob, {k} AS k, unnest(string_split_regex(t, {p})) AS gap, unnest(list_concat(regexp_extract_all(t, {p}, 0), [''])) AS m, generate_subscripts(string_split_regex(t, {p}), 1) AS i"
+    hits = "\n    UNION ALL ".join("SELECT " + hit.format(k=k, p=q(p)) + " FROM t" for k, p in enumerate([*plain, run]))
+    valid = " ".join(f"WHEN {k} THEN {real[k]('m')}" for k in range(RUNS))
+    known = " ".join(f"WHEN len(list_filter(regexp_extract_all(m, {q(p)}, 0), lambda x: {real[k]('x')})) > 0 THEN {k}" for k, p in enumerate(plain))
+    looks = " + ".join(f"CASE WHEN regexp_matches(said, {q(k.look)}) AND length({digits('said')}) BETWEEN {k.digits[0]} AND {k.digits[1]} THEN {1 << n} ELSE 0 END" for n, k in enumerate(KINDS))
+    context = lambda words: f"lower(regexp_replace(regexp_extract(right(gap, {NEAR}), {q(words + chr(92) + 's_end')}, 1), {q('[' + chr(92) + 'x20' + chr(92) + 'x09-' + chr(92) + 'x0D]+')}, ' ', 'g'))".replace(chr(92) + "s_end", r"[\x20\x09-\x0D]*\z")
+    each = range(RUNS)
+    rounds = f"p0 AS (SELECT context, n, {', '.join(f's{k} // (n + {PRIOR}) AS p{k}' for k in each)} FROM seeds)"
+    for r in range(1, ROUNDS):
+        best = ", ".join(f"max(CASE WHEN looks & {1 << k} > 0 THEN p{k} ELSE 0 END) AS p{k}" for k in each)
+        rounds += f""",
+  i{r} AS (SELECT said, {best} FROM open_ JOIN p{r - 1} USING (context) GROUP BY said),
+  m{r} AS (SELECT context, {', '.join(f'sum(p{k}) AS m{k}' for k in each)} FROM open_ JOIN i{r} USING (said) GROUP BY context),
+  p{r} AS (SELECT context, n, {', '.join(f'CAST((s{k} + coalesce(m{k}, 0)) // (n + {PRIOR}) AS BIGINT) AS p{k}' for k in each)} FROM seeds LEFT JOIN m{r} USING (context))"""
+    sure = ", ".join(f"max(CASE WHEN looks & {1 << k} > 0 AND p{k} >= {STRONG} THEN p{k} END) AS p{k}" for k in each)
+    pick = " ".join(f"WHEN p{k} = greatest(p0, p1, p2, p3) THEN {k}" for k in each)
+    span, lists = "concat(name, ':', CAST(start AS VARCHAR), ':', CAST(stop AS VARCHAR))", "', '".join([*names, *[f"like_{n}" for n in names]])
+    return f"""
+WITH t AS (SELECT DISTINCT sha256(coalesce(text, '')) AS blob, coalesce(text, '') AS t FROM documents),
+  h AS ({hits}),
+  s AS (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY blob, k ORDER BY i) AS BIGINT) AS stop FROM h),
+  base AS (SELECT blob, k, stop - length(m) AS start, stop FROM s WHERE k < {RUNS} AND m <> '' AND CASE k {valid} END),
+  r1 AS (SELECT blob, stop - length(m) + length(regexp_extract(m, {q(LEAD)}, 0)) AS start, m, gap, lower(regexp_replace(regexp_replace(m, {q(LEAD)}, ''), {q(TRAIL)}, '')) AS said,
+           length(regexp_replace(regexp_replace(m, {q(LEAD)}, ''), {q(TRAIL)}, '')) AS wide FROM s WHERE k = {RUNS} AND m <> ''),
+  r2 AS (SELECT blob, start, start + wide AS stop, CASE WHEN length(m) <= {LONGEST_RUN} THEN said ELSE sha256(m) END AS said, length(m) <= {LONGEST_RUN} AS short, said AS bare, CASE {known} END AS base, {context(f'({word})')} AS one,
+           {context(rf'({word}[{chr(92)}x20{chr(92)}x09-{chr(92)}x0D]+{word})')} AS two FROM r1 WHERE said <> ''),
+  r3 AS (SELECT blob, start, stop, said, base, CASE WHEN short AND base IS NULL THEN {looks} ELSE 0 END AS looks, one, two FROM r2),
+  runs AS (SELECT DISTINCT blob, start, stop, said, base, looks, unnest([one, two]) AS context FROM r3),
+  named AS (SELECT * FROM runs WHERE regexp_matches(context, '\\p{{L}}[^\\x20]*\\z')),
+  graph AS (SELECT DISTINCT context, said, base, looks FROM named),
+  open_ AS (SELECT context, said, looks FROM graph WHERE looks > 0),
+  seeds AS (SELECT context, count(*) AS n, {', '.join(f'{UNIT_SCORE} * count(*) FILTER (WHERE base = {k}) AS s{k}' for k in each)} FROM graph GROUP BY context),
+  {rounds},
+  told AS (SELECT blob, start, stop, {sure} FROM named JOIN p{ROUNDS - 1} USING (context) WHERE looks > 0 GROUP BY blob, start, stop),
+  f AS (SELECT blob, k, start, stop FROM base UNION ALL SELECT blob, {RUNS} + CASE {pick} END, start, stop FROM told WHERE greatest(p0, p1, p2, p3) IS NOT NULL),
+  d AS (SELECT blob, {', '.join(f'count(*) FILTER (WHERE k = {k}) AS n_{n}' for k, n in enumerate(names))}, string_agg({span}, ',' ORDER BY k, start) FILTER (WHERE k < {RUNS}) AS base, string_agg({span}, ',' ORDER BY k, start) AS spans
+        FROM (SELECT *, ['{lists}'][k + 1] AS name FROM f) GROUP BY blob)
+SELECT doc_id, {', '.join(f'coalesce(n_{n}, 0) AS n_{n}' for n in names)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN d ON d.blob = sha256(coalesce(text, ''))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_dedup": OP2, "op7_secret_scan": _op7(), "op8_minhash_dedup": OP8, "op12_collocations": OP12, "op13_prefix_trie": OP13}
+    return {"op2_embedding_dedup": OP2, "op7_secret_scan": _op7(), "op8_minhash_dedup": OP8, "op11_pii": _op11(), "op12_collocations": OP12, "op13_prefix_trie": OP13}

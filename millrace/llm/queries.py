@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, prefix_trie, quality, secret_scan, sentencepiece_codec, token_store
+from . import collocations, embedding_dedup, html_extract, language_id, lm_scoring, minhash_dedup, packing, pii, prefix_trie, quality, secret_scan, sentencepiece_codec, token_store
 from .oracle import oracle_sql as oracle_sql
 from .shared import shared_dir, ship
 
@@ -78,6 +78,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of each language."""
     return collocations.collocations(_table(spark, sf_dir, "documents"))
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_token_store": op9_token_store,
         "op10_quality_rules": op10_quality_rules,
+        "op11_pii": op11_pii,
         "op12_collocations": op12_collocations,
         "op13_prefix_trie": op13_prefix_trie,
     }
