@@ -54,12 +54,12 @@ def _hash(words) -> np.ndarray:
     return pd.util.hash_array(np.array(words, object), categorize=False) if len(words) else np.zeros(0, np.uint64)
 
 
-def _slots(lang: np.ndarray, *words: np.ndarray) -> np.ndarray:
-    """The slot of each n-gram by the hashes of its language and words."""
+def _slots(size: int, lang: np.ndarray, *words: np.ndarray) -> np.ndarray:
+    """The slot, of ``size``, of each n-gram by the hashes of its language and words."""
     h = lang
     for w in words:
         h = _mix(h + w)
-    return (_mix(h) % np.uint64(SLOTS)).astype(np.int64)
+    return (_mix(h) % np.uint64(size)).astype(np.int64)
 
 
 def _has(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ class _Slice:
 
     def pairs(self, frequent: np.ndarray):
         """Pairs of words that are both in the bitmap."""
-        known = _has(frequent, _slots(self.lang_hash[self.lang], self.word_hash[self.w]))
+        known = _has(frequent, _slots(len(frequent) * 64, self.lang_hash[self.lang], self.word_hash[self.w]))
         at = np.flatnonzero((self.left[:-1] > 1) & known[:-1] & known[1:])
         yield self.sums(at, (self.lang[at] * len(self.vocabulary) + self.w[at]) * len(self.vocabulary) + self.w[at + 1], 2)[0]
 
@@ -109,7 +109,7 @@ class _Slice:
         """Phrases of 3 words and more of which all neighbours are pairs in the bitmap."""
         hashes = self.word_hash[self.w]
         good = np.zeros(len(self.w), bool)
-        good[:-1] = (self.left[:-1] > 1) & _has(frequent, _slots(self.lang_hash[self.lang[:-1]], hashes[:-1], hashes[1:]))
+        good[:-1] = (self.left[:-1] > 1) & _has(frequent, _slots(len(frequent) * 64, self.lang_hash[self.lang[:-1]], hashes[:-1], hashes[1:]))
         at = np.flatnonzero(good)
         ids = (self.lang[at] * len(self.vocabulary) + self.w[at]) * len(self.vocabulary) + self.w[at + 1]
         small = np.unique(ids, return_inverse=True)[1]
@@ -139,7 +139,7 @@ def _sliced(step):
     return run
 
 
-def _count(least: int):
+def _count(least: int, slots: int = SLOTS):
     """A function for mapInArrow that counts a bucket out-of-core: n-grams of weight ``least`` and more, and with words
     the weight of all (k = 0, a null gram). What exceeds MEMORY goes to a scratch folder that ends with the task, as the
     spills of Spark's own aggregates do; no other task reads it."""
@@ -170,13 +170,13 @@ def _count(least: int):
                     UNION ALL SELECT lang, NULL, 0, CAST(sum(m) AS BIGINT) FROM bucket WHERE k = 1 GROUP BY lang"""
             ).to_arrow_reader(50_000)
             for b in found:
-                yield pa.RecordBatch.from_arrays([*b.columns, _slot_column(b)], ["lang", "gram", "k", "f", "slot"])
+                yield pa.RecordBatch.from_arrays([*b.columns, _slot_column(b, slots)], ["lang", "gram", "k", "f", "slot"])
             con.close()
 
     return run
 
 
-def _slot_column(b: pa.RecordBatch) -> pa.Array:
+def _slot_column(b: pa.RecordBatch, slots: int) -> pa.Array:
     """Slots of words and pairs; nulls for the rest."""
     k = b["k"].to_numpy()
     out = np.full(b.num_rows, -1, np.int64)
@@ -184,19 +184,19 @@ def _slot_column(b: pa.RecordBatch) -> pa.Array:
         at = np.flatnonzero(k == n)
         grams = [g.split(" ") for g in b["gram"].take(pa.array(at)).to_pylist()]
         if len(at):
-            out[at] = _slots(_hash(b["lang"].take(pa.array(at)).to_pylist()), *[_hash([g[j] for g in grams]) for j in range(n)])
+            out[at] = _slots(slots, _hash(b["lang"].take(pa.array(at)).to_pylist()), *[_hash([g[j] for g in grams]) for j in range(n)])
     return pa.array(out, mask=out < 0)
 
 
-def _bitmap(counted: DataFrame, k: int) -> np.ndarray:
-    """The bitmap of the slots of the counted k-grams: SLOTS bits at every size of the input."""
+def _bitmap(counted: DataFrame, k: int, slots: int) -> np.ndarray:
+    """The bitmap of the slots of the counted k-grams: so many bits at every size of the input."""
     words = counted.where(F.col("k") == k).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS INT)))").alias("bits")).toArrow()
-    bits = np.zeros(SLOTS // 64, np.uint64)
+    bits = np.zeros(slots // 64, np.uint64)
     bits[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bits
 
 
-def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, slots: int = SLOTS) -> DataFrame:
     """lang, gram, k (its words), f of every phrase of 1 to ``longest`` words found ``least`` times or more; for k = 0 the
     number of all words of the language."""
     spark = docs.sparkSession
@@ -206,21 +206,21 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataF
 
     def counted(step, name):
         grams = rows.mapInArrow(_sliced(step), _GRAMS).repartition(buckets, "lang", "gram")
-        return cut(grams.mapInArrow(_count(least), _COUNTED), name)
+        return cut(grams.mapInArrow(_count(least, slots), _COUNTED), name)
 
     one = counted(lambda s: s.words(), "words")
-    known = sc.broadcast(_bitmap(one, 1))
+    known = sc.broadcast(_bitmap(one, 1, slots))
     two = counted(lambda s: s.pairs(known.value), "pairs")
-    near = sc.broadcast(_bitmap(two, 2))
+    near = sc.broadcast(_bitmap(two, 2, slots))
     more = counted(lambda s: s.runs(near.value, longest), "phrases")
     known.unpersist()
     near.unpersist()
     return one.union(two).union(more).select("lang", "gram", "k", "f")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, slots: int = SLOTS) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    every = cut(counts(docs, least, longest), "counts")
+    every = cut(counts(docs, least, longest, slots), "counts")
     totals, grams = every.where("k = 0").groupBy("lang").agg(F.sum("f").alias("n")), every.where("k > 0")
     word = F.split("gram", " ")
     part = lambda start, size: F.array_join(F.slice(word, start, size), " ")

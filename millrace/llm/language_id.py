@@ -5,11 +5,11 @@ HASHES places in the array; the AND of the masks there is the set of all languag
 A text's n-grams are looked up; the population count of each language's bit, less the hits that a filter of its fill
 would give by chance, is the share of the text's n-grams that the language has. The largest share wins and is the score.
 
-A language has the n-grams that occur at least LEAST_SEEN times in its texts, at a rate of at least FLOOR of the rate in
-the language that uses them most; n-grams that languages share are in the filter of each. They are counted in a bounded
-sample of labelled texts, PER_LANGUAGE for each language in expectation, chosen by a hash of the id; whole texts are
-counted and whole texts predicted. A tag on fewer than LEAST_SHARE of the labelled documents isn't learned, so that odd
-tags by the million don't reach the driver. A and Z count as a and z; digits and punctuation count as spaces.
+A language has the n-grams that occur at least LEAST_SEEN times in its texts; n-grams that languages share are in the filter
+of each, and what tells them apart are the counts. They are counted in a bounded sample of labelled texts, PER_LANGUAGE for
+each language in expectation, chosen by a hash of the id; whole texts are counted and whole texts predicted. A language is
+learned from LEAST_DOCS labelled documents on, whatever its share; more than MOST_LANGUAGES such tags are refused, as the
+masks have a bit for each. A and Z count as a and z; digits and punctuation count as spaces.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; so is any text if nothing was learned;
 ties, no known n-gram at all among them, go to the language that comes first by name; repeated rows get the same
@@ -31,16 +31,32 @@ from .tokens import slices
 NGRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 1500
 LEAST_SEEN = 3
-FLOOR = 0.1
-LEAST_SHARE = 0.001
+#: Labelled documents that a language is learned from at least; languages at most.
+LEAST_DOCS, MOST_LANGUAGES = 3, 1024
 HASHES = 2
 #: Masks for each n-gram of the largest language (at the next power of two), and masks at least and at most.
 PER_GRAM, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 24
+#: Bytes that all masks may have together: they are sent to every executor. Masks of one block of the array.
+MOST_BYTES, BLOCK = 1 << 27, 1 << 14
+#: Bytes of texts that are hashed together.
+SLICE = 100_000
 UNKNOWN = "und"
 #: A corpus keeps texts whose score reaches this.
 LEAST_SCORE = 0.5
-_NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
-_LETTER = regex.compile(r"\p{L}")
+#: By code point: 2 for a letter, 1 for a mark. Made once by each process.
+_kinds: list[np.ndarray] = []
+
+
+def _kind_of() -> np.ndarray:
+    if not _kinds:
+        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        at = lambda i: i + (i >= 0xD800) * 0x800  # noqa: E731  surrogates aren't in texts
+        kinds = np.zeros(0x110000, np.uint8)
+        for value, pattern in ((2, r"\p{L}+"), (1, r"\p{M}+")):
+            for m in regex.finditer(pattern, every):
+                kinds[at(m.start()) : at(m.end() - 1) + 1] = value
+        _kinds.append(kinds)
+    return _kinds[0]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,28 +66,48 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-def ngram_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the n-grams of a text in lower case, its words set between spaces; several n together."""
-    plain = f" {_NOT_LETTERS.sub(' ', text.lower()).strip()} "
-    c = np.frombuffer(plain.encode("utf-32-le"), "<u4").astype(np.uint64)
-    if len(c) < 3:
-        return np.empty(0, np.uint64)
-    out, h = [], np.zeros(len(c), np.uint64)
+def ngram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all n-grams of some texts, the text (its number) of each, and whether a text has a letter.
+
+    A text counts in lower case, with a space before, between and after its words; several n together.
+    """
+    low = [t.lower() for t in texts]
+    sizes = np.fromiter(map(len, low), np.int64, len(low))
+    c = np.frombuffer("".join(low).encode("utf-32-le"), "<u4")
+    kind, own = _kind_of()[c], np.repeat(np.arange(len(low)), sizes)
+    at = np.flatnonzero(kind)
+    c, own, kind = c[at].astype(np.uint64), own[at], kind[at]
+    letters = np.bincount(own, kind == 2, len(low)) > 0
+    begins = np.ones(len(at), bool)
+    begins[1:] = (np.diff(at) > 1) | (np.diff(own) > 0)
+    ends = np.ones(len(at), bool)
+    ends[:-1] = np.diff(own) > 0
+    size = 1 + begins + ends
+    first = np.cumsum(size) - size
+    plain = np.full(int(size.sum()), 32, np.uint64)
+    plain[first + begins] = c
+    own = np.repeat(own, size)
+    out, of, h = [], [], np.zeros(len(plain), np.uint64)
     with np.errstate(over="ignore"):
         for n in range(1, max(NGRAMS) + 1):
-            m = len(c) - n + 1
+            m = len(plain) - n + 1
             if m <= 0:
                 break
-            h = h[:m] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1 : n - 1 + m] + np.uint64(1)
+            h = h[:m] * np.uint64(0x9E3779B97F4A7C15) + plain[n - 1 : n - 1 + m] + np.uint64(1)
             if n in NGRAMS:
-                out.append(_mix(h[c != 32] if n == 1 else h))  # a space alone is no n-gram
-    return np.concatenate(out)
+                good = own[:m] == own[n - 1 : n - 1 + m]
+                if n == 1:
+                    good &= plain != 32  # a space alone is no n-gram
+                out.append(_mix(h[good]))
+                of.append(own[:m][good])
+    return (np.concatenate(out), np.concatenate(of), letters) if out else (np.empty(0, np.uint64), np.empty(0, np.int64), letters)
 
 
 def places(h: np.ndarray, bits: int) -> list[np.ndarray]:
     """HASHES places of each hash in an array of ``bits`` masks."""
-    low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)
-    return [((low + np.uint64(k) * (high | np.uint64(1))) % np.uint64(bits)).astype(np.int64) for k in range(HASHES)]
+    low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+    within = (lambda x: x & np.uint64(bits - 1)) if bits & (bits - 1) == 0 else (lambda x: x % np.uint64(bits))
+    return [within(low + np.uint64(k) * high if k else low).view(np.int64) for k in range(HASHES)]
 
 
 def mask_type(languages: int):
@@ -111,26 +147,30 @@ class Filters:
             found.append(both)
         return found
 
-    def votes(self, h: np.ndarray) -> np.ndarray:
-        """Corrected share of the n-grams that each language's filter holds."""
+    def votes(self, h: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+        """For each of some texts and each language, the corrected share of the text's n-grams (``h``, of text ``of``) that the filter holds."""
         hits = []
         for (n, masks), both in zip(self.planes, self.masks(h), strict=True):
-            if n <= 16:
-                seen = np.bincount(both, minlength=1 << n)
-                hits += [int(seen[(np.arange(len(seen)) >> k) & 1 == 1].sum()) for k in range(n)]
+            if n <= 8:  # by text and mask
+                seen = np.bincount(of << n | both, minlength=texts << n).reshape(texts, 1 << n)
+                hits += [seen[:, (np.arange(1 << n) >> k) & 1 == 1].sum(axis=1) for k in range(n)]
             else:
-                hits += [int(np.count_nonzero(both & masks.dtype.type(1 << k))) for k in range(n)]
-        return np.maximum(0.0, (np.array(hits) / len(h) - self.chance) / np.maximum(1 - self.chance, 1e-9))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        h = ngram_hashes(text)
-        if not len(h):
-            return UNKNOWN, 0.0
-        v = self.votes(h)
-        best = int(np.argmax(v))
-        return self.languages[best], float(v[best])
+                hits += [np.bincount(of[both & masks.dtype.type(1 << k) > 0], minlength=texts) for k in range(n)]
+        share = np.array(hits).T / np.maximum(np.bincount(of, minlength=texts), 1)[:, None]
+        return np.maximum(0.0, (share - self.chance) / np.maximum(1 - self.chance, 1e-9))
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """The language and score of each text."""
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        at = [i for i, t in enumerate(texts) if t]
+        if not at or not self.languages:
+            return names, scores
+        h, of, letters = ngram_hashes([texts[i] for i in at])
+        v = self.votes(h, of, len(at))
+        best = np.argmax(v, axis=1)
+        for j in np.flatnonzero(letters).tolist():
+            names[at[j]], scores[at[j]] = self.languages[best[j]], v[j, best[j]]
+        return names, scores
 
 
 def held_out(doc_id):
@@ -138,48 +178,46 @@ def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4).cast("long")) == 2, F.lit(False))
 
 
-def grams_of(docs: DataFrame, per_language: int = PER_LANGUAGE, least_share: float = LEAST_SHARE) -> tuple[list[str], DataFrame]:
+def grams_of(docs: DataFrame, per_language: int = PER_LANGUAGE, least_docs: int = LEAST_DOCS) -> tuple[list[str], DataFrame]:
     """The languages learned, by name, and a table k (place of the language), gram (hash) of all that they contain."""
     ship(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    known = sorted((r["lang"], r["n"]) for r in sizes.where(F.col("n") >= least_share * total).collect())
+    sizes = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_docs), "language-sizes")
+    known = sorted((r["lang"], r["n"]) for r in sizes.limit(MOST_LANGUAGES + 1).collect())
+    if len(known) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages have {least_docs} labelled documents; raise least_docs or mend the tags")
     limits = [(name, k, int((1 << 30) * min(1.0, per_language / n)) + 1) for k, (name, n) in enumerate(known)]
-    chosen = F.broadcast(spark.createDataFrame(limits, "lang string, k int, below int"))  # 1 / LEAST_SHARE rows at most
+    chosen = F.broadcast(spark.createDataFrame(limits, "lang string, k int, below int"))  # MOST_LANGUAGES rows at most
     sample = rows.join(chosen, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.col("below")).select("k", "text")
 
     def count(batches):
         for batch in batches:
-            for a, b in slices(batch):
+            for a, b in slices(batch, SLICE):
                 part = batch.slice(a, b - a)
-                own, texts = part.column("k").to_numpy(), part.column("text").to_pylist()
+                h, of, _ = ngram_hashes(part.column("text").to_pylist())
+                own = part.column("k").to_numpy()[of]
                 for k in np.unique(own):
-                    h = np.concatenate([ngram_hashes(texts[i]) for i in np.flatnonzero(own == k)])
-                    u, n = np.unique(h, return_counts=True)
+                    u, n = np.unique(h[own == k], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "gram", "n"])
 
-    counts = cut(sample.mapInArrow(count, "k int, gram long, n long").groupBy("gram", "k").agg(F.sum("n").alias("n")), "language-grams")
-    rate = F.col("n") / F.col("total")
-    rates = counts.join(F.broadcast(counts.groupBy("k").agg(F.sum("n").alias("total"))), "k").where(F.col("n") >= LEAST_SEEN)
-    # a list has an entry for each language at most
-    users = rates.groupBy("gram").agg(F.max(rate).alias("top"), F.collect_list(F.struct("k", rate.alias("rate"))).alias("of"))
-    kept = users.select("gram", F.explode(F.filter("of", lambda x: x["rate"] >= FLOOR * F.col("top"))).alias("x"))
-    return [name for name, _ in known], cut(kept.select("x.k", "gram"), "language-filters")
+    counts = sample.mapInArrow(count, "k int, gram long, n long").groupBy("gram", "k").agg(F.sum("n").alias("n"))
+    return [name for name, _ in known], cut(counts.where(F.col("n") >= LEAST_SEEN).select("k", "gram"), "language-filters")
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int | None = None, least_share: float = LEAST_SHARE) -> Filters:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int | None = None, least_docs: int = LEAST_DOCS) -> Filters:
     """Learns from rows of ``docs`` (doc_id, text, lang) whose text and lang aren't null and that aren't held out.
 
-    Masks are put together in Spark; the driver gets the masks that aren't zero, at most ``bits`` for 64 languages.
-    Without ``bits`` the arrays are sized by the language with the most n-grams; MOST_BITS are the most, beyond which
-    a fuller filter's chance hits are corrected for as ever.
+    Masks are put together in Spark, in blocks of BLOCK; the driver gets the blocks that aren't empty as bytes, as it has to
+    broadcast them: MOST_BYTES altogether at most. Without ``bits`` the arrays are sized by the language with the most
+    n-grams; the chance hits of a filter that is fuller are corrected for as ever.
     """
-    names, grams = grams_of(docs, per_language, least_share)
+    names, grams = grams_of(docs, per_language, least_docs)
+    planes, kind = -(-len(names) // 64), mask_type(min(len(names), 64))
     if bits is None:
         most = grams.groupBy("k").count().agg(F.max("count")).first()[0] or 1
-        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (PER_GRAM * most - 1).bit_length()))
+        room = MOST_BYTES // (max(planes, 1) * np.dtype(kind).itemsize)
+        bits = min(MOST_BITS, 1 << (room.bit_length() - 1), max(LEAST_BITS, 1 << (PER_GRAM * most - 1).bit_length()))
 
     def spread(batches):
         for batch in batches:
@@ -188,12 +226,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int | None = No
             for p in places(h, bits):
                 yield pa.RecordBatch.from_arrays([pa.array((k // 64).astype(np.int32)), pa.array(p), pa.array(mask)], names=["plane", "place", "mask"])
 
-    told = grams.mapInArrow(spread, "plane int, place long, mask long").groupBy("plane", "place").agg(F.bit_or("mask").alias("mask")).toArrow()
-    planes = [np.zeros(bits, np.uint64) for _ in range(0, len(names), 64)]
-    plane, place, mask = (told.column(c).to_numpy() for c in ("plane", "place", "mask"))
-    for i, masks in enumerate(planes):
-        masks[place[plane == i]] = mask[plane == i].view(np.uint64)
-    return Filters(names, planes)
+    def pack(batches):
+        for batch in batches:
+            out = []
+            for at, masks in zip(batch.column("at").to_pylist(), batch.column("masks").to_pylist(), strict=True):
+                block = np.zeros(BLOCK, np.uint64)
+                block[at] = np.array(masks, np.int64).view(np.uint64)
+                out.append(block.astype(kind).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("plane"), batch.column("block"), pa.array(out, pa.binary())], names=["plane", "block", "bytes"])
+
+    told = grams.mapInArrow(spread, "plane int, place long, mask long").groupBy("plane", "place").agg(F.bit_or("mask").alias("mask"))
+    pairs = told.groupBy("plane", F.expr(f"place div {BLOCK}").alias("block")).agg(F.collect_list(F.struct((F.col("place") % BLOCK).alias("at"), "mask")).alias("x"))  # BLOCK at most
+    blocks = pairs.select("plane", "block", F.col("x.at").alias("at"), F.col("x.mask").alias("masks")).mapInArrow(pack, "plane int, block long, bytes binary").toArrow()
+    arrays = [np.zeros(-(-bits // BLOCK) * BLOCK, kind) for _ in range(planes)]
+    for plane, block, raw in zip(*[blocks.column(c).to_pylist() for c in ("plane", "block", "bytes")], strict=True):
+        arrays[plane][block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(raw, kind)
+    return Filters(names, [a[:bits] for a in arrays])
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
@@ -204,11 +252,11 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     def run(batches):
         f = handle.value
         for batch in batches:
-            for a, b in slices(batch):
+            for a, b in slices(batch, SLICE):
                 rows = batch.slice(a, b - a)
-                found = [f.predict(t) for t in rows.column("text").to_pylist()]
+                names, scores = f.predict(rows.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), rows.column("held_out"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                    [rows.column("doc_id"), rows.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
                     names=["doc_id", "held_out", "lang_pred", "score"],
                 )
 
@@ -227,7 +275,10 @@ def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> D
 
     @F.pandas_udf("boolean")
     def known(text: pd.Series) -> pd.Series:
-        found = [handle.value.predict(t) for t in text]
-        return pd.Series([name != UNKNOWN and score >= least for name, score in found], dtype=bool)
+        texts, good = pa.table({"text": pa.array(text, pa.string())}), []
+        for a, b in slices(texts, SLICE):
+            names, scores = handle.value.predict(texts.column("text").slice(a, b - a).to_pylist())
+            good += [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
+        return pd.Series(good, dtype=bool)
 
     return docs.where(known("text"))

@@ -107,7 +107,7 @@ def first_owned(prefixes: DataFrame, minima: DataFrame, convs: DataFrame) -> Dat
     state = convs.select("c", "len", F.lit(0).cast("long").alias("low"), (F.col("len") + 1).alias("high"))
     for _ in range((longest + 1).bit_length()):
         state = cut(state, "search")
-        asked = cut(state.where("low < high").select("c", F.expr("(low + high) div 2").alias("d")), "asked")
+        asked = state.where("low < high").select("c", F.expr("(low + high) div 2").alias("d"))
         told = _owners(asked, prefixes, minima).select("c", F.col("d").alias("mid"), (F.col("owner") == F.col("c")).alias("owns"))
         state = state.join(told, "c", "left").select(
             "c", "len", F.when(F.col("owns"), F.col("low")).otherwise(F.coalesce(F.col("mid") + 1, "low")).alias("low"), F.when(F.col("owns"), F.col("mid")).otherwise(F.col("high")).alias("high")

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -184,9 +185,9 @@ def test_bloom_filters():
     rng = np.random.RandomState(5)
     grams = {k: rng.randint(0, 1 << 62, 20_000).astype(np.uint64) for k in ("a", "b", "c")}
     f = language_id.Filters.of(grams, 1 << 17)
-    for k, name in enumerate(sorted(grams)):
-        assert f.votes(grams[name])[k] == 1
-        assert f.votes(grams[name])[(k + 1) % 3] < 0.02
+    both = np.concatenate([grams["a"], grams["b"]])
+    v = f.votes(both, np.repeat([0, 2], 20_000), 3)
+    assert v[0, 0] == v[2, 1] == 1 and max(v[0, 1], v[0, 2], v[2, 0], v[2, 2]) < 0.02 and (v[1] == 0).all()
 
 
 def test_filters_return_all_languages():
@@ -200,7 +201,7 @@ def test_filters_return_all_languages():
     low, mid, high = f.masks(shared)
     assert (low & np.uint64(8) > 0).all() and (mid & np.uint64(1) > 0).all() and (high & 2 > 0).all()
     assert np.bitwise_count(low[100:]).mean() < 1.2 and (np.bitwise_count(low[:100]) == 64).all()
-    v = f.votes(grams["l129"])
+    v = f.votes(grams["l129"], np.zeros(800, np.int64), 1)[0]
     assert np.argmax(v) == 129 and v[129] == 1 and abs(v[3] - 500 / 800) < 0.02 and abs(v[5] - 100 / 800) < 0.02
 
 
@@ -227,8 +228,7 @@ def test_language_against_brute_force(spark):
     for i, t, lang in rows:
         if t is not None and lang and zlib.crc32(str(i).encode()) % 4 != 2:
             counts[lang].update(by_hand(t))
-    rates = {k: {g: n / c.total() for g, n in c.items()} for k, c in counts.items()}
-    has = {k: {g for g, n in counts[k].items() if n >= 3 and rates[k][g] >= 0.1 * max(r.get(g, 0) if counts[j][g] >= 3 else 0 for j, r in rates.items())} for k in words}
+    has = {k: {g for g, n in counts[k].items() if n >= 3} for k in words}
     assert len(has["aa"] & has["ab"]) > 100
     names, grams = language_id.grams_of(docs)
     assert names == ["aa", "ab", "zz"]
@@ -255,11 +255,30 @@ def test_language_against_brute_force(spark):
     assert got[1000] == ("aa", 0.0) and got[1001] == got[1002] == ("und", 0.0)
 
 
-def test_rare_tags_are_not_learned(spark):
-    rows = [(k, edge.prose(k, 20), "en" if k % 40 else f"tag{k}") for k in range(400)]
+def test_hashes_of_slices():
+    """Texts hashed together have the n-grams that each has by itself, those of the definition."""
+    texts = ["", "a", " b  c ", "12 !", "Σίσυφος İstanbul ß don't", "日本", "\u0301", "áb c", "x" * 50, "ΑΣ", "end"]
+    h, of, letters = language_id.ngram_hashes(texts)
+    for k, t in enumerate(texts):
+        alone = language_id.ngram_hashes([t])
+        assert sorted(h[of == k].tolist()) == sorted(alone[0].tolist()) and letters[k] == alone[2][0] == any(c.isalpha() for c in t)
+        assert len(alone[0]) == len(by_hand(t))
+
+
+def test_rare_languages_are_learned(spark):
+    """A language on 4 of 6,000 labelled documents is; a tag on fewer than LEAST_DOCS isn't; too many tags are refused."""
+    en, es = ("river", "stone", "light", "walks", "under"), ("perro", "gato", "casa", "arbol", "agua")
+    taught = [k for k in range(200_000) if zlib.crc32(str(k).encode()) % 4 != 2][:6000]
+    rows = [(i, edge.prose(i, 12, es if k < 4 else en), "es" if k < 4 else "odd" if k == 4 else "en") for k, i in enumerate(taught)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert language_id.fit(docs, least_share=0.05).languages == ["en"]
-    assert len(language_id.fit(docs).languages) > 5
+    filters = language_id.fit(docs)
+    assert filters.languages == ["en", "es"]
+    assert filters.predict([edge.prose(-1, 30, es), edge.prose(-2, 30, en)])[0] == ["es", "en"]
+    few = spark.createDataFrame([(i, "some text", f"tag{k // 3}") for k, i in enumerate(taught[:60])], docs.schema)
+    assert len(language_id.fit(few).languages) == 20 and language_id.fit(few, least_docs=4).languages == []
+    many = spark.range(3 * (language_id.MOST_LANGUAGES + 1) * 4).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), (F.col("id") % (language_id.MOST_LANGUAGES + 1)).cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(many)
 
 
 def by_definition(rows, target):
