@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument, StorageError
@@ -30,10 +30,10 @@ def new_rows(batch: DataFrame, now: datetime | str) -> DataFrame:
     return jobs_of(batch.select(*[made[f.name].alias(f.name) if f.name in made else F.col(f.name) for f in JOBS]))
 
 
-def over_caps(rows: DataFrame) -> DataFrame:
-    """Rows whose queue name, metadata or key is too long, in bytes."""
+def too_long() -> Column:
+    """Whether a row's queue name, metadata or key is too long, in bytes."""
     size = lambda c: F.coalesce(F.octet_length(c), F.lit(0))
-    return rows.where((size("job_type") > QUEUE_BYTES) | (size("metadata") > METADATA_BYTES) | (size("idempotency_key") > KEY_BYTES))
+    return (size("job_type") > QUEUE_BYTES) | (size("metadata") > METADATA_BYTES) | (size("idempotency_key") > KEY_BYTES)
 
 
 def split_conflicts(jobs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -59,19 +59,21 @@ def enqueue_dedup(jobs: DataFrame, batch: DataFrame, now: datetime | str) -> Tra
 def enqueue(jobs: DataFrame, batch: DataFrame, now: datetime | str) -> Transition:
     """Inserts the whole batch or, if a cap is passed, an id is taken or any key conflicts, nothing.
 
-    An empty batch changes nothing. Raises InvalidArgument (caps, keys) or StorageError (ids).
+    One aggregation over the batch tells all of that. An empty batch changes nothing. Raises InvalidArgument (caps, keys) or StorageError (ids).
     """
     rows = new_rows(batch, now)
-    marked = split_conflicts(jobs, rows)
+    there = jobs.select("id").join(rows.select("id"), "id", "left_semi").distinct().withColumn("_there", F.lit(True))
+    marked = split_conflicts(jobs, rows).join(there, "id", "left")
     counts = marked.agg(
         F.count(F.lit(1)).alias("all"),
+        F.count_if(too_long()).alias("long"),
+        F.count_if("_there").alias("there"),
         F.count_if(~F.col("fresh")).alias("dropped"),
-        F.count("idempotency_key").alias("keyed"),
         F.count_distinct("id").alias("ids"),
     ).first()
-    if counts["all"] and (n := over_caps(rows).count()):
-        raise InvalidArgument(f"{n} of {counts['all']} tasks pass the limits: queue {QUEUE_BYTES}, metadata {METADATA_BYTES}, key {KEY_BYTES} bytes")
-    if counts["ids"] < counts["all"] or (counts["all"] and not jobs.join(rows.select("id"), "id", "left_semi").isEmpty()):
+    if counts["long"]:
+        raise InvalidArgument(f"{counts['long']} of {counts['all']} tasks pass the limits: queue {QUEUE_BYTES}, metadata {METADATA_BYTES}, key {KEY_BYTES} bytes")
+    if counts["ids"] < counts["all"] or counts["there"]:
         raise StorageError("an id is in the table already")
     if counts["dropped"]:
         raise InvalidArgument(f"{counts['dropped']} of {counts['all']} tasks conflict with an idempotency key")

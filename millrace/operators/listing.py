@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..errors import MissingField
 from ..functions.predicates import terminal, has_status, in_queue
 from ..functions.scalars import epoch_seconds
-from ..schema import Filter
-
+from ..schema import JOBS, Filter
+from ..sources.folders import BROADCAST_ROWS
+from .ranks import Pages
 
 
 def _order():
@@ -32,6 +33,21 @@ def list_all_tasks(jobs: DataFrame, page: Filter) -> DataFrame:
     return jobs.where(has_status(page.status)).orderBy(*_order()).offset(at).limit(page.limit)
 
 
+def pages(jobs: DataFrame, status: str | None = None, queue: str | None = None) -> Pages:
+    """The listing of a status as stored pages of (done_at, run_at, id): the way to late pages, and to many.
+
+    A page by ``list_all_tasks`` is a top-k that gathers all rows before it; here it reads the partition that holds it.
+    """
+    return Pages(jobs.where(has_status(status) & in_queue(queue)).select("done_at", "run_at", "id"), _order())
+
+
+def list_from(jobs: DataFrame, stored: Pages, page: Filter) -> DataFrame:
+    """The page's tasks, from a listing made by ``pages`` of the same jobs and status."""
+    ids = stored.page(page.offset, page.limit).select("id")
+    rows = jobs.where(has_status(page.status)).join(F.broadcast(ids) if page.limit <= BROADCAST_ROWS else ids, "id", "left_semi")
+    return rows.select(*[f.name for f in JOBS]).orderBy(*_order())
+
+
 def running_workers(workers: DataFrame, queue: str | None = None) -> DataFrame:
     """id, queue, backend, started_at, last_heartbeat (seconds since 1970), layers; the latest heartbeat first."""
     rows = workers if queue is None else workers.where(F.col("worker_type") == queue)

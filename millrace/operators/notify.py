@@ -4,31 +4,26 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import due
 from ..schema import INSERT_EVENT
+from .ranks import numbered
 
 CHUNK = 100
-#: Due ids of a queue that are numbered together; an insert with more is dealt in so many parts by the ids' hash.
-PART = 100_000
 #: Ids that one event may carry; later ones are left to the poll.
 MOST_IDS = 65_536
 
 
 def notify_chunks(new_jobs: DataFrame, now: datetime | str, size: int = CHUNK) -> DataFrame:
-    """job_type, chunk, ids (ordered): the due ones of newly inserted jobs, so many to a chunk.
+    """job_type, chunk, ids (ordered): the due ones of newly inserted jobs, so many consecutive ids to a chunk.
 
-    The window sees one insert's due ids of a queue, without payloads, PART of them about: a larger insert into one queue
-    is dealt in parts, whose chunks are numbered in turn.
+    Ids are numbered by ranges of (job_type, id) and prefix sums, so that no task sees a whole queue; then each chunk's
+    few ids meet.
     """
-    rows = new_jobs.where(due(now)).select("job_type", "id")
-    parts = rows.groupBy("job_type").agg(F.ceil(F.count(F.lit(1)) / PART).alias("m"))
-    dealt = rows.join(parts, "job_type").withColumn("part", F.pmod(F.xxhash64("id"), F.col("m")))
-    place = F.row_number().over(Window.partitionBy("job_type", "part").orderBy("id")) - 1
-    dealt = dealt.withColumn("chunk", F.floor(place / size) * F.col("m") + F.col("part"))
-    return dealt.groupBy("job_type", "chunk").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    rows = numbered(new_jobs.where(due(now)).select("job_type", "id"), [F.col("id")], ["job_type"])
+    return rows.groupBy("job_type", F.expr(f"nth div {int(size)}").alias("chunk")).agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 def notify_batches(new_jobs: DataFrame, now: datetime | str, size: int = CHUNK) -> DataFrame:

@@ -88,6 +88,7 @@ def _taken(status: str, done: str) -> str:
 
 _NO_TIME = "CAST(NULL AS TIMESTAMP)"
 _TOP = "ORDER BY priority DESC, run_at, id LIMIT"
+_RANKED = f"SELECT *, row_number() OVER (PARTITION BY job_type ORDER BY priority DESC, run_at, id) AS place FROM jobs WHERE {_CLAIMABLE} AND {_DUE}"
 _MINUTES = "(epoch_us({b}) - epoch_us({a})) / 6e7"
 _ENDED = "status IN ('Done', 'Failed', 'Killed')"
 _HOUR, _DAY, _WEEK = (f"run_at >= {_NOW} - INTERVAL '{n}'" for n in ("1 hour", "1 day", "7 days"))
@@ -137,6 +138,11 @@ def _metrics(where: str) -> str:
     return _with("jobs", f"SELECT title, stat_type, value, CAST(priority AS INT) AS priority FROM (SELECT {wide}, {peak} AS PEAK_HOUR_JOBS FROM jobs WHERE {where}) w, LATERAL (VALUES {rows}) v(title, stat_type, value, priority)")
 
 
+def _metrics_report() -> str:
+    storage = " ".join(f"UNION ALL SELECT '{t}', '{kind}', CAST({p} AS INT), 'positive', CAST(NULL AS DOUBLE)" for t, kind, _, p in CATALOGUE if t.startswith("DB_"))
+    return f"SELECT title, stat_type, priority, CASE WHEN stat_type = 'Number' THEN CAST(CAST(value AS BIGINT) AS VARCHAR) END AS text, value AS number FROM ({_metrics('TRUE')}) {storage}"
+
+
 _QUEUE_STATS = [(t, kind, p) for t, kind, p, _ in CATALOGUE if p is not None]
 _TITLES = ",".join(t for t, _, _ in sorted(_QUEUE_STATS, key=lambda x: x[2]))
 _QUEUES = "SELECT DISTINCT job_type FROM jobs UNION SELECT worker_type FROM workers"
@@ -187,6 +193,13 @@ def oracle_sql() -> dict[str, str]:
             "jobs",
             f"""SELECT job_type, CASE WHEN t THEN 'Running' ELSE status END AS status, CASE WHEN t THEN 'w-new' ELSE lock_by END AS lock_by, count(*) AS n, count(CASE WHEN NOT t THEN done_at END) AS done
 FROM (SELECT *, id IN (SELECT id FROM jobs WHERE job_type = 'click' AND {_CLAIMABLE} AND {_DUE} {_TOP} 10) AS t FROM jobs) GROUP BY 1, 2, 3""",
+        ),
+        "claim_all_queues": _with("jobs", f"SELECT {_taken('Running', _NO_TIME)} FROM ({_RANKED}) WHERE place <= 10"),
+        "claim_for_workers": _with(
+            "jobs workers",
+            f"""SELECT j.id, j.job_type, 'Running' AS status, attempts, max_attempts, run_at, last_result, {_NOW} AS lock_at, w.id AS lock_by, {_NO_TIME} AS done_at, priority, idempotency_key FROM ({_RANKED}) j
+JOIN (SELECT id, worker_type, 3 + ascii(right(id, 1)) % 4 AS n, sum(3 + ascii(right(id, 1)) % 4) OVER (PARTITION BY worker_type ORDER BY id) AS upto FROM workers) w
+  ON w.worker_type = j.job_type AND j.place <= w.upto AND j.place > w.upto - w.n""",
         ),
         "claim_by_ids": _with("jobs", f"SELECT {_taken('Running', _NO_TIME)} FROM jobs WHERE job_type = 'click' AND {_CLAIMABLE} AND {_DUE} AND id IN ({_IDS})"),
         "get_jobs_queued": _with("jobs", f"SELECT {_taken('Queued', 'done_at')} FROM (SELECT * FROM jobs WHERE job_type = 'view' AND {_CLAIMABLE} AND {_DUE} {_TOP} 5)"),
@@ -195,6 +208,11 @@ FROM (SELECT *, id IN (SELECT id FROM jobs WHERE job_type = 'click' AND {_CLAIMA
         "ack_batch": _with(
             "jobs workers acks",
             f"""SELECT j.id, j.job_type, CASE WHEN a.ok THEN 'Done' WHEN j.max_attempts > j.attempts + 1 THEN 'Failed' ELSE 'Killed' END AS status,
+       CAST(j.attempts + 1 AS INT) AS attempts, j.max_attempts, {_NOW} AS done_at, j.lock_by, j.lock_at FROM jobs j JOIN acks a ON {_MATCH}""",
+        ),
+        "ack_seconds": _with(
+            "jobs workers acks",
+            f"""SELECT j.id, j.job_type, CASE WHEN a.ok THEN 'Done' WHEN j.max_attempts > j.attempts + 1 THEN 'Failed' ELSE 'Killed' END AS status,
        CAST(j.attempts + 1 AS INT) AS attempts, j.max_attempts, {_NOW} AS done_at, j.lock_by, j.lock_at FROM jobs j JOIN acks a ON {_MATCH}""",
         ),
         "ack_stale": _with("jobs workers acks", f"SELECT task_id, queue, worker_id, started_attempts FROM acks a WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE {_MATCH})"),
@@ -219,6 +237,7 @@ FROM (SELECT *, {_ORPHAN} AS o FROM jobs) GROUP BY 1, 2""",
         "admin_register_upsert": _register("w.lease_token IS NULL", "kept", "CASE WHEN {stored} THEN w.last_seen ELSE " + _NOW + " END", "w.lease_token"),
         "keep_alive": _with("workers", f"SELECT * REPLACE (CASE WHEN lease_token IS NOT NULL AND id NOT IN ('w-2', 'w-3') THEN {_NOW} ELSE last_seen END AS last_seen) FROM workers"),
         "enqueue_dedup": _with("jobs batch", f"SELECT id, job_type, 'Pending' AS status, CAST(0 AS INT) AS attempts, max_attempts, run_at, priority, idempotency_key FROM ({_FRESH}) WHERE fresh"),
+        "enqueue_stream": _with("jobs batch", f"SELECT id, job_type, 'Pending' AS status, CAST(0 AS INT) AS attempts, max_attempts, run_at, priority, idempotency_key FROM ({_FRESH}) WHERE fresh"),
         "enqueue_all": _with("batch", "SELECT id, job_type, 'Pending' AS status, CAST(0 AS INT) AS attempts, max_attempts, run_at, priority, CAST(NULL AS VARCHAR) AS idempotency_key FROM batch"),
         "notify_payloads": _with(
             "jobs",
@@ -232,6 +251,11 @@ FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id
         "list_tasks_page1": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Done' {row((20, 0))}"),
         "list_tasks_page2": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Pending' {row((20, 20))}"),
         "list_all_tasks": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE status = 'Failed' {row((25, 25))}"),
+        "list_tasks_late": _with(
+            "jobs",
+            f"""SELECT {_COLUMNS} FROM (SELECT *, row_number() OVER (ORDER BY done_at DESC NULLS FIRST, run_at DESC, id) AS nth, count(*) OVER () AS n FROM jobs WHERE status = 'Done')
+WHERE nth > n // 50 * 25 AND nth <= n // 50 * 25 + 25""",
+        ),
         "list_workers": _with("workers", f"{_LISTED_WORKERS} WHERE worker_type = 'click'"),
         "list_all_workers": _with("workers", _LISTED_WORKERS),
         "check_status": _with("jobs", f"SELECT id, status, last_result AS result FROM jobs WHERE {_TERMINAL} AND id IN ({_IDS})"),
@@ -239,6 +263,7 @@ FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id
         "metrics_global": _metrics("TRUE"),
         "metrics_by_queue": _metrics("job_type = 'click'"),
         "metrics_empty_queue": _metrics("job_type = 'no-such-queue'"),
+        "metrics_report": _metrics_report(),
         "peak_hour": _with("jobs", "SELECT max(n) AS peak_hour_jobs FROM (SELECT count(*) AS n FROM jobs GROUP BY extract(hour FROM run_at))"),
         "queue_rollup": _with("jobs", f"SELECT job_type, {', '.join(f'{_STATS[t]} AS {t.lower()}' for t, _, _ in _QUEUE_STATS)} FROM jobs GROUP BY job_type"),
         "queue_stats_long": _with(

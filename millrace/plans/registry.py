@@ -11,6 +11,9 @@ from ..functions.predicates import claimable, terminal, due
 from ..operators import ack, checks, claim, enqueue, listing, notify, orphans, reports, workers
 from ..schema import Filter
 from ..sources import derived as D
+from ..sources.folders import shared_folder
+from ..streaming.ingest import Inbox
+from ..streaming.ingest import enqueue_stream as streamed
 
 NOW, AFTER = D.NOW, D.ORPHAN_SECONDS
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +56,17 @@ def claim_state(spark, sf_dir):
     return after.groupBy("job_type", "status", "lock_by").agg(F.count(F.lit(1)).alias("n"), F.count("done_at").alias("done"))
 
 
+@_query
+def claim_all_queues(spark, sf_dir):
+    return claim.claim_all(_jobs(spark, sf_dir), "w-new", 10, NOW).affected.select(*_JOB)
+
+
+@_query
+def claim_for_workers(spark, sf_dir):
+    e = D.events(spark, sf_dir)
+    return claim.claim_for(D.jobs(e), D.claim_requests(D.workers(e)), NOW).affected.select(*_JOB)
+
+
 @_query
 def claim_by_ids(spark, sf_dir):
     jobs = _jobs(spark, sf_dir)
@@ -100,6 +114,12 @@ def ack_again_stale(spark, sf_dir):
     return ack.stale_acks(jobs, _workers(spark, sf_dir), D.acks_again(jobs)).select("task_id", "queue", "worker_id", "lock_at", "started_attempts", "ok")
 
 
+@_query
+def ack_seconds(spark, sf_dir):
+    jobs = _jobs(spark, sf_dir)
+    return ack.ack_batch(jobs, _workers(spark, sf_dir), D.acks_seconds(jobs), NOW).affected.select("id", "job_type", "status", "attempts", "max_attempts", "done_at", "lock_by", "lock_at")
+
+
 @_query
 def orphan_sweep(spark, sf_dir):
     return orphans.sweep(_jobs(spark, sf_dir), _workers(spark, sf_dir), AFTER, NOW).affected.select("id", "job_type", "status", "attempts", "last_result", "lock_by", "lock_at", "done_at")
@@ -154,6 +174,15 @@ def enqueue_all(spark, sf_dir):
     return done.affected.select("id", "job_type", "status", "attempts", "max_attempts", "run_at", "priority", "idempotency_key")
 
 
+@_query
+def enqueue_stream(spark, sf_dir):
+    """All events as tasks of a stream, inserted by the executors micro-batch by micro-batch."""
+    inbox = Inbox(spark, shared_folder(spark, "inbox"))
+    batch = D.enqueue_batch(D.event_stream(spark, sf_dir))
+    streamed(batch, inbox, shared_folder(spark, "inbox-checkpoint"), _jobs(spark, sf_dir), lambda: NOW, available_now=True).awaitTermination()
+    return inbox.read().select("id", "job_type", "status", "attempts", "max_attempts", "run_at", "priority", "idempotency_key")
+
+
 @_query
 def notify_payloads(spark, sf_dir):
     return notify.notify_batches(_jobs(spark, sf_dir).where("status = 'Pending'"), NOW)
@@ -191,6 +220,14 @@ def list_all_tasks(spark, sf_dir):
     return listing.list_all_tasks(_jobs(spark, sf_dir), Filter("Failed", 2, 25)).select(*_JOB)
 
 
+@_query
+def list_tasks_late(spark, sf_dir):
+    """The page in the middle of a listing."""
+    jobs = _jobs(spark, sf_dir)
+    stored = listing.pages(jobs, "Done")
+    return listing.list_from(jobs, stored, Filter("Done", len(stored) // 50 + 1, 25)).select(*_JOB)
+
+
 @_query
 def list_workers(spark, sf_dir):
     return listing.running_workers(_workers(spark, sf_dir), "click")
@@ -228,6 +265,16 @@ def metrics_empty_queue(spark, sf_dir):
     return reports.metrics(_jobs(spark, sf_dir), NOW, "no-such-queue")
 
 
+@_query
+def metrics_report(spark, sf_dir):
+    """All 30 rows; of the storage's, whether there is a value, as files differ between engines."""
+    r = reports.report(_jobs(spark, sf_dir), NOW)
+    whole, number = F.col("stat_type") == "Number", F.col("value").cast("double")
+    storage = F.col("title").startswith("DB_")
+    text = F.when(storage & (number > 0), "positive").when(whole & ~storage, F.col("value"))
+    return r.select("title", "stat_type", "priority", text.alias("text"), F.when(~storage, number).alias("number"))
+
+
 @_query
 def peak_hour(spark, sf_dir):
     return reports.peak_hour(_jobs(spark, sf_dir)).toDF("peak_hour_jobs")

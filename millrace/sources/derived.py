@@ -19,6 +19,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of their files."""
+    path = f"{sf_dir}/events.parquet"
+    # a pattern, as a stream's own path must be a folder, and the table may be one file
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 8).parquet(f"{path[:-1]}[t]")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -82,6 +90,11 @@ def enqueue_batch(e: DataFrame) -> DataFrame:
     )
 
 
+def claim_requests(all_workers: DataFrame) -> DataFrame:
+    """Three to six tasks for each worker of each queue."""
+    return all_workers.select(F.col("id").alias("worker"), F.col("worker_type").alias("job_type"), (3 + F.ascii(F.right("id", F.lit(1))) % 4).alias("capacity"))
+
+
 def acks(all_jobs: DataFrame) -> DataFrame:
     lease = F.when(F.col("lock_by") == "w-5", "wrong").when(F.col("lock_by") == "w-6", F.lit(None)).otherwise(F.concat(F.lit("t-"), F.right("lock_by", F.lit(1))))
     return all_jobs.where("status = 'Running'").select(
@@ -103,6 +116,12 @@ def acks_again(all_jobs: DataFrame) -> DataFrame:
     return early.unionByName(a).unionByName(more)
 
 
+def acks_seconds(all_jobs: DataFrame) -> DataFrame:
+    """``acks`` with the lock's time in seconds since 1970."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "lock_at")
+    return acks(all_jobs).withColumn("lock_at", micros / F.lit(1e6))
+
+
 def notify_payloads(e: DataFrame) -> DataFrame:
     i = F.col("event_id")
     head, key = F.concat(F.lit('{"job_type":"'), F.col("event_type"), F.lit('",')), F.lpad(_text(i), 26, "0")

@@ -6,7 +6,6 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
-from itertools import islice
 from threading import Thread
 
 import pandas as pd
@@ -18,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import ListenerError, StaleAcknowledgement
 from ..operators.ack import ack_batch, stale_acks
 from ..operators.claim import claim_by_ids, fetch_next, lock_tasks
+from ..operators.claim import order as claim_order
 from ..operators.notify import decoded
+from ..operators.ranks import Pages
 from ..operators.workers import initial_heartbeat
 from ..schema import Config
 from ..store import Store
@@ -113,12 +114,11 @@ def notified(store: Store, config: Config, worker: str, handle: Callable[[DataFr
 
 
 def _claimed(store: Store, config: Config, worker: str, events: DataFrame, handle: Callable[[DataFrame], None]) -> None:
-    """Claims the events' ids, as many at a time as the buffer holds; empty claims aren't handed on."""
-    ids = events.select(F.explode("ids").alias("id")).distinct().toLocalIterator()
-    while part := list(islice(ids, config.capacity)):
-        rows = claim_ids(store, config, worker, store.spark.createDataFrame(part, "id string"))
-        if not rows.isEmpty():
-            handle(rows)
+    """Claims all the events' ids in one version and hands the tasks on, as many at a time as the buffer holds."""
+    rows = claim_ids(store, config, worker, events.select(F.explode("ids").alias("id")))
+    stored = Pages(rows, claim_order())
+    for at in range(0, len(stored), config.capacity):
+        handle(stored.page(at, config.capacity).orderBy("nth").drop("nth"))
 
 
 def fetched(store: Store, config: Config, worker: str, handle: Callable[[DataFrame], None], checkpoint: str, rate: int = 1) -> StreamingQuery:

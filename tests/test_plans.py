@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from millrace.operators import claim, enqueue, notify, reports
+from millrace.operators import claim, enqueue, reports
 from millrace.plans import registry
 from millrace.sources import derived as D
 
@@ -45,13 +45,3 @@ def test_scans_are_pruned_to_what_reports_need(events):
 def test_enqueue_asks_for_the_batchs_keys_only(events):
     text = plan(enqueue.enqueue_dedup(D.jobs(events), D.enqueue_batch(events), D.NOW).affected)
     assert "LeftSemi" in text
-
-
-def test_notifications_of_a_large_insert_are_dealt(spark, events, monkeypatch):
-    """A queue of more than PART due ids is numbered in parts; each id is told once, in chunks of at most 100."""
-    monkeypatch.setattr(notify, "PART", 40)
-    jobs = D.jobs(events)
-    chunks = notify.notify_chunks(jobs, D.NOW, 10).collect()
-    told = [(r.job_type, i) for r in chunks for i in r.ids]
-    assert sorted(told) == sorted((r.job_type, r.id) for r in jobs.where(f"run_at <= timestamp_ntz'{D.NOW}'").collect())
-    assert len({(r.job_type, r.chunk) for r in chunks}) == len(chunks) and max(len(r.ids) for r in chunks) == 10

@@ -46,7 +46,7 @@ def test_claim_matrix(spark):
     assert ids(done.affected) == ["urgent"]
     row = done.affected.first()
     assert (row.status, row.lock_by, str(row.lock_at), row.done_at, row.attempts) == ("Running", "w", NOW, None, 0)
-    assert ids(claim.claim(jobs, "q", "w", 10, NOW).affected.orderBy(*claim._order())) == ["urgent", "failed", "pending", "now"]
+    assert ids(claim.claim(jobs, "q", "w", 10, NOW).affected.orderBy(*claim.order())) == ["urgent", "failed", "pending", "now"]
     assert done.after.count() == jobs.count() and done.after.where("status = 'Running'").count() == 2
     queued = claim.get_jobs(jobs, "w", "q", NOW, 1).affected.first()
     assert queued.status == "Queued" and queued.done_at is not None
