@@ -248,6 +248,22 @@ FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id
         "notify_batches": _with("jobs", f"SELECT job_type, chunk, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id) - 1) // 100 AS chunk FROM jobs WHERE status = 'Pending' AND {_DUE}) GROUP BY job_type, chunk"),
         "notify_decode": "SELECT event_type AS job_type, lpad(CAST(event_id AS VARCHAR), 26, '0') AS ids FROM events WHERE event_id % 4 < 2",
         "fetch_by_id": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE id = lpad('3', 26, '0') AND job_type IN ('click', 'view', 'purchase')"),
+        "result_fields": _with("jobs", "SELECT id, status, CAST(json_extract(last_result, '$.Ok') AS BIGINT) AS ok, json_extract_string(last_result, '$.Err') AS err FROM jobs WHERE last_result IS NOT NULL"),
+        "payload_fields": _with("jobs", "SELECT job_type, CAST(json_extract(job, '$.k') AS INT) AS k, count(*) AS n, CAST(sum(attempts) AS BIGINT) AS attempts, count(json_extract(metadata, '$.none')) AS none FROM jobs GROUP BY 1, 2"),
+        "handled_columns": _with(
+            "jobs",
+            """SELECT id, CASE WHEN k % 10 <> 0 THEN 'Done' WHEN max_attempts > attempts + 1 THEN 'Failed' ELSE 'Killed' END AS status, CAST(attempts + 1 AS INT) AS attempts,
+       CASE WHEN k % 10 <> 0 THEN concat('{"Ok":', CAST(k + 1 AS VARCHAR), '}') ELSE concat('{"Err":"no ', CAST(k AS VARCHAR), '"}') END AS last_result
+FROM (SELECT *, CAST(json_extract(job, '$.k') AS INT) AS k FROM jobs WHERE status = 'Running')""",
+        ),
+        "waited": _with(
+            "jobs",
+            f"""SELECT id, CASE WHEN {_TERMINAL} THEN status ELSE 'Expired' END AS status, CASE WHEN {_TERMINAL} THEN last_result END AS result
+FROM (SELECT *, greatest(max(run_at) OVER (), max(done_at) FILTER (WHERE {_TERMINAL}) OVER ()) AS latest FROM jobs)
+WHERE {_TERMINAL} OR (CAST(id AS BIGINT) % 2 = 0 AND run_at + INTERVAL '10' MINUTE <= latest)""",
+        ),
+        "lost_workers": """SELECT id, worker_type, last_seen FROM (SELECT *, max(last_seen) OVER () AS latest FROM (
+  SELECT concat('w-', CAST(user_id AS VARCHAR)) AS id, event_type AS worker_type, CAST(max(ts) AS TIMESTAMP) AS last_seen FROM events GROUP BY 1, 2)) WHERE last_seen <= latest - INTERVAL '6' HOUR""",
         "list_tasks_page1": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Done' {row((20, 0))}"),
         "list_tasks_page2": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE job_type = 'click' AND status = 'Pending' {row((20, 20))}"),
         "list_all_tasks": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE status = 'Failed' {row((25, 25))}"),

@@ -11,9 +11,12 @@ from ..functions.predicates import claimable, terminal, due
 from ..operators import ack, checks, claim, enqueue, listing, notify, orphans, reports, workers
 from ..schema import Filter
 from ..sources import derived as D
+from ..sources import variants
 from ..sources.folders import shared_folder
+from ..streaming import states
 from ..streaming.ingest import Inbox
 from ..streaming.ingest import enqueue_stream as streamed
+from ..streaming.work import handled_by
 
 NOW, AFTER = D.NOW, D.ORPHAN_SECONDS
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +208,53 @@ def fetch_by_id(spark, sf_dir):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+@_query
+def result_fields(spark, sf_dir):
+    return variants.outcomes(_jobs(spark, sf_dir), "long")
+
+
+@_query
+def payload_fields(spark, sf_dir):
+    """The queues' payloads by a field: tasks, and the attempts that they had, for each value."""
+    rows = variants.parsed(_jobs(spark, sf_dir).select("job_type", "job", "metadata", "attempts"))
+    k = variants.field("args", "$.k", "int")
+    return rows.groupBy("job_type", k.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum("attempts").alias("attempts"), F.count(variants.field("meta", "$.none")).alias("none"))
+
+
+@_query
+def handled_columns(spark, sf_dir):
+    """Results of the running tasks, made of fields of their arguments in the JVM, and applied."""
+    jobs = _jobs(spark, sf_dir)
+    failed = lambda args: F.when(variants.field(args, "$.k", "int") % 10 == 0, F.concat(F.lit("no "), variants.field(args, "$.k")))
+    acks = handled_by(jobs, lambda args: variants.field(args, "$.k", "int") + 1, failed=failed)
+    return ack.ack_batch(jobs, _workers(spark, sf_dir), acks, NOW).affected.select("id", "status", "attempts", "last_result")
+
+
+@_query
+def waited(spark, sf_dir):
+    """Every task waited for and every end, as one stream: what the waits were for, told once each."""
+    jobs = D.jobs(D.event_stream(spark, sf_dir, None))
+    rows = states.waits_of(D.waits(jobs)).unionByName(states.ends_of(jobs))
+    return _told(states.waited(rows), spark)
+
+
+@_query
+def lost_workers(spark, sf_dir):
+    """Workers that the stream of beats lost for good, by timers."""
+    beats = D.beats(D.event_stream(spark, sf_dir, None))
+    lost = _told(states.lost_workers(beats, 21_600), spark).withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
+    last = D.beats(D.events(spark, sf_dir)).groupBy("id", "worker_type").agg(F.max("last_seen").alias("last_seen"))
+    return lost.join(last, ["id", "worker_type", "last_seen"])
+
+
+def _told(stream, spark):
+    """The rows of a stream of what is there."""
+    path = shared_folder(spark, "told")
+    put = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", shared_folder(spark, "told-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
+
+
 @_query
 def list_tasks_page1(spark, sf_dir):
     return listing.list_tasks(_jobs(spark, sf_dir), "click", Filter("Done", 1, 20)).select(*_JOB)

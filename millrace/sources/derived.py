@@ -19,11 +19,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of their files."""
+def event_stream(spark: SparkSession, sf_dir: str, files: int | None = 8) -> DataFrame:
+    """The events as a stream of their files, so many to a micro-batch, or all."""
     path = f"{sf_dir}/events.parquet"
     # a pattern, as a stream's own path must be a folder, and the table may be one file
-    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 8).parquet(f"{path[:-1]}[t]")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    rows = (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(f"{path[:-1]}[t]")
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -122,6 +123,17 @@ def acks_seconds(all_jobs: DataFrame) -> DataFrame:
     return acks(all_jobs).withColumn("lock_at", micros / F.lit(1e6))
 
 
+def waits(all_jobs: DataFrame) -> DataFrame:
+    """A wait for every task from its run_at on; every second one gives up ten minutes later."""
+    until = F.when(F.col("id").cast("long") % 2 == 0, F.col("run_at") + F.make_dt_interval(mins=F.lit(10)))
+    return all_jobs.select("id", F.col("run_at").alias("at"), until.alias("until"))
+
+
+def beats(e: DataFrame) -> DataFrame:
+    """Every event as a heartbeat of a worker in the event's queue."""
+    return e.select(F.concat(F.lit("w-"), _text(F.col("user_id"))).alias("id"), F.col("event_type").alias("worker_type"), F.col("ts").alias("last_seen"))
+
+
 def notify_payloads(e: DataFrame) -> DataFrame:
     i = F.col("event_id")
     head, key = F.concat(F.lit('{"job_type":"'), F.col("event_type"), F.lit('",')), F.lpad(_text(i), 26, "0")

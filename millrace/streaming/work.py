@@ -10,7 +10,7 @@ from threading import Thread
 
 import pandas as pd
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +22,7 @@ from ..operators.notify import decoded
 from ..operators.ranks import Pages
 from ..operators.workers import initial_heartbeat
 from ..schema import Config
+from ..sources.variants import parsed
 from ..store import Store
 
 #: Seconds that a poll waits after its strategy has ended.
@@ -214,9 +215,38 @@ def handled(tasks: DataFrame, handler: Callable[[dict], object], lease: str | No
     return tasks.where("lock_by is not null and lock_at is not null and status = 'Running'").mapInPandas(run, schema)
 
 
-def work(store: Store, config: Config, worker: str, tasks: DataFrame, handler: Callable[[dict], object], now: datetime | None = None, lease: str | None = None, **codec) -> int:
+def handled_by(tasks: DataFrame, value: Callable[[Column], Column], lease: str | None = None, failed: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Like ``handled``, but in the JVM: ``value`` makes the result of the arguments, a VARIANT; ``failed`` the error's text or null.
+
+    A payload that isn't JSON is a failure.
+    """
+    args = F.col("args")
+    wrong = F.when(F.col("job").isNotNull() & args.isNull(), F.lit("DecodeError: the payload isn't JSON"))
+    error = wrong if failed is None else F.coalesce(wrong, failed(args))
+    rows = parsed(tasks.where("lock_by is not null and lock_at is not null and status = 'Running'")).withColumn("_error", error)
+    return rows.select(
+        F.col("id").alias("task_id"),
+        F.col("job_type").alias("queue"),
+        F.col("lock_by").alias("worker_id"),
+        "lock_at",
+        F.col("attempts").alias("started_attempts"),
+        F.col("_error").isNull().alias("ok"),
+        F.lit(lease).cast("string").alias("lease_token"),
+        F.coalesce("_error", _json_of(value(args))).alias("value"),
+    )
+
+
+def _json_of(value: Column) -> Column:
+    """A value as JSON text, a bare one as well."""
+    text = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def work(store: Store, config: Config, worker: str, tasks: DataFrame, handler: Callable[[dict], object] | None, now: datetime | None = None, lease: str | None = None, columns: Callable[[DataFrame], DataFrame] | None = None, **codec) -> int:
     """Locks tasks that aren't this worker's yet, runs them and acknowledges them, unless the configuration says otherwise.
 
+    ``columns``, in place of a handler, makes the acknowledgements of the tasks as a DataFrame (see ``handled_by``).
+
     Outcomes are stored before the commit, so that a retry runs no handler again. Those that fit are applied; if any
     comes too late, StaleAcknowledgement is raised afterwards. Returns how many tasks were run.
     """
@@ -225,7 +255,7 @@ def work(store: Store, config: Config, worker: str, tasks: DataFrame, handler: C
     free = tasks.where(~F.coalesce(mine, F.lit(False)))
     if not free.isEmpty():
         tasks = tasks.where(mine).unionByName(lock(store, config, worker, free, now))
-    acks = store.put("outcomes", handled(tasks, handler, lease, **codec))
+    acks = store.put("outcomes", columns(tasks) if columns is not None else handled(tasks, handler, lease, **codec))
     n = acks.count()
     if n and config.ack:
         late = 0
