@@ -185,6 +185,11 @@ FROM workers w FULL OUTER JOIN requests r ON w.id = r.id AND w.worker_type = r.w
     )
 
 
+_SNAPSHOT = f"""SELECT job_type, count(*) AS total_jobs, {', '.join(f"{_n(f"status = '{s.capitalize()}'")} AS {s}_jobs" for s in ('pending', 'queued', 'running', 'done', 'failed', 'killed'))},
+       {_STATS['ACTIVE_JOBS']} AS active_jobs, {_n(_HOUR)} AS jobs_past_hour, {_n(_DAY)} AS jobs_past_day, {_n(_WEEK)} AS jobs_past_7_days,
+       max(run_at) AS most_recent_run_at, max(done_at) AS most_recent_done_at, {_NOW} AS snapshot_at FROM jobs GROUP BY job_type"""
+
+
 def oracle_sql() -> dict[str, str]:
     row = lambda page: f"ORDER BY done_at DESC NULLS FIRST, run_at DESC, id LIMIT {page[0]} OFFSET {page[1]}"
     return {
@@ -302,11 +307,13 @@ FROM ({_QUEUES}) q LEFT JOIN ({_LOCKED}) l ON l.job_type = q.job_type LEFT JOIN
 LEFT JOIN (SELECT job_type, nth, title, stat_type, number, priority FROM (SELECT job_type, {', '.join(f'{_STATS[t]} AS {t}' for t, _, _ in _QUEUE_STATS)} FROM jobs GROUP BY job_type) w,
   LATERAL (VALUES {', '.join(f"({k}, '{t}', '{kind}', {'CAST(NULL AS DOUBLE)' if kind == 'Timestamp' else f'CAST({t} AS DOUBLE)'}, {p})" for k, (t, kind, p) in enumerate(_LISTED))}) v(nth, title, stat_type, number, priority)) v ON v.job_type = q.job_type""",
         ),
-        "snapshot": _with(
-            "jobs",
-            f"""SELECT job_type, count(*) AS total_jobs, {', '.join(f"{_n(f"status = '{s.capitalize()}'")} AS {s}_jobs" for s in ('pending', 'queued', 'running', 'done', 'failed', 'killed'))},
-       {_STATS['ACTIVE_JOBS']} AS active_jobs, {_n(_HOUR)} AS jobs_past_hour, {_n(_DAY)} AS jobs_past_day, {_n(_WEEK)} AS jobs_past_7_days,
-       max(run_at) AS most_recent_run_at, max(done_at) AS most_recent_done_at, {_NOW} AS snapshot_at FROM jobs GROUP BY job_type""",
+        "snapshot": _with("jobs", _SNAPSHOT),
+        "snapshot_incremental": _with(
+            "jobs workers acks",
+            f""", hit AS (SELECT a.task_id, a.ok FROM jobs j JOIN acks a ON {_MATCH}),
+after_ AS (SELECT j.* REPLACE (CASE WHEN h.task_id IS NULL THEN status WHEN h.ok THEN 'Done' WHEN max_attempts > attempts + 1 THEN 'Failed' ELSE 'Killed' END AS status,
+                               CASE WHEN h.task_id IS NULL THEN done_at ELSE {_NOW} END AS done_at) FROM jobs j LEFT JOIN hit h ON h.task_id = j.id)
+{_SNAPSHOT.replace("FROM jobs", "FROM after_")}""",
         ),
         "claimable_count": _with("jobs", f"SELECT job_type, count(*) AS claimable FROM jobs WHERE {_CLAIMABLE} AND {_DUE} GROUP BY job_type"),
         "terminal_counts": _with("jobs", f"SELECT status, count(*) AS n FROM jobs WHERE {_TERMINAL} GROUP BY status"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import claimable, terminal, due
-from ..operators import ack, checks, claim, enqueue, listing, notify, orphans, reports, workers
+from ..operators import ack, checks, claim, enqueue, incremental, listing, notify, orphans, reports, workers
 from ..schema import Filter
 from ..sources import derived as D
 from ..sources import variants
@@ -378,6 +378,16 @@ def snapshot(spark, sf_dir):
     return reports.snapshot(_jobs(spark, sf_dir), NOW)
 
 
+@_query
+def snapshot_incremental(spark, sf_dir):
+    """The snapshot after acknowledgements, from that of before and the changed rows."""
+    jobs = _jobs(spark, sf_dir)
+    done = ack.ack_batch(jobs, _workers(spark, sf_dir), D.acks(jobs), NOW)
+    before = incremental.SnapshotState.of(jobs)
+    old = jobs.join(done.affected.select("id"), "id", "left_semi")
+    return before.applied(old, done.affected).report(NOW, done.after)
+
+
 @_query
 def claimable_count(spark, sf_dir):
     return reports.claimable_count(_jobs(spark, sf_dir), NOW)
