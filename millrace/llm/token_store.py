@@ -3,9 +3,12 @@
 ``write`` puts documents in ascending doc_id order (a range shuffle) and each task streams its rows to shards of a
 bounded size. A shard is one file: header, raw ids, then the index: the documents' offsets, and for the shard's
 distinct keys a minimal perfect hash (hash and displace) whose slots hold a fingerprint, the key's first document and
-how many it has. The manifest has a row for each shard: its keys' range, documents, ids and the ids before it.
+how many it has. The manifest has an entry for each shard: its keys' range, documents, ids and the ids before it. It is
+made by Spark and lies in parts of GROUP shards; its top, which alone passes the driver, has the range of each part (at
+32 MB a shard, 730 entries for 100 TB).
 
-Keyed access: the manifest's ranges give the shard, or shards, one displacement and one slot give the place of the ids.
+Keyed access: the top gives the part, or parts, of the manifest, a part's ranges the shard, or shards; there one displacement
+and one slot give the place of the ids.
 
 Shards have names by partition and number and appear by a rename, so a task that runs again writes the same files.
 
@@ -25,11 +28,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ship
+from .shared import cut, ship
 from .tokens import encoder, is_narrow, offer, slices
 
 MAGIC = b"IDSHARD1"
@@ -38,6 +41,8 @@ HEADER = struct.Struct("<8sIIQQQ")
 #: Bytes of ids after which a shard is closed.
 SHARD_BYTES = 32 << 20
 KEYS_PER_BUCKET = 4
+#: Shards of one part of the manifest.
+GROUP = 4096
 _NULL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -166,8 +171,8 @@ class Shard:
         return np.frombuffer(self.file.read_at((b - a) * self.width, HEADER.size + a * self.width), f"<u{self.width}")
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per_shard: int = SHARD_BYTES) -> list[dict]:
-    """Writes the store to the folder ``path``; returns the manifest, a row for each shard."""
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per_shard: int = SHARD_BYTES, group: int = GROUP) -> DataFrame:
+    """Writes the store to the folder ``path``; returns the shards: name, low, high, n_docs, n_ids, seq, before."""
     ship(docs.sparkSession)
     offer(docs.sparkSession, tokenizer)
     narrow = is_narrow(tokenizer, end_id)
@@ -205,61 +210,112 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bytes_per
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]  # the hash deals a key of very many documents, too
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    made = sorted(rows.mapInArrow(run, "name string, part int, number int, low long, high long, n_docs long, n_ids long").collect(), key=lambda r: (r["part"], r["number"]))
-    manifest, before = [], 0
-    for r in made:
-        manifest.append({k: r[k] for k in ("name", "low", "high", "n_docs", "n_ids")} | {"before": before})
-        before += r["n_ids"]
-    _save(path, "manifest.json", [json.dumps({"width": width, "shards": manifest}).encode()])
-    return manifest
+    made = cut(rows.mapInArrow(run, "name string, part int, number int, low long, high long, n_docs long, n_ids long"), "shards")
+    parts, inside = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (Window.orderBy("part"), Window.partitionBy("part").orderBy("number")))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    starts = made.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_ids").alias("ids"))  # a row for each partition
+    starts = starts.select("part", before("n", parts).alias("first"), before("ids", parts).alias("ids"))
+    placed = made.withColumn("before", before("n_ids", inside)).join(starts, "part")
+    placed = placed.select("name", "low", "high", "n_docs", "n_ids", (F.col("first") + F.col("number")).alias("seq"), (F.col("ids") + F.col("before")).alias("before"))
+    placed = cut(placed, "manifest")
+    top = _save_manifest(placed, path, group)
+    _save(path, "manifest.json", [json.dumps({"width": width, "parts": top}).encode()])
+    return placed
 
 
-def manifest_of(path: str) -> list[dict]:
+def _save_manifest(shards: DataFrame, path: str, group: int) -> list[dict]:
+    """Writes the manifest's parts; returns the range of keys and the number of shards of each."""
+
+    def save(batches):
+        done, held, at = [], [], -1
+
+        def close():
+            if held:
+                _save(path, f"manifest-{at:06d}.json", [json.dumps(held).encode()])
+                lows, highs = ([-(1 << 63) if r[c] is None else r[c] for r in held] for c in ("low", "high"))
+                done.append((at, min(lows), max(highs), len(held)))
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["part"] != at:
+                    close()
+                    held, at = [], r["part"]
+                held.append({c: r[c] for c in ("name", "low", "high", "before")})
+        close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done, strict=True)], names=["part", "low", "high", "n"])
+
+    parts = shards.withColumn("part", F.expr(f"seq div {group}")).select("part", "seq", "name", "low", "high", "before").repartition("part").sortWithinPartitions("part", "seq")
+    found = parts.mapInArrow(save, "part long, low long, high long, n long").collect()
+    return [r.asDict() for r in sorted(found, key=lambda r: r["part"])]
+
+
+def _json(path: str, name: str):
     fs, base = _filesystem(path)
-    with fs.open_input_stream(f"{base}/manifest.json") as f:
-        return json.loads(f.read())["shards"]
+    with fs.open_input_stream(f"{base}/{name}") as f:
+        return json.loads(f.read())
+
+
+def _routed(keys: list[int | None], lows: list[int], highs: list[int]) -> list[tuple[int | None, int]]:
+    """Each key with the ranges, which are in order and may touch, that can hold it."""
+    return [(k, s) for k in keys for at in [-(1 << 63) if k is None else k] for s in range(bisect_left(highs, at), bisect_right(lows, at))]
 
 
 def lookup(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document in the store with a doc_id of the table ``keys``.
 
-    Keys go to their shard by the manifest's ranges, and each shard is opened once in the task that has its keys; there
-    are as many tasks as shards, as what a task reads are its shards' ids, not the few bytes of its keys. The
-    manifest (about 100 bytes a shard of 32 MB) travels with the tasks.
+    Keys go to their part of the manifest by its top, to their shard by the part, and each shard is opened once in the task
+    that has its keys; there are as many tasks as shards, as what a task reads are its shards' ids, not the few bytes
+    of its keys.
     """
     ship(spark)
-    shards = manifest_of(path)
-    lows, highs = ([-(1 << 63) if s[c] is None else s[c] for s in shards] for c in ("low", "high"))
-    names = [s["name"] for s in shards]
-    before = [s["before"] for s in shards]
+    top = _json(path, "manifest.json")["parts"]
 
-    def route(batches):
+    def to_parts(batches):
+        lows, highs = ([p[c] for p in top] for c in ("low", "high"))
         for batch in batches:
-            pairs = [(k, s) for k in batch.column("doc_id").to_pylist() for at in [-(1 << 63) if k is None else k] for s in range(bisect_left(highs, at), bisect_right(lows, at))]
+            pairs = _routed(batch.column("doc_id").to_pylist(), lows, highs)
             for i in range(0, len(pairs), 65536):
                 columns = zip(*pairs[i : i + 65536], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32()), strict=True)], names=["doc_id", "shard"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32()), strict=True)], names=["doc_id", "part"])
 
-    def read(batches):
-        opened, at = None, -1
+    def to_shards(batches):
+        at, shards, lows, highs = -1, [], [], []
         for batch in batches:
-            out = []
-            number, ids = batch.column("shard").to_numpy(), batch.column("doc_id").to_pylist()
-            edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(ids)] if len(ids) else []
+            number, keys = batch.column("part").to_numpy(), batch.column("doc_id").to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(keys)] if len(keys) else []
             for a, b in zip(edges, edges[1:], strict=False):
                 if number[a] != at:
                     at = int(number[a])
-                    opened = Shard(path, names[at])
+                    shards = _json(path, f"manifest-{top[at]['part']:06d}.json")
+                    lows, highs = ([-(1 << 63) if s[c] is None else s[c] for s in shards] for c in ("low", "high"))
+                pairs = _routed(keys[a:b], lows, highs)
+                for i in range(0, len(pairs), 65536):
+                    some = pairs[i : i + 65536]
+                    columns = ([k for k, _ in some], [shards[s]["name"] for _, s in some], [shards[s]["before"] for _, s in some])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64()), strict=True)], names=["doc_id", "shard", "before"])
+
+    def read(batches):
+        opened, at = None, None
+        for batch in batches:
+            out = []
+            names, before, ids = (batch.column(c).to_pylist() for c in ("shard", "before", "doc_id"))
+            edges = [0, *[i for i in range(1, len(ids)) if names[i] != names[i - 1]], len(ids)] if ids else []
+            for a, b in zip(edges, edges[1:], strict=False):
+                if names[a] != at:
+                    at = names[a]
+                    opened = Shard(path, at)
                 for key, hit in zip(ids[a:b], opened.find(ids[a:b]), strict=True):
                     for doc in range(hit[0], sum(hit)) if hit else ():
                         x = opened.ids(doc).astype("<u4").tobytes()
-                        out.append((key, before[at] + int(opened.ends[doc]), len(x) // 4, zlib.crc32(x), *[x] * with_ids))
+                        out.append((key, before[a] + int(opened.ends[doc]), len(x) // 4, zlib.crc32(x), *[x] * with_ids))
             for i in range(0, len(out), 4096):
                 columns = zip(*out[i : i + 4096], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [*[pa.int64()] * 4, pa.binary()], strict=False)], names=schema.names)
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")] + [T.StructField("ids", T.BinaryType())] * with_ids)
-    if not shards:
+    if not top:
         return spark.createDataFrame([], schema)
-    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().mapInArrow(route, "doc_id long, shard int")
-    return wanted.repartition(len(shards), "shard").sortWithinPartitions("shard", "doc_id").mapInArrow(read, schema)
+    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().mapInArrow(to_parts, "doc_id long, part int")
+    placed = wanted.repartition("part", F.pmod(F.xxhash64("doc_id"), F.lit(16))).sortWithinPartitions("part").mapInArrow(to_shards, "doc_id long, shard string, before long")
+    return placed.repartition(sum(p["n"] for p in top), "shard").sortWithinPartitions("shard", "doc_id").mapInArrow(read, schema)

@@ -64,8 +64,10 @@ def test_packing(spark, ids):
 def test_token_store(spark, ids):
     docs = edge.documents(spark).repartition(3)
     path = shared_dir(spark, "store")
-    made = token_store.write(docs, path, WORD, bytes_per_shard=2000)
-    assert len(made) > 3 and token_store.manifest_of(path) == made
+    made = token_store.write(docs, path, WORD, bytes_per_shard=2000, group=2).orderBy("seq").collect()
+    n = len(made)
+    assert n > 3 and [m.seq for m in made] == list(range(n)) and [m.before for m in made] == [sum(x.n_ids for x in made[:k]) for k in range(n)]
+    assert [p["n"] for p in token_store._json(path, "manifest.json")["parts"]] == [min(2, n - k) for k in range(0, n, 2)]
     rows = sorted(token_store.lookup(spark, path, docs, with_ids=True).collect(), key=lambda r: r.start)
     want = sorted([(r.doc_id is not None, r.doc_id, r.text or "") for r in docs.collect()], key=lambda x: (x[0], x[1] or 0, x[2]))
     at = 0
@@ -75,7 +77,7 @@ def test_token_store(spark, ids):
         assert r.ids == np.array(ids(t), "<u4").tobytes()
         at += r.n_tokens
     assert token_store.lookup(spark, path, spark.createDataFrame([(10**9,), (-5,)], "doc_id long")).count() == 0
-    assert token_store.write(edge.empty(spark), shared_dir(spark, "store"), WORD) == []
+    assert token_store.write(edge.empty(spark), shared_dir(spark, "store"), WORD).count() == 0
 
 
 def test_key_of_many_shards(spark, ids):
@@ -83,7 +85,7 @@ def test_key_of_many_shards(spark, ids):
     rows = [(k if k % 3 == 0 else 50 if k % 3 == 1 else None, f"text {k} of the {k % 7} kinds") for k in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     path = shared_dir(spark, "store")
-    made = token_store.write(docs, path, WORD, bytes_per_shard=500)
+    made = token_store.write(docs, path, WORD, bytes_per_shard=500, group=3).collect()
     assert sum(m["low"] == m["high"] == 50 for m in made) > 1 and sum(m["high"] is None for m in made) > 1
     got = token_store.lookup(spark, path, docs, with_ids=True).collect()
     assert sorted((r.doc_id or -1, r.ids) for r in got) == sorted((i or -1, np.array(ids(t), "<u4").tobytes()) for i, t in rows)
