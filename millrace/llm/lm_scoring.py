@@ -10,13 +10,18 @@ where c(v) counts v as a context; a document starts with a context of its own. A
 tokens of -ln P_target + ln P_background: the lower, the more it is like the target. A document that the corpus holds a
 second time is foreseen by the background model, and stands apart.
 
-Every bigram of the corpus is counted by itself, by a 64-bit hash, so that the models grow with the corpus. The
-smoothing's c(w) and c(v) are counted in SLOTS hashed slots (V is the number of those in use, and one), an array of a
-fixed size that tasks hold. Bigrams that make up a share of HOT_SHARE of all tokens are found first, as they must have
-half that share in some piece of the corpus; there are 2 / HOT_SHARE of them at most, their counts go to the tasks,
-and documents look them up where they are. All other bigrams are dealt by their hash into buckets of about
-BUCKET_TOKENS: a task counts its bigrams and tells each document's part of the loss. Pieces of texts travel to the buckets
-and back as arrays, a row for each piece and bucket, and a piece's parts are summed for its documents.
+Every bigram and every context of the corpus is counted by itself, so that the models grow with the corpus; only the
+smoothing's c(w) has SLOTS hashed slots (V is the number of those in use, and one), an array of a fixed size that tasks
+hold. Bigrams, and contexts, that make up a share of HOT_SHARE of all tokens are found first, as they must have half that
+share in some piece of the corpus; there are 2 / HOT_SHARE of each at most, their counts go to the tasks, and documents
+look them up where they are. All other bigrams are dealt into buckets of about BUCKET_TOKENS: by a hash of the context,
+so that a bucket has all bigrams of a context and their sum is c(v), or, if the context is hot, by a hash of the bigram. A
+task counts its bigrams and contexts and tells each document's part of the loss. Pieces of texts travel to the buckets and
+back as arrays, a row for each piece and bucket, and a piece's parts are summed for its documents. Within a bucket
+contexts and words go by 32 bits of their hashes each.
+
+Pieces are cut anew when a task runs again. So rows that a shuffle, or anything else without a fixed order, has made are
+written to the shared folder first.
 
 Words are runs of characters other than white space (\\x20, \\x09-\\x0D), A-Z in lower case. Losses are summed in whole
 units, so that their order changes nothing. Defined results: a null, empty or blank text has no tokens and losses and
@@ -53,10 +58,11 @@ UNIT = 1 << 24
 PIECE = 2 << 20
 _START = np.uint64(0xA0761D6478BD642F)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 class Tokens:
-    """The tokens of some texts: row, w (slot of the word), v (slot of the one before, SLOTS at a start), pair (hash)."""
+    """The tokens of some texts: row, w (slot of the word), v (hash of the word before, or of a start), pair (32 bits of v and of the word)."""
 
     def __init__(self, texts: pa.Array):
         h, ends = hashed_words([t or b"" for t in texts.cast(pa.binary()).to_pylist()])
@@ -64,47 +70,61 @@ class Tokens:
         self.row = np.repeat(np.arange(len(self.n)), self.n)
         before = np.empty_like(h)
         before[1:] = h[:-1]
-        first = (ends - self.n)[self.n > 0]
-        before[first] = _START
+        before[(ends - self.n)[self.n > 0]] = _START
         self.w = (h >> np.uint64(44)).astype(np.int64)
-        self.v = (before >> np.uint64(44)).astype(np.int64)
-        self.v[first] = SLOTS
         with np.errstate(over="ignore"):
-            self.pair = mix(before * _BASE + h) & ~np.uint64(SLOTS - 1) | self.w.astype(np.uint64)
+            self.v = mix(before * _BASE)
+        self.pair = self.v & ~_LOW | h >> np.uint64(32)
 
 
-def _by_row(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct (row, key) with how often each occurs."""
+def _slot(pair: np.ndarray) -> np.ndarray:
+    """The slot of a pair's word."""
+    return ((pair & _LOW) >> np.uint64(12)).astype(np.int64)
+
+
+def _others(key: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The sums of ``own`` by key, without each one's own."""
+    _, of = np.unique(key, return_inverse=True)
+    return np.stack([np.bincount(of, weights=x)[of] for x in own]) - own
+
+
+def _by_row(row: np.ndarray, key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A token of each distinct (row, key), in that order, and how often it occurs (the sum of ``n``)."""
     order = np.lexsort((key, row))
     row, key = row[order], key[order]
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
     at = np.flatnonzero(new)
-    return row[at], key[at], np.diff(at, append=len(row))
+    return order[at], np.diff(at, append=len(row)) if n is None else np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
 @dataclass
 class Model:
-    """Of the target and of the background (rows): all tokens, K * P1 by the word's slot, contexts by slot, and the hot
-    bigrams, sorted, with their counts. About 17 MB."""
+    """Of the target and of the background (rows): all tokens, K * P1 by the word's slot, and the hot contexts and bigrams,
+    sorted, with their counts. About 10 MB."""
 
     tokens: tuple[int, int]
     base: np.ndarray
-    contexts: np.ndarray
+    hot_v: np.ndarray
+    of_v: np.ndarray
     hot: np.ndarray
     of_hot: np.ndarray
 
     @classmethod
-    def of(cls, words: np.ndarray, contexts: np.ndarray, hot: np.ndarray, of_hot: np.ndarray) -> Model:
-        """From counts of words and contexts by slot."""
+    def of(cls, words: np.ndarray, *hot: np.ndarray) -> Model:
+        """From counts of words by slot, and what is hot."""
         n = words.sum(axis=1, keepdims=True)
         base = (K * (words + 1) / (n + np.count_nonzero(words[1]) + 1)).astype(np.float32)
-        return cls(tuple(n[:, 0].tolist()), base, contexts.astype(np.int32 if contexts.max() < 1 << 31 else np.int64), hot, of_hot)
+        return cls(tuple(n[:, 0].tolist()), base, *hot)
 
     def seen(self, counts: np.ndarray, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
         """The loss, in units, of bigrams (n of each) that are counted so often besides, but for their contexts."""
-        base = self.base[:, (pair & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.float64)
-        return np.rint(-UNIT * n * np.log(counts + base))
+        return np.rint(-UNIT * n * np.log(counts + self.base[:, _slot(pair)].astype(np.float64)))
+
+
+def _context(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The loss, in units, by contexts (n of each) that are counted so often besides."""
+    return np.rint(UNIT * n * np.log(counts + K))
 
 
 def _pieces(batches):
@@ -126,58 +146,62 @@ def _rows(n: int, **columns):
 def fit(docs: DataFrame, target: DataFrame, limit: int = BROADCAST_IDS) -> tuple[DataFrame, Model]:
     """The rows (doc_id, text, good) and the model. ``target`` has the doc_id of the target's documents.
 
-    Up to ``limit`` target ids are broadcast; with more, the join shuffles. The driver gets the slots in use and the
-    hot bigrams: 2 * SLOTS + 4 / HOT_SHARE rows at most.
+    Up to ``limit`` target ids are broadcast; with more, the join shuffles. The driver gets the slots in use and what is
+    hot: SLOTS + 8 / HOT_SHARE rows at most.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
     rows = marked(docs, target, limit).select("doc_id", "text", F.col("good").isNotNull().alias("good"))
-    if target.select("doc_id").distinct().limit(limit + 1).count() > limit:
-        rows = cut(rows, "lm-rows")  # a join that shuffles may give a task that runs again its rows in another order
+    if rows._jdf.queryExecution().toRdd().outputDeterministicLevel().toString() != "DETERMINATE":
+        rows = cut(rows, "lm-rows")
 
     def count(batches):
-        sums = np.zeros((2, 2, SLOTS + 1), np.int64)
+        sums = np.zeros((2, SLOTS), np.int64)
         for part in _pieces(batches):
             t = Tokens(part.column("text"))
             good = np.repeat(_good(part), t.n).astype(bool)
-            for kind, at in enumerate((t.w, t.v)):
-                sums[kind, 0] += np.bincount(at[good], minlength=SLOTS + 1)
-                sums[kind, 1] += np.bincount(at, minlength=SLOTS + 1)
-            pair, n = np.unique(t.pair, return_counts=True)
-            some = n >= len(t.pair) * HOT_SHARE / 2
-            yield from _rows(int(some.sum()), kind=np.full(some.sum(), 2, np.int32), at=pair[some].view(np.int64), target=np.zeros(some.sum(), np.int64), background=n[some])
-        for kind in range(2):
-            at = np.flatnonzero(sums[kind, 1])
-            yield from _rows(len(at), kind=np.full(len(at), kind, np.int32), at=at, target=sums[kind, 0, at], background=sums[kind, 1, at])
+            sums[0] += np.bincount(t.w[good], minlength=SLOTS)
+            sums[1] += np.bincount(t.w, minlength=SLOTS)
+            for kind, keys in ((1, t.v), (2, t.pair)):
+                key, n = np.unique(keys, return_counts=True)
+                some = n >= len(keys) * HOT_SHARE / 2
+                yield from _rows(int(some.sum()), kind=np.full(some.sum(), kind, np.int32), at=key[some].view(np.int64), target=np.zeros(some.sum(), np.int64), background=n[some])
+        at = np.flatnonzero(sums[1])
+        yield from _rows(len(at), kind=np.zeros(len(at), np.int32), at=at, target=sums[0, at], background=sums[1, at])
 
     told = rows.mapInArrow(count, "kind int, at long, target long, background long").groupBy("kind", "at").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     told = cut(told, "lm-counts")
-    slots = np.zeros((2, 2, SLOTS + 1), np.int64)
-    found = told.where("kind < 2").toArrow()
-    kind, at = found.column("kind").to_numpy(), found.column("at").to_numpy()
+    slots = np.zeros((2, SLOTS), np.int64)
+    found = told.where("kind = 0").toArrow()
     for m, name in enumerate(("target", "background")):
-        slots[kind, m, at] = found.column(name).to_numpy()
-    least = int(slots[0, 1].sum()) * HOT_SHARE / 2
-    hot = np.sort(told.where((F.col("kind") == 2) & (F.col("background") >= least)).select("at").toArrow().column("at").to_numpy().view(np.uint64))
+        slots[m, found.column("at").to_numpy()] = found.column(name).to_numpy()
+    least = int(slots[1].sum()) * HOT_SHARE / 2
+    some = told.where((F.col("kind") > 0) & (F.col("background") >= least)).select("kind", "at").toArrow()
+    kind, at = some.column("kind").to_numpy(), some.column("at").to_numpy()
+    hot = [np.sort(at[kind == k].view(np.uint64)) for k in (1, 2)]
     handle = spark.sparkContext.broadcast(hot)
 
     def count_hot(batches):
-        hot = handle.value
-        sums = np.zeros((2, len(hot)), np.int64)
+        sums = [np.zeros((2, len(x)), np.int64) for x in handle.value]
         for part in _pieces(batches):
             t = Tokens(part.column("text"))
-            at, known = _find(hot, t.pair)
-            sums[0] += np.bincount(at[known & np.repeat(_good(part), t.n).astype(bool)], minlength=len(hot))
-            sums[1] += np.bincount(at[known], minlength=len(hot))
-        at = np.flatnonzero(sums[1])
-        yield from _rows(len(at), at=at, target=sums[0, at], background=sums[1, at])
-
-    of_hot = np.zeros((2, len(hot)), np.int64)
-    if len(hot):
-        exact = rows.mapInArrow(count_hot, "at long, target long, background long").groupBy("at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
-        for m, name in enumerate(("target", "background")):
-            of_hot[m, exact.column("at").to_numpy()] = exact.column(name).to_numpy()
-    return rows, Model.of(slots[0, :, :SLOTS], slots[1], hot, of_hot)
+            good = np.repeat(_good(part), t.n).astype(bool)
+            for own, keys, s in zip(handle.value, (t.v, t.pair), sums, strict=True):
+                at, known = _find(own, keys)
+                s[0] += np.bincount(at[known & good], minlength=len(own))
+                s[1] += np.bincount(at[known], minlength=len(own))
+        for k, s in enumerate(sums):
+            at = np.flatnonzero(s[1])
+            yield from _rows(len(at), kind=np.full(len(at), k, np.int32), at=at, target=s[0, at], background=s[1, at])
+
+    counts = [np.zeros((2, len(x)), np.int64) for x in hot]
+    if any(map(len, hot)):
+        exact = rows.mapInArrow(count_hot, "kind int, at long, target long, background long").groupBy("kind", "at").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
+        kind, at = exact.column("kind").to_numpy(), exact.column("at").to_numpy()
+        for k, own in enumerate(counts):
+            for m, name in enumerate(("target", "background")):
+                own[m, at[kind == k]] = exact.column(name).to_numpy()[kind == k]
+    return rows, Model.of(slots, hot[0], counts[0], hot[1], counts[1])
 
 
 def _find(hot: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,8 +223,8 @@ def _dealt(rows: DataFrame, model: Broadcast, labels: np.ndarray) -> DataFrame:
     """For each piece of texts and bucket its documents' bigrams that aren't hot; and once a piece what is known of its
     documents already: their ids, numbers of tokens and losses by contexts and hot bigrams, and how many buckets it has.
 
-    Columns: bucket, piece; pair, at, n (by bigram: hash, step to the next document's place in the piece, twice how often, and one if the
-    target has the document) as little-endian numbers; ids, size, target, background, buckets, of the second sort of rows.
+    Columns: bucket, piece; pair, at, n (by bigram: hashes, step to the next document's place in the piece, four times how often, and two
+    if its context is hot, and one if the target has the document) as little-endian numbers; ids, size, target, background, buckets, of the second sort of rows.
     """
     key = rows.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("piece", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("pair", "at", "n")], *_known(key)])
@@ -211,21 +235,30 @@ def _dealt(rows: DataFrame, model: Broadcast, labels: np.ndarray) -> DataFrame:
         for number, part in enumerate(_pieces(batches)):
             t, good, docs = Tokens(part.column("text")), _good(part), part.num_rows
             piece = task << 31 | number
-            rows, v, n = _by_row(t.row, t.v)
             lost = np.zeros((2, docs))
-            own = np.stack([n * good[rows], n])
-            for k, x in enumerate(np.rint(UNIT * n * np.log(m.contexts[:, v] - own + K))):
-                lost[k] += np.bincount(rows, weights=x, minlength=docs)
-            rows, pair, n = _by_row(t.row, t.pair)
+
+            def add(rows, losses, lost=lost, docs=docs):
+                for k, x in enumerate(losses):
+                    lost[k] += np.bincount(rows, weights=x, minlength=docs)
+
+            at, warm = _find(m.hot_v, t.v)
+            some = np.flatnonzero(warm)
+            first, n = _by_row(t.row[some], at[some])
+            first = some[first]
+            own = np.stack([n * good[t.row[first]], n])
+            add(t.row[first], _context(m.of_v[:, at[first]] - own, n))
+            first, n = _by_row(t.row, t.pair)
+            rows, pair = t.row[first], t.pair[first]
             at, known = _find(m.hot, pair)
+            known &= warm[first]  # a hot bigram's context is hot
             own = np.stack([n * good[rows], n])[:, known]
-            for k, x in enumerate(m.seen(m.of_hot[:, at[known]] - own, pair[known], n[known])):
-                lost[k] += np.bincount(rows[known], weights=x, minlength=docs)
-            rows, pair, n = rows[~known], pair[~known], n[~known]
-            bucket = labels[((pair >> np.uint64(24)) % np.uint64(len(labels))).astype(np.int64)]
+            add(rows[known], m.seen(m.of_hot[:, at[known]] - own, pair[known], n[known]))
+            first, rows, pair, n = first[~known], rows[~known], pair[~known], n[~known]
+            by = np.where(warm[first], mix(pair), t.v[first]) & _LOW
+            bucket = labels[(by % np.uint64(len(labels))).astype(np.int64)]
             order = np.argsort(bucket, kind="stable")
-            rows, pair, bucket = rows[order], pair[order], bucket[order]
-            n = (2 * n[order] + good[rows]).astype("<u4")
+            first, rows, pair, bucket = first[order], rows[order], pair[order], bucket[order]
+            n = (4 * n[order] + 2 * warm[first] + good[rows]).astype("<u4")
             edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
             out = [(int(bucket[a]), piece, pair[a:b].tobytes(), np.diff(rows[a:b], prepend=0).astype("<u4").tobytes(), n[a:b].tobytes()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
             for s in range(0, len(out), 256):
@@ -269,12 +302,17 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                 read = lambda c, kind: [np.frombuffer(x, kind) for x in part.column(c).to_pylist()]  # noqa: B023, E731
                 pairs, places = read("pair", np.uint64), [np.cumsum(x.astype(np.int64)) for x in read("at", "<u4")]
                 n = np.concatenate(read("n", "<u4")).astype(np.int64)
-                good, n = n & 1, n >> 1
+                good, warm, n = n & 1, n & 2 > 0, n >> 2
                 pair = np.concatenate(pairs)
-                _, of = np.unique(pair, return_inverse=True)
-                own = np.stack([n * good, n])
-                counts = np.stack([np.bincount(of, weights=x)[of] for x in own]) - own
-                lost, at, out = m.seen(counts, pair, n), 0, []
+                lost = m.seen(_others(pair, np.stack([n * good, n])), pair, n)
+                cool = np.flatnonzero(~warm)
+                if len(cool):  # contexts of which all bigrams are here, once for each document
+                    docs = np.concatenate([k * np.int64(1 << 32) + p for k, p in enumerate(places)])[cool]
+                    v = (pair >> np.uint64(32))[cool]
+                    first, many = _by_row(docs, v, n[cool])
+                    own = np.stack([many * good[cool[first]], many])
+                    lost[:, cool[first]] += _context(_others(v[first], own), many)
+                at, out = 0, []
                 for piece, place in zip(part.column("piece").to_pylist(), places, strict=True):
                     first = np.flatnonzero(np.diff(place, prepend=-1))  # places come in order
                     sums = np.add.reduceat(lost[:, at : at + len(place)], first, axis=1).astype(np.int64)
@@ -293,7 +331,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                 whole = part.filter(part.column("ids").is_valid()).combine_chunks()
                 told = part.filter(part.column("at").is_valid())
                 if whole.num_rows != 1 or told.num_rows != whole.column("buckets")[0].as_py():
-                    raise RuntimeError("the documents came in another order when a task ran again; run the job again")
+                    raise RuntimeError("the documents came in another order when a task ran again")  # rows are stored where that can be
                 lost = [whole.column(c)[0].values.to_numpy().copy() for c in ("target", "background")]
                 for places, *sums in zip(*(told.column(c).to_pylist() for c in ("at", "lost_target", "lost_background")), strict=True):
                     at = np.frombuffer(places, "<u4")

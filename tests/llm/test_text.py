@@ -323,6 +323,25 @@ def test_lm_scores(spark, monkeypatch, share):
     assert lm_scoring.cross_entropy_difference(edge.empty(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_lm_scores_in_small_buckets(spark, monkeypatch):
+    """The same scores in very many buckets; contexts are counted exactly however many there are."""
+    docs = edge.documents(spark).coalesce(2)
+    target = spark.createDataFrame([(6,), (9,)], "doc_id long")
+    rows = lambda: sorted(map(tuple, lm_scoring.score(*lm_scoring.fit(docs, target)).collect()), key=str)
+    few = rows()
+    monkeypatch.setattr(lm_scoring, "BUCKET_TOKENS", 400)
+    monkeypatch.setattr(lm_scoring, "HOT_SHARE", 0.01)
+    assert rows() == few
+
+
+def test_rows_without_an_order_are_stored(spark):
+    """What a shuffle made is written first, as its rows may come in another order when a task runs again; a table is read as it is."""
+    sf = "/root/testdata/sf0.001"
+    docs, target = spark.read.parquet(f"{sf}/documents.parquet"), spark.createDataFrame([(6,)], "doc_id long")
+    files = lambda df: {f for f in df.inputFiles() if "lm-rows" in f}
+    assert not files(lm_scoring.fit(docs, target)[0]) and files(lm_scoring.fit(docs.repartition(3), target)[0])
+
+
 def test_lm_scores_tell_documents_that_occur_twice(spark):
     """Each text is like every other, but some are there twice, far apart."""
     rows = [(k, " ".join(f"{edge.prose(k, 3)} q{(k * 7919 + i * 104729) % 5003}" for i in range(60))) for k in range(200)]
