@@ -252,6 +252,24 @@ FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id
         "enqueue_conflicts": _with("jobs batch", f"SELECT id, job_type, idempotency_key FROM ({_FRESH}) WHERE NOT fresh"),
         "notify_batches": _with("jobs", f"SELECT job_type, chunk, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id) - 1) // 100 AS chunk FROM jobs WHERE status = 'Pending' AND {_DUE}) GROUP BY job_type, chunk"),
         "notify_decode": "SELECT event_type AS job_type, lpad(CAST(event_id AS VARCHAR), 26, '0') AS ids FROM events WHERE event_id % 4 < 2",
+        "notify_legacy": _with("jobs", """SELECT job_type, concat('{"job_type":"', job_type, '","id":"', id, '","run_at":"', strftime(run_at, '%Y-%m-%dT%H:%M:%S.%g'), '"}') AS payload FROM jobs"""),
+        "notify_listen": _with("batch", f"SELECT job_type, id FROM (SELECT *, idempotency_key IS NULL OR row_number() OVER (PARTITION BY job_type, idempotency_key ORDER BY id) = 1 AS fresh FROM batch) WHERE fresh AND {_DUE}"),
+        "arrays_to_rows": _with("jobs", "SELECT id, job_type, run_at, priority FROM jobs"),
+        "tasks_over_caps": """WITH b AS (SELECT lpad(concat('n', CAST(event_id AS VARCHAR)), 26, '0') AS id,
+    CASE WHEN event_id % 11 = 0 THEN 2 * (120 + event_id % 13) ELSE strlen(event_type) END AS queue_bytes,
+    CASE WHEN event_id % 7 = 0 THEN 2 * (4090 + event_id % 13) ELSE strlen(props) END AS metadata_bytes,
+    CASE WHEN event_id % 5 = 0 THEN 4 * (250 + event_id % 13) END AS key_bytes FROM events)
+SELECT id, CAST(queue_bytes AS INT) AS queue_bytes, CAST(metadata_bytes AS INT) AS metadata_bytes, CAST(key_bytes AS INT) AS key_bytes FROM b WHERE queue_bytes > 255 OR metadata_bytes > 8192 OR key_bytes > 1024""",
+        "capped_errors": _with(
+            "jobs",
+            """SELECT id, concat('{"Err":"', CASE WHEN strlen(t) <= 8192 THEN t ELSE concat(left(t, 4089), '…[truncated]') END, '"}') AS last_result
+FROM (SELECT id, status, concat(CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'a' ELSE '' END, repeat('é', 4080 + CAST(id AS BIGINT) % 40)) AS t FROM jobs) WHERE status = 'Failed'""",
+        ),
+        "initial_heartbeat": _with(
+            "jobs workers requests",
+            f"""SELECT id, job_type AS queue, CASE WHEN {_OVER} THEN 'Killed' ELSE 'Pending' END AS what FROM jobs WHERE {_ORPHAN}
+UNION ALL SELECT id, worker_type, lease_token FROM requests WHERE id IN ('w-new', 'w-1')""",
+        ),
         "fetch_by_id": _with("jobs", f"SELECT {_COLUMNS} FROM jobs WHERE id = lpad('3', 26, '0') AND job_type IN ('click', 'view', 'purchase')"),
         "result_fields": _with("jobs", "SELECT id, status, CAST(json_extract(last_result, '$.Ok') AS BIGINT) AS ok, json_extract_string(last_result, '$.Err') AS err FROM jobs WHERE last_result IS NOT NULL"),
         "payload_fields": _with("jobs", "SELECT job_type, CAST(json_extract(job, '$.k') AS INT) AS k, count(*) AS n, CAST(sum(attempts) AS BIGINT) AS attempts, count(json_extract(metadata, '$.none')) AS none FROM jobs GROUP BY 1, 2"),

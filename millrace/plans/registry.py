@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import claimable, terminal, due
+from ..functions.scalars import result_json
 from ..operators import ack, checks, claim, enqueue, incremental, listing, notify, orphans, reports, workers
 from ..schema import Filter
 from ..sources import derived as D
 from ..sources import variants
 from ..sources.folders import shared_folder
+from ..sources.tables import zipped
 from ..streaming import states
 from ..streaming.ingest import Inbox
 from ..streaming.ingest import enqueue_stream as streamed
@@ -201,6 +203,61 @@ def notify_decode(spark, sf_dir):
     return _flat(notify.decoded(D.notify_payloads(D.events(spark, sf_dir))), "ids")
 
 
+@_query
+def notify_legacy(spark, sf_dir):
+    return notify.notify_each(_jobs(spark, sf_dir))
+
+
+@_query
+def notify_listen(spark, sf_dir):
+    """Tasks inserted in micro-batches, and what a listener to the inbox's notifications is told of them."""
+    inbox = Inbox(spark, shared_folder(spark, "inbox"))
+    batch = D.enqueue_batch(D.event_stream(spark, sf_dir))
+    streamed(batch, inbox, shared_folder(spark, "inbox-checkpoint"), None, lambda: NOW, available_now=True).awaitTermination()
+    events = inbox.listen().select("job_type", F.explode("ids").alias("id"))
+    return _told(events, spark).distinct()
+
+
+@_query
+def arrays_to_rows(spark, sf_dir):
+    """Parallel arrays of a hundred tasks each, as a bulk insert has them, as rows again."""
+    rows = _jobs(spark, sf_dir).select("job_type", "id", "run_at", "priority")
+    arrays = rows.groupBy("job_type", F.expr("cast(id as long) div 100").alias("part")).agg(F.array_sort(F.collect_list(F.struct("id", "run_at", "priority"))).alias("x"))
+    parallel = arrays.select("x.id", "x.run_at", "x.priority", F.transform("x", lambda _: F.col("job_type")).alias("job_type"))
+    return zipped(parallel, "id", "job_type", "run_at", "priority")
+
+
+@_query
+def tasks_over_caps(spark, sf_dir):
+    """Tasks whose queue, metadata or key would be refused, in bytes, not characters."""
+    i = F.col("id").substr(2, 25).cast("string")
+    digits = F.regexp_replace(i, "[^0-9]", "").cast("long")
+    long = {
+        "job_type": F.when(digits % 11 == 0, F.repeat(F.lit("é"), (F.lit(120) + digits % 13).cast("int"))).otherwise(F.col("job_type")),
+        "metadata": F.when(digits % 7 == 0, F.repeat(F.lit("ab"), (F.lit(4090) + digits % 13).cast("int"))).otherwise(F.col("metadata")),
+        "idempotency_key": F.when(digits % 5 == 0, F.repeat(F.lit("k€"), (F.lit(250) + digits % 13).cast("int"))),
+    }
+    rows = enqueue.new_rows(D.enqueue_batch(D.events(spark, sf_dir)), NOW).withColumns(long)
+    return rows.where(enqueue.too_long()).select("id", F.octet_length("job_type").alias("queue_bytes"), F.octet_length("metadata").alias("metadata_bytes"), F.octet_length("idempotency_key").alias("key_bytes"))
+
+
+@_query
+def capped_errors(spark, sf_dir):
+    """Failures with long errors of two-byte characters: what is stored of them."""
+    i = F.col("id").cast("long")
+    text = F.concat(F.when(i % 2 == 0, "a").otherwise(""), F.repeat(F.lit("é"), (F.lit(4080) + i % 40).cast("int")))
+    return _jobs(spark, sf_dir).where("status = 'Failed'").select("id", result_json(F.lit(False), text).alias("last_result"))
+
+
+@_query
+def initial_heartbeat(spark, sf_dir):
+    """What a worker's start changes: orphans taken back, and its row."""
+    requests = _requests(spark, sf_dir).where("id in ('w-new', 'w-1')")
+    swept, registered = workers.initial_heartbeat(_jobs(spark, sf_dir), _workers(spark, sf_dir), requests, AFTER, NOW)
+    tasks = swept.affected.select("id", F.col("job_type").alias("queue"), F.col("status").alias("what"))
+    return tasks.unionByName(registered.affected.select("id", F.col("worker_type").alias("queue"), F.col("lease_token").alias("what")))
+
+
 @_query
 def fetch_by_id(spark, sf_dir):
     jobs = _jobs(spark, sf_dir)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import new_ulid
 from ..operators.enqueue import enqueue_dedup
-from ..operators.notify import notify_batches
+from ..operators.notify import decoded, notify_batches
 from ..schema import JOBS, instant
 from .work import utc_now
 
@@ -59,6 +59,11 @@ class Inbox:
         notify_batches(new, now).select(F.col("payload").alias("value")).write.mode("overwrite").text(f"{self.path}/notify/batch={number}")
         return new
 
+    def listen(self, queue: str | None = None, files: int = 1000) -> DataFrame:
+        """The notifications as a stream: job_type, ids; of one queue or all, so many files to a micro-batch."""
+        lines = self.spark.readStream.schema("value string").option("maxFilesPerTrigger", files).text(f"{self.path}/notify")
+        return decoded(lines.select(F.col("value").alias("payload")), queue)
+
 
 def enqueue_stream(stream: DataFrame, inbox: Inbox, checkpoint: str, known: DataFrame | None = None, clock: Callable[[], datetime | str] = utc_now, available_now: bool = False) -> StreamingQuery:
     """A streaming query that inserts a stream of tasks (see ``tasks``); ``available_now`` ends when what is there is inserted."""
