@@ -254,6 +254,7 @@ FROM (SELECT job_type, id, (row_number() OVER (PARTITION BY job_type ORDER BY id
         "notify_decode": "SELECT event_type AS job_type, lpad(CAST(event_id AS VARCHAR), 26, '0') AS ids FROM events WHERE event_id % 4 < 2",
         "notify_legacy": _with("jobs", """SELECT job_type, concat('{"job_type":"', job_type, '","id":"', id, '","run_at":"', strftime(run_at, '%Y-%m-%dT%H:%M:%S.%g'), '"}') AS payload FROM jobs"""),
         "notify_listen": _with("batch", f"SELECT job_type, id FROM (SELECT *, idempotency_key IS NULL OR row_number() OVER (PARTITION BY job_type, idempotency_key ORDER BY id) = 1 AS fresh FROM batch) WHERE fresh AND {_DUE}"),
+        "notify_source": _with("batch", f"SELECT job_type, id FROM (SELECT *, idempotency_key IS NULL OR row_number() OVER (PARTITION BY job_type, idempotency_key ORDER BY id) = 1 AS fresh FROM batch) WHERE fresh AND {_DUE} AND job_type IN ('click', 'view')"),
         "arrays_to_rows": _with("jobs", "SELECT id, job_type, run_at, priority FROM jobs"),
         "tasks_over_caps": """WITH b AS (SELECT lpad(concat('n', CAST(event_id AS VARCHAR)), 26, '0') AS id,
     CASE WHEN event_id % 11 = 0 THEN 2 * (120 + event_id % 13) ELSE strlen(event_type) END AS queue_bytes,

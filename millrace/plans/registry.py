@@ -12,7 +12,7 @@ from ..functions.scalars import result_json
 from ..operators import ack, checks, claim, enqueue, incremental, listing, notify, orphans, reports, workers
 from ..schema import Filter
 from ..sources import derived as D
-from ..sources import variants
+from ..sources import notifications, variants
 from ..sources.folders import shared_folder
 from ..sources.tables import zipped
 from ..streaming import states
@@ -218,6 +218,17 @@ def notify_listen(spark, sf_dir):
     return _told(events, spark).distinct()
 
 
+@_query
+def notify_source(spark, sf_dir):
+    """The same by the source with offsets of its own, for two queues."""
+    inbox = Inbox(spark, shared_folder(spark, "inbox"))
+    batch = D.enqueue_batch(D.event_stream(spark, sf_dir))
+    streamed(batch, inbox, shared_folder(spark, "inbox-checkpoint"), None, lambda: NOW, available_now=True).awaitTermination()
+    notifications.register(spark)
+    events = spark.readStream.format(notifications.NAME).option("path", inbox.path).option("queues", "click,view").load()
+    return _told(events.select("job_type", F.explode("ids").alias("id")), spark).distinct()
+
+
 @_query
 def arrays_to_rows(spark, sf_dir):
     """Parallel arrays of a hundred tasks each, as a bulk insert has them, as rows again."""

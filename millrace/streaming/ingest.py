@@ -56,11 +56,15 @@ class Inbox:
         at = f"{self.path}/tasks/batch={number}"
         rows.write.mode("overwrite").parquet(at)
         new = self.spark.read.schema(JOBS).parquet(at)
-        notify_batches(new, now).select(F.col("payload").alias("value")).write.mode("overwrite").text(f"{self.path}/notify/batch={number}")
+        told = notify_batches(new, now).select(F.col("payload").alias("value"), "job_type")
+        told.write.mode("overwrite").partitionBy("job_type").text(f"{self.path}/notify/batch={number}")
         return new
 
     def listen(self, queue: str | None = None, files: int = 1000) -> DataFrame:
-        """The notifications as a stream: job_type, ids; of one queue or all, so many files to a micro-batch."""
+        """The notifications as a stream of files: job_type, ids; of one queue or all, so many files to a micro-batch.
+
+        ``notifications`` has a source that opens some queues' files only.
+        """
         lines = self.spark.readStream.schema("value string").option("maxFilesPerTrigger", files).text(f"{self.path}/notify")
         return decoded(lines.select(F.col("value").alias("payload")), queue)
 
