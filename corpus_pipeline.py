@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it to the shared folder and reads it
 again for the next stage. All but the last return the columns of documents.
+
+Defined results: a null or empty text fails the quality rules, as it has too few words; without labels the rules alone decide
+on quality; without a language tag on three documents nothing is learned, and all documents go in language ID; documents
+with a null doc_id are no near-duplicate of anything and stay; rows that repeat a doc_id stay or go together in that
+stage; other columns go along to the last stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations
