@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,14 +120,30 @@ def metrics(jobs: DataFrame, now: datetime | str, queue: str | None = None, as_r
 
 
 def storage_statistics(jobs: DataFrame) -> DataFrame:
-    """DB_PAGE_SIZE, DB_PAGE_COUNT and DB_SIZE of the files that hold ``jobs``, as metrics rows."""
+    """DB_PAGE_SIZE, DB_PAGE_COUNT and DB_SIZE of the files that hold ``jobs``, as metrics rows.
+
+    The scan tells each row's file and its size, and reads no column for that; every file counts once. Where several
+    tables are joined to ``jobs``, so that no row has one file, the files are listed instead.
+    """
+    size = F.coalesce(F.sum("size"), F.lit(0))
+    try:
+        files = jobs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    except AnalysisException as e:
+        if e.getCondition() is None or not e.getCondition().startswith("UNRESOLVED_COLUMN"):
+            raise
+        files = _listed(jobs)
+    wide = files.agg(size.cast("double").alias("DB_SIZE")).select(F.lit(float(PAGE_SIZE)).alias("DB_PAGE_SIZE"), F.ceil(F.col("DB_SIZE") / PAGE_SIZE).cast("double").alias("DB_PAGE_COUNT"), "DB_SIZE")
+    listed = [(t, kind, p) for t, kind, _, p in CATALOGUE if t.startswith("DB_")]
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(t).alias("title"), F.lit(kind).alias("stat_type"), F.col(t).alias("value"), F.lit(p).alias("priority")) for t, kind, p in listed])))
+
+
+def _listed(jobs: DataFrame) -> DataFrame:
     spark = jobs.sparkSession
-    conf, size, files = spark._jsc.hadoopConfiguration(), 0, set(jobs.inputFiles())
+    conf, files, size = spark._jsc.hadoopConfiguration(), set(jobs.inputFiles()), 0
     for folder in sorted({name.rsplit("/", 1)[0] for name in files}):  # one call a folder
         at = spark._jvm.org.apache.hadoop.fs.Path(folder)
         size += sum(s.getLen() for s in at.getFileSystem(conf).listStatus(at) if s.getPath().toUri().toString() in files)
-    rows = [("DB_PAGE_SIZE", "Number", float(PAGE_SIZE), 9), ("DB_PAGE_COUNT", "Number", float(-(-size // PAGE_SIZE)), 9), ("DB_SIZE", "Number", float(size), 9)]
-    return spark.createDataFrame(rows, "title string, stat_type string, value double, priority int")
+    return spark.range(1).select(F.lit(size).alias("size"))
 
 
 def report(jobs: DataFrame, now: datetime | str, queue: str | None = None) -> DataFrame:
