@@ -90,7 +90,7 @@ QUALIFIERS = {
 }
 # Words that are a class of adverts by themselves, and parts that say so, or comments, or a header, inside an article.
 ADVERTS = {"ad", "ads", "advert", "adverts", "advertisement", "adsbygoogle", "sponsored"}
-ADVERT_PARTS = {*ADVERTS, "sponsor", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "newsletter", "subscribe", "subscription", "signup", "share", "sharing", "social", "sidebar", "breadcrumb", "breadcrumbs", "pagination", "pager", "masthead", "topbar"}
+ADVERT_PARTS = {*ADVERTS, "sponsor", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "newsletter", "subscribe", "subscription", "signup", "share", "sharing", "social", "sidebar", "breadcrumb", "breadcrumbs", "pagination", "pager", "masthead", "topbar", "footer", "nav", "navbar"}
 COMMENTS = {"comment", "comments", "disqus", "replies", "respond"}
 #: Elements that may hold comments.
 HOLDERS = {"div", "section", "ol", "ul"}
@@ -286,9 +286,11 @@ class Page:
 
     def marked(self, common: set[tuple[str, ...]] = frozenset()) -> set[int]:
         """The marked elements for which there is evidence; ``common`` are blocks that other pages have, too."""
-        words, links, shared = Counter(), Counter(), Counter()
+        words, links, shared, inside = Counter(), Counter(), Counter(), set()
         for b in self.blocks:
             for mark in b.marks:
+                if b.main:
+                    inside.add(mark)
                 words[mark] += len(b.words)
                 links[mark] += b.linked
                 shared[mark] += len(b.words) if tuple(b.words) in common else 0
@@ -297,8 +299,11 @@ class Page:
             says, proven = self.said[k], k in self.proven
             if links[k] >= LINKED * n:
                 gone.add(k)
-            elif says == "" or (says == "advert" and not proven) or (says == "header" and not proven):
-                if n <= SHORT or (says and shared[k] == n):
+            elif says == "":
+                if n <= SHORT and k not in inside:
+                    gone.add(k)
+            elif says == "advert" or (says == "header" and not proven):
+                if n <= SHORT or shared[k] == n:
                     gone.add(k)
             elif says.startswith("comments") and (proven or (n <= SHORT and says == "comments")):
                 gone.add(k)
