@@ -200,7 +200,7 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, slots: i
     """lang, gram, k (its words), f of every phrase of 1 to ``longest`` words found ``least`` times or more; for k = 0 the
     number of all words of the language."""
     spark = docs.sparkSession
-    rows = cut(pieces(docs), "pieces")
+    rows = cut(pieces(docs), "pieces", "zstd")
     sc, words = spark.sparkContext, rows.agg(F.sum(F.length("piece"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // 6 // BUCKET_WORDS + 1)
 

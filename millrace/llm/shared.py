@@ -50,12 +50,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends there and nothing is computed twice."""
+def cut(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends there and nothing is computed twice.
+
+    ``codec`` is the files' compression, if not the session's.
+    """
     spark = df.sparkSession
     ship(spark)
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
