@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,50 +26,89 @@ def _stateful(df: DataFrame) -> DataFrame:
     return df
 
 
-def _ms(at) -> int:
-    return int(pd.Timestamp(at).value // 1_000_000)
+#: Keys of the state. A key has the tasks (or workers) whose hash it is, so that Python is called, and asks for state, once
+#: for them all; a micro-batch reads the state of the keys that it has. A checkpoint goes on with its number only.
+BUCKETS = 2048
+
+
+def _bucketed(df: DataFrame, *columns: str) -> GroupedData:
+    """``df`` by buckets of the columns' hash, for states and timers."""
+    df.sparkSession.conf.set(*_ROCKS)
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))).groupBy("bucket")
+
+
+def _lists(state) -> tuple[list, ...] | None:
+    return state.get() if state.exists() else None
+
+
+def _keep(state, *lists) -> None:
+    """Keeps lists of one length as a bucket's state; nothing, if they are empty."""
+    if lists[0]:
+        state.update(tuple(lists))
+    elif state.exists():
+        state.clear()
+
+
+def _alarm(handle: StatefulProcessorHandle, at: int | None) -> None:
+    """Makes ``at`` the only timer of the bucket."""
+    timers = list(handle.listTimers())
+    for timer in timers:
+        if timer != at:
+            handle.deleteTimer(timer)
+    if at is not None and at not in timers:
+        handle.registerTimer(at)
+
+
+def _passed(timerValues, expiredTimerInfo) -> int:
+    """The latest time whose timer fires when this one does."""
+    return max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
 
 
 class _Waits(StatefulProcessor):
-    """Of one task: whether it is waited for, how it ended, and whether that was told."""
+    """Of the tasks of a bucket: which are waited for without an end, and which have ended without a wait.
+
+    The bucket's timer stands at the first time that one of its waits gives up.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.until = handle.getValueState("until", "ms long")
-        self.ended = handle.getValueState("ended", "status string, result string")
-        self.told = handle.getValueState("told", "told boolean")
-
-    def _tell(self, key, status, result) -> Iterator[pd.DataFrame]:
-        self.told.update((True,))
-        for state in (self.until, self.ended):
-            if state.exists():
-                state.clear()
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        yield pd.DataFrame({"id": [key[0]], "status": [status], "result": [result]})
+        self.waits = handle.getValueState("waits", "id array<string>, until array<bigint>")
+        self.ends = handle.getValueState("ends", "id array<string>, status array<string>, result array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until, ended = None, None
-        for part in rows:
-            for r in part.sort_values(["at", "status", "result"]).itertuples():
-                if r.kind == "wait":
-                    until = max(until or 0, 0 if pd.isna(r.until) else _ms(r.until))
-                elif ended is None:
-                    ended = (r.status, None if pd.isna(r.result) else r.result)
-        if self.told.exists():
-            return
-        if ended is not None and not self.ended.exists():
-            self.ended.update(ended)
-        if until is not None and not self.until.exists():
-            self.until.update((until,))
-            if until:
-                self.handle.registerTimer(until)
-        if self.until.exists() and self.ended.exists():
-            yield from self._tell(key, *self.ended.get())
+        new = pd.concat(rows)
+        asked = new[new["kind"] == "wait"].sort_values("ms").drop_duplicates("id", keep="last")
+        first = new[new["kind"] != "wait"].sort_values(["at", "status", "result"]).drop_duplicates("id")
+        ids, status, result = _lists(self.ends) or ((), (), ())
+        ended = dict(zip(ids, zip(status, result, strict=True), strict=True))
+        for i, s, r in zip(first["id"], first["status"], first["result"], strict=True):
+            ended.setdefault(i, (s, None if pd.isna(r) else r))
+        waits = dict(zip(*(_lists(self.waits) or ((), ())), strict=True))
+        for i, ms in zip(asked["id"], asked["ms"], strict=True):
+            waits.setdefault(i, int(ms))
+        met = [(i, *ended.pop(i)) for i in waits if i in ended]
+        for i, _, _ in met:
+            del waits[i]
+        _keep(self.ends, list(ended), [s for s, _ in ended.values()], [r for _, r in ended.values()])
+        self._wait(waits)
+        _alarm(self.handle, min((ms for ms in waits.values() if ms), default=None))
+        if met:
+            yield pd.DataFrame(met, columns=["id", "status", "result"])
+
+    def _wait(self, waits: dict[str, int]) -> None:
+        _keep(self.waits, list(waits), list(waits.values()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.told.exists():
-            yield from self._tell(key, EXPIRED, None)
+        passed, waits = _passed(timerValues, expiredTimerInfo), dict(zip(*(_lists(self.waits) or ((), ())), strict=True))
+        given_up = [i for i, ms in waits.items() if 0 < ms <= passed]
+        for i in given_up:
+            del waits[i]
+        self._wait(waits)
+        following = min((ms for ms in waits.values() if ms), default=None)
+        if following is not None:
+            self.handle.registerTimer(following)
+        if given_up:
+            yield pd.DataFrame({"id": given_up, "status": EXPIRED, "result": None})
 
     def close(self) -> None:
         pass
@@ -94,8 +133,9 @@ def waited(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
     Each task that is waited for is told once: id, status and result of its first end, whether that came before or after
     the wait; or the status Expired, once the stream's time, less ``delay``, has passed the wait's ``until``.
     """
-    keyed = _stateful(rows).withWatermark("at", delay).groupBy("id")
-    return keyed.transformWithStateInPandas(_Waits(), "id string, status string, result string", "Append", "EventTime")
+    timed = rows.withColumn("ms", F.coalesce(F.unix_millis("until"), F.lit(0))).withWatermark("at", delay)
+    met = _bucketed(timed, "id").transformWithStateInPandas(_Waits(), "id string, status string, result string", "Append", "EventTime")
+    return met.dropDuplicates(["id"])  # of what later waits and ends tell, Spark's own state drops what was told
 
 
 class _Liveness(StatefulProcessor):

@@ -81,3 +81,43 @@ def test_lost_workers(spark, tmp_path, seed):
     workers = every.groupBy("id", "worker_type").agg(F.max("last_seen").alias("last_seen"))
     a, b = (sorted(x.id for x in t.affected.collect()) for t in (states.orphans_of(jobs, final, 60, now), orphans.sweep(jobs, workers, 60, now)))
     assert a == b and a
+
+
+def _keys(df, path, check):
+    """Runs a stream like ``sink``; returns the most rows that its first stateful step kept."""
+    put = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/{number}")
+    query = df.writeStream.foreachBatch(put).option("checkpointLocation", check).trigger(availableNow=True).start()
+    assert query.awaitTermination(180)
+    return max(o.numRowsTotal for p in query.recentProgress for o in p.stateOperators if o.operatorName.startswith("transformWithState"))
+
+
+def test_waits_by_buckets(spark, tmp_path, monkeypatch):
+    """Many tasks share a key of the state, so Python isn't called for each; each is told as if it had its own."""
+    monkeypatch.setattr(states, "BUCKETS", 3, raising=False)
+    r, start, waits, ends, want, now = random.Random(5), 1_700_000_000, {}, {}, {}, 0
+    path, out, check = (f"file://{tmp_path}/{x}" for x in ("in", "out", "check"))
+    kept = []
+    for part in range(3):
+        rows = []
+        for _ in range(150):
+            i, now = f"t-{r.randrange(200)}", now + 1
+            if r.random() < 0.5:
+                until = now + r.choice([5, 60, 400]) + 0.5 if r.random() < 0.7 else None
+                rows.append((i, "wait", float(start + now), until and start + until, None, None))
+            else:
+                rows.append((i, "end", float(start + now), None, r.choice(["Done", "Killed"]), r.choice([None, "r"])))
+        for i in {x[0] for x in rows}:
+            asked = [x[3] or 0 for x in rows if x[0] == i and x[1] == "wait"]
+            ended = [x[4:] for x in rows if x[0] == i and x[1] == "end"]
+            waits.setdefault(i, max(asked)) if asked else None
+            ends.setdefault(i, ended[0]) if ended else None
+            if i in waits and i in ends:
+                want.setdefault(i, (i, *ends[i]))
+        for i, until in waits.items():
+            if i not in want and 0 < until < start + now:
+                want[i] = (i, "Expired", None)
+        cast = ["id", "kind", F.timestamp_millis((F.col("at") * 1000).cast("long")).alias("at"), F.timestamp_millis((F.col("until") * 1000).cast("long")).alias("until"), "status", "result"]
+        spark.createDataFrame(rows, "id string, kind string, at double, until double, status string, result string").select(*cast).coalesce(1).write.mode("append").parquet(path)
+        kept.append(_keys(states.waited(spark.readStream.schema(ROWS).parquet(path)), out, check))
+    assert sorted(told(spark, out), key=repr) == sorted(want.values(), key=repr)
+    assert {"Done", "Killed", "Expired"} == {x[1] for x in want.values()} and max(kept) <= 4 * 3
