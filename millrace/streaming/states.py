@@ -21,11 +21,6 @@ _ROCKS = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.
 EXPIRED = "Expired"
 
 
-def _stateful(df: DataFrame) -> DataFrame:
-    df.sparkSession.conf.set(*_ROCKS)
-    return df
-
-
 #: Keys of the state. A key has the tasks (or workers) whose hash it is, so that Python is called, and asks for state, once
 #: for them all; a micro-batch reads the state of the keys that it has. A checkpoint goes on with its number only.
 BUCKETS = 2048
@@ -139,28 +134,46 @@ def waited(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
 
 
 class _Liveness(StatefulProcessor):
-    """Of one worker in one queue: when it was seen last. The timer stands ``after`` milliseconds later."""
+    """Of the workers of a bucket, each in one queue: when they were seen last, in microseconds.
+
+    The bucket's timer stands ``after`` milliseconds past the first of these times.
+    """
 
     def __init__(self, after: int):
         self.after = after
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "us long")
+        self.seen = handle.getValueState("seen", "id array<string>, worker_type array<string>, us array<bigint>")
+
+    def _last(self) -> dict[tuple[str, str], int]:
+        ids, queues, us = _lists(self.seen) or ((), (), ())
+        return dict(zip(zip(ids, queues, strict=True), us, strict=True))
+
+    def _keep(self, last: dict[tuple[str, str], int]) -> int | None:
+        """Keeps the times; returns when the first of them is over."""
+        _keep(self.seen, [i for i, _ in last], [q for _, q in last], list(last.values()))
+        return self._over(min(last.values())) if last else None
+
+    def _over(self, us: int) -> int:
+        return -(-us // 1000) + self.after
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = max(int(pd.Timestamp(part["last_seen"].max()).value // 1000) for part in rows)
-        if not self.seen.exists() or self.seen.get()[0] < last:
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.seen.update((last,))
-            self.handle.registerTimer(-(-last // 1000) + self.after)
+        last = self._last()
+        new = pd.concat(rows).sort_values("us").drop_duplicates(["id", "worker_type"], keep="last")
+        for *worker, us in zip(new["id"], new["worker_type"], new["us"].tolist(), strict=True):
+            last[*worker] = max(last.get((*worker,), us), us)
+        _alarm(self.handle, self._keep(last))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last = self.seen.get()[0]
-        self.seen.clear()
-        yield pd.DataFrame({"id": [key[0]], "worker_type": [key[1]], "last_seen": [pd.Timestamp(last, unit="us")]})
+        passed, last = _passed(timerValues, expiredTimerInfo), self._last()
+        lost = [(*worker, us) for worker, us in last.items() if self._over(us) <= passed]
+        following = self._keep({worker: us for worker, us in last.items() if self._over(us) > passed})
+        if following is not None:
+            self.handle.registerTimer(following)
+        if lost:
+            yield pd.DataFrame(lost, columns=["id", "worker_type", "us"])
 
     def close(self) -> None:
         pass
@@ -170,11 +183,12 @@ def lost_workers(beats: DataFrame, after: float, delay: str = "0 seconds") -> Da
     """A stream of heartbeats (id, worker_type, last_seen) as a stream of workers that were lost: id, worker_type, last_seen.
 
     A worker is told once the stream's time, less ``delay``, is ``after`` seconds past its last beat; a later beat begins anew.
-    No table is scanned, whatever the number of workers: each beat meets its worker's state only.
+    No table is scanned: beats meet the state of their workers' buckets only.
     """
-    rows = _stateful(beats).select("id", "worker_type", F.col("last_seen").cast("timestamp").alias("last_seen"))
-    keyed = rows.withWatermark("last_seen", delay).groupBy("id", "worker_type")
-    return keyed.transformWithStateInPandas(_Liveness(int(after * 1000)), "id string, worker_type string, last_seen timestamp", "Append", "EventTime")
+    rows = beats.select("id", "worker_type", F.col("last_seen").cast("timestamp").alias("last_seen")).where("last_seen is not null")
+    timed = rows.withColumn("us", F.unix_micros("last_seen")).withWatermark("last_seen", delay)
+    lost = _bucketed(timed, "id", "worker_type").transformWithStateInPandas(_Liveness(int(after * 1000)), "id string, worker_type string, us long", "Append", "EventTime")
+    return lost.select("id", "worker_type", F.timestamp_micros("us").alias("last_seen"))
 
 
 def orphans_of(jobs: DataFrame, lost: DataFrame, after: float, now) -> Transition:

@@ -121,3 +121,18 @@ def test_waits_by_buckets(spark, tmp_path, monkeypatch):
         kept.append(_keys(states.waited(spark.readStream.schema(ROWS).parquet(path)), out, check))
     assert sorted(told(spark, out), key=repr) == sorted(want.values(), key=repr)
     assert {"Done", "Killed", "Expired"} == {x[1] for x in want.values()} and max(kept) <= 4 * 3
+
+
+def test_lost_workers_by_buckets(spark, tmp_path, monkeypatch):
+    """Many workers share a key of the state and its timer; each is told by its own last beat, and again after a new one."""
+    monkeypatch.setattr(states, "BUCKETS", 3, raising=False)
+    steps = [[(f"w-{k}", q, 1_000 + k) for k in range(100) for q in ("click", "view")] + [(None, "click", 1_005)], [("w-7", "view", 1_150), ("w-1", "click", 1_151)], [("w-8", "click", 1_500)]]
+    path, out, check = (f"file://{tmp_path}/{x}" for x in ("in", "out", "check"))
+    kept = []
+    for rows in steps:
+        spark.createDataFrame([*rows, ("none", "click", None)], "id string, worker_type string, s long").select("id", "worker_type", F.timestamp_seconds("s").alias("last_seen")).coalesce(1).write.mode("append").parquet(path)
+        kept.append(_keys(states.lost_workers(spark.readStream.schema("id string, worker_type string, last_seen timestamp").parquet(path), 60), out, check))
+    lost = spark.read.option("recursiveFileLookup", "true").parquet(out).selectExpr("id", "worker_type", "unix_seconds(last_seen) AS s").collect()
+    every = [x for rows in steps for x in rows]
+    assert sorted(map(repr, map(tuple, lost))) == sorted(map(repr, every[:-1]))
+    assert max(kept) <= 3 * 3
