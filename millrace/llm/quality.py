@@ -82,6 +82,18 @@ def marked(docs: DataFrame, trusted: DataFrame, limit: int) -> DataFrame:
     return docs.select("doc_id", "text").join(light(ids, limit), "doc_id", "left")
 
 
+def distinct_texts(rows: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """text and good of the distinct texts of ``rows`` (text, good): a text is good if any of its copies is.
+
+    Only texts whose hash occurs twice are shuffled and grouped (texts that share a hash are told apart there); the others
+    stay where they are, as long as the hashes that occur twice are at most ``limit``.
+    """
+    hashed = rows.select("text", "good", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    twice = light(cut(hashed.groupBy("h").count().where("count > 1").select("h"), "quality-copies"), limit)
+    copies = hashed.join(twice, "h", "left_semi").groupBy("text").agg(F.max("good").alias("good"))
+    return hashed.join(twice, "h", "left_anti").select("text", "good").unionByName(copies)
+
+
 def _weights(rows: DataFrame, buckets: int, folds: int, share: float) -> DataFrame:
     """Columns weights0, ...: the weights for the texts of each fold, from ``rows`` (text, good) of the other one."""
     hashed = rows.select("good", (fold(F.col("text")) if folds == 2 else F.lit(1)).alias("f"), word_hashes(words(F.col("text"))).alias("h"))
@@ -107,8 +119,7 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int
 
 def cross_fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, limit: int = BROADCAST_IDS) -> DataFrame:
     """One row, two columns: the weights for the texts of either fold. Counts run over the distinct texts of ``docs``."""
-    texts = marked(docs, trusted, limit).groupBy("text").agg(F.max("good").alias("good"))
-    return cut(_weights(texts, buckets, 2, PRIOR_SHARE), "quality-weights")
+    return cut(_weights(distinct_texts(marked(docs, trusted, limit), limit), buckets, 2, PRIOR_SHARE), "quality-weights")
 
 
 def _repeated(w: Column) -> Column:

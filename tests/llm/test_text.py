@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from millrace.llm import language_id, lm_scoring, quality, secret_scan
+from millrace.llm import language_id, lm_scoring, quality, secret_scan, shared
 from millrace.llm.shared import shared_dir
 from pyspark.sql import functions as F
 
@@ -144,6 +145,26 @@ def test_quality_of_copies(spark):
     assert sum(right) >= 0.9 * len(right)
 
 
+def test_quality_shuffles_copies_only(spark):
+    """Fitting shuffles texts with copies, not all; the distinct texts are those of a grouping, with many hashes, too."""
+    r = random.Random(3)
+    texts = [" ".join(f"{r.getrandbits(64):x}" for _ in range(300)) for _ in range(200)]
+    rows = [(k, t, 1 if k % 7 == 0 else None) for k, t in enumerate([*texts, *texts[:5], texts[0], None, None, "", "x"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, good int").repartition(4)
+    want = sorted(map(repr, docs.groupBy("text").agg(F.max("good")).collect()))
+    for limit in (1_000_000, 1):
+        assert sorted(map(repr, quality.distinct_texts(docs, limit).withColumnRenamed("good", "max(good)").collect())) == want
+    stored, sc = shared.cut(docs, "docs"), spark._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorList(True).head().totalShuffleWrite()
+
+    before = shuffled()
+    quality.cross_fit(stored.drop("good"), stored.where("good = 1"), 16)
+    assert 0 < shuffled() - before < sum(len(t) for t in texts) / 5
+
+
 def test_all_trusted_documents_count(spark):
     """Beyond the limit of a broadcast, too."""
     docs = spark.createDataFrame([(k, f"some words of {k} here") for k in range(40)] + [(None, "none")], "doc_id long, text string")
