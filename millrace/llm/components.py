@@ -1,10 +1,12 @@
 """Connected components of a table of links, without a hub's links ever meeting in one task.
 
-Links (a, b) become (child, parent) with child > parent and are dealt by both at first. A task joins what it has with a
-union-find and hands on a forest: one parent for each vertex but the roots. A vertex that got two parents in different
-tasks has them joined in the next round, dealt by child. When every child has one parent, the links are a forest with one root for
-each component, and pointer jumping flattens it, a parent's own parent being looked up once for all its children. Links
-never grow in number; each round is written to the shared folder.
+Links (a, b) become (child, parent) with child > parent. Spark gathers each child's distinct parents and stores them (at
+first under salts, as a child may have any number of links; later it has one parent from each task at most). A task then
+joins what it reads, many children, with a union-find and hands on a forest: one parent for each vertex but the roots. A
+vertex that got two parents in different tasks has them joined in the next round. When every child has one parent, the
+links are a forest with one root for each component, and pointer jumping flattens it, a parent's own parent being looked
+up once for all its children. Links never grow in number; each round is written to the shared folder. The Python tasks
+are as many as the stored links fill, not as the shuffle has partitions.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SALTS, attach, cut, ship
+from .shared import SALTS, SMALL, attach, cut, ship
 
 
 class Forest:
@@ -40,42 +42,51 @@ class Forest:
         self.parent[max(a, b)] = min(a, b)
         return True
 
+    def flat(self):
+        """Batches child, parent: the root of every vertex (64-bit ids) but the roots themselves."""
+        children = [x for x in self.parent if self.root(x) != x]
+        for i in range(0, len(children), 65536):
+            part = children[i : i + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([self.root(x) for x in part], pa.int64())], names=["child", "parent"])
+
 
 def _forest(batches):
     f = Forest()
     for batch in batches:
-        for a, b in zip(batch.column("child").to_pylist(), batch.column("parent").to_pylist(), strict=True):
-            f.join(a, b)
-    children = [x for x in f.parent if f.root(x) != x]
-    for i in range(0, len(children), 65536):
-        part = children[i : i + 65536]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([f.root(x) for x in part], pa.int64())], names=["child", "parent"])
+        for a, parents in zip(batch.column("child").to_pylist(), batch.column("parents").to_pylist(), strict=True):
+            for b in parents:
+                f.join(a, b)
+    yield from f.flat()
+
+
+def lifted(edges: DataFrame) -> DataFrame | None:
+    """``edges`` (child, parent: one parent a child, in shared storage) with each parent replaced by its own, if any has one."""
+    up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("top"))
+    tops = cut(edges.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).join(up, "parent"), "tops")
+    if tops.isEmpty():
+        return None
+    return cut(attach(edges, tops, ["parent"], "child", whole=SMALL).select("child", F.coalesce("top", "parent").alias("parent")), "jump")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, few: bool = False) -> DataFrame:
     """id and component (the smallest id it reaches) of every vertex of ``links`` (two long columns) but the smallest ones.
 
     Links of a vertex with itself or with null are none. Vertices that aren't in the result are their own component.
+    ``few``: no vertex has more links to smaller ones than there are tasks, about, so that salts are needless at first, too.
     """
     ship(links.sparkSession)
     a, b = links.columns
     edges = links.select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    # dealt before the first pass, too: links may come from Python themselves, and two Python processes a task are one too many
-    edges = cut(edges.repartition("child", "parent").mapInArrow(_forest, "child long, parent long"), "hook")
-    while True:
-        n = edges.groupBy("child").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if n is None or n == 1:
-            break
-        # a vertex that many tasks gave a parent has them joined in two steps
-        by = ["child", F.pmod(F.xxhash64("parent"), F.lit(SALTS))] if n > SALTS else ["child"]
-        edges = cut(edges.repartition(*by).mapInArrow(_forest, "child long, parent long"), "hook")
+    by = ["child"] if few else ["child", F.pmod(F.xxhash64("parent"), F.lit(SALTS)).alias("salt")]
     while True:
-        up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("top"))
-        tops = cut(edges.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).join(up, "parent", "left"), "tops")
-        if tops.where("top is not null").isEmpty():
+        met = cut(edges.groupBy(*by).agg(F.collect_set("parent").alias("parents")).select("child", "parents"), "met")
+        several = met.agg(F.max(F.size("parents"))).first()[0]
+        if several is None or several == 1 and len(by) == 1:
             break
-        jumped = attach(edges, tops, ["parent"], "child").select("child", F.coalesce("top", "parent").alias("parent"))
-        edges = cut(jumped, "jump")
+        edges, by = cut(met.mapInArrow(_forest, "child long, parent long"), "hook"), ["child"]
+    edges = met.select("child", F.col("parents")[0].alias("parent"))
+    while (up := lifted(edges)) is not None:
+        edges = up
     return edges.select(F.col("child").alias("id"), F.col("parent").alias("component"))
 
 

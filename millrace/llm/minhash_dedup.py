@@ -4,13 +4,14 @@
    and an odd sketch: a bitmap of 1024 parity bits, one toggled by each (place, value). The population count of two
    sketches' XOR estimates how many of the 128 values differ.
 2. Documents with equal sets become one class, stood for by its smallest doc_id.
-3. Classes that share a band key are compared by sketch: first each with the smallest of its bucket, then those
-   outside the bucket's largest cluster with all of it. A bucket of any size is cut into blocks, and a task hands on
+3. Classes that share a band key are compared by sketch: first each with the smallest of its bucket, so that most know
+   a common root, then those of other roots than the bucket's commonest with all of it. A bucket of any size is cut into blocks, and a task hands on
    a forest of the pairs that may reach the similarity (five standard errors of the estimate are allowed). Together
    they give the clusters: no pair outside a cluster can be a link.
 4. A cluster's documents are dealt in blocks, each with the cluster's smallest; pairs are taken in the order of their
-   sketches and checked on the full sets, but for those that earlier links in the task already connect. What that
-   leaves apart in a cluster of several blocks is compared as in 3, on full sets. The links' components are the result.
+   sketches and checked on the full sets, but for those that earlier links in the task already connect. A document is in
+   one block, so that its root there needs no further round. What that leaves apart in a cluster of several blocks is
+   compared as in 3, on full sets. The links' components are the result.
 
 A pair at the least similarity shares no band with probability (1 - 0.75 ** 4) ** 32, about 5e-6.
 
@@ -24,11 +25,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import Forest, components, whole_runs
-from .shared import attach, cut, light, ship
+from .components import Forest, components, lifted, whole_runs
+from .shared import SMALL, attach, cut, light, ship
 from .tokens import slices
 
 WORDS = 5
@@ -177,7 +179,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = LEAST) -> boo
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, d1 and d2 (digest of the set), bands, sketch of every row, in shared storage."""
+    """doc_id, n_shingles, d1 and d2 (digest of the set), bands, sketch, row (a number) of every row, in shared storage."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -197,16 +199,21 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(d1),
                         pa.array(d2),
                         pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel())),
-                        pa.array([x.tobytes() for x in sketch], pa.binary()),
+                        _sketch_column(sketch),
                     ],
                     names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"],
                 )
 
-    return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"), "minhash")
+    signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
+    return cut(signed.withColumn("row", F.monotonically_increasing_id()), "minhash")
+
+
+def _sketch_column(sketches: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(0, sketches.size + 1, BITS // 64, dtype=np.int32), pa.array(sketches.view(np.int64).ravel()))
 
 
 def _sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+    return np.asarray(pc.list_flatten(column)).view(np.uint64).reshape(-1, BITS // 64)
 
 
 def buckets(reps: DataFrame) -> DataFrame:
@@ -216,26 +223,31 @@ def buckets(reps: DataFrame) -> DataFrame:
     """
     rows = reps.select("doc_id", F.explode("bands").alias("band"))
     sizes = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "bands")
-    return cut(attach(rows, sizes, ["band"], "doc_id").where("n is not null"), "buckets")
+    return cut(attach(rows, sizes, ["band"], "doc_id", whole=SMALL).where("n is not null"), "buckets")
 
 
 def star_links(shared: DataFrame, sketches: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b of each bucket's members with its smallest, as far as the sketches may reach the similarity.
+    """child, parents: the smallest of each document's buckets, as far as the sketches may reach the similarity; in shared storage.
 
     They connect most of a large group at once, so that comparing all members later has little left to say.
     """
-    ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
     pairs = cut(shared.where("doc_id != hub").select("doc_id", "hub").distinct(), "star-pairs")
     hubs = cut(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).join(sketches.toDF("hub", "of_hub"), "hub"), "hubs")
-    both = attach(pairs.join(sketches, "doc_id"), hubs, ["hub"], "doc_id").select("doc_id", "hub", "sketch", "of_hub")
+    both = attach(pairs, hubs, ["hub"], "doc_id", whole=SMALL).join(sketches, "doc_id")
+    differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("of_hub")[k])) for k in range(BITS // 64)), F.lit(0))
+    # one document has BANDS hubs at most, and they meet by its id already
+    return cut(both.where(differ <= most).groupBy(F.col("doc_id").alias("child")).agg(F.collect_set("hub").alias("parents")), "stars")
 
-    def run(batches):
-        for batch in batches:
-            near = np.bitwise_count(_sketch_rows(batch.column("sketch")) ^ _sketch_rows(batch.column("of_hub"))).sum(axis=1) <= most
-            yield pa.RecordBatch.from_arrays([batch.column("hub").filter(pa.array(near)), batch.column("doc_id").filter(pa.array(near))], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+def star_roots(stars: DataFrame) -> DataFrame:
+    """id, component: a document that links connect each document with, the same one for most of a group.
+
+    It is the smallest hub, or that one's own smallest: a group can know several, which comparing its members mends.
+    """
+    first = stars.select("child", F.array_min("parents").alias("parent"))
+    up = lifted(first)
+    return (first if up is None else up).toDF("id", "component")
 
 
 def _meetings(rows: DataFrame, group: str) -> DataFrame:
@@ -259,17 +271,20 @@ def _firsts(rows: DataFrame, group: str) -> DataFrame:
     return cut(tops.where("n > c").select(group, "first", "n", (F.col("n") - F.col("c")).alias("n_other")), "firsts")
 
 
-def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b between the clusters of ``known`` (id, component), or single documents, that bands and sketches connect.
+def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame | None:
+    """Links child, parent between the roots of ``known`` (id, component), or single documents: what bands and sketches connect.
 
-    In a bucket, only members outside its largest cluster (the others) still have something to say: each is compared
-    with every member.
+    In a bucket, only members of other roots than its commonest (the others) still have something to say: each is
+    compared with every member. None if no bucket has others.
     """
     ship(shared.sparkSession)
     most = most_bits(least[0] / least[1])
     rooted = shared.where("n > 2").select("band", "doc_id").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     rooted = cut(rooted, "rooted")
-    met = attach(rooted, _firsts(rooted, "band"), ["band"], "doc_id").where("n is not null")
+    firsts = _firsts(rooted, "band")
+    if firsts.isEmpty():
+        return None
+    met = attach(rooted, firsts, ["band"], "doc_id", whole=SMALL).where("n is not null")
     dealt = _meetings(met, "band").join(sketches, "doc_id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def run(batches):
@@ -277,7 +292,6 @@ def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, l
         for table, edges in whole_runs(batches, ["band", "i", "j"]):
             root, asks = (table.column(c).to_numpy() for c in ("root", "asks"))
             sketch = _sketch_rows(table.column("sketch"))
-            found = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 left, right = a + np.flatnonzero(~asks[a:b]), a + np.flatnonzero(asks[a:b])
                 if not len(left) or not len(right):
@@ -285,22 +299,19 @@ def candidate_forest(shared: DataFrame, sketches: DataFrame, known: DataFrame, l
                 x, y = close_pairs(sketch[left], sketch[right], most)
                 p, q = root[left[x]], root[right[y]]
                 apart = p != q
-                found += [e for e in zip(p[apart].tolist(), q[apart].tolist(), strict=True) if told.join(*e)]
-            if found:
-                yield _links(found)
+                for e in zip(p[apart].tolist(), q[apart].tolist(), strict=True):
+                    told.join(*e)
+        yield from told.flat()
 
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+    return dealt.mapInArrow(run, "child long, parent long")
 
 
 def verified_blocks(texts: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b, checked on full sets, that span what the documents of a block, and its cluster's smallest, connect.
+    """child, parent: the smallest document that links, checked on full sets, connect each one of a block with, if not itself.
 
     ``texts`` has doc_id, text, cluster, n. A cluster is cut into blocks of about BLOCK documents, each with the
-    cluster's smallest document besides: a text is sent once, and a cluster of one block is done.
+    cluster's smallest document besides: a text is sent once, and a cluster of one block is done. As no other document
+    is in two blocks, and the smallest is nobody's child, a child comes once and its parent is nobody's child.
     """
     ship(texts.sparkSession)
     most = most_bits(least[0] / least[1])
@@ -310,36 +321,37 @@ def verified_blocks(texts: DataFrame, least: tuple[int, int] = LEAST) -> DataFra
     dealt = texts.select("doc_id", "text", "cluster", F.explode(block).alias("block")).repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc_id")
 
     def run(batches):
+        told = Forest()
         for table, edges in whole_runs(batches, ["cluster", "block"], rows=512):
-            ids, texts, out = table.column("doc_id").to_numpy(), table.column("text"), []
+            ids, texts = table.column("doc_id").to_numpy(), table.column("text")
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a < 2:
                     continue
                 sets = shingle_sets([t or b"" for t in texts.slice(a, b - a).cast(pa.binary()).to_pylist()])
                 x, y = close_pairs(odd_sketches(minhashes(sets)), None, most)
-                forest = Forest()
                 for p, q in zip(x.tolist(), y.tolist(), strict=True):
                     u, v = int(ids[a + p]), int(ids[a + q])
-                    if forest.root(u) != forest.root(v) and similar(sets[p], sets[q], least):
-                        forest.join(u, v)
-                        out.append((u, v))
-            if out:
-                yield _links(out)
+                    if told.root(u) != told.root(v) and similar(sets[p], sets[q], least):
+                        told.join(u, v)
+        yield from told.flat()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return cut(dealt.mapInArrow(run, "child long, parent long"), "blocks")
 
 
-def verified_rest(texts: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Links a, b, checked on full sets, between what ``known`` (id, component) leaves apart in clusters of several blocks.
+def verified_rest(texts: DataFrame, sized: DataFrame, known: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame | None:
+    """Links child, parent, checked on full sets, between the roots that ``known`` (id, component) leaves apart in clusters of several blocks.
 
     Only documents outside the largest component of their cluster ask, each every member. The sets of hashes travel,
-    made once a document.
+    made once a document. None if nothing is left apart; ``sized`` is ``texts`` without the texts.
     """
     ship(texts.sparkSession)
     most = most_bits(least[0] / least[1])
-    large = texts.where(F.col("n") > BLOCK).select("doc_id", "cluster").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    large = sized.where(F.col("n") > BLOCK).select("doc_id", "cluster").join(known.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     large = cut(large, "large-clusters")
-    met = cut(attach(large, _firsts(large, "cluster"), ["cluster"], "doc_id").where("n is not null"), "left-apart")
+    firsts = _firsts(large, "cluster")
+    if firsts.isEmpty():
+        return None
+    met = cut(attach(large, firsts, ["cluster"], "doc_id", whole=SMALL).where("n is not null"), "left-apart")
 
     def hashed(batches):
         for batch in batches:
@@ -347,65 +359,75 @@ def verified_rest(texts: DataFrame, known: DataFrame, least: tuple[int, int] = L
                 rows = batch.slice(a, b - a)
                 sets = shingle_sets([t or b"" for t in rows.column("text").cast(pa.binary()).to_pylist()])
                 sketch = odd_sketches(minhashes(sets))
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary())], names=["doc_id", "hashes", "sketch"])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), _sketch_column(sketch)], names=["doc_id", "hashes", "sketch"])
 
-    sets = texts.select("doc_id", "text").join(light(met.select("doc_id")), "doc_id", "left_semi").mapInArrow(hashed, "doc_id long, hashes binary, sketch binary")
+    sets = texts.select("doc_id", "text").join(light(met.select("doc_id")), "doc_id", "left_semi").mapInArrow(hashed, "doc_id long, hashes binary, sketch array<long>")
     dealt = _meetings(met, "cluster").join(cut(sets, "sets"), "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
 
     def run(batches):
+        told = Forest()
         for table, edges in whole_runs(batches, ["cluster", "i", "j"], rows=512):
-            ids, root, asks = (table.column(c).to_numpy() for c in ("doc_id", "root", "asks"))
-            sketch, hashes, out = _sketch_rows(table.column("sketch")), table.column("hashes"), []
+            root, asks = (table.column(c).to_numpy() for c in ("root", "asks"))
+            sketch, hashes = _sketch_rows(table.column("sketch")), table.column("hashes")
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 left, right = a + np.flatnonzero(~asks[a:b]), a + np.flatnonzero(asks[a:b])
                 if not len(left) or not len(right):
                     continue
                 sets = [np.frombuffer(h, np.uint64) for h in hashes.slice(a, b - a).to_pylist()]
                 x, y = close_pairs(sketch[left], sketch[right], most)
-                forest = Forest()
                 for p, q in zip(left[x].tolist(), right[y].tolist(), strict=True):
                     u, v = int(root[p]), int(root[q])
-                    if forest.root(u) != forest.root(v) and similar(sets[p - a], sets[q - a], least):
-                        forest.join(u, v)
-                        out.append((int(ids[p]), int(ids[q])))
-            if out:
-                yield _links(out)
+                    if told.root(u) != told.root(v) and similar(sets[p - a], sets[q - a], least):
+                        told.join(u, v)
+        yield from told.flat()
+
+    return dealt.mapInArrow(run, "child long, parent long")
+
 
-    return dealt.mapInArrow(run, "a long, b long")
+def _same_document(some: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """Links doc_id, rep between the classes of documents that come with several texts: rows of one doc_id are one vertex. None if none do."""
+    several = some.groupBy("doc_id").agg(*(f(c).alias(f"{c}_{f.__name__}") for c in ("d1", "d2") for f in (F.min, F.max))).where("d1_min != d1_max or d2_min != d2_max").select("doc_id")
+    if several.isEmpty():
+        return None
+    several = cut(several, "several-texts")
+    of = some.select("doc_id", "d1", "d2").join(light(several), "doc_id", "left_semi").distinct().join(reps.select("d1", "d2", F.col("doc_id").alias("rep")), ["d1", "d2"])
+    return of.select("doc_id", "rep")
 
 
-def _same_document(some: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links a, b between the classes of documents that come with several texts: rows of one doc_id are one vertex."""
-    sets = F.struct("d1", "d2")
-    several = cut(some.groupBy("doc_id").agg(F.min(sets).alias("lo"), F.max(sets).alias("hi")).where("lo != hi").select("doc_id"), "several-texts")
-    of = some.select("doc_id", "d1", "d2").join(light(several), "doc_id", "left_semi").distinct().join(classes, ["d1", "d2"])
-    return of.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+def _union(links: DataFrame, *more: DataFrame | None) -> DataFrame:
+    for x in more:
+        links = links if x is None else links.union(x)
+    return links
 
 
 def near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     signed = signatures(docs)
     some = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    # classes of one row need no look-up
-    firsts = attach(some.select("doc_id", "d1", "d2", "bands", "sketch"), cut(classes.where("n > 1"), "copied"), ["d1", "d2"], "doc_id")
-    firsts = cut(firsts.where("rep is null or doc_id = rep"), "firsts")
-    columns = ["doc_id", "bands", "sketch"]
-    copied = firsts.where("rep is not null").dropDuplicates(["doc_id", "d1", "d2"])
-    reps = cut(firsts.where("rep is null").select(*columns).union(copied.select(*columns)), "representatives")
+    # classes of several rows; first is a row of the smallest document, which may come several times with one text
+    copied = some.groupBy("d1", "d2").agg(F.min_by("row", "doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    reps = attach(some.select("doc_id", "d1", "d2", "bands", "sketch", "row"), cut(copied, "copied"), ["d1", "d2"], "doc_id", whole=SMALL)
+    reps = cut(reps.where("first is null or row = first").select("doc_id", "d1", "d2", "n", "bands", "sketch"), "representatives")
     shared, sketches = buckets(reps), reps.select("doc_id", "sketch")
-    stars = components(star_links(shared, sketches, least))
-    clusters = components(stars.toDF("a", "b").union(candidate_forest(shared, sketches, stars, least)))
-    members = clusters.union(clusters.select(F.col("component").alias("id"), "component")).distinct().toDF("doc_id", "cluster")
-    members = cut(members, "members")
-    sizes = cut(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    sized = cut(attach(members, sizes, ["cluster"], "doc_id"), "sized")
+    stars = star_links(shared, sketches, least)
+    links = stars.select("child", F.explode("parents").alias("parent"))
+    clusters = components(_union(links, candidate_forest(shared, sketches, star_roots(stars), least)), few=True).toDF("doc_id", "cluster")
+    # the smallest of a cluster isn't among its children
+    sizes = cut(clusters.groupBy("cluster").agg((F.count(F.lit(1)) + 1).alias("n")), "sizes")
+    sized = attach(clusters, sizes, ["cluster"], "doc_id", whole=SMALL).union(sizes.select("cluster", "cluster", "n"))
+    sized = cut(sized, "sized")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(light(sized), "doc_id")
-    blocks = components(verified_blocks(texts, least))
-    linked = components(blocks.toDF("a", "b").union(verified_rest(texts, blocks, least)).union(_same_document(some, classes)))
-    placed = classes.join(linked.toDF("rep", "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"), "n", "rep")
-    placed = cut(placed.where("n > 1 or component != rep").drop("rep"), "placed")
-    out = attach(some.select("doc_id", "n_shingles", "d1", "d2"), placed, ["d1", "d2"], "doc_id")
+    linked = verified_blocks(texts, least)
+    rest, same = verified_rest(texts, sized, linked, least), _same_document(some, reps)
+    if same is not None:
+        linked = components(_union(linked, rest, same)).toDF("child", "parent")
+    elif rest is not None:
+        # its links are between roots, so that both together are a forest
+        linked = linked.union(components(rest, few=True))
+        linked = linked if (up := lifted(linked)) is None else up
+    placed = reps.select("doc_id", "d1", "d2", "n").join(linked.toDF("doc_id", "component"), "doc_id", "left").where("n is not null or component is not null")
+    placed = cut(placed.select("d1", "d2", F.coalesce("component", "doc_id").alias("component"), F.coalesce("n", F.lit(1)).alias("n")), "placed")
+    out = attach(some.select("doc_id", "n_shingles", "d1", "d2"), placed, ["d1", "d2"], "doc_id", whole=SMALL)
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     bare = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.union(bare).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

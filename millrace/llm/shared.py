@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 1_000_000
 #: A key with more rows than this is hot: its rows are joined where they are, or dealt by SALTS salts.
 HOT, SALTS = 256, 64
+#: Facts of at most so many rows may be broadcast whole (a sketch of 16 words a row makes about 20 MB).
+SMALL = 100_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -70,15 +72,18 @@ def light(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: str, n: str = "n", limit: int = BROADCAST_IDS) -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: str, n: str = "n", limit: int = BROADCAST_IDS, whole: int = 0) -> DataFrame:
     """``rows`` left-joined with ``facts`` (in shared storage, one row a key) without a hot key's rows meeting in a task.
 
     ``n``, a column of the facts, tells about how many rows a key has. The facts of hot keys are broadcast where they
     are at most ``limit`` (there can be one for each HOT rows at most); beyond that they are repeated for each of SALTS
     salts, of which a row's is told by a hash of its column ``spread``. All others meet by a shuffle. Null keys match
-    nothing: give rows with null keys a branch of their own if there may be many.
+    nothing: give rows with null keys a branch of their own if there may be many. Where all facts, with narrow rows, are
+    at most ``whole``, they are broadcast and no row is shuffled.
     """
     columns = [*rows.columns, *[c for c in facts.columns if c not in keys]]
+    if whole and facts.limit(whole + 1).count() <= whole:
+        return rows.join(F.broadcast(facts), keys, "left").select(*columns)
     hot, cold = facts.where(F.col(n) > HOT), facts.where(F.col(n) <= HOT)
     many = hot.limit(limit + 1).count()
     if not many:

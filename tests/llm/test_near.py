@@ -86,6 +86,43 @@ def test_thousands_of_near_copies(spark):
     assert all(got[k + 100] == 100 for k in range(5000)) and all(got[k] == k for k in range(20))
 
 
+def tasks_of(spark, group, run):
+    """How many tasks of Spark's ``run`` started."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) if (job := tracker.getJobInfo(j)) for s in job.stageIds}
+    return sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+
+
+def test_rounds_over_many_partitions(spark):
+    """What a partition costs is paid a bounded number of times: few rounds, and Python only where links are."""
+    import random
+
+    base, rows = edge.prose(79, 200).split(), []
+    for k in range(300):
+        r = random.Random(k)
+        words = list(base)
+        for at in r.sample(range(200), r.choice([1, 2, 3])):
+            words[at] = f"e{r.randint(0, 1 << 30)}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, edge.prose(1000 + k, 60)) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32), spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = []
+        n = tasks_of(spark, "rounds", lambda: got.extend(minhash_dedup.near_duplicates(docs).collect()))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert all(r.component_id == (0 if r.doc_id < 1000 else r.doc_id) for r in got) and len(got) == 400
+    assert n <= 1000
+
+
 def test_hot_keys_are_joined_in_place(spark):
     """Facts reach hot keys by a broadcast, by salts beyond its limit, and cold keys by a shuffle, alike."""
     rows = spark.createDataFrame([(k, 1 if k < 700 else k % 50 + 2 if k % 3 else None) for k in range(2000)], "id long, key long")
